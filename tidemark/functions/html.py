@@ -1,0 +1,153 @@
+"""Records and the next link of one page, on the standard HTML parser.
+
+Runs inside Spark tasks, one page at a time (``operators.pages``).
+Selectors: ``tag``, ``.class``, ``[attr]``, ``[attr=value]``, a space for any
+descendant and ``>`` for a direct child.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass
+from html.parser import HTMLParser
+from urllib.parse import urljoin
+
+from tidemark.functions.expressions import CURLY_QUOTES
+
+# Fixed word lists: elements without content, and elements whose text is not page text.
+VOID_ELEMENTS = frozenset(
+    "area base br col embed hr img input link meta param source track wbr".split()
+)
+HIDDEN_TEXT = frozenset("script style template".split())
+
+SIMPLE = re.compile(r"(?P<tag>^[\w-]+)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)(?:=\"?(?P<value>[^\]\"]*)\"?)?\]")
+
+
+@dataclass(frozen=True)
+class RecordSpec:
+    """Where the fields of a record and the next link are found on a page."""
+
+    box: str = "div.quote"
+    text: str = "span.text"
+    author: str = "small.author"
+    tags: str = "div.tags a.tag"
+    next_link: tuple[str, ...] = ("a[rel=next]", "li.next > a")
+
+
+class Element:
+    __slots__ = ("tag", "attrs", "parent", "children")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.children: list[Element | str | None] = []
+
+    def descendants(self) -> Iterator[Element]:
+        waiting = [c for c in reversed(self.children) if isinstance(c, Element)]
+        while waiting:
+            element = waiting.pop()
+            yield element
+            waiting.extend(c for c in reversed(element.children) if isinstance(c, Element))
+
+    def text(self) -> str:
+        """Every piece of text stripped, then joined without a separator."""
+        pieces, waiting = [], list(reversed(self.children))
+        while waiting:
+            child = waiting.pop()
+            if isinstance(child, str):
+                pieces.append(child.strip())
+            elif child is not None and child.tag not in HIDDEN_TEXT:
+                waiting.extend(reversed(child.children))
+        return "".join(pieces)
+
+
+class PageTree(HTMLParser):
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        self.root = self._open = Element("", {}, None)
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        element = Element(tag, {k: v or "" for k, v in attrs}, self._open)
+        self._open.children.append(element)
+        if tag not in VOID_ELEMENTS:
+            self._open = element
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID_ELEMENTS:
+            self._open = self._open.parent
+
+    def handle_endtag(self, tag):
+        element = self._open
+        while element is not None and element.tag != tag:
+            element = element.parent
+        if element is not None and element.parent is not None:
+            self._open = element.parent
+
+    def handle_data(self, data):
+        siblings = self._open.children
+        if siblings and isinstance(siblings[-1], str):
+            siblings[-1] += data
+        else:
+            siblings.append(data)
+
+    def handle_comment(self, data):
+        self._open.children.append(None)
+
+
+def fits(element: Element, simple: str) -> bool:
+    for part in SIMPLE.finditer(simple):
+        if part["tag"] and element.tag != part["tag"].lower():
+            return False
+        if part["cls"] and part["cls"] not in element.attrs.get("class", "").split():
+            return False
+        if part["attr"]:
+            found = element.attrs.get(part["attr"])
+            if found is None or (part["value"] is not None and " ".join(found.split()) != part["value"]):
+                return False
+    return True
+
+
+def matches(element: Element | None, steps: list[str]) -> bool:
+    """Match the last step on ``element`` and the earlier ones on its ancestors."""
+    if element is None or not fits(element, steps[-1]):
+        return False
+    if len(steps) == 1:
+        return True
+    if steps[-2] == ">":
+        return matches(element.parent, steps[:-2])
+    ancestor = element.parent
+    while ancestor is not None:
+        if matches(ancestor, steps[:-1]):
+            return True
+        ancestor = ancestor.parent
+    return False
+
+
+def select(scope: Element, selector: str) -> Iterator[Element]:
+    steps = selector.replace(">", " > ").split()
+    return (e for e in scope.descendants() if matches(e, steps))
+
+
+def first_text(scope: Element, selector: str) -> str:
+    found = next(select(scope, selector), None)
+    return found.text() if found is not None else ""
+
+
+def parse_page(html: str, base_url: str, spec: RecordSpec = RecordSpec()) -> tuple[list[dict], str | None]:
+    """(records, absolute next link or None) of one page."""
+    page = PageTree(html).root
+    records = [
+        {
+            "quote_text": first_text(box, spec.text).strip(CURLY_QUOTES),
+            "author": first_text(box, spec.author),
+            "tags": ", ".join(tag.text() for tag in select(box, spec.tags)),
+        }
+        for box in select(page, spec.box)
+    ]
+    link = next((e for selector in spec.next_link for e in select(page, selector)), None)
+    if link is None or "href" not in link.attrs:
+        return records, None
+    return records, urljoin(base_url, link.attrs["href"])
