@@ -1,0 +1,114 @@
+"""Outbox, messages and their ingestion."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.expressions import epoch_seconds
+from tidemark.operators.messages import decode_logins, good_logins, quarantined
+from tidemark.operators.outbox import to_messages, unsent
+from tidemark.plans.inputs import USER_LOGINS_SQL, user_logins
+from tidemark.plans.registry import query
+from tidemark.schemas import LOGIN_MESSAGE
+from tidemark.sources.readers import inventory, read_topic
+from tidemark.sources.writers import write_messages
+from tidemark.streaming.ingest import ingest_logins, read_logins, read_quarantine
+from tidemark.streaming.publish import publish_outbox, read_ledger
+from tidemark.workspace import fresh_folder
+
+WITH_LOGINS = f"WITH user_logins AS ({USER_LOGINS_SQL})"
+EPOCH = "epoch_us(event_time) / 1000000.0"
+AS_MESSAGE = f'username AS "user", event_type AS "event", {EPOCH} AS "timestamp"'
+BROKEN = "id % 97 = 0"
+BATCHES = 4
+
+GOOD = f"""{WITH_LOGINS} SELECT username, event_type, date_trunc('second', event_time) AS event_time
+FROM user_logins WHERE NOT ({BROKEN})"""
+BAD = f"{WITH_LOGINS} SELECT {AS_MESSAGE} FROM user_logins WHERE {BROKEN}"
+
+
+def fields(text):
+    return F.from_json(text, LOGIN_MESSAGE).alias("m")
+
+
+def topic(spark, sf_dir):
+    """A message per login; some are damaged by turning the text around."""
+    messages = to_messages(user_logins(spark, sf_dir))
+    return messages.select(F.when(F.expr(BROKEN), F.reverse("value")).otherwise(F.col("value")).alias("value"))
+
+
+def with_plain_time(logins):
+    return logins.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def repaired(damaged):
+    """The fields of a damaged message, the text turned back."""
+    return damaged.select(fields(F.reverse("value"))).select("m.*")
+
+
+@query("outbox_unsent", f"""{WITH_LOGINS}
+SELECT id, username, event_type, {EPOCH} AS epoch FROM user_logins WHERE sent_to_kafka = FALSE""")
+def outbox_unsent(spark, sf_dir):
+    return unsent(user_logins(spark, sf_dir)).select(
+        "id", "username", "event_type", epoch_seconds(F.col("event_time")).alias("epoch")
+    )
+
+
+@query("outbox_messages", f"{WITH_LOGINS} SELECT id, {AS_MESSAGE} FROM user_logins WHERE sent_to_kafka = FALSE")
+def outbox_messages(spark, sf_dir):
+    return to_messages(unsent(user_logins(spark, sf_dir))).select("id", fields("value")).select("id", "m.*")
+
+
+def publish_twice(spark, sf_dir):
+    """Two runs over the same outbox; the second finds every row in the ledger."""
+    folder = fresh_folder(spark, "publish")
+    rows = user_logins(spark, sf_dir)
+    for _ in range(2):
+        publish_outbox(
+            rows, f"{folder}/ledger", lambda m: write_messages(m, {"path": f"{folder}/topic"}, "text")
+        )
+    return folder
+
+
+@query("outbox_published", f"{WITH_LOGINS} SELECT {AS_MESSAGE} FROM user_logins WHERE sent_to_kafka = FALSE")
+def outbox_published(spark, sf_dir):
+    sent = spark.read.text(f"{publish_twice(spark, sf_dir)}/topic")
+    return sent.select(fields("value")).select("m.*")
+
+
+@query("outbox_ledger", f"{WITH_LOGINS} SELECT id FROM user_logins WHERE sent_to_kafka = FALSE")
+def outbox_ledger(spark, sf_dir):
+    return read_ledger(spark, f"{publish_twice(spark, sf_dir)}/ledger")
+
+
+@query("ingest_good", GOOD)
+def ingest_good(spark, sf_dir):
+    return with_plain_time(good_logins(decode_logins(topic(spark, sf_dir))))
+
+
+@query("ingest_quarantine", BAD)
+def ingest_quarantine(spark, sf_dir):
+    return repaired(quarantined(decode_logins(topic(spark, sf_dir))))
+
+
+def ingested(spark, sf_dir) -> str:
+    """The topic as text files, ingested in a few micro-batches."""
+    folder = fresh_folder(spark, "ingest")
+    write_messages(topic(spark, sf_dir), {"path": f"{folder}/topic"}, "text")
+    files = inventory(spark, f"{folder}/topic", "*.txt").count()
+    stream = read_topic(
+        spark, {"path": f"{folder}/topic", "maxFilesPerTrigger": str(-(-files // BATCHES))}, "text"
+    )
+    ingest_logins(stream, folder, f"{folder}/checkpoint").awaitTermination()
+    return folder
+
+
+@query("ingest_stream", GOOD)
+def ingest_stream(spark, sf_dir):
+    logins = read_logins(spark, ingested(spark, sf_dir))
+    return with_plain_time(logins.select("username", "event_type", "event_time"))
+
+
+@query("ingest_stream_quarantine", BAD)
+def ingest_stream_quarantine(spark, sf_dir):
+    return repaired(read_quarantine(spark, ingested(spark, sf_dir)))

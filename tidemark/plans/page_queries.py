@@ -1,0 +1,100 @@
+"""Page records, links and chains; object inventory."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.html import RecordSpec
+from tidemark.operators import pages as pg
+from tidemark.operators.inventory import exists_in
+from tidemark.plans.inputs import page_chain_links, table, user_events
+from tidemark.plans.registry import query
+from tidemark.schemas import RECORDS
+from tidemark.sources.readers import inventory, read_csv, read_pages
+from tidemark.sources.writers import write_events, write_records
+from tidemark.workspace import fresh_folder
+
+# The stored pages hold one article each; their menu takes the place of tags.
+SPEC = RecordSpec(
+    box="body",
+    text="article > h1",
+    author="footer",
+    tags="nav li a",
+    next_link=("a[rel=next]", "li.next > a", "nav li a"),
+)
+
+
+def plain(markup: str) -> str:
+    """SQL for the text of simple markup: the entities the pages use, outer spaces cut."""
+    for entity, character in {"&copy;": "©", "&middot;": "·", "&quot;": '"', "&lt;": "<", "&gt;": ">", "&amp;": "&"}.items():
+        markup = f"replace({markup}, '{entity}', '{character}')"
+    return f"trim({markup})"
+
+
+TITLE = "trim(" + plain("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)") + ", '“”')"
+FOOTER = plain("regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1)")
+MENU = "regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a>', 1)"
+RECORD = f"{TITLE} AS quote_text, {FOOTER} AS author, array_to_string(list_transform({MENU}, lambda x: {plain('x')}), ', ') AS tags"
+ORIGIN = "regexp_extract(url, '^[a-z]+://[^/?#]*')"
+
+
+@query("page_links", f"""
+SELECT page_id, {ORIGIN} || href AS link
+FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages)""")
+def page_links(spark, sf_dir):
+    return pg.page_links(table(spark, sf_dir, "pages"))
+
+
+@query("page_records", f"SELECT url, {RECORD} FROM pages")
+def page_records(spark, sf_dir):
+    return pg.extract_records(pg.parse_pages(read_pages(spark, f"{sf_dir}/pages.parquet"), SPEC))
+
+
+@query("page_next_links", f"""
+SELECT url, {ORIGIN} || regexp_extract(html, '<a href="([^"]*)"', 1) AS next_url FROM pages""")
+def page_next_links(spark, sf_dir):
+    return pg.next_links(pg.parse_pages(table(spark, sf_dir, "pages"), SPEC))
+
+
+@query("page_records_sql", f"SELECT url, {RECORD} FROM pages")
+def page_records_sql(spark, sf_dir):
+    """The same records through the SQL table function."""
+    pg.register_parse_page(spark, SPEC)
+    return spark.sql(
+        "SELECT url, quote_text, author, tags FROM {pages}, LATERAL parse_page(html, url)",
+        pages=table(spark, sf_dir, "pages"),
+    )
+
+
+@query("page_records_csv", f"SELECT {RECORD} FROM pages")
+def page_records_csv(spark, sf_dir):
+    path = fresh_folder(spark, "records")
+    write_records(page_records(spark, sf_dir), path)
+    return read_csv(spark, path, RECORDS, multi_line=True)
+
+
+@query("page_chain", """
+SELECT page_id - page_id % 7 AS seed, page_id AS page, page_id % 7 AS depth FROM pages""")
+def page_chain(spark, sf_dir):
+    """Walks from every page nothing links to; the last link leads to no stored page."""
+    links = page_chain_links(spark, sf_dir)
+    links = pg.existing_links(links, links.select("page"))
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"))
+    seeds = pages.join(links.select(F.col("next_page").alias("page")), "page", "left_anti")
+    return pg.follow_chain(seeds, links)
+
+
+@query("inventory_exists", """
+SELECT DISTINCT d AS key, d IN (SELECT CAST(ts AS date)::varchar FROM events) AS found
+FROM (SELECT unnest([CAST(ts AS date), CAST(ts AS date) + 20])::varchar AS d FROM events)""")
+def inventory_exists(spark, sf_dir):
+    """Which days have objects in the event table, asked for event days and days 20 later."""
+    path = fresh_folder(spark, "events-by-day")
+    events = user_events(spark, sf_dir)
+    write_events(events, path)
+    listed = inventory(spark, path, "*.parquet").select(
+        F.regexp_extract("path", r"event_date=([^/]+)/", 1).alias("key")
+    )
+    day = F.to_date("event_time")
+    asked = events.select(F.explode(F.array(day, F.date_add(day, 20))).alias("key"))
+    return exists_in(asked.select(F.col("key").cast("string")), listed)

@@ -10,6 +10,13 @@ from tidemark.operators.audit import audit_day
 from tidemark.operators.events import by_day
 
 
+# Fixed formats: without them text files keep only milliseconds.
+EXACT_TIMES = {
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX",
+}
+
+
 def laid_out(df: DataFrame, order: list[str], by: str = "event_date") -> DataFrame:
     """Rows of a day kept together and sorted, a large day spread over many files.
 
@@ -28,6 +35,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     options = {
         "header": "true",
         "escape": '"',
+        **EXACT_TIMES,
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
     }
@@ -51,6 +59,11 @@ def export_audit(log: DataFrame, date, folder: str, single_file: bool = False) -
     return path
 
 
+def write_documents(docs: DataFrame, path: str, mode: str = "append") -> None:
+    """Nested documents as JSON lines; null fields are left out."""
+    docs.write.mode(mode).options(**EXACT_TIMES).json(path)
+
+
 def archive(archived: DataFrame, path: str) -> None:
     """Append documents to the archive, without the key of the store they came from."""
     archived.drop("_id").write.mode("append").parquet(path)
