@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CURLY_QUOTES = "“”"
 
 
+def present(*names: str) -> Column:
+    """None of the columns is null; each test can reach the file scan on its own."""
+    return reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+
+
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """Rounded quotient; null when an input is missing or the divisor is 0."""
     return F.when(denominator != 0, F.round(numerator / denominator, digits))

@@ -23,27 +23,40 @@ def split_documents(docs: DataFrame, as_of, registered_days: int = 30, idle_days
     return docs.where(past), docs.where(~F.coalesce(past, F.lit(False)))
 
 
-def inactive_users(docs: DataFrame, as_of, registered_days: int = 30, idle_days: int = 14) -> DataFrame:
-    """Users registered long ago whose latest activity is past, with their document count."""
-    per_user = docs.groupBy("user_id").agg(
-        F.min(REGISTERED).alias("registration_date"),
-        F.max("event_time").alias("last_event_time"),
-        F.count(F.lit(1)).alias("documents"),
-    )
-    return per_user.where(
-        F.col("user_id").isNotNull()
-        & past_both(F.col("registration_date"), F.col("last_event_time"), as_of, registered_days, idle_days)
+def users(docs: DataFrame, as_of, registered_days: int = 30, idle_days: int = 14) -> DataFrame:
+    """One row per user: registration, last activity, number of documents, ``inactive`` or not."""
+    past = past_both(F.col("registration_date"), F.col("last_event_time"), as_of, registered_days, idle_days)
+    return (
+        docs.where(F.col("user_id").isNotNull())
+        .groupBy("user_id")
+        .agg(
+            F.min(REGISTERED).alias("registration_date"),
+            F.max("event_time").alias("last_event_time"),
+            F.count(F.lit(1)).alias("documents"),
+        )
+        .withColumn("inactive", F.coalesce(past, F.lit(False)))
     )
 
 
+def inactive_users(docs: DataFrame, as_of, registered_days: int = 30, idle_days: int = 14) -> DataFrame:
+    """Users registered long ago whose latest activity is past, one row each."""
+    return users(docs, as_of, registered_days, idle_days).where("inactive").drop("inactive")
+
+
 def split_inactive(
     docs: DataFrame, as_of, registered_days: int = 30, idle_days: int = 14, hot_rows: int = HOT_ROWS
 ):
-    """(archived, active) by user: all documents of a user go the same way."""
-    users = inactive_users(docs, as_of, registered_days, idle_days).select("user_id", "documents")
-    archived = lookup_join(docs, users, ["user_id"], "documents", "inner", hot_rows)
-    active = lookup_join(docs, users, ["user_id"], "documents", "left_anti", hot_rows)
-    return archived.select(docs.columns), active.select(docs.columns)
+    """(archived, active) by user: all documents of a user go the same way.
+
+    Documents without a user stay active.
+    """
+    judged = users(docs, as_of, registered_days, idle_days).select("user_id", "documents", "inactive")
+    flagged = lookup_join(docs, judged, ["user_id"], "documents", hot_rows)
+    archived, active = flagged.where("inactive"), flagged.where(~F.col("inactive"))
+    return (
+        archived.select(docs.columns),
+        active.select(docs.columns).unionByName(docs.where(F.col("user_id").isNull())),
+    )
 
 
 def archive_report(archived: DataFrame, date) -> DataFrame:

@@ -2,51 +2,28 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.expressions import present
+
 HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 10_000
 
 
 def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    weight: str,
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    facts: DataFrame, lookup: DataFrame, on: list[str], weight: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Join ``facts`` with ``lookup``, which has one row per key.
+    """Inner join of ``facts`` with ``lookup``, which has one row for every key of ``facts``.
 
     ``lookup[weight]`` is the number of fact rows of the key, counted in the
     same aggregation that built the lookup. Keys with at least ``hot_rows``
     rows never shuffle their rows: their lookup rows, at most ``MAX_HOT_KEYS``,
-    are broadcast. All other keys meet in an ordinary shuffle join. Rows
-    with a null key match nothing and are not shuffled either.
-
-    ``how``: inner, left or left_anti. With no hot key at run time the
-    adaptive planner drops the broadcast branch.
+    are broadcast. All other rows, whatever their key, meet in an ordinary
+    shuffle join. With no hot key at run time the adaptive planner drops
+    the broadcast branch. Rows with a null key match nothing.
     """
-    lookup = lookup.dropna(subset=on)
-    payload = [f for f in lookup.schema if f.name not in (*on, weight)]
-    names = [f.name for f in payload]
-    hot = F.broadcast(
-        lookup.where(F.col(weight) >= hot_rows)
-        .orderBy(F.desc(weight), *on)
-        .limit(MAX_HOT_KEYS)
-        .select(*on, *names, F.lit(True).alias("_hot"))
-    )
-    keyed = facts.dropna(subset=on)
-    spread = keyed.join(hot.select(*on, "_hot"), on, "left").where(F.col("_hot").isNull()).drop("_hot")
-    parts = [spread.join(lookup, on, how)]
-    if how != "left_anti":
-        parts = [parts[0].drop(weight), keyed.join(hot, on, "inner").drop("_hot")]
-    if how != "inner":
-        no_key = facts.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on]))
-        if how == "left":
-            no_key = no_key.withColumns({f.name: F.lit(None).cast(f.dataType) for f in payload})
-        parts.append(no_key)
-    return reduce(DataFrame.unionByName, parts)
+    facts, lookup = facts.where(present(*on)), lookup.where(present(*on))
+    hot = lookup.where(F.col(weight) >= hot_rows).orderBy(F.desc(weight), *on).limit(MAX_HOT_KEYS)
+    spread = facts.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return spread.join(lookup, on).unionByName(facts.join(F.broadcast(hot), on)).drop(weight)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import monday_first, ratio, weekday_name
+from tidemark.functions.expressions import monday_first, present, ratio, weekday_name
 from tidemark.operators.joins import HOT_ROWS, lookup_join
 
 REQUIRED = ["category", "quantity", "total_spent", "price_per_unit"]
@@ -17,50 +17,58 @@ ITEM_KEY = ["category", "price_per_unit"]
 
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.dropna(subset=columns)
+    return df.where(present(*columns))
+
+
+def items_by_key(sales: DataFrame) -> DataFrame:
+    """Distinct items per key with their row count.
+
+    Comes before any ``min(item)``: a minimum of text would sort all sales,
+    while counting by text is a hash aggregation that combines before the shuffle.
+    """
+    return sales.groupBy(*ITEM_KEY, "item").agg(F.count(F.lit(1)).alias("sold"))
 
 
 def product_dictionary(sales: DataFrame) -> DataFrame:
     """One item per (category, price); ``ambiguous`` marks keys with several items."""
     return (
-        sales.where(F.col("item").isNotNull())
+        items_by_key(sales.where(F.col("item").isNotNull()))
         .groupBy(*ITEM_KEY)
-        .agg(F.min("item").alias("item_ref"), (F.min("item") != F.max("item")).alias("ambiguous"))
+        .agg(F.min("item").alias("item_ref"), (F.count("item") > 1).alias("ambiguous"))
     )
 
 
 def repairable_items(sales: DataFrame) -> DataFrame:
-    return sales.where(
-        F.col("item").isNull() & F.col("category").isNotNull() & F.col("price_per_unit").isNotNull()
-    )
+    return sales.where(F.col("item").isNull() & present(*ITEM_KEY))
 
 
-def item_lookup(sales: DataFrame) -> DataFrame:
-    """The dictionary with the number of rows each key can repair, in one aggregation."""
-    return (
-        sales.groupBy(*ITEM_KEY)
-        .agg(F.min("item").alias("item_restored"), F.count_if(F.col("item").isNull()).alias("missing"))
-        .where(F.col("item_restored").isNotNull())
+def with_looked_up_item(sales: DataFrame, to_fix: DataFrame, hot_rows: int) -> DataFrame:
+    """``to_fix`` with ``item_restored``, null where no row of the key has an item."""
+    lookup = (
+        items_by_key(sales)
+        .groupBy(*ITEM_KEY)
+        .agg(
+            F.min("item").alias("item_restored"),
+            F.sum(F.when(F.col("item").isNull(), F.col("sold"))).alias("missing"),
+        )
+        .where(F.col("missing").isNotNull())
     )
+    return lookup_join(to_fix, lookup, ITEM_KEY, "missing", hot_rows)
 
 
 def restore_items(sales: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows whose missing item is known from another row of the same key."""
     to_fix = repairable_items(sales).select("transaction_id", *ITEM_KEY, F.col("item").alias("item_before"))
-    return lookup_join(to_fix, item_lookup(sales), ITEM_KEY, "missing", "inner", hot_rows).select(
+    return with_looked_up_item(sales, to_fix, hot_rows).where(F.col("item_restored").isNotNull()).select(
         "transaction_id", *ITEM_KEY, "item_before", "item_restored"
     )
 
 
 def with_restored_items(sales: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All rows, missing items filled where known; only repairable rows are joined."""
-    fixed = lookup_join(
-        repairable_items(sales), item_lookup(sales), ITEM_KEY, "missing", "left", hot_rows
-    ).withColumn("item", F.col("item_restored"))
-    untouched = sales.where(
-        F.col("item").isNotNull() | F.col("category").isNull() | F.col("price_per_unit").isNull()
-    )
-    return untouched.unionByName(fixed.select(*sales.columns))
+    fixed = with_looked_up_item(sales, repairable_items(sales), hot_rows)
+    untouched = sales.where(F.col("item").isNotNull() | ~present(*ITEM_KEY))
+    return untouched.unionByName(fixed.withColumn("item", F.col("item_restored")).select(*sales.columns))
 
 
 def computed_total() -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import moment
+from tidemark.operators.joins import lookup_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,8 +110,10 @@ FROM events JOIN (SELECT user_id, min(ts) AS registration_date FROM events GROUP
 def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity documents; the first event of a user counts as the registration."""
     events = table(spark, sf_dir, "events")
-    registered = events.groupBy("user_id").agg(F.min("ts").alias("registration_date"))
-    return events.join(registered, "user_id").select(
+    registered = events.groupBy("user_id").agg(
+        F.min("ts").alias("registration_date"), F.count(F.lit(1)).alias("documents")
+    )
+    return lookup_join(events, registered, ["user_id"], "documents").select(
         "user_id", "event_type", F.col("ts").alias("event_time"), F.struct("registration_date").alias("user_info")
     )
 
