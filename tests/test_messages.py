@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import datetime
+import json
+
+import pytest
+
+from tidemark.operators.messages import decode_logins, good_logins, quarantined
+from tidemark.operators.outbox import to_messages, unsent
+from tidemark.sources.readers import read_topic
+from tidemark.sources.writers import write_messages
+from tidemark.streaming.ingest import ingest_logins, read_logins, read_quarantine, store_batch, suppress_replays
+from tidemark.streaming.publish import publish_outbox, read_ledger
+from tidemark.workspace import fresh_folder
+
+ROWS = "id long, username string, event_type string, event_time timestamp_ntz, sent_to_kafka boolean"
+T = datetime.datetime(2024, 1, 1, 0, 0, 7, 500000)
+
+GOOD = [
+    '{"user": "o\'neil \\"x\\"", "event": "login", "timestamp": 1704067207.9}',
+    '{"event": "login", "timestamp": 0, "user": "b", "more": [1, {"x": 2}]}',
+]
+BAD = [
+    '{"user": "a", "even', "", "not json", "[1, 2]",
+    '{"event": "login", "timestamp": 1.0}',
+    '{"user": "a", "timestamp": 1.0}',
+    '{"user": "a", "event": "login"}',
+    '{"user": "a", "event": "login", "timestamp": null}',
+    '{"user": "a", "event": "login", "timestamp": "soon"}',
+    '{"user": "a", "event": "login", "timestamp": 1e300}',
+    '{"user": "a", "event": "login", "timestamp": -5}',
+]
+
+
+@pytest.fixture
+def outbox(spark):
+    return spark.createDataFrame([
+        (1, "a", "login", T, False), (2, "b", "login", T, True), (3, None, "login", None, False),
+        (4, "d", "login", T, None),
+    ], ROWS)
+
+
+def test_unsent(spark, outbox):
+    assert sorted(r.id for r in unsent(outbox).collect()) == [1, 3]
+    ledger = spark.createDataFrame([(1,), (1,)], "id long")
+    assert [r.id for r in unsent(outbox, ledger).collect()] == [3]
+
+
+def test_messages_keep_null_keys(outbox):
+    messages = {r.id: json.loads(r.value) for r in to_messages(unsent(outbox)).collect()}
+    assert messages == {
+        1: {"user": "a", "event": "login", "timestamp": 1704067207.5},
+        3: {"user": None, "event": "login", "timestamp": None},
+    }
+
+
+def test_publish_records_only_what_was_sent(spark, outbox):
+    folder = fresh_folder(spark, "publish")
+
+    def failing(messages):
+        raise RuntimeError("topic is down")
+
+    with pytest.raises(RuntimeError):
+        publish_outbox(outbox, f"{folder}/ledger", failing)
+    assert read_ledger(spark, f"{folder}/ledger") is None
+    sent = []
+    for _ in range(2):
+        publish_outbox(outbox, f"{folder}/ledger", lambda m: sent.append(sorted(r.id for r in m.collect())))
+    assert sent == [[1, 3], []]
+    assert sorted(r.id for r in read_ledger(spark, f"{folder}/ledger").collect()) == [1, 3]
+
+
+def test_decode(spark):
+    decoded = decode_logins(spark.createDataFrame([(v,) for v in [*GOOD, *BAD, None]], "value string"))
+    assert sorted((r.username, r.event_time.second) for r in good_logins(decoded).collect()) == [
+        ("b", 0), ('o\'neil "x"', 7)
+    ]
+    assert sorted(r.value or "" for r in quarantined(decoded).collect()) == sorted([*BAD, ""])
+
+
+def test_ingest_stream(spark):
+    folder = fresh_folder(spark, "ingest")
+    texts = [v for v in [*GOOD, *BAD] if v]
+    for half in (texts[::2], texts[1::2]):
+        frame = spark.createDataFrame([(v,) for v in half], "value string").coalesce(1)
+        write_messages(frame, {"path": f"{folder}/topic"}, "text")
+    stream = read_topic(spark, {"path": f"{folder}/topic", "maxFilesPerTrigger": "1"}, "text")
+    ingest_logins(stream, folder, f"{folder}/checkpoint").awaitTermination()
+    logins = read_logins(spark, folder)
+    assert logins.count() == len(GOOD) and read_quarantine(spark, folder).count() == len(texts) - len(GOOD)
+    assert {str(r.event_date) for r in logins.collect()} == {"2024-01-01", "1970-01-01"}
+    # a replayed micro-batch replaces its rows
+    batch = spark.createDataFrame([(v,) for v in GOOD], "value string")
+    for _ in range(2):
+        store_batch(batch, 7, folder)
+    assert read_logins(spark, folder).where("batch_id = 7").count() == len(GOOD)
+
+
+def test_suppress_replays(spark):
+    path = fresh_folder(spark, "replays")
+    rows = spark.createDataFrame([(1, T), (1, T), (2, T)], "id long, at timestamp_ntz")
+    rows.write.parquet(path)
+    stream = spark.readStream.schema(rows.schema).parquet(path)
+    query = (
+        suppress_replays(stream, ["id"], "at", "1 hour")
+        .writeStream.format("memory").queryName("replays").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert sorted(r.id for r in spark.table("replays").collect()) == [1, 2]

@@ -1,0 +1,38 @@
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from tidemark.functions.names import normalize_columns, snake_case, unique_names
+
+
+@pytest.mark.parametrize("name, expected", [
+    ("Transaction ID", "transaction_id"),
+    ("Price Per Unit", "price_per_unit"),
+    ("HTTPServer", "http_server"),
+    ("orderID", "order_id"),
+    ("a.b-c  d", "a_b_c_d"),
+    ("__x__y__", "x_y"),
+    ("Total $ Spent!", "total_spent"),
+    ("Категория", "col"),
+    ("", "col"),
+    ("ABcDEf", "a_bc_d_ef"),
+    ("item2Name", "item2_name"),
+])
+def test_snake_case(name, expected):
+    assert snake_case(name) == expected
+
+
+def test_unique_names_skip_taken():
+    assert unique_names(["a", "a", "a_2", "a", "b"]) == ["a", "a_2", "a_2_2", "a_3", "b"]
+
+
+@given(st.lists(st.text(max_size=8), max_size=12))
+def test_names_are_unique_and_stable(names):
+    result = unique_names([snake_case(n) for n in names])
+    assert len(set(result)) == len(names)
+    assert all(snake_case(n) == n or n.rstrip("0123456789").endswith("_") for n in result)
+
+
+def test_normalize_columns_runs_no_job(spark):
+    df = spark.range(1).selectExpr("id AS `My ID`", "id AS `my.id`")
+    assert normalize_columns(df).columns == ["my_id", "my_id_2"]

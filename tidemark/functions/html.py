@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -21,7 +22,7 @@ VOID_ELEMENTS = frozenset(
 )
 HIDDEN_TEXT = frozenset("script style template".split())
 
-SIMPLE = re.compile(r"(?P<tag>^[\w-]+)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)(?:=\"?(?P<value>[^\]\"]*)\"?)?\]")
+PART = re.compile(r"(?P<tag>^[\w-]+)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)(?:=\"?(?P<value>[^\]\"]*)\"?)?\]")
 
 
 @dataclass(frozen=True)
@@ -36,18 +37,12 @@ class RecordSpec:
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parent", "children")
+    __slots__ = ("tag", "attrs", "parent", "children", "place", "inside")
 
-    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None, place: int):
+        self.tag, self.attrs, self.parent, self.place = tag, attrs, parent, place
         self.children: list[Element | str | None] = []
-
-    def descendants(self) -> Iterator[Element]:
-        waiting = [c for c in reversed(self.children) if isinstance(c, Element)]
-        while waiting:
-            element = waiting.pop()
-            yield element
-            waiting.extend(c for c in reversed(element.children) if isinstance(c, Element))
+        self.inside = 0
 
     def text(self) -> str:
         """Every piece of text stripped, then joined without a separator."""
@@ -61,15 +56,21 @@ class Element:
         return "".join(pieces)
 
 
-class PageTree(HTMLParser):
+class Page(HTMLParser):
+    """The elements of a page in document order; those inside an element follow it."""
+
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.root = self._open = Element("", {}, None)
+        self.root = self._open = Element("", {}, None, 0)
+        self.elements = [self.root]
         self.feed(html)
         self.close()
+        for element in reversed(self.elements[1:]):
+            element.parent.inside += element.inside + 1
 
     def handle_starttag(self, tag, attrs):
-        element = Element(tag, {k: v or "" for k, v in attrs}, self._open)
+        element = Element(tag, {k: v or "" for k, v in attrs}, self._open, len(self.elements))
+        self.elements.append(element)
         self._open.children.append(element)
         if tag not in VOID_ELEMENTS:
             self._open = element
@@ -96,58 +97,68 @@ class PageTree(HTMLParser):
     def handle_comment(self, data):
         self._open.children.append(None)
 
-
-def fits(element: Element, simple: str) -> bool:
-    for part in SIMPLE.finditer(simple):
-        if part["tag"] and element.tag != part["tag"].lower():
-            return False
-        if part["cls"] and part["cls"] not in element.attrs.get("class", "").split():
-            return False
-        if part["attr"]:
-            found = element.attrs.get(part["attr"])
-            if found is None or (part["value"] is not None and " ".join(found.split()) != part["value"]):
-                return False
-    return True
-
-
-def matches(element: Element | None, steps: list[str]) -> bool:
-    """Match the last step on ``element`` and the earlier ones on its ancestors."""
-    if element is None or not fits(element, steps[-1]):
+    def select(self, selector: str, scope: Element | None = None) -> Iterator[Element]:
+        scope, steps = scope or self.root, selector_steps(selector)
+        first = scope.place + 1
+        return (e for e in self.elements[first:first + scope.inside] if matches(e, steps, len(steps) - 1))
+
+    def first_text(self, selector: str, scope: Element) -> str:
+        found = next(self.select(selector, scope), None)
+        return found.text() if found is not None else ""
+
+
+@cache
+def selector_steps(selector: str) -> list[tuple[bool, str | None, list[str], list[tuple[str, str | None]]]]:
+    """(is a child of the previous step, tag, classes, attributes) for every step."""
+    steps, child = [], False
+    for word in selector.replace(">", " > ").split():
+        if word == ">":
+            child = True
+            continue
+        parts = list(PART.finditer(word))
+        tag = next((p["tag"].lower() for p in parts if p["tag"]), None)
+        classes = [p["cls"] for p in parts if p["cls"]]
+        attrs = [(p["attr"], p["value"]) for p in parts if p["attr"]]
+        steps.append((child, tag, classes, attrs))
+        child = False
+    return steps
+
+
+def matches(element: Element | None, steps: list, at: int) -> bool:
+    """Match step ``at`` on the element and the earlier ones on its ancestors."""
+    if element is None:
         return False
-    if len(steps) == 1:
+    child, tag, classes, attrs = steps[at]
+    if tag is not None and element.tag != tag:
+        return False
+    if classes and not set(classes) <= set(element.attrs.get("class", "").split()):
+        return False
+    for name, value in attrs:
+        found = element.attrs.get(name)
+        if found is None or (value is not None and " ".join(found.split()) != value):
+            return False
+    if at == 0:
         return True
-    if steps[-2] == ">":
-        return matches(element.parent, steps[:-2])
     ancestor = element.parent
-    while ancestor is not None:
-        if matches(ancestor, steps[:-1]):
-            return True
+    if child:
+        return matches(ancestor, steps, at - 1)
+    while ancestor is not None and not matches(ancestor, steps, at - 1):
         ancestor = ancestor.parent
-    return False
-
-
-def select(scope: Element, selector: str) -> Iterator[Element]:
-    steps = selector.replace(">", " > ").split()
-    return (e for e in scope.descendants() if matches(e, steps))
-
-
-def first_text(scope: Element, selector: str) -> str:
-    found = next(select(scope, selector), None)
-    return found.text() if found is not None else ""
+    return ancestor is not None
 
 
 def parse_page(html: str, base_url: str, spec: RecordSpec = RecordSpec()) -> tuple[list[dict], str | None]:
     """(records, absolute next link or None) of one page."""
-    page = PageTree(html).root
+    page = Page(html)
     records = [
         {
-            "quote_text": first_text(box, spec.text).strip(CURLY_QUOTES),
-            "author": first_text(box, spec.author),
-            "tags": ", ".join(tag.text() for tag in select(box, spec.tags)),
+            "quote_text": page.first_text(spec.text, box).strip(CURLY_QUOTES),
+            "author": page.first_text(spec.author, box),
+            "tags": ", ".join(tag.text() for tag in page.select(spec.tags, box)),
         }
-        for box in select(page, spec.box)
+        for box in page.select(spec.box)
     ]
-    link = next((e for selector in spec.next_link for e in select(page, selector)), None)
+    link = next((e for selector in spec.next_link for e in page.select(selector)), None)
     if link is None or "href" not in link.attrs:
         return records, None
     return records, urljoin(base_url, link.attrs["href"])

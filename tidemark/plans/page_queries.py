@@ -70,7 +70,7 @@ def page_records_sql(spark, sf_dir):
 def page_records_csv(spark, sf_dir):
     path = fresh_folder(spark, "records")
     write_records(page_records(spark, sf_dir), path)
-    return read_csv(spark, path, RECORDS, multi_line=True)
+    return read_csv(spark, path, RECORDS, multi_line=True, keep_empty=True)
 
 
 @query("page_chain", """

@@ -10,16 +10,21 @@ from tidemark import schemas
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | None = None, delimiter: str = ",", multi_line: bool = False
+    spark: SparkSession, path: str, schema: StructType | None = None, delimiter: str = ",",
+    multi_line: bool = False, keep_empty: bool = False,
 ) -> DataFrame:
     """Delimited text with a header; an empty cell is null.
 
+    ``keep_empty`` reads a quoted empty cell, ``""``, as empty text instead.
+
     With a schema nothing is read ahead and values of another type become
     null. Without one the types are inferred, which costs a pass over the data.
     ``multi_line`` is for quoted values with line breaks; a file is then one task.
     """
     reader = spark.read.option("header", True).option("delimiter", delimiter).option("escape", '"')
     reader = reader.option("multiLine", multi_line)
+    if keep_empty:
+        reader = reader.option("nullValue", "\0")
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.option("enforceSchema", True).schema(schema).csv(path)

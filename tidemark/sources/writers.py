@@ -80,7 +80,10 @@ def write_messages(messages: DataFrame, options: dict[str, str], fmt: str = "kaf
     messages.select("value").write.format(fmt).mode("append").options(**options).save()
 
 
-def create_table(spark: SparkSession, name: str, columns: str, partitioned_by: str | None = None) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` for a Parquet table."""
+def create_table(
+    spark: SparkSession, name: str, columns: str, partitioned_by: str | None = None, path: str | None = None
+) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` for a Parquet table, at ``path`` if given."""
     layout = f" PARTITIONED BY ({partitioned_by})" if partitioned_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{layout}")
+    place = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{layout}{place}")
