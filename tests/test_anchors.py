@@ -1,0 +1,61 @@
+"""Known sizes and totals of the jobs at sf0.01."""
+
+from __future__ import annotations
+
+import pytest
+
+from tidemark.plans import QUERIES
+from tidemark.plans.event_queries import user_events
+from tidemark.plans.inputs import page_chain_links, retail, user_versions
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def run(spark):
+    return lambda name: QUERIES[name](spark, SF_DIR)
+
+
+def test_sales(spark, run):
+    assert retail(spark, SF_DIR).count() == 60_000
+    assert run("clean_sales").selectExpr("count(*)", "sum(quantity)").first() == (55_064, 1_399_657)
+    assert run("product_dictionary").selectExpr("count(*)", "count_if(ambiguous)").first() == (2_594, 434)
+    assert run("restore_items").count() == 4_942
+    assert [tuple(r) for r in run("top_categories").collect()] == [
+        ("MEDIUM", 245_732), ("LARGE", 241_519), ("STANDARD", 240_007), ("PROMO", 229_578), ("SMALL", 225_424)
+    ]
+    assert tuple(run("top_customers").first()) == (1242, 2_086_353.90)
+
+
+def test_events(spark, run):
+    assert user_events(spark, SF_DIR).count() == 10_000
+    assert run("event_daily_states").count() == 150
+    assert run("live_events").count() == 6_693
+    first, second = run("retention_7d_purchases").take(2)
+    assert tuple(first)[1:4] == (56, 51, 91.07) and tuple(second)[1:3] == (41, 40)
+
+
+def test_changes(spark, run):
+    assert {r.field_changed: r["count"] for r in run("change_log").groupBy("field_changed").count().collect()} == {
+        "email": 201, "name": 280, "role": 128
+    }
+    assert [v.count() for v in user_versions(spark, SF_DIR)] == [1500, 1500]
+
+
+def test_archive(run):
+    assert run("archive_documents").count() == 9_326
+    assert run("archive_users").count() == 1
+    assert run("archive_users_purchases").count() == 58
+
+
+def test_messages(run):
+    assert run("outbox_unsent").count() == 6_666
+    assert run("ingest_good").count() == 9_896
+    assert run("ingest_quarantine").count() == 104
+
+
+def test_pages(spark, run):
+    assert run("page_links").count() == 1_413
+    chain = run("page_chain")
+    assert chain.selectExpr("count(*)", "max(depth)", "count(DISTINCT seed)").first() == (250, 6, 36)
+    assert page_chain_links(spark, SF_DIR).count() == 250

@@ -7,7 +7,7 @@ import pytest
 
 from tidemark.operators import events as ev
 from tidemark.operators.retention import first_events, retention_7d, retention_7d_total
-from tidemark.sources.readers import inventory, read_events
+from tidemark.sources.readers import inventory, read_events, stream_events
 from tidemark.sources.writers import write_events
 from tidemark.streaming.states import EventStates, expire_days
 from tidemark.workspace import fresh_folder
@@ -45,6 +45,16 @@ def test_states_of_any_split_merge_to_the_same(frame):
     assert rows(ev.merge_states(states, ["event_type"])) == rows(ev.daily_exact(frame(data), ["event_type"]))
 
 
+def test_compact_sketch_is_close(spark):
+    df = spark.range(40_000).selectExpr(
+        "id % 20000 AS user_id", "'a' AS event_type", "1D AS points_spent", "TIMESTAMP_NTZ'2024-01-01' AS event_time"
+    )
+    states = ev.event_states(df, sketch="hll").unionByName(ev.event_states(df.limit(500), sketch="hll"))
+    row = ev.merge_states(states, ["event_date"], sketch="hll").first()
+    assert abs(row.unique_users - 20_000) < 600 and row.total_actions == 40_500
+    assert ev.merge_states(ev.event_states(df)).first().unique_users == 20_000
+
+
 def test_retention_periods_end_exactly(frame):
     as_of = "2024-01-31 00:00:00"
     kept = ev.live_events(frame([at(0), at(0, 1), at(3)]), as_of)
@@ -82,7 +92,7 @@ def states_folder(spark):
 
 
 def stream_of(spark, path):
-    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream_events(spark, path, 1, SCHEMA)
 
 
 def test_stream_replay_backfill_compaction_and_expiry(spark, frame):

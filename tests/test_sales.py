@@ -69,7 +69,7 @@ def test_restored_items_do_not_depend_on_hot_keys(frame, hot_rows):
     df = frame(*rows)
     restored = by_id(sales.restore_items(df, hot_rows), "item_before", "item_restored")
     assert restored == {**{f"hot{i}": (None, "pen") for i in range(50)}, "cold": (None, "cup")}
-    merged = by_id(sales.with_restored_items(df, hot_rows), "item")
+    merged = by_id(sales.with_restored_items(df, df, hot_rows), "item")
     assert len(merged) == len(rows)
     assert merged["hot7"] == ("pen",) and merged["unknown"] == (None,) and merged["no_price"] == (None,)
     assert merged["unknown_hot3"] == (None,) and merged["known"] == ("pen",)
@@ -94,6 +94,21 @@ def test_clean_needs_four_columns(frame):
     assert intent["no_item"] == ("i", 6.0) and intent["no_total"] == ("i", 6.0)
 
 
+def test_rows_are_kept_exactly_if_the_fills_complete_them(spark, frame):
+    values = [None, 0.0, -1.0, 3.0, 1e-9, 1e10, float("nan"), float("inf")]
+    df = frame(*[
+        sale(f"{c}/{p}/{q}/{t}", c, price=p, quantity=q, total=t)
+        for c in ("c", None) for p in values for q in values for t in values
+    ])
+    filled = sales.require(sales.fill_quantity_price(df), sales.REQUIRED)
+    assert set(by_id(sales.clean_sales(df), "item")) == set(by_id(filled, "item"))
+    with_totals = sales.fill_quantity_price(df).withColumn("total_spent", sales.computed_total())
+    complete = sales.require(with_totals, sales.REQUIRED).unionByName(filled)
+    kept = df.where(sales.completable(fill_totals=True))
+    assert set(by_id(kept, "item")) == set(by_id(complete, "item"))
+    assert sales.require(sales.clean_sales(df, intent=True), sales.REQUIRED).count() == kept.count()
+
+
 def test_reports(frame):
     sunday, monday = datetime.date(2024, 1, 7), datetime.date(2024, 1, 8)
     df = frame(

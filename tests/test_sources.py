@@ -95,13 +95,13 @@ def test_shared_folder_follows_the_setting(spark):
         shared_folder(Session("spark://host"))
     local = Session("local[2]")
     assert shared_folder(local) == shared_folder(local) == local.folder
-    assert Folder(spark, shared_folder(spark)).has() or written(spark.range(1), "t").count() == 1
+    assert Folder(spark, shared_folder(spark)).has() or written(spark.range(1), fresh_folder(spark, "t")).count() == 1
 
 
 def test_written_table_is_the_same(spark):
     df = spark.sql("SELECT * FROM VALUES (1, 'a'), (2, NULL) AS t(n, s)")
-    assert sorted(written(df, "t").collect()) == sorted(df.collect())
-    assert written(df.where("false"), "t").count() == 0
+    assert sorted(written(df, fresh_folder(spark, "t")).collect()) == sorted(df.collect())
+    assert written(df.where("false"), fresh_folder(spark, "t")).count() == 0
 
 
 def test_folder(spark, tmp_path):

@@ -1,8 +1,10 @@
 """Daily event aggregates, kept as mergeable states, and retention periods.
 
 Events have user_id, event_type, points_spent, event_time. Distinct users are
-kept as theta sketches of 2^16 entries: exact up to 65,536 users per group,
-an estimate beyond that, and mergeable over any split of the input.
+kept as sketches, mergeable over any split of the input: ``theta`` with 2^16
+entries is exact up to 65,536 users per group and an estimate beyond that;
+``hll`` with 2^14 entries is smaller and always an estimate. One table of
+states holds one kind.
 """
 
 from __future__ import annotations
@@ -12,7 +14,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import day, days_before, moment
 
-SKETCH_SIZE = 16
+# (build, merge, estimate, log2 of the entries)
+SKETCHES = {
+    "theta": (F.theta_sketch_agg, F.theta_union_agg, F.theta_sketch_estimate, 16),
+    "hll": (F.hll_sketch_agg, lambda states, size: F.hll_union_agg(states), F.hll_sketch_estimate, 14),
+}
 SLICES = 32
 GROUP = ["event_date", "event_type"]
 
@@ -24,37 +30,40 @@ def by_day(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", F.to_date("event_time"))
 
 
-def event_states(events: DataFrame, slices: int = SLICES) -> DataFrame:
+def event_states(events: DataFrame, slices: int = SLICES, sketch: str = "theta") -> DataFrame:
     """Partial state per (day, type): user sketch, points, number of events.
 
     Sketches of one group are first merged in ``slices`` groups of input
     partitions, so a day that holds a third of all events is not merged by
     a single task.
     """
+    build, _, _, size = SKETCHES[sketch]
     sliced = by_day(events).withColumn("slice", F.spark_partition_id() % slices)
     partial = sliced.groupBy(*GROUP, "slice").agg(
-        F.theta_sketch_agg("user_id", SKETCH_SIZE).alias("unique_users"),
+        build("user_id", size).alias("unique_users"),
         F.sum("points_spent").alias("total_points"),
         F.count(F.lit(1)).alias("event_count"),
     )
-    return combine_states(partial)
+    return combine_states(partial, sketch=sketch)
 
 
-def combine_states(states: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def combine_states(states: DataFrame, keys: list[str] | None = None, sketch: str = "theta") -> DataFrame:
     """Fewer state rows with the same meaning: one per key, still mergeable."""
+    _, merge, _, size = SKETCHES[sketch]
     return states.groupBy(*(GROUP if keys is None else keys)).agg(
-        F.theta_union_agg("unique_users", SKETCH_SIZE).alias("unique_users"),
+        merge("unique_users", size).alias("unique_users"),
         F.sum("total_points").alias("total_points"),
         F.sum("event_count").alias("event_count"),
     )
 
 
-def merge_states(states: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def merge_states(states: DataFrame, keys: list[str] | None = None, sketch: str = "theta") -> DataFrame:
     """Finished numbers per (day, type), or per any subset of these keys."""
     keys = GROUP if keys is None else keys
-    return combine_states(states, keys).select(
+    _, _, estimate, _ = SKETCHES[sketch]
+    return combine_states(states, keys, sketch).select(
         *keys,
-        F.theta_sketch_estimate("unique_users").alias("unique_users"),
+        estimate("unique_users").alias("unique_users"),
         "total_points",
         F.col("event_count").alias("total_actions"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import resolve_link
 from tidemark.functions.html import RecordSpec, parse_page
-from tidemark.workspace import written
+from tidemark.workspace import Folder, fresh_folder, written
 
 LINK = r"""<a\s(?:[^>]*\s)?href=["']([^"']*)["']"""
 
@@ -81,20 +81,27 @@ def follow_chain(seeds: DataFrame, links: DataFrame) -> DataFrame:
     ``seeds`` has page; ``links`` has page and next_page, at most one per page.
     Each round doubles the length of the known jumps, so a chain of n pages
     takes log2(n) rounds. A walk that runs into a circle ends at the
-    first page it has seen before.
+    first page it has seen before. Rounds are tables in the shared folder, and
+    a round that is no longer needed is removed.
     """
-    jumps = written(links.where("next_page IS NOT NULL").select("page", "next_page"), "jumps")
-    reached = seeds.select(F.col("page").alias("seed"), "page", F.lit(0).cast("long").alias("depth")).distinct()
-    reached, found, step = written(reached, "reached"), 0, 1
+    spark = seeds.sparkSession
+    folder, step = fresh_folder(spark, "chain"), 1
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return written(df, f"{folder}/{step}/{name}")
+
+    jumps = keep(links.where("next_page IS NOT NULL").select("page", "next_page"), "jumps")
+    start = seeds.select(F.col("page").alias("seed"), "page", F.lit(0).cast("long").alias("depth"))
+    reached, found = keep(start.distinct(), "reached"), 0
     while jumps.count() > 0 and found < (total := reached.count()):
         found = total
         ahead = reached.join(jumps, "page").select(
             "seed", F.col("next_page").alias("page"), (F.col("depth") + step).alias("depth")
         )
-        reached = written(
-            reached.unionByName(ahead).groupBy("seed", "page").agg(F.min("depth").alias("depth")), "reached"
-        )
+        farther = reached.unionByName(ahead).groupBy("seed", "page").agg(F.min("depth").alias("depth"))
         second = jumps.select(F.col("page").alias("next_page"), F.col("next_page").alias("after"))
-        jumps = written(jumps.join(second, "next_page").select("page", F.col("after").alias("next_page")), "jumps")
+        longer = jumps.join(second, "next_page").select("page", F.col("after").alias("next_page"))
         step *= 2
+        reached, jumps = keep(farther, "reached"), keep(longer, "jumps")
+        Folder(spark, folder).remove(str(step // 2))
     return reached

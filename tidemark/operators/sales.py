@@ -14,6 +14,7 @@ from tidemark.operators.joins import HOT_ROWS, lookup_join
 
 REQUIRED = ["category", "quantity", "total_spent", "price_per_unit"]
 ITEM_KEY = ["category", "price_per_unit"]
+MAX_UNITS = 2**31 - 0.5
 
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -64,11 +65,11 @@ def restore_items(sales: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def with_restored_items(sales: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All rows, missing items filled where known; only repairable rows are joined."""
-    fixed = with_looked_up_item(sales, repairable_items(sales), hot_rows)
-    untouched = sales.where(F.col("item").isNotNull() | ~present(*ITEM_KEY))
-    return untouched.unionByName(fixed.withColumn("item", F.col("item_restored")).select(*sales.columns))
+def with_restored_items(rows: DataFrame, known: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """All ``rows``, missing items filled from ``known``; only repairable rows are joined."""
+    fixed = with_looked_up_item(known, repairable_items(rows), hot_rows)
+    untouched = rows.where(F.col("item").isNotNull() | ~present(*ITEM_KEY))
+    return untouched.unionByName(fixed.withColumn("item", F.col("item_restored")).select(*rows.columns))
 
 
 def computed_total() -> Column:
@@ -81,9 +82,15 @@ def recalc_total(sales: DataFrame, fill_only: bool = False) -> DataFrame:
     return sales.withColumn("total_spent", total)
 
 
+def units_fit() -> Column:
+    """Total and price give a number of units, and it fits the integer it becomes."""
+    units = F.col("total_spent") / F.col("price_per_unit")
+    return (F.col("price_per_unit") != 0) & F.when(F.col("price_per_unit") != 0, F.abs(units) < MAX_UNITS)
+
+
 def filled_quantity() -> Column:
-    units = ratio(F.col("total_spent"), F.col("price_per_unit"), 0).try_cast("int")
-    return F.coalesce("quantity", units).cast("double")
+    units = F.round(F.col("total_spent") / F.col("price_per_unit"), 0).cast("int")
+    return F.coalesce("quantity", F.when(units_fit(), units)).cast("double")
 
 
 def filled_price() -> Column:
@@ -94,19 +101,33 @@ def fill_quantity_price(sales: DataFrame) -> DataFrame:
     return sales.withColumns({"quantity": filled_quantity(), "price_per_unit": filled_price()})
 
 
+def completable(fill_totals: bool = False) -> Column:
+    """Whether a row has all required columns once the gaps are filled.
+
+    Tests the raw columns: nothing is computed for rows that are dropped, and
+    the plain null tests reach the file scan.
+    """
+    total = F.col("total_spent").isNotNull()
+    computable = F.when(
+        F.col("quantity").isNull(), total & units_fit()
+    ).otherwise(F.col("price_per_unit").isNotNull() | (total & (F.col("quantity") != 0)))
+    complete = F.col("category").isNotNull() & F.coalesce(computable, F.lit(False))
+    return complete if fill_totals else complete & total
+
+
 def clean_sales(sales: DataFrame, intent: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Fill quantity and price, keep complete rows.
 
     ``intent`` also merges restored items back and fills missing totals.
     """
+    rows = sales.where(completable(fill_totals=intent))
     if not intent:
-        return require(fill_quantity_price(sales), REQUIRED)
-    filled = with_restored_items(sales, hot_rows).withColumns({
+        return fill_quantity_price(rows)
+    return with_restored_items(rows, sales, hot_rows).withColumns({
         "quantity": filled_quantity(),
         "price_per_unit": filled_price(),
         "total_spent": F.coalesce("total_spent", computed_total()),
     })
-    return require(filled, REQUIRED)
 
 
 def with_calendar(sales: DataFrame) -> DataFrame:

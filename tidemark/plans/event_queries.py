@@ -8,8 +8,7 @@ from tidemark.operators import events as ev
 from tidemark.operators import retention
 from tidemark.plans.inputs import USER_EVENTS_SQL, user_events
 from tidemark.plans.registry import query
-from tidemark.schemas import EVENTS
-from tidemark.sources.readers import inventory, read_events
+from tidemark.sources.readers import inventory, read_events, stream_events
 from tidemark.sources.writers import write_events
 from tidemark.streaming.states import EventStates, expire_days
 from tidemark.workspace import fresh_folder
@@ -125,9 +124,7 @@ def streamed_states(spark, sf_dir) -> EventStates:
     raw, work = fresh_folder(spark, "events-by-day"), fresh_folder(spark, "event-states")
     write_events(user_events(spark, sf_dir), raw)
     files = inventory(spark, raw, "*.parquet").count()
-    stream = (
-        spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", -(-files // BATCHES)).parquet(raw)
-    )
+    stream = stream_events(spark, raw, -(-files // BATCHES))
     states = EventStates(spark, f"{work}/states")
     states.maintain(stream, f"{work}/checkpoint").awaitTermination()
     return states

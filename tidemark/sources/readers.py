@@ -35,6 +35,16 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.EVENTS).parquet(path)
 
 
+def stream_events(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, schema: str | StructType = schemas.EVENTS
+) -> DataFrame:
+    """The event table as a stream of the files added to it."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
+
+
 def read_documents(
     spark: SparkSession, path: str | None = None, schema: StructType = schemas.USER_DOCUMENTS,
     fmt: str = "json", options: dict[str, str] | None = None,

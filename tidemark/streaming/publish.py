@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.outbox import to_messages, unsent
-from tidemark.workspace import Folder, written
+from tidemark.workspace import Folder, fresh_folder, written
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
@@ -22,7 +22,8 @@ def publish_outbox(rows: DataFrame, ledger: str, send: Callable[[DataFrame], Non
     the ids sent even if the source changes meanwhile. If the run fails before
     the ids are recorded, the next one sends the rows again.
     """
-    run = written(to_messages(unsent(rows, read_ledger(rows.sparkSession, ledger))), "outbox")
+    spark = rows.sparkSession
+    run = written(to_messages(unsent(rows, read_ledger(spark, ledger))), fresh_folder(spark, "outbox"))
     send(run)
     run.select("id").write.mode("append").parquet(ledger)
     return run

@@ -29,13 +29,12 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return the written table.
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` in the shared folder and return the written table.
 
     Cuts the lineage like a reliable checkpoint but computes ``df`` only once,
     and later steps can prune columns and read row counts from the footers.
     """
-    path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
