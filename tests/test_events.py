@@ -39,7 +39,7 @@ def test_states_of_any_split_merge_to_the_same(frame):
     parts = [data[: cut[0]], data[cut[0] : cut[1]], data[cut[1] :]]
     states = frame([]).transform(ev.event_states)
     for part in parts:
-        states = states.unionByName(ev.event_states(frame(part).repartition(3), slices=2))
+        states = states.unionByName(ev.event_states(frame(part).repartition(3), fan_in=1))
     assert rows(ev.merge_states(states)) == expected
     assert rows(ev.merge_states(ev.combine_states(states))) == expected
     assert rows(ev.merge_states(states, ["event_type"])) == rows(ev.daily_exact(frame(data), ["event_type"]))

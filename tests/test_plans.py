@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +19,22 @@ from tidemark.workspace import fresh_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON = {"page_records", "page_next_links", "page_records_sql"}
-WRITES = re.compile(r"stream|compacted|export|expiry|from_csv|collection|report|published|ledger|_csv|chain|inventory")
+WRITES = re.compile(r"stream|compacted|export|expiry|from_csv|collection|report|published|ledger|bucketed|_csv|chain|inventory")
+
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+@contextmanager
+def settings(spark, **values):
+    before = {k: spark.conf.get(k) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def plan(df) -> str:
@@ -97,36 +113,29 @@ def test_change_log_joins_once(spark):
     assert text.count("Join") == 1
 
 
+def test_versions_in_buckets_join_without_a_shuffle(spark):
+    with settings(spark, **NO_BROADCAST):
+        assert "Exchange" not in plan(QUERIES["change_log_bucketed"](spark, SF_DIR))
+
+
 def test_without_hot_keys_the_lookup_is_one_shuffle_join(spark):
     facts = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select("l_partkey", "l_quantity")
     lookup = facts.groupBy("l_partkey").agg(F.count("*").alias("n"), F.max("l_quantity").alias("m"))
-    threshold = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(threshold)
-    spark.conf.set(threshold, "-1")
-    try:
+    with settings(spark, **NO_BROADCAST):
         cold = final_plan(lookup_join(facts, lookup, ["l_partkey"], "n"))
         assert cold.count("SortMergeJoin") == 1 and "Broadcast" not in cold and "Union" not in cold
         hot = final_plan(lookup_join(facts, lookup, ["l_partkey"], "n", hot_rows=40))
         assert "BroadcastHashJoin" in hot and "SortMergeJoin" in hot and "TakeOrderedAndProject" in hot
-    finally:
-        spark.conf.set(threshold, before)
 
 
 def test_adaptive_join_splits_a_hot_page(spark):
     """Joins without known row counts leave hot keys to the adaptive planner."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    small = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
     }
-    before = {k: spark.conf.get(k) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, **NO_BROADCAST, **small):
         reached = spark.range(0, 60_000, 1, 8).selectExpr("id AS seed", "IF(id % 3 = 0, 1, id) AS page", "id AS depth")
         jumps = spark.range(60_000).selectExpr("id AS page", "id + 1 AS next_page")
         text = final_plan(reached.join(jumps, "page").groupBy("seed", "next_page").agg(F.min("depth")))
-        assert "skew=true" in text.replace("isSkew", "skew")
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+        assert "skew=true" in text

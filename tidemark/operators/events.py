@@ -19,7 +19,8 @@ SKETCHES = {
     "theta": (F.theta_sketch_agg, F.theta_union_agg, F.theta_sketch_estimate, 16),
     "hll": (F.hll_sketch_agg, lambda states, size: F.hll_union_agg(states), F.hll_sketch_estimate, 14),
 }
-SLICES = 32
+FAN_IN = 64
+MAX_SLICES = 1024
 GROUP = ["event_date", "event_type"]
 
 
@@ -30,15 +31,15 @@ def by_day(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", F.to_date("event_time"))
 
 
-def event_states(events: DataFrame, slices: int = SLICES, sketch: str = "theta") -> DataFrame:
+def event_states(events: DataFrame, fan_in: int = FAN_IN, sketch: str = "theta") -> DataFrame:
     """Partial state per (day, type): user sketch, points, number of events.
 
-    Sketches of one group are first merged in ``slices`` groups of input
-    partitions, so a day that holds a third of all events is not merged by
-    a single task.
+    Every input partition brings a sketch of each group it holds. They are
+    merged ``fan_in`` partitions at a time and then once more, so no single task
+    merges the sketches of all partitions of a large day.
     """
     build, _, _, size = SKETCHES[sketch]
-    sliced = by_day(events).withColumn("slice", F.spark_partition_id() % slices)
+    sliced = by_day(events).withColumn("slice", F.floor(F.spark_partition_id() / fan_in) % MAX_SLICES)
     partial = sliced.groupBy(*GROUP, "slice").agg(
         build("user_id", size).alias("unique_users"),
         F.sum("points_spent").alias("total_points"),

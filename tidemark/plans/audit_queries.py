@@ -11,7 +11,7 @@ from tidemark.plans.inputs import USERS_NEW_SQL, USERS_OLD_SQL, user_versions
 from tidemark.plans.registry import query
 from tidemark.schemas import AUDIT
 from tidemark.sources.readers import read_csv
-from tidemark.sources.writers import export_audit
+from tidemark.sources.writers import export_audit, write_version
 from tidemark.workspace import fresh_folder
 
 FIELDS = ["name", "email", "role"]
@@ -45,6 +45,18 @@ def change_log(spark, sf_dir):
     return all_changes(spark, sf_dir).drop("changed_by")
 
 
+@query("change_log_bucketed", f"{CHANGES} SELECT * FROM changes")
+def change_log_bucketed(spark, sf_dir):
+    """The same log from two versions stored in buckets, so the join does not shuffle."""
+    path = fresh_folder(spark, "versions")
+    run = path.rsplit("-", 1)[1]
+    names = [f"users_{side}_{run}" for side in ("old", "new")]
+    for users, name in zip(user_versions(spark, sf_dir), names):
+        write_version(users, name, f"{path}/{name}", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    old, new = map(spark.table, names)
+    return log_changes(old, new, FIELDS, F.col("new.updated_at")).drop("changed_by")
+
+
 @query("audit_day", f"{CHANGES} SELECT * FROM changes {ONE_DAY}")
 def audit_day(spark, sf_dir):
     return changes_of_day(all_changes(spark, sf_dir), DAY).drop("changed_by")

@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.expressions import moment
 from tidemark.operators.joins import lookup_join
 
 
+known_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is looked up in the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in known_schemas:
+        known_schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(known_schemas[path]).parquet(path)
 
 
 RETAIL_SQL = """

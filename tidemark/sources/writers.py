@@ -46,6 +46,18 @@ def write_records(records: DataFrame, path: str) -> None:
     write_csv(records.select("quote_text", "author", "tags"), path)
 
 
+def write_version(users: DataFrame, name: str, path: str, buckets: int, key: str = "id") -> None:
+    """A version of a keyed table, bucketed by its key.
+
+    Each version is compared twice, with the one before and the one after;
+    versions with the same number of buckets join without a shuffle.
+    """
+    (
+        users.repartition(buckets, key)
+        .write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    )
+
+
 def export_audit(log: DataFrame, date, folder: str, single_file: bool = False) -> str:
     """Changes of one day, in order, under a dated name; returns the path.
 
