@@ -27,7 +27,7 @@ def database(sf_dir: str):
 
 def plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.9g}"
+        return "nan" if math.isnan(value) else repr(value + 0.0)
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None).isoformat()
     return str(value)
