@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime
 import random
+import re
 
 import pytest
 
@@ -151,6 +152,9 @@ def test_event_table_by_day(spark, frame):
     assert rows(table.drop("event_date")) == sorted(data)
     one_day = table.where("event_date = '2024-01-02'")
     assert "PartitionFilters: [isnotnull(event_date" in one_day._jdf.queryExecution().toString()
+    live = ev.live_events(table, "2024-02-01 12:00:00")
+    assert re.search(r"PartitionFilters: \[[^]]*event_date\S* >= 2024-01-02", live._jdf.queryExecution().toString())
+    assert sorted({r.event_date.day for r in live.collect()}) == [3]
     assert expire_days(spark, path, "2024-01-03") == ["event_date=2024-01-01", "event_date=2024-01-02"]
     assert len(rows(read_events(spark, path))) == 6
 

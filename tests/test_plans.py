@@ -12,6 +12,7 @@ from tidemark.operators import events as ev
 from tidemark.operators import sales
 from tidemark.operators.audit import change_log
 from tidemark.operators.joins import lookup_join
+from tidemark.operators.messages import decode_logins, good_logins, quarantined
 from tidemark.operators.retention import retention_7d
 from tidemark.plans import QUERIES
 from tidemark.schemas import SALES
@@ -107,6 +108,14 @@ def test_states_are_combined_before_each_shuffle(spark):
     assert text.count("partial_theta_sketch_agg") >= 1 and text.count("partial_theta_union_agg") >= 1
 
 
+def test_each_message_is_parsed_once(spark):
+    path = fresh_folder(spark, "messages")
+    spark.sql("SELECT '{}' AS value").write.parquet(path)
+    decoded = decode_logins(spark.read.parquet(path))
+    for part in (good_logins(decoded), quarantined(decoded)):
+        assert plan(part).count("from_json(") == 1
+
+
 def test_change_log_joins_once(spark):
     users = spark.range(5).selectExpr("id", "CAST(id AS string) AS name")
     text = plan(change_log(users, users, ["name"], "2024-01-01"))
