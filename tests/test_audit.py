@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.audit import audit_day, change_log
 from tidemark.schemas import AUDIT
-from tidemark.sources.readers import read_csv
-from tidemark.sources.writers import export_audit
+from tidemark.sources.readers import read_audit, read_csv
+from tidemark.sources.writers import append_audit, export_audit
 from tidemark.workspace import fresh_folder
 
 FIELDS = ["name", "email", "role"]
@@ -51,6 +52,17 @@ def log(spark):
     ], AUDIT)
 
 
+def test_stored_log_reads_one_day(spark, log):
+    path = fresh_folder(spark, "audit-log")
+    append_audit(log.where("user_id < 3"), path)
+    append_audit(log.where("user_id >= 3"), path)
+    stored = read_audit(spark, path)
+    one_day = audit_day(stored, "2024-01-02")
+    assert one_day.columns == AUDIT.names and sorted(r.user_id for r in one_day.collect()) == [1, 2, 5]
+    assert "changed_date#" in re.search(r"PartitionFilters: \[([^]]*)\]", one_day._jdf.queryExecution().toString())[1]
+    assert stored.count() == 5
+
+
 def test_export_of_a_day(spark, log):
     assert sorted(r.user_id for r in audit_day(log, "2024-01-02").collect()) == [1, 2, 5]
     path = export_audit(log, "2024-01-02", fresh_folder(spark, "audit"), single_file=True)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import events as ev
 from tidemark.operators import sales
 from tidemark.operators.audit import change_log
-from tidemark.operators.joins import lookup_join
+from tidemark.operators.joins import ROWS, lookup_join
 from tidemark.operators.messages import decode_logins, good_logins, quarantined
 from tidemark.operators.retention import retention_7d
 from tidemark.plans import QUERIES
@@ -129,11 +129,11 @@ def test_versions_in_buckets_join_without_a_shuffle(spark):
 
 def test_without_hot_keys_the_lookup_is_one_shuffle_join(spark):
     facts = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select("l_partkey", "l_quantity")
-    lookup = facts.groupBy("l_partkey").agg(F.count("*").alias("n"), F.max("l_quantity").alias("m"))
+    lookup = facts.groupBy("l_partkey").agg(F.count("*").alias(ROWS), F.max("l_quantity").alias("m"))
     with settings(spark, **NO_BROADCAST):
-        cold = final_plan(lookup_join(facts, lookup, ["l_partkey"], "n"))
+        cold = final_plan(lookup_join(facts, lookup, ["l_partkey"]))
         assert cold.count("SortMergeJoin") == 1 and "Broadcast" not in cold and "Union" not in cold
-        hot = final_plan(lookup_join(facts, lookup, ["l_partkey"], "n", hot_rows=40))
+        hot = final_plan(lookup_join(facts, lookup, ["l_partkey"], hot_rows=40))
         assert "BroadcastHashJoin" in hot and "SortMergeJoin" in hot and "TakeOrderedAndProject" in hot
 
 

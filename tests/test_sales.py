@@ -78,8 +78,8 @@ def test_restored_items_do_not_depend_on_hot_keys(frame, hot_rows):
 def test_hot_keys_beyond_the_broadcast_bound_are_still_joined(spark, monkeypatch):
     monkeypatch.setattr("tidemark.operators.joins.MAX_HOT_KEYS", 2)
     facts = spark.range(100).selectExpr("id % 10 AS k", "id AS v")
-    lookup = facts.groupBy("k").count().selectExpr("k", "k * 2 AS double", "count AS n")
-    joined = lookup_join(facts, lookup, ["k"], "n", hot_rows=1)
+    lookup = facts.groupBy("k").count().selectExpr("k", "k * 2 AS double", "count AS _rows")
+    joined = lookup_join(facts, lookup, ["k"], hot_rows=1)
     assert sorted(map(tuple, joined.collect())) == sorted((v % 10, v, v % 10 * 2) for v in range(100))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import days_before, moment
-from tidemark.operators.joins import HOT_ROWS, lookup_join
+from tidemark.operators.joins import HOT_ROWS, ROWS, lookup_join
 
 REGISTERED = "user_info.registration_date"
 
@@ -50,9 +50,11 @@ def split_inactive(
 
     Documents without a user stay active.
     """
-    judged = users(docs, as_of, registered_days, idle_days).select("user_id", "documents", "inactive")
-    flagged = lookup_join(docs, judged, ["user_id"], "documents", hot_rows)
-    archived, active = flagged.where("inactive"), flagged.where(~F.col("inactive"))
+    judged = users(docs, as_of, registered_days, idle_days).select(
+        "user_id", F.col("documents").alias(ROWS), F.col("inactive").alias("_inactive")
+    )
+    flagged = lookup_join(docs, judged, ["user_id"], hot_rows)
+    archived, active = flagged.where("_inactive"), flagged.where(~F.col("_inactive"))
     return (
         archived.select(docs.columns),
         active.select(docs.columns).unionByName(docs.where(F.col("user_id").isNull())),

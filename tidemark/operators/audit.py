@@ -57,8 +57,10 @@ def change_log(old: DataFrame, new: DataFrame, fields: list[str], changed_at, ch
 
 
 def audit_day(log: DataFrame, date) -> DataFrame:
-    """The changes of one calendar day; the range form lets files be skipped."""
+    """The changes of one calendar day; of a log stored by day only that day is read."""
     start = day(date)
+    if "changed_date" in log.columns:
+        log = log.where(F.col("changed_date") == start).drop("changed_date")
     return log.where(
         (F.col("changed_at") >= start.cast("timestamp_ntz"))
         & (F.col("changed_at") < F.date_add(start, 1).cast("timestamp_ntz"))

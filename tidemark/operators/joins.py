@@ -9,14 +9,13 @@ from tidemark.functions.expressions import present
 
 HOT_ROWS = 5_000_000
 MAX_HOT_KEYS = 10_000
+ROWS = "_rows"
 
 
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, on: list[str], weight: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Inner join of ``facts`` with ``lookup``, which has one row for every key of ``facts``.
 
-    ``lookup[weight]`` is the number of fact rows of the key, counted in the
+    ``lookup[ROWS]`` is the number of fact rows of the key, counted in the
     same aggregation that built the lookup. Keys with at least ``hot_rows``
     rows never shuffle their rows: their lookup rows, at most ``MAX_HOT_KEYS``,
     are broadcast. All other rows, whatever their key, meet in an ordinary
@@ -24,6 +23,6 @@ def lookup_join(
     the broadcast branch. Rows with a null key match nothing.
     """
     facts, lookup = facts.where(present(*on)), lookup.where(present(*on))
-    hot = lookup.where(F.col(weight) >= hot_rows).orderBy(F.desc(weight), *on).limit(MAX_HOT_KEYS)
+    hot = lookup.where(F.col(ROWS) >= hot_rows).orderBy(F.desc(ROWS), *on).limit(MAX_HOT_KEYS)
     spread = facts.join(F.broadcast(hot.select(*on)), on, "left_anti")
-    return spread.join(lookup, on).unionByName(facts.join(F.broadcast(hot), on)).drop(weight)
+    return spread.join(lookup, on).unionByName(facts.join(F.broadcast(hot), on)).drop(ROWS)

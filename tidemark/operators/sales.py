@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import monday_first, present, ratio, weekday_name
-from tidemark.operators.joins import HOT_ROWS, lookup_join
+from tidemark.operators.joins import HOT_ROWS, ROWS, lookup_join
 
 REQUIRED = ["category", "quantity", "total_spent", "price_per_unit"]
 ITEM_KEY = ["category", "price_per_unit"]
@@ -50,11 +50,11 @@ def with_looked_up_item(sales: DataFrame, to_fix: DataFrame, hot_rows: int) -> D
         .groupBy(*ITEM_KEY)
         .agg(
             F.min("item").alias("item_restored"),
-            F.sum(F.when(F.col("item").isNull(), F.col("sold"))).alias("missing"),
+            F.sum(F.when(F.col("item").isNull(), F.col("sold"))).alias(ROWS),
         )
-        .where(F.col("missing").isNotNull())
+        .where(F.col(ROWS).isNotNull())
     )
-    return lookup_join(to_fix, lookup, ITEM_KEY, "missing", hot_rows)
+    return lookup_join(to_fix, lookup, ITEM_KEY, hot_rows)
 
 
 def restore_items(sales: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

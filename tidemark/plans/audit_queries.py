@@ -10,8 +10,8 @@ from tidemark.operators.audit import pair_versions
 from tidemark.plans.inputs import USERS_NEW_SQL, USERS_OLD_SQL, user_versions
 from tidemark.plans.registry import query
 from tidemark.schemas import AUDIT
-from tidemark.sources.readers import read_csv
-from tidemark.sources.writers import export_audit, write_version
+from tidemark.sources.readers import read_audit, read_csv
+from tidemark.sources.writers import append_audit, export_audit, write_version
 from tidemark.workspace import fresh_folder
 
 FIELDS = ["name", "email", "role"]
@@ -64,6 +64,8 @@ def audit_day(spark, sf_dir):
 
 @query("audit_export", f"{CHANGES} SELECT * FROM changes {ONE_DAY}")
 def audit_export(spark, sf_dir):
-    """The dated CSV of one day, read back."""
-    path = export_audit(all_changes(spark, sf_dir), DAY, fresh_folder(spark, "audit"))
+    """The dated CSV of one day from the stored log, read back."""
+    folder = fresh_folder(spark, "audit")
+    append_audit(all_changes(spark, sf_dir), f"{folder}/log")
+    path = export_audit(read_audit(spark, f"{folder}/log"), DAY, folder)
     return read_csv(spark, path, AUDIT).drop("changed_by")

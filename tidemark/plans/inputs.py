@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.expressions import moment
-from tidemark.operators.joins import lookup_join
+from tidemark.operators.joins import ROWS, lookup_join
 
 
 known_schemas: dict[str, StructType] = {}
@@ -119,9 +119,9 @@ def user_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activity documents; the first event of a user counts as the registration."""
     events = table(spark, sf_dir, "events")
     registered = events.groupBy("user_id").agg(
-        F.min("ts").alias("registration_date"), F.count(F.lit(1)).alias("documents")
+        F.min("ts").alias("registration_date"), F.count(F.lit(1)).alias(ROWS)
     )
-    return lookup_join(events, registered, ["user_id"], "documents").select(
+    return lookup_join(events, registered, ["user_id"]).select(
         "user_id", "event_type", F.col("ts").alias("event_time"), F.struct("registration_date").alias("user_info")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tidemark import schemas
 
@@ -35,6 +35,11 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.EVENTS).parquet(path)
 
 
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The audit log by day, with its folder column ``changed_date``."""
+    return spark.read.schema(StructType([*schemas.AUDIT.fields, StructField("changed_date", DateType())])).parquet(path)
+
+
 def stream_events(
     spark: SparkSession, path: str, files_per_batch: int | None = None, schema: str | StructType = schemas.EVENTS
 ) -> DataFrame:

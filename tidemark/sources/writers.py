@@ -58,6 +58,12 @@ def write_version(users: DataFrame, name: str, path: str, buckets: int, key: str
     )
 
 
+def append_audit(log: DataFrame, path: str) -> None:
+    """Append changes to the audit log, stored by the day of the change."""
+    dated = log.withColumn("changed_date", F.to_date("changed_at"))
+    laid_out(dated, ["changed_at"], "changed_date").write.mode("append").partitionBy("changed_date").parquet(path)
+
+
 def export_audit(log: DataFrame, date, folder: str, single_file: bool = False) -> str:
     """Changes of one day, in order, under a dated name; returns the path.
 
