@@ -26,8 +26,8 @@ SPEC = RecordSpec(
 
 def plain(markup: str) -> str:
     """SQL for the text of simple markup: the entities the pages use, outer spaces cut."""
-    for entity, character in {"&copy;": "©", "&middot;": "·", "&quot;": '"', "&lt;": "<", "&gt;": ">", "&amp;": "&"}.items():
-        markup = f"replace({markup}, '{entity}', '{character}')"
+    for name, character in {"copy": "©", "middot": "·", "quot": '"', "lt": "<", "gt": ">", "amp": "&"}.items():
+        markup = f"regexp_replace({markup}, '&{name};?', '{character}', 'g')"
     return f"trim({markup})"
 
 
