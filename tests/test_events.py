@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from tidemark.operators import events as ev
 from tidemark.operators.retention import first_events, retention_7d, retention_7d_total
@@ -144,6 +145,24 @@ def test_stream_replay_backfill_compaction_and_expiry(spark, frame):
     assert rows(ev.merge_states(states.read())) == kept
 
 
+def test_a_micro_batch_that_fails_after_writing_is_counted_once(spark, frame, monkeypatch):
+    raw, checkpoint = fresh_folder(spark, "raw"), fresh_folder(spark, "checkpoint")
+    states, data = states_folder(spark), [at(d, user=u) for d in range(3) for u in range(4)]
+    frame(data).coalesce(1).write.parquet(raw)
+
+    def fail_late(batch):
+        ev.event_states(batch).write.mode("overwrite").parquet(f"{states.path}/batches/batch_id=0")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("tidemark.streaming.states.event_states", fail_late)
+    with pytest.raises(StreamingQueryException):
+        states.maintain(stream_of(spark, raw), checkpoint).awaitTermination()
+    monkeypatch.undo()
+    states.maintain(stream_of(spark, raw), checkpoint).awaitTermination()
+    assert states._folder.names("batches") == ["batch_id=0"]
+    assert rows(ev.merge_states(states.read())) == rows(ev.daily_exact(frame(data)))
+
+
 def test_event_table_by_day(spark, frame):
     path = fresh_folder(spark, "by-day")
     data = [at(d, h, u) for d in range(3) for h in range(3) for u in range(2)]

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import datetime
 import json
+import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from tidemark.operators.messages import decode_logins, good_logins, quarantined
 from tidemark.operators.outbox import to_messages, unsent
@@ -78,6 +80,43 @@ def test_decode(spark):
     assert sorted(r.value or "" for r in quarantined(decoded).collect()) == sorted([*BAD, ""])
 
 
+def test_every_text_is_either_good_or_quarantined(spark):
+    draw = random.Random(11)
+    whole = '{"user": "a", "event": "login", "timestamp": 1704067207.25}'
+    texts = [whole[:i] + draw.choice('{}[]",:0é\\ ') + whole[i + draw.randrange(2):] for i in range(len(whole))]
+    times = ["1e400", "-0.0", "4294967295.9", "4294967296", '"NaN"', "NaN", "true", "[]", "{}", '"5"', "1704067207"]
+    texts += ['{"user": "a", "event": "login", "timestamp": %s}' % t for t in times]
+    texts += ['{"user": %s, "event": "login", "timestamp": 1}' % u for u in ["5", "null", "[1]", '{"x": 1}', '""']]
+    decoded = decode_logins(spark.createDataFrame([(t,) for t in texts], "value string"))
+    good, bad = good_logins(decoded), quarantined(decoded)
+    assert good.count() + bad.count() == len(texts)
+    assert good.where("username IS NULL OR event_type IS NULL OR event_time IS NULL").count() == 0
+    kept = {r.value for r in decoded.where("complete").collect()}
+    assert {texts[-5], texts[-1], '{"user": "a", "event": "login", "timestamp": 4294967295.9}'} <= kept
+    assert not [t for t in kept if '"timestamp": 4294967296}' in t or "1e400" in t or "NaN" in t]
+
+
+def test_failed_ingest_batch_leaves_no_copies(spark, monkeypatch):
+    folder = fresh_folder(spark, "ingest-failure")
+    frame = spark.createDataFrame([(v,) for v in [*GOOD, BAD[0]]], "value string").coalesce(1)
+    write_messages(frame, {"path": f"{folder}/topic"}, "text")
+
+    def start():
+        stream = read_topic(spark, {"path": f"{folder}/topic"}, "text")
+        ingest_logins(stream, folder, f"{folder}/checkpoint").awaitTermination()
+
+    def fail(decoded):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("tidemark.streaming.ingest.quarantined", fail)
+    with pytest.raises(StreamingQueryException):
+        start()
+    assert read_logins(spark, folder).count() == len(GOOD)
+    monkeypatch.undo()
+    start()
+    assert read_logins(spark, folder).count() == len(GOOD) and read_quarantine(spark, folder).count() == 1
+
+
 def test_ingest_stream(spark):
     folder = fresh_folder(spark, "ingest")
     texts = [v for v in [*GOOD, *BAD] if v]
