@@ -135,6 +135,20 @@ def event_states_stream(spark, sf_dir):
     return rounded(ev.daily_report(streamed_states(spark, sf_dir).read()))
 
 
+@query("event_states_backfill", DAILY)
+def event_states_backfill(spark, sf_dir):
+    """Later days through the stream, the days before it by backfill, then compacted."""
+    raw, work = fresh_folder(spark, "events-by-day"), fresh_folder(spark, "event-states")
+    events = user_events(spark, sf_dir)
+    start = F.lit("2024-01-16").cast("timestamp_ntz")
+    write_events(events.where(F.col("event_time") >= start), raw)
+    states = EventStates(spark, f"{work}/states")
+    states.maintain(stream_events(spark, raw), f"{work}/checkpoint").awaitTermination()
+    states.backfill(events.where(F.col("event_time") < start), "before-the-stream")
+    states.compact()
+    return rounded(ev.daily_report(states.read()))
+
+
 @query("event_states_compacted", DAILY)
 def event_states_compacted(spark, sf_dir):
     states = streamed_states(spark, sf_dir)

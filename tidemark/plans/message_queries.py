@@ -12,7 +12,7 @@ from tidemark.plans.registry import query
 from tidemark.schemas import LOGIN_MESSAGE
 from tidemark.sources.readers import inventory, read_topic
 from tidemark.sources.writers import write_messages
-from tidemark.streaming.ingest import ingest_logins, read_logins, read_quarantine
+from tidemark.streaming.ingest import append_stream, ingest_logins, read_logins, read_quarantine, suppress_replays
 from tidemark.streaming.publish import publish_outbox, read_ledger
 from tidemark.workspace import fresh_folder
 
@@ -91,6 +91,20 @@ def ingest_quarantine(spark, sf_dir):
     return repaired(quarantined(decode_logins(topic(spark, sf_dir))))
 
 
+@query("replays_suppressed", f"{WITH_LOGINS} SELECT id, username, event_type, event_time FROM user_logins")
+def replays_suppressed(spark, sf_dir):
+    """Every login delivered twice, each kept once."""
+    folder = fresh_folder(spark, "replays")
+    for _ in range(2):
+        user_logins(spark, sf_dir).drop("sent_to_kafka").write.mode("append").parquet(f"{folder}/topic")
+    stream = spark.readStream.schema("id long, username string, event_type string, event_time timestamp_ntz").parquet(
+        f"{folder}/topic"
+    )
+    once = suppress_replays(stream, ["id"], "event_time", "60 days")
+    append_stream(once, f"{folder}/logins", f"{folder}/checkpoint").awaitTermination()
+    return with_plain_time(spark.read.parquet(f"{folder}/logins").select(once.columns))
+
+
 def ingested(spark, sf_dir) -> str:
     """The topic as text files, ingested in a few micro-batches."""
     folder = fresh_folder(spark, "ingest")

@@ -40,6 +40,20 @@ def ingest_logins(
     )
 
 
+def append_stream(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Start the append of a stream as it is, one replaceable folder per micro-batch."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        rows.writeStream.foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def read_logins(spark: SparkSession, path: str) -> DataFrame:
     folders = [StructField("batch_id", LongType()), StructField("event_date", DateType())]
     return spark.read.schema(StructType([*LOGINS.fields, *folders])).parquet(f"{path}/logins")
