@@ -59,7 +59,7 @@ def page_links(pages: DataFrame) -> DataFrame:
 def register_parse_page(spark: SparkSession, spec: RecordSpec = RecordSpec()) -> None:
     """SQL form: ``SELECT … FROM pages, LATERAL parse_page(html, url)``."""
 
-    @F.udtf(returnType="quote_text string, author string, tags string, next_url string")
+    @F.udtf(returnType="quote_text string, author string, tags string, next_url string", useArrow=True)
     class ParsePage:
         def eval(self, html: str, base_url: str):
             records, link = parse_page(html or "", base_url or "", spec)

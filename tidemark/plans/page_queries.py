@@ -34,7 +34,8 @@ def plain(markup: str) -> str:
 TITLE = "trim(" + plain("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)") + ", '“”')"
 FOOTER = plain("regexp_extract(html, '(?s)<footer>(.*?)</footer>', 1)")
 MENU = "regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a>', 1)"
-RECORD = f"{TITLE} AS quote_text, {FOOTER} AS author, array_to_string(list_transform({MENU}, lambda x: {plain('x')}), ', ') AS tags"
+TAGS = f"array_to_string(list_transform({MENU}, lambda x: {plain('x')}), ', ')"
+RECORD = f"{TITLE} AS quote_text, {FOOTER} AS author, {TAGS} AS tags"
 ORIGIN = "regexp_extract(url, '^[a-z]+://[^/?#]*')"
 
 

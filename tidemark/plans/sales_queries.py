@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidemark.functions.names import normalize_columns
 from tidemark.operators import sales
 from tidemark.plans.inputs import RETAIL_SQL, retail, table
