@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from tidemark.operators import events as ev
-from tidemark.operators.retention import first_events, retention_7d, retention_7d_total
+from tidemark.operators.retention import first_events, retention_7d, retention_7d_total, user_cohorts
 from tidemark.sources.readers import inventory, read_events, stream_events
 from tidemark.sources.writers import write_events
 from tidemark.streaming.states import EventStates, expire_days
@@ -85,6 +85,22 @@ def test_cohorts_at_their_boundaries(frame):
     assert rows(retention_7d(df, as_of="2024-02-01"))[0] == (datetime.date(2024, 1, 3), 1, 0, 0.0)
 
 
+def test_cohorts_against_brute_force(frame):
+    draw, seen = random.Random(8), {}
+    data = []
+    for user in range(400):
+        start = draw.randrange(-140, 140)
+        for offset in draw.sample([0, 0, 1, 2, 6, 7, 8, 30, 62, 63, 64, 70, 126], draw.randrange(1, 5)):
+            data.append(at(start + offset, draw.randrange(24), user))
+            seen.setdefault(user, set()).add(start + offset)
+    data += [(1000 + i, "a", 0.0, datetime.datetime(1969, 12, 30 + i % 2)) for i in range(3)]
+    expected = {u: (min(d), any(min(d) < x <= min(d) + 7 for x in d)) for u, d in seen.items()}
+    found = {r.user_id: r for r in user_cohorts(frame(data)).collect()}
+    assert len(found) == 403 and str(found[1001].day_0) == "1969-12-31"
+    first = datetime.date(2024, 1, 1)
+    assert {u: ((found[u].day_0 - first).days, found[u].returned) for u in seen} == expected
+
+
 def test_first_event(frame):
     assert rows(first_events(frame([at(3), at(1), at(2, user=2)])))[0][1].day == 2
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import day, percent
@@ -13,25 +13,43 @@ def first_events(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").agg(F.min("event_time").alias("event_time"))
 
 
+BLOCK = 63  # days whose activity fits the bits of one long
+
+
+def lowest_day(days: Column) -> Column:
+    """Date of the lowest bit set in ``days``, the active days of ``block``."""
+    below_lowest = days.bitwiseAND(-days) - 1
+    return F.date_from_unix_date((F.col("block") * BLOCK + F.bit_count(below_lowest)).cast("int"))
+
+
 def user_cohorts(events: DataFrame, days: int = 7) -> DataFrame:
     """One row per user: first day, and whether they came back within ``days`` days.
 
-    Events shrink to distinct (user, day) pairs before anything is grouped by
-    user, so a user's group holds at most one row per calendar day. The day
-    after the first one decides: if it is too late, all later ones are too.
+    Events shrink to one row per user and block of 63 days, the active days as
+    bits, before anything is grouped by user. The second active day
+    decides: if it is too late, all later ones are too.
     """
-    active_days = (
-        by_day(events).where(F.col("user_id").isNotNull()).select("user_id", "event_date").distinct()
+    number = F.unix_date("event_date")
+    active = (
+        by_day(events)
+        .where(F.col("user_id").isNotNull() & F.col("event_date").isNotNull())
+        .select("user_id", F.floor(number / BLOCK).alias("block"), F.pmod(number, F.lit(BLOCK)).alias("place"))
+        .groupBy("user_id", "block")
+        .agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("active"))
+    )
+    later = F.col("active").bitwiseAND(F.col("active") - 1)
+    by_user = Window.partitionBy("user_id").orderBy("block")
+    next_day = F.coalesce(
+        F.when(later != 0, lowest_day(later)), F.lead(lowest_day(F.col("active"))).over(by_user)
     )
-    by_user = Window.partitionBy("user_id").orderBy("event_date")
     return (
-        active_days.withColumn("place", F.row_number().over(by_user))
-        .withColumn("next_day", F.lead("event_date").over(by_user))
-        .where(F.col("place") == 1)
+        active.withColumns({"nth": F.row_number().over(by_user), "next_day": next_day})
+        .where(F.col("nth") == 1)
         .select(
             "user_id",
-            F.col("event_date").alias("day_0"),
-            F.coalesce(F.col("next_day") <= F.date_add("event_date", days), F.lit(False)).alias("returned"),
+            lowest_day(F.col("active")).alias("day_0"),
+            F.coalesce(F.col("next_day") <= F.date_add(lowest_day(F.col("active")), days), F.lit(False))
+            .alias("returned"),
         )
     )
 
