@@ -9,6 +9,7 @@ from tidemark.functions.expressions import join_tags, or_empty, resolve_link, st
 from tidemark.functions.html import RecordSpec, parse_page
 from tidemark.operators.inventory import exists_in
 from tidemark.operators.pages import (
+    chained_records,
     existing_links,
     extract_records,
     follow_chain,
@@ -120,6 +121,21 @@ def test_follow_chain_on_random_links(spark):
     assert sorted(map(tuple, found.collect())) == sorted(walk(seeds, links))
 
 
+def test_records_along_next_links(spark):
+    def page(n, link):
+        return (f"https://q.example/{n}", f'<div class="quote"><span class="text">“{n}”</span></div>{link}')
+
+    pages = spark.createDataFrame([
+        page(1, '<li class="next"><a href="/2">n</a></li>'), page(2, '<a rel="next" href="3">n</a>'),
+        page(3, '<a rel="next" href="gone">n</a>'), page(9, ""), ("https://q.example/none", None),
+    ], "url string, html string")
+    seeds = spark.createDataFrame([("https://q.example/1",), ("https://q.example/unknown",)], "url string")
+    found = chained_records(pages, seeds)
+    assert sorted((r.depth, r.url[-1], r.quote_text) for r in found.collect()) == [
+        (0, "1", "1"), (1, "2", "2"), (2, "3", "3")
+    ]
+
+
 def test_links_to_missing_pages_end_a_walk(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (3, None)], "page long, next_page long")
     pages = spark.createDataFrame([(1,), (2,)], "page long")

@@ -20,7 +20,7 @@ from tidemark.workspace import fresh_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 PYTHON = {"page_records", "page_next_links", "page_records_sql"}
-WRITES = re.compile(r"stream|backfill|replays|compacted|export|expiry|from_csv|collection|report|published|ledger|bucketed|_csv|chain|inventory")
+WRITES = re.compile(r"stream|backfill|replays|compacted|export|expiry|from_csv|collection|report|published|ledger|bucketed|_csv|chain|chain_records|inventory")
 
 
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}

@@ -105,3 +105,18 @@ def follow_chain(seeds: DataFrame, links: DataFrame) -> DataFrame:
         reached, jumps = keep(farther, "reached"), keep(longer, "jumps")
         Folder(spark, folder).remove(str(step // 2))
     return reached
+
+
+def chained_records(
+    pages: DataFrame, seeds: DataFrame, spec: RecordSpec = RecordSpec(), base_url: str | None = None
+) -> DataFrame:
+    """seed, depth, url and record for the pages reached from each seed by next links.
+
+    ``seeds`` has url. A walk ends at a page without a next link or whose next
+    page is not stored. Every page is parsed once.
+    """
+    parsed = written(parse_pages(pages, spec, base_url), fresh_folder(pages.sparkSession, "parsed"))
+    links = next_links(parsed).toDF("page", "next_page")
+    stored = parsed.select(F.col("url").alias("page"), "records")
+    walks = follow_chain(seeds.select(F.col("url").alias("page")), existing_links(links, stored))
+    return walks.join(stored, "page").select("seed", "depth", F.col("page").alias("url"), F.inline("records"))

@@ -142,6 +142,20 @@ def user_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chained_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, each but the last of a run of seven with a next link to the following one."""
+    pages = table(spark, sf_dir, "pages")
+    following = pages.select(
+        (F.col("page_id") - 1).alias("page_id"), F.replace("url", F.lit("&"), F.lit("&amp;")).alias("next")
+    )
+    link = F.when(
+        (F.col("page_id") + 1) % 7 != 0, F.concat(F.lit('<a rel="next" href="'), "next", F.lit('">next</a>'))
+    )
+    return pages.join(following, "page_id", "left").select(
+        "page_id", "url", F.concat("html", F.coalesce(link, F.lit(""))).alias("html")
+    )
+
+
 def page_chain_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages in runs of seven, each but the last of a run linking to the next."""
     return table(spark, sf_dir, "pages").select(

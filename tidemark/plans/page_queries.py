@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.html import RecordSpec
 from tidemark.operators import pages as pg
 from tidemark.operators.inventory import exists_in
-from tidemark.plans.inputs import page_chain_links, table, user_events
+from tidemark.plans.inputs import chained_pages, page_chain_links, table, user_events
 from tidemark.plans.registry import query
 from tidemark.schemas import RECORDS
 from tidemark.sources.readers import inventory, read_csv, read_pages
@@ -74,15 +76,28 @@ def page_records_csv(spark, sf_dir):
     return read_csv(spark, path, RECORDS, multi_line=True, keep_empty=True)
 
 
+def first_pages(spark, sf_dir):
+    """The pages nothing links to."""
+    targets = page_chain_links(spark, sf_dir).select(F.col("next_page").alias("page_id"))
+    return table(spark, sf_dir, "pages").join(targets, "page_id", "left_anti")
+
+
 @query("page_chain", """
 SELECT page_id - page_id % 7 AS seed, page_id AS page, page_id % 7 AS depth FROM pages""")
 def page_chain(spark, sf_dir):
     """Walks from every page nothing links to; the last link leads to no stored page."""
     links = page_chain_links(spark, sf_dir)
     links = pg.existing_links(links, links.select("page"))
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"))
-    seeds = pages.join(links.select(F.col("next_page").alias("page")), "page", "left_anti")
-    return pg.follow_chain(seeds, links)
+    return pg.follow_chain(first_pages(spark, sf_dir).select(F.col("page_id").alias("page")), links)
+
+
+@query("chain_records", f"""
+SELECT s.url AS seed, p.page_id % 7 AS depth, p.url, {RECORD.replace('html', 'p.html')}
+FROM pages p JOIN pages s ON s.page_id = p.page_id - p.page_id % 7""")
+def chain_records(spark, sf_dir):
+    """Records of all pages met by following next links from the first page of each run."""
+    spec = replace(SPEC, next_link=RecordSpec.next_link)
+    return pg.chained_records(chained_pages(spark, sf_dir), first_pages(spark, sf_dir), spec)
 
 
 @query("inventory_exists", """
