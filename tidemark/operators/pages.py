@@ -91,7 +91,7 @@ def follow_chain(seeds: DataFrame, links: DataFrame) -> DataFrame:
         return written(df, f"{folder}/{step}/{name}")
 
     jumps = keep(links.where("next_page IS NOT NULL").select("page", "next_page"), "jumps")
-    start = seeds.select(F.col("page").alias("seed"), "page", F.lit(0).cast("long").alias("depth"))
+    start = seeds.where("page IS NOT NULL").select(F.col("page").alias("seed"), "page", F.lit(0).cast("long").alias("depth"))
     reached, found = keep(start.distinct(), "reached"), 0
     while jumps.count() > 0 and found < (total := reached.count()):
         found = total
