@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, toxicity
+from tidemark.llm import language, mixing, simhash, toxicity
 from tidemark.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,14 @@ def op2_toxicity(spark, sf_dir):
         (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
         F.size("toxic_spans").cast("long").alias("n_matches"),
     )
+
+
+@query
+def op9_simhash(spark, sf_dir):
+    rows = simhash.groups(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_mixing(spark, sf_dir):
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
