@@ -5,9 +5,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import language, toxicity
+from tidemark.llm import language, mixing, pieces, simhash, toxicity
 from tidemark.llm.tables import held_out, table
 from tidemark.workspace import fresh_folder, written
 
@@ -24,9 +26,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.find(docs, lexicon).where("toxic_score < 0.5").select(docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, by four-word shingles and at most four bits."""
+    return simhash.distinct_documents(docs, size=simhash.SHINGLE, distance=simhash.DISTANCE)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as the mixture takes them, a row for each pass over a document."""
+    return mixing.mixed_documents(docs)
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of each text, and whether they decode to it."""
+    model = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    decoded = pieces.decode(pieces.encode(docs, model), model)
+    return decoded.select(
+        "doc_id", "lang", "source", "n_chars", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"),
+    )
+
+
 STAGES = [
     ("language", keep_languages),
     ("toxicity", drop_toxic),
+    ("near copies", drop_near_copies),
+    ("mixing", mix_sources),
+    ("pieces", encode_texts),
 ]
 
 #: No SQL: the stages learn models and encode by a trie; the tests compare with plain versions.
@@ -37,5 +62,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"{folder}/{number}-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"{folder}/{number}-{name.replace(' ', '-')}")
     return docs

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, simhash, toxicity
+from tidemark.llm import language, mixing, pieces, simhash, toxicity
 from tidemark.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +53,16 @@ def op9_simhash(spark, sf_dir):
 @query
 def op8_mixing(spark, sf_dir):
     return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_sentencepiece(spark, sf_dir):
+    model = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    low, high = min(model.byte_ids), max(model.byte_ids)
+    return pieces.decode(encoded, model).select(
+        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.size(F.filter("piece_ids", lambda i: i.between(low, high))).cast("long").alias("n_byte_pieces"),
+        F.crc32(F.array_join("piece_ids", " ")).alias("ids_crc32"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"),
+    )

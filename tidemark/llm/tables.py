@@ -39,10 +39,12 @@ def share_of(key: str) -> Column:
 
 
 def pieces(batch: pa.RecordBatch, text: str, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each piece holds about ``chars`` characters, or one longer text."""
+    """Cut a batch so that each piece holds about ``chars`` characters (or list items), or one longer text."""
     if not batch.num_rows:
         return
-    sizes = pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    column = batch.column(text)
+    length = pc.list_value_length if pa.types.is_list(column.type) else pc.utf8_length
+    sizes = pc.fill_null(length(column), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, size in enumerate(sizes):
         if total and total + size > chars:
