@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, mixing, pieces, simhash, toxicity
+from tidemark.llm import caps, language, mixing, pieces, simhash, toxicity
 from tidemark.llm.tables import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,9 @@ def op1_sentencepiece(spark, sf_dir):
         F.crc32(F.array_join("piece_ids", " ")).alias("ids_crc32"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"),
     )
+
+
+@query
+def op3_caps(spark, sf_dir):
+    found = caps.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
