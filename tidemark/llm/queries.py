@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import caps, language, mixing, pieces, simhash, toxicity
+from tidemark.llm import caps, language, mixing, pieces, simhash, token_files, toxicity
 from tidemark.llm.tables import held_out, table
+from tidemark.workspace import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +73,11 @@ def op1_sentencepiece(spark, sf_dir):
 def op3_caps(spark, sf_dir):
     found = caps.near_vectors(table(spark, sf_dir, "embeddings"))
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+@query
+def op4_token_files(spark, sf_dir):
+    folder = fresh_folder(spark, "tokens")
+    token_files.write_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+    return token_files.read_documents(spark, folder)
