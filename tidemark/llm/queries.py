@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import caps, language, mixing, pieces, simhash, token_files, toxicity
+from tidemark.llm import caps, imatch, language, mixing, pieces, simhash, token_files, toxicity
 from tidemark.llm.tables import held_out, table
 from tidemark.workspace import fresh_folder
 
@@ -81,3 +81,9 @@ def op4_token_files(spark, sf_dir):
     token_files.write_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
     return token_files.read_documents(spark, folder)
+
+
+@query
+def op7_imatch(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return imatch.edited(docs, imatch.lexicon(docs))
