@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import caps, imatch, language, mixing, pieces, simhash, token_files, toxicity
+from tidemark.llm import caps, imatch, language, licences, mixing, pieces, simhash, token_files, toxicity
 from tidemark.llm.tables import held_out, table
 from tidemark.workspace import fresh_folder
 
@@ -87,3 +87,12 @@ def op4_token_files(spark, sf_dir):
 def op7_imatch(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return imatch.edited(docs, imatch.lexicon(docs))
+
+
+@query
+def op5_licences(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.licensed(docs).select("doc_id", "license", "license_sentences", "n_license_sentences")
+
+
+ORACLES["op5_licences"] = licences.oracle()
