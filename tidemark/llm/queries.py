@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import caps, imatch, language, licences, mixing, pieces, simhash, token_files, toxicity
+from tidemark.llm import caps, hosts, imatch, language, licences, mixing, pieces, simhash, token_files, toxicity
 from tidemark.llm.tables import held_out, table
 from tidemark.workspace import fresh_folder
 
@@ -96,3 +96,11 @@ def op5_licences(spark, sf_dir):
 
 
 ORACLES["op5_licences"] = licences.oracle()
+
+
+@query
+def op10_hosts(spark, sf_dir):
+    return hosts.filtered(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op10_hosts"] = hosts.oracle()
