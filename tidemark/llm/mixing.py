@@ -101,10 +101,10 @@ def placed(docs: DataFrame, weights=WEIGHTS, limit: float = LIMIT, block: int =
 
 
 def drawn(shares: DataFrame) -> DataFrame:
-    """All slots: ``ix``, ``block_ix``, ``pass``, and the ``shard`` and ``slot`` they go to."""
+    """All slots, which join by ``merge`` as their number does not show in the small table they come from: ``ix``, ``block_ix``, ``pass``, and the ``shard`` and ``slot`` they go to."""
     runs = shares.where("slots > 0").withColumn(
         "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / RUN)))
-    ).repartition(F.col("ix"), F.col("run"))
+    ).repartition(int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("ix"), F.col("run"))
     last = F.least(F.col("slots"), (F.col("run") + 1) * RUN) - 1
     listed = runs.withColumn("t", F.explode(F.sequence(F.col("run") * RUN, last)))
     turn = F.floor(F.col("t") / F.col("blocks"))
@@ -129,7 +129,7 @@ def mixture(docs: DataFrame, weights=WEIGHTS, limit: float = LIMIT, block: int =
     """What the output shards hold: shard, slot, pass, and the words of which document (doc_id,
     text_hash, ix, start) from ``first`` on. A slot that crosses documents has a row for each."""
     rows, shares = placed(docs, weights, limit, block, **columns)
-    return parts(rows, block).join(drawn(shares), ["ix", "block_ix"])
+    return parts(rows, block).join(drawn(shares).hint("merge"), ["ix", "block_ix"])
 
 
 def taken_words(docs: DataFrame, weights=WEIGHTS, limit: float = LIMIT, block: int = BLOCK, **columns) -> DataFrame:
@@ -137,7 +137,7 @@ def taken_words(docs: DataFrame, weights=WEIGHTS, limit: float = LIMIT, block: i
     rows, shares = placed(docs, weights, limit, block, **columns)
     rows = written(rows, fresh_folder(docs.sparkSession, "mixing-rows"))
     times = drawn(shares).groupBy("ix", "block_ix").agg(F.count("*").alias("times"))
-    each = parts(rows, block).join(times, ["ix", "block_ix"], "left").groupBy("ix", "start", "doc_id", "size").agg(
+    each = parts(rows, block).join(times.hint("merge"), ["ix", "block_ix"], "left").groupBy("ix", "start", "doc_id", "size").agg(
         F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken"))
     none = rows.where("size = 0").select("ix", "start", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
     return each.unionByName(none).join(shares.select("ix", "source_size", "target"), "ix").select(
