@@ -12,7 +12,7 @@ from tidemark.operators.retention import first_events, retention_7d, retention_7
 from tidemark.sources.readers import inventory, read_events, stream_events
 from tidemark.sources.writers import write_events
 from tidemark.streaming.states import EventStates, expire_days
-from tidemark.workspace import fresh_folder
+from tidemark.workspace import fresh_folder, run_of
 
 SCHEMA = "user_id long, event_type string, points_spent double, event_time timestamp_ntz"
 
@@ -51,12 +51,28 @@ def test_compact_sketch_is_close(spark):
     df = spark.range(40_000).selectExpr(
         "id % 20000 AS user_id", "'a' AS event_type", "1D AS points_spent", "TIMESTAMP_NTZ'2024-01-01' AS event_time"
     )
-    states = ev.event_states(df, sketch="hll").unionByName(ev.event_states(df.limit(500), sketch="hll"))
-    row = ev.merge_states(states, ["event_date"], sketch="hll").first()
+    states = ev.event_states(df, kind="hll").unionByName(ev.event_states(df.limit(500), kind="hll"))
+    row = ev.merge_states(states, ["event_date"], kind="hll").first()
     assert abs(row.unique_users - 20_000) < 600 and row.total_actions == 40_500
     assert ev.merge_states(ev.event_states(df)).first().unique_users == 20_000
 
 
+def test_many_users_of_one_group_stay_exact(spark):
+    """300,000 users over batches that overlap, a backfill and a snapshot."""
+    def users(first, last):
+        return spark.range(first, last, 1, 4).selectExpr(
+            "id - 100 AS user_id", "'a' AS event_type", "1D AS points_spent", "TIMESTAMP_NTZ'2024-01-01' AS event_time")
+
+    states = states_folder(spark)
+    for run, first, last in (("r", 0, 150_000), ("s", 100_000, 200_000)):
+        ev.event_states(users(first, last)).write.parquet(states.batch_path(run, 0))
+    states.compact()
+    states.backfill(users(190_000, 300_000), "more")
+    row = ev.merge_states(states.read()).first()
+    assert (row.unique_users, row.total_actions) == (300_000, 360_000)
+    assert ev.merge_states(states.read(), []).first().unique_users == 300_000
+
+
 def test_retention_periods_end_exactly(frame):
     as_of = "2024-01-31 00:00:00"
     kept = ev.live_events(frame([at(0), at(0, 1), at(3)]), as_of)
@@ -127,7 +143,8 @@ def test_stream_replay_backfill_compaction_and_expiry(spark, frame):
     assert rows(ev.merge_states(states.read())) == expected
 
     # a micro-batch that runs again replaces itself
-    ev.event_states(frame(data[5:])).write.mode("overwrite").parquet(f"{states.path}/batches/batch_id=1")
+    run = run_of(spark, checkpoint)
+    ev.event_states(frame(data[5:])).write.mode("overwrite").parquet(states.batch_path(run, 1))
     assert rows(ev.merge_states(states.read())) == expected
 
     # late rows and a backfill add to their day
@@ -140,14 +157,14 @@ def test_stream_replay_backfill_compaction_and_expiry(spark, frame):
     assert states.compact() == 0
     assert rows(ev.merge_states(states.read())) == expected
     # a replay of a merged micro-batch and an unpublished snapshot are not counted again
-    ev.event_states(frame(data[5:])).write.mode("overwrite").parquet(f"{states.path}/batches/batch_id=1")
+    ev.event_states(frame(data[5:])).write.mode("overwrite").parquet(states.batch_path(run, 1))
     ev.event_states(frame(data)).write.parquet(f"{states.path}/snapshots/v=1")
     assert rows(ev.merge_states(states.read())) == expected
     with pytest.raises(ValueError):
         states.backfill(frame(late), "late")
 
     states.retire()
-    assert states._folder.names("batches") == [] and states._folder.names("backfills") == []
+    assert states._batches() == [] and states._folder.names("backfills") == []
     assert rows(ev.merge_states(states.read())) == expected
 
     frame([at(9)]).coalesce(1).write.mode("append").parquet(raw)
@@ -167,7 +184,7 @@ def test_a_micro_batch_that_fails_after_writing_is_counted_once(spark, frame, mo
     frame(data).coalesce(1).write.parquet(raw)
 
     def fail_late(batch):
-        ev.event_states(batch).write.mode("overwrite").parquet(f"{states.path}/batches/batch_id=0")
+        ev.event_states(batch).write.mode("overwrite").parquet(states.batch_path(run_of(spark, checkpoint), 0))
         raise RuntimeError("lost")
 
     monkeypatch.setattr("tidemark.streaming.states.event_states", fail_late)
@@ -175,7 +192,7 @@ def test_a_micro_batch_that_fails_after_writing_is_counted_once(spark, frame, mo
         states.maintain(stream_of(spark, raw), checkpoint).awaitTermination()
     monkeypatch.undo()
     states.maintain(stream_of(spark, raw), checkpoint).awaitTermination()
-    assert states._folder.names("batches") == ["batch_id=0"]
+    assert states._batches() == [(run_of(spark, checkpoint), 0)]
     assert rows(ev.merge_states(states.read())) == rows(ev.daily_exact(frame(data)))
 
 

@@ -11,7 +11,7 @@ from tidemark.operators.messages import decode_logins, good_logins, quarantined
 from tidemark.operators.outbox import to_messages, unsent
 from tidemark.sources.readers import read_topic
 from tidemark.sources.writers import write_messages
-from tidemark.streaming.ingest import ingest_logins, read_logins, read_quarantine, store_batch, suppress_replays
+from tidemark.streaming.ingest import append_once, ingest_logins, read_logins, read_quarantine, store_batch
 from tidemark.streaming.publish import publish_outbox, read_ledger
 from tidemark.workspace import fresh_folder
 
@@ -131,18 +131,33 @@ def test_ingest_stream(spark):
     # a replayed micro-batch replaces its rows
     batch = spark.createDataFrame([(v,) for v in GOOD], "value string")
     for _ in range(2):
-        store_batch(batch, 7, folder)
+        store_batch(batch, 7, folder, "r")
     assert read_logins(spark, folder).where("batch_id = 7").count() == len(GOOD)
 
 
-def test_suppress_replays(spark):
+def test_replays_are_stored_once_and_late_first_deliveries_kept(spark):
     path = fresh_folder(spark, "replays")
-    rows = spark.createDataFrame([(1, T), (1, T), (2, T)], "id long, at timestamp_ntz")
-    rows.write.parquet(path)
-    stream = spark.readStream.schema(rows.schema).parquet(path)
-    query = (
-        suppress_replays(stream, ["id"], "at", "1 hour")
-        .writeStream.format("memory").queryName("replays").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    assert sorted(r.id for r in spark.table("replays").collect()) == [1, 2]
+    schema = "id long, at timestamp_ntz"
+    late = datetime.datetime(2023, 1, 5)
+    batches = [[(1, T), (1, T), (2, T)], [(2, T), (3, late), (None, T), (4, None)], [(3, late), (1, T), (None, T), (4, None)]]
+
+    def start(checkpoint):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/topic")
+        append_once(stream, ["id"], "at", f"{path}/rows", f"{path}/{checkpoint}").awaitTermination()
+        return sorted((r.id or 0) for r in spark.read.parquet(f"{path}/rows").collect())
+
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/topic")
+        kept = start("checkpoint")
+    assert kept == [0, 1, 2, 3, 4]
+    assert start("another") == [0, 1, 2, 3, 4]
+
+
+def test_two_checkpoints_share_a_table(spark):
+    folder = fresh_folder(spark, "ingest")
+    for i, text in enumerate(GOOD):
+        frame = spark.createDataFrame([(text,)], "value string").coalesce(1)
+        write_messages(frame, {"path": f"{folder}/topic-{i}"}, "text")
+        stream = read_topic(spark, {"path": f"{folder}/topic-{i}"}, "text")
+        ingest_logins(stream, folder, f"{folder}/checkpoint-{i}").awaitTermination()
+    assert read_logins(spark, folder).count() == len(GOOD)

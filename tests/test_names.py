@@ -17,6 +17,9 @@ from tidemark.functions.names import normalize_columns, snake_case, unique_names
     ("", "col"),
     ("ABcDEf", "a_bc_d_ef"),
     ("item2Name", "item2_name"),
+    ("a$B", "ab"),
+    ("ABC", "abc"),
+    ("X-RayID.no", "x_ray_id_no"),
 ])
 def test_snake_case(name, expected):
     assert snake_case(name) == expected

@@ -105,7 +105,7 @@ def test_retention_period_reaches_the_scan(spark):
 
 def test_states_are_combined_before_each_shuffle(spark):
     text = plan(ev.event_states(ev_table(spark)))
-    assert text.count("partial_theta_sketch_agg") >= 1 and text.count("partial_theta_union_agg") >= 1
+    assert text.count("partial_bitmap_construct_agg") >= 1 and text.count("partial_bitmap_or_agg") >= 1
 
 
 def test_each_message_is_parsed_once(spark):

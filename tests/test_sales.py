@@ -39,7 +39,7 @@ def test_fill_quantity_and_price(frame):
         "zero_price": (None, 0.0),
         "zero_quantity": (0.0, None),
         "both": (None, None),
-        "huge": (None, 1e-9),
+        "huge": (1e18, 1e-9),
     }
 
 
@@ -124,3 +124,12 @@ def test_reports(frame):
     summary = {(r.report, r.key): r.value for r in sales.sales_summary(df).collect()}
     assert summary[("customer", None)] == 1.0 and summary[("weekday", "Monday")] == 2.0
     assert ("payment_method", None) not in summary and summary[("category", "z")] == 9.0
+
+
+def test_any_number_of_units_is_kept(spark):
+    row = dict.fromkeys(SALES.names) | {
+        "transaction_id": "t", "category": "c", "price_per_unit": 0.01, "total_spent": 5e7,
+        "transaction_date": datetime.date(2024, 1, 1),
+    }
+    clean = sales.clean_sales(spark.createDataFrame([tuple(row[n] for n in SALES.names)], SALES))
+    assert [r.quantity for r in clean.collect()] == [5e9]

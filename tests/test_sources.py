@@ -3,6 +3,7 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql.types import StructType
 
 from tidemark.schemas import SALES
 from tidemark.sources.readers import inventory, read_csv, read_outbox, read_topic
@@ -20,7 +21,8 @@ def test_two_column_csv(spark, tmp_path):
 
 def test_csv_with_schema(spark, tmp_path):
     (tmp_path / "s.csv").write_text(
-        "Transaction ID;Customer;Category;Item;Price;Quantity;Total;Pay;Loc;Date\n"
+        "Transaction ID;Customer ID;Category;Item;Price Per Unit;Quantity;Total Spent;Payment Method;Location;"
+        "Transaction Date\n"
         'T1;7;"a;b";;2.5;x;;;web;2024-01-02\n'
     )
     row = read_csv(spark, str(tmp_path / "s.csv"), SALES, delimiter=";").first()
@@ -28,6 +30,14 @@ def test_csv_with_schema(spark, tmp_path):
     assert str(row.transaction_date) == "2024-01-02"
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Customer ID,More,Transaction ID\n7,x,T1\n")
+    schema = StructType([f for f in SALES.fields if f.name in ("transaction_id", "customer_id")])
+    assert [tuple(r) for r in read_csv(spark, str(tmp_path / "a.csv"), schema).collect()] == [("T1", 7)]
+    with pytest.raises(ValueError, match="category"):
+        read_csv(spark, str(tmp_path / "a.csv"), SALES)
+
+
 def test_csv_keeps_every_character(spark):
     path = fresh_folder(spark, "csv")
     rows = [(' a "b"', "x,y", "line\nbreak"), ("", None, "„é“"), ("\\", '"', "\\\"")]

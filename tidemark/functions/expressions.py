@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CURLY_QUOTES = "“”"
+WEEKDAYS = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()
 
 
 def present(*names: str) -> Column:
@@ -25,13 +26,8 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def weekday_name(day_number: Column) -> Column:
-    """Name for a Sunday-is-1 day number (2023-01-01 was a Sunday)."""
-    return F.date_format(F.date_add(F.lit("2023-01-01").cast("date"), day_number - 1), "EEEE")
-
-
-def monday_first(day_number: Column) -> Column:
-    """Sunday-is-1 day number → Monday 1 … Sunday 7."""
-    return F.pmod(day_number + 5, F.lit(7)) + 1
+    """Name for a day number that counts from Monday, 0."""
+    return F.get(F.array(*map(F.lit, WEEKDAYS)), day_number)
 
 
 def epoch_seconds(moment: Column) -> Column:

@@ -1,10 +1,10 @@
 """Daily event aggregates, kept as mergeable states, and retention periods.
 
-Events have user_id, event_type, points_spent, event_time. Distinct users are
-kept as sketches, mergeable over any split of the input: ``theta`` with 2^16
-entries is exact up to 65,536 users per group and an estimate beyond that;
-``hll`` with 2^14 entries is smaller and always an estimate. One table of
-states holds one kind.
+Events have user_id, event_type, points_spent, event_time. States merge over any
+split of the input. Distinct users are exact: a state row holds, for one bucket of
+32,768 user ids, the bits of those seen; ids are expected to be numbered, as sparse ones
+would take a row each. The ``hll`` kind is one small sketch per group, always an
+estimate. One table of states holds one kind.
 """
 
 from __future__ import annotations
@@ -14,14 +14,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import day, days_before, moment
 
-# (build, merge, estimate, log2 of the entries)
-SKETCHES = {
-    "theta": (F.theta_sketch_agg, F.theta_union_agg, F.theta_sketch_estimate, 16),
-    "hll": (F.hll_sketch_agg, lambda states, size: F.hll_union_agg(states), F.hll_sketch_estimate, 14),
-}
+BITMAP, HLL = "bitmap", "hll"
+HLL_SIZE = 14
 FAN_IN = 64
 MAX_SLICES = 1024
 GROUP = ["event_date", "event_type"]
+SUMS = ["total_points", "event_count"]
 
 
 def by_day(events: DataFrame) -> DataFrame:
@@ -31,42 +29,40 @@ def by_day(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", F.to_date("event_time"))
 
 
-def event_states(events: DataFrame, fan_in: int = FAN_IN, sketch: str = "theta") -> DataFrame:
-    """Partial state per (day, type): user sketch, points, number of events.
+def event_states(events: DataFrame, fan_in: int = FAN_IN, kind: str = BITMAP) -> DataFrame:
+    """Partial state per (day, type) and bucket of users: users, points, number of events.
 
-    Every input partition brings a sketch of each group it holds. They are
+    Every input partition brings the users of each group it holds. They are
     merged ``fan_in`` partitions at a time and then once more, so no single task
-    merges the sketches of all partitions of a large day.
+    merges the states of all partitions of a large day.
     """
-    build, _, _, size = SKETCHES[sketch]
-    sliced = by_day(events).withColumn("slice", F.floor(F.spark_partition_id() / fan_in) % MAX_SLICES)
-    partial = sliced.groupBy(*GROUP, "slice").agg(
-        build("user_id", size).alias("unique_users"),
-        F.sum("points_spent").alias("total_points"),
-        F.count(F.lit(1)).alias("event_count"),
+    bucket = F.bitmap_bucket_number("user_id") if kind == BITMAP else F.lit(None).cast("long")
+    users = F.bitmap_construct_agg(F.bitmap_bit_position("user_id")) if kind == BITMAP else F.hll_sketch_agg("user_id", HLL_SIZE)
+    sliced = by_day(events).withColumns({
+        "slice": F.floor(F.spark_partition_id() / fan_in) % MAX_SLICES, "user_bucket": bucket,
+    })
+    partial = sliced.groupBy(*GROUP, "user_bucket", "slice").agg(
+        users.alias("users"), F.sum("points_spent").alias("total_points"), F.count(F.lit(1)).alias("event_count"),
     )
-    return combine_states(partial, sketch=sketch)
+    return combine_states(partial, kind=kind)
 
 
-def combine_states(states: DataFrame, keys: list[str] | None = None, sketch: str = "theta") -> DataFrame:
-    """Fewer state rows with the same meaning: one per key, still mergeable."""
-    _, merge, _, size = SKETCHES[sketch]
-    return states.groupBy(*(GROUP if keys is None else keys)).agg(
-        merge("unique_users", size).alias("unique_users"),
-        F.sum("total_points").alias("total_points"),
-        F.sum("event_count").alias("event_count"),
+def combine_states(states: DataFrame, keys: list[str] | None = None, kind: str = BITMAP) -> DataFrame:
+    """Fewer state rows with the same meaning: one per key and bucket, still mergeable."""
+    merge = F.bitmap_or_agg if kind == BITMAP else F.hll_union_agg
+    return states.groupBy(*(GROUP if keys is None else keys), "user_bucket").agg(
+        merge("users").alias("users"), *[F.sum(c).alias(c) for c in SUMS]
     )
 
 
-def merge_states(states: DataFrame, keys: list[str] | None = None, sketch: str = "theta") -> DataFrame:
+def merge_states(states: DataFrame, keys: list[str] | None = None, kind: str = BITMAP) -> DataFrame:
     """Finished numbers per (day, type), or per any subset of these keys."""
     keys = GROUP if keys is None else keys
-    _, _, estimate, _ = SKETCHES[sketch]
-    return combine_states(states, keys, sketch).select(
-        *keys,
-        estimate("unique_users").alias("unique_users"),
-        "total_points",
-        F.col("event_count").alias("total_actions"),
+    users = F.bitmap_count("users") if kind == BITMAP else F.hll_sketch_estimate("users")
+    return combine_states(states, keys, kind).groupBy(*keys).agg(
+        F.coalesce(F.sum(users), F.lit(0)).cast("long").alias("unique_users"),
+        F.sum("total_points").alias("total_points"),
+        F.sum("event_count").alias("total_actions"),
     )
 
 

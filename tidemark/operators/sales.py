@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import monday_first, present, ratio, weekday_name
+from tidemark.functions.expressions import present, ratio, weekday_name
 from tidemark.operators.joins import HOT_ROWS, ROWS, lookup_join
 
 REQUIRED = ["category", "quantity", "total_spent", "price_per_unit"]
 ITEM_KEY = ["category", "price_per_unit"]
-MAX_UNITS = 2**31 - 0.5
 
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -82,15 +81,8 @@ def recalc_total(sales: DataFrame, fill_only: bool = False) -> DataFrame:
     return sales.withColumn("total_spent", total)
 
 
-def units_fit() -> Column:
-    """Total and price give a number of units, and it fits the integer it becomes."""
-    units = F.col("total_spent") / F.col("price_per_unit")
-    return (F.col("price_per_unit") != 0) & F.when(F.col("price_per_unit") != 0, F.abs(units) < MAX_UNITS)
-
-
 def filled_quantity() -> Column:
-    units = F.round(F.col("total_spent") / F.col("price_per_unit"), 0).cast("int")
-    return F.coalesce("quantity", F.when(units_fit(), units)).cast("double")
+    return F.coalesce("quantity", ratio(F.col("total_spent"), F.col("price_per_unit"), 0))
 
 
 def filled_price() -> Column:
@@ -109,7 +101,7 @@ def completable(fill_totals: bool = False) -> Column:
     """
     total = F.col("total_spent").isNotNull()
     computable = F.when(
-        F.col("quantity").isNull(), total & units_fit()
+        F.col("quantity").isNull(), total & (F.col("price_per_unit") != 0)
     ).otherwise(F.col("price_per_unit").isNotNull() | (total & (F.col("quantity") != 0)))
     complete = F.col("category").isNotNull() & F.coalesce(computable, F.lit(False))
     return complete if fill_totals else complete & total
@@ -164,9 +156,9 @@ def avg_by(clean: DataFrame, key: str) -> DataFrame:
 def avg_by_weekday(clean: DataFrame) -> DataFrame:
     """Monday first. Groups by the day number; names are made for the seven results."""
     return (
-        clean.groupBy(F.dayofweek("transaction_date").alias("day_number"))
+        clean.groupBy(F.weekday("transaction_date").alias("day_number"))
         .agg(mean_spend())
-        .orderBy(monday_first(F.col("day_number")))
+        .orderBy("day_number")
         .select(weekday_name(F.col("day_number")).alias("day_of_week"), "avg_total_spent")
     )
 
@@ -199,7 +191,7 @@ def sales_summary(clean: DataFrame) -> DataFrame:
         "category": F.col("category"),
         "payment_method": F.col("payment_method"),
         "location": F.col("location"),
-        "weekday": F.dayofweek("transaction_date"),
+        "weekday": F.weekday("transaction_date"),
         "month": F.trunc("transaction_date", "month"),
         "customer": F.col("customer_id"),
     }

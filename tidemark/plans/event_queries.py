@@ -114,8 +114,13 @@ def retention_7d_live(spark, sf_dir):
     return retention.retention_7d(user_events(spark, sf_dir), as_of=RAW_AS_OF)
 
 
-@query("retention_7d_total", f"{cohorts_sql(PURCHASES)} SELECT {cohort_counts()} FROM pairs")
+@query("retention_7d_total", f"{cohorts_sql()} SELECT {cohort_counts()} FROM pairs")
 def retention_7d_total(spark, sf_dir):
+    return retention.retention_7d_total(user_events(spark, sf_dir))
+
+
+@query("retention_7d_total_purchases", f"{cohorts_sql(PURCHASES)} SELECT {cohort_counts()} FROM pairs")
+def retention_7d_total_purchases(spark, sf_dir):
     return retention.retention_7d_total(user_events(spark, sf_dir).where(PURCHASES))
 
 
@@ -149,6 +154,19 @@ def event_states_backfill(spark, sf_dir):
     return rounded(ev.daily_report(states.read()))
 
 
+@query("event_states_two_checkpoints", DAILY)
+def event_states_two_checkpoints(spark, sf_dir):
+    """Two halves of the events through streams with checkpoints of their own, compacted in between."""
+    work = fresh_folder(spark, "event-states")
+    states, events = EventStates(spark, f"{work}/states"), user_events(spark, sf_dir)
+    for half in (0, 1):
+        write_events(events.where(F.col("user_id") % 2 == half), f"{work}/raw-{half}")
+        states.maintain(stream_events(spark, f"{work}/raw-{half}"), f"{work}/checkpoint-{half}").awaitTermination()
+        if half == 0:
+            states.compact()
+    return rounded(ev.daily_report(states.read()))
+
+
 @query("event_states_compacted", DAILY)
 def event_states_compacted(spark, sf_dir):
     states = streamed_states(spark, sf_dir)

@@ -12,7 +12,7 @@ from tidemark.plans.registry import query
 from tidemark.schemas import LOGIN_MESSAGE
 from tidemark.sources.readers import inventory, read_topic
 from tidemark.sources.writers import write_messages
-from tidemark.streaming.ingest import append_stream, ingest_logins, read_logins, read_quarantine, suppress_replays
+from tidemark.streaming.ingest import append_once, ingest_logins, read_logins, read_quarantine
 from tidemark.streaming.publish import publish_outbox, read_ledger
 from tidemark.workspace import fresh_folder
 
@@ -31,9 +31,9 @@ def fields(text):
     return F.from_json(text, LOGIN_MESSAGE).alias("m")
 
 
-def topic(spark, sf_dir):
+def topic(spark, sf_dir, which="true"):
     """A message per login; some are damaged by turning the text around."""
-    messages = to_messages(user_logins(spark, sf_dir))
+    messages = to_messages(user_logins(spark, sf_dir).where(which))
     return messages.select(F.when(F.expr(BROKEN), F.reverse("value")).otherwise(F.col("value")).alias("value"))
 
 
@@ -93,16 +93,25 @@ def ingest_quarantine(spark, sf_dir):
 
 @query("replays_suppressed", f"{WITH_LOGINS} SELECT id, username, event_type, event_time FROM user_logins")
 def replays_suppressed(spark, sf_dir):
-    """Every login delivered twice, each kept once."""
+    """Logins delivered twice in different micro-batches, some for the first time only after much later ones."""
     folder = fresh_folder(spark, "replays")
-    for _ in range(2):
-        user_logins(spark, sf_dir).drop("sent_to_kafka").write.mode("append").parquet(f"{folder}/topic")
-    stream = spark.readStream.schema("id long, username string, event_type string, event_time timestamp_ntz").parquet(
-        f"{folder}/topic"
-    )
-    once = suppress_replays(stream, ["id"], "event_time", "60 days")
-    append_stream(once, f"{folder}/logins", f"{folder}/checkpoint").awaitTermination()
-    return with_plain_time(spark.read.parquet(f"{folder}/logins").select(once.columns))
+    logins = user_logins(spark, sf_dir).drop("sent_to_kafka")
+    for delivery in (logins.where("id % 5 <> 0"), logins):
+        delivery.coalesce(1).write.mode("append").parquet(f"{folder}/topic")
+    stream = spark.readStream.schema(logins.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic")
+    append_once(stream, ["id"], "event_time", f"{folder}/logins", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/logins").select(logins.columns)
+
+
+@query("ingest_two_checkpoints", GOOD)
+def ingest_two_checkpoints(spark, sf_dir):
+    """Two halves of the topic, each read with a checkpoint of its own into the same table."""
+    folder = fresh_folder(spark, "ingest")
+    for half in (0, 1):
+        write_messages(topic(spark, sf_dir, f"id % 2 = {half}"), {"path": f"{folder}/topic-{half}"}, "text")
+        stream = read_topic(spark, {"path": f"{folder}/topic-{half}"}, "text")
+        ingest_logins(stream, folder, f"{folder}/checkpoint-{half}").awaitTermination()
+    return with_plain_time(read_logins(spark, folder).select("username", "event_type", "event_time"))
 
 
 def ingested(spark, sf_dir) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidemark.functions.names import normalize_columns
 from tidemark.operators import sales
 from tidemark.plans.inputs import RETAIL_SQL, retail, table
@@ -168,8 +170,9 @@ def sales_summary(spark, sf_dir):
 
 @query("sales_from_csv", f"{WITH_CLEAN} SELECT * FROM clean")
 def sales_from_csv(spark, sf_dir):
-    """The whole job from a delimited file with spoken column names."""
+    """The whole job from a delimited file with spoken column names in another order and one more."""
     path = fresh_folder(spark, "sales-csv")
     sold = retail(spark, sf_dir)
-    write_csv(sold.toDF(*[c.replace("_", " ").title() for c in sold.columns]), path)
-    return sales.clean_sales(normalize_columns(read_csv(spark, path, SALES)))
+    turned = sold.select(sold.columns[::-1]).withColumn("note", F.lit("x"))
+    write_csv(turned.toDF(*[c.replace("_", " ").title() for c in turned.columns]), path)
+    return sales.clean_sales(read_csv(spark, path, SALES))

@@ -28,7 +28,8 @@ EVENTS = T.StructType([
 EVENT_STATES = T.StructType([
     T.StructField("event_date", T.DateType()),
     T.StructField("event_type", T.StringType()),
-    T.StructField("unique_users", T.BinaryType()),
+    T.StructField("user_bucket", T.LongType()),
+    T.StructField("users", T.BinaryType()),
     T.StructField("total_points", T.DoubleType()),
     T.StructField("event_count", T.LongType()),
 ])

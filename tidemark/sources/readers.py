@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from tidemark import schemas
+from tidemark.functions.names import snake_case, unique_names
 
 
 def read_csv(
@@ -17,8 +18,10 @@ def read_csv(
 
     ``keep_empty`` reads a quoted empty cell, ``""``, as empty text instead.
 
-    With a schema nothing is read ahead and values of another type become
-    null. Without one the types are inferred, which costs a pass over the data.
+    With a schema its columns are found by name: the header is read first and its names,
+    normalized, decide which column is which, in any order. A missing column is an error,
+    other columns are left out, and a file with another header is an error. Values of another type become
+    null. Without a schema the types are inferred, which costs a pass over the data.
     ``multi_line`` is for quoted values with line breaks; a file is then one task.
     """
     reader = spark.read.option("header", True).option("delimiter", delimiter).option("escape", '"')
@@ -27,7 +30,15 @@ def read_csv(
         reader = reader.option("nullValue", "\0")
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.option("enforceSchema", True).schema(schema).csv(path)
+    header = reader.csv(path).columns
+    named = dict(zip(unique_names(map(snake_case, header)), header))
+    missing = [f.name for f in schema if f.name not in named]
+    if missing:
+        raise ValueError(f"{path} has no column for {', '.join(missing)}; its header is {', '.join(header)}")
+    types = {named[f.name]: f.dataType for f in schema}
+    in_file = StructType([StructField(h, types.get(h, StringType())) for h in header])
+    rows = reader.option("enforceSchema", False).schema(in_file).csv(path)
+    return rows.select([F.col(f"`{named[f.name].replace('`', '``')}`").alias(f.name) for f in schema])
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

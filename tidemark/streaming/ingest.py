@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from tidemark.operators.messages import decode_logins, good_logins, quarantined
 from tidemark.schemas import LOGINS
 from tidemark.sources.writers import laid_out
+from tidemark.workspace import Folder, run_of
+
+#: Batch numbers start again with a new checkpoint, so folders are named by query and batch.
+FOLDERS = [StructField("run", StringType()), StructField("batch_id", LongType()), StructField("event_date", DateType())]
 
 
-def store_batch(messages: DataFrame, batch_id: int, path: str) -> None:
-    """Write one micro-batch; a replay of the same id replaces its folders."""
+def store_batch(messages: DataFrame, batch_id: int, path: str, run: str) -> None:
+    """Write one micro-batch of a run; a replay of the same number replaces its folders."""
     decoded = decode_logins(messages).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         logins = good_logins(decoded).withColumn("event_date", F.to_date("event_time"))
         (
             laid_out(logins, ["event_time"])
             .write.mode("overwrite").partitionBy("event_date")
-            .parquet(f"{path}/logins/batch_id={batch_id}")
+            .parquet(f"{path}/logins/run={run}/batch_id={batch_id}")
         )
-        quarantined(decoded).write.mode("overwrite").parquet(f"{path}/quarantine/batch_id={batch_id}")
+        quarantined(decoded).write.mode("overwrite").parquet(f"{path}/quarantine/run={run}/batch_id={batch_id}")
     finally:
         decoded.unpersist()
 
@@ -32,19 +38,42 @@ def ingest_logins(
     messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Start the ingest; the checkpoint takes the place of consumer group offsets."""
+    spark = messages.sparkSession
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        store_batch(batch, batch_id, path, run_of(spark, checkpoint))
+
     return (
-        messages.writeStream.foreachBatch(lambda batch, batch_id: store_batch(batch, batch_id, path))
+        messages.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
-def append_stream(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Start the append of a stream as it is, one replaceable folder per micro-batch."""
+def append_once(
+    rows: DataFrame, keys: list[str], time: str, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append a stream without rows whose keys are stored already, however late they come.
+
+    A message delivered again has the same time, so a micro-batch is compared with the
+    stored days that it touches and no state is kept; a null key equals a null key.
+    """
+    spark = rows.sparkSession
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        run = run_of(spark, checkpoint)
+        fresh = batch.dropDuplicates(keys).withColumn("event_date", F.to_date(time))
+        first, last = fresh.agg(F.min("event_date"), F.max("event_date")).first()
+        if Folder(spark, path).names():
+            stored = spark.read.schema(StructType([*rows.schema.fields, *FOLDERS])).parquet(path)
+            days = F.col("event_date").between(first, last) | F.col("event_date").isNull()
+            own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+            known = stored.where(days & ~own).select(*[F.col(k).alias(f"known_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"known_{k}")) for k in keys]
+            fresh = fresh.join(known, reduce(lambda a, b: a & b, same), "left_anti")
+        folder = f"{path}/run={run}/batch_id={batch_id}"
+        laid_out(fresh, [time]).write.mode("overwrite").partitionBy("event_date").parquet(folder)
 
     return (
         rows.writeStream.foreachBatch(store)
@@ -55,15 +84,8 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str, trigger: dict | N
 
 
 def read_logins(spark: SparkSession, path: str) -> DataFrame:
-    folders = [StructField("batch_id", LongType()), StructField("event_date", DateType())]
-    return spark.read.schema(StructType([*LOGINS.fields, *folders])).parquet(f"{path}/logins")
+    return spark.read.schema(StructType([*LOGINS.fields, *FOLDERS])).parquet(f"{path}/logins")
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("value string, batch_id long").parquet(f"{path}/quarantine")
-
-
-def suppress_replays(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
-    """Optional: drop messages delivered again within ``delay`` of the first."""
-    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
-    return timed.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    return spark.read.schema("value string, run string, batch_id long").parquet(f"{path}/quarantine")

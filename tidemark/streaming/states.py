@@ -2,10 +2,12 @@
 
 Folder layout::
 
-    batches/batch_id=N/     states of micro-batch N, replaced if N is replayed
-    backfills/NAME/         states of an explicitly loaded range
-    snapshots/v=V/          merged states
-    manifest/v=V/           one row: what snapshot V already contains
+    batches/run=R/batch_id=N/   states of micro-batch N of the query R, replaced if N is replayed
+    backfills/NAME/             states of an explicitly loaded range
+    snapshots/v=V/              merged states
+    manifest/v=V/               one row: what snapshot V already contains
+
+Batch numbers start again with a new checkpoint, so they are counted per query.
 
 A reader takes the newest published snapshot plus everything it does not
 contain yet. A snapshot counts only once its manifest is written, so a failed
@@ -20,9 +22,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.events import combine_states, event_states, live_aggregates
 from tidemark.schemas import EVENT_STATES
 from tidemark.sources.writers import laid_out
-from tidemark.workspace import Folder
+from tidemark.workspace import Folder, run_of
 
 DONE = "_SUCCESS"
+MANIFEST = "upto array<struct<run: string, last: long>>, backfills array<string>"
 
 
 class EventStates:
@@ -34,7 +37,8 @@ class EventStates:
         """Start the stream that appends the states of every micro-batch."""
 
         def store(batch: DataFrame, batch_id: int) -> None:
-            event_states(batch).write.mode("overwrite").parquet(f"{self.path}/batches/batch_id={batch_id}")
+            run = run_of(self.spark, checkpoint)
+            event_states(batch).write.mode("overwrite").parquet(self.batch_path(run, batch_id))
 
         return (
             events.writeStream.foreachBatch(store)
@@ -43,6 +47,9 @@ class EventStates:
             .start()
         )
 
+    def batch_path(self, run: str, batch_id: int) -> str:
+        return f"{self.path}/batches/run={run}/batch_id={batch_id}"
+
     def backfill(self, events: DataFrame, name: str) -> None:
         """Load states of events the stream has not seen; the same name replaces its load.
 
@@ -52,27 +59,33 @@ class EventStates:
             raise ValueError(f"backfill {name} is already part of a snapshot")
         event_states(events).write.mode("overwrite").parquet(f"{self.path}/backfills/{name}")
 
-    def _merged(self) -> tuple[int | None, int, list[str]]:
-        """Newest published version, last micro-batch and backfills it contains."""
+    def _merged(self) -> tuple[int | None, dict[str, int], list[str]]:
+        """Newest published version, the last micro-batch of each run and the backfills it contains."""
         done = [v for v in self._folder.names("manifest") if self._folder.has(f"manifest/{v}/{DONE}")]
         if not done:
-            return None, -1, []
+            return None, {}, []
         version = max(int(v.removeprefix("v=")) for v in done)
-        row = self.spark.read.schema("upto long, backfills array<string>").json(
-            f"{self.path}/manifest/v={version}"
-        ).first()
-        return version, row["upto"], row["backfills"]
-
-    def _pending(self) -> tuple[list[int], list[str]]:
+        row = self.spark.read.schema(MANIFEST).json(f"{self.path}/manifest/v={version}").first()
+        return version, {r["run"]: r["last"] for r in row["upto"]}, row["backfills"]
+
+    def _batches(self) -> list[tuple[str, int]]:
+        """Runs and numbers of the micro-batches that are written."""
+        found = []
+        for run in self._folder.names("batches"):
+            found += [(run.removeprefix("run="), int(n.removeprefix("batch_id=")))
+                      for n in self._complete(f"batches/{run}")]
+        return found
+
+    def _pending(self) -> tuple[list[tuple[str, int]], list[str]]:
         _, upto, backfills = self._merged()
-        ids = [int(n.removeprefix("batch_id=")) for n in self._complete("batches")]
-        return [i for i in ids if i > upto], [n for n in self._complete("backfills") if n not in backfills]
+        batches = [(run, i) for run, i in self._batches() if i > upto.get(run, -1)]
+        return batches, [n for n in self._complete("backfills") if n not in backfills]
 
     def _complete(self, kind: str) -> list[str]:
         return [n for n in self._folder.names(kind) if self._folder.has(f"{kind}/{n}/{DONE}")]
 
-    def _read(self, version: int | None, ids: list[int], names: list[str]) -> DataFrame:
-        paths = [f"{self.path}/batches/batch_id={i}" for i in ids]
+    def _read(self, version: int | None, batches: list[tuple[str, int]], names: list[str]) -> DataFrame:
+        paths = [self.batch_path(*b) for b in batches]
         paths += [f"{self.path}/backfills/{n}" for n in names]
         if version is not None:
             paths.append(f"{self.path}/snapshots/v={version}")
@@ -97,15 +110,15 @@ class EventStates:
         stays readable until ``retire``.
         """
         version, upto, backfills = self._merged()
-        ids, names = self._pending()
-        merged = combine_states(self._read(version, ids, names))
+        batches, names = self._pending()
+        merged = combine_states(self._read(version, batches, names))
         if as_of is not None:
             merged = live_aggregates(merged, as_of)
         new = 0 if version is None else version + 1
-        laid_out(merged, ["event_type"]).write.mode("overwrite").parquet(f"{self.path}/snapshots/v={new}")
-        manifest = self.spark.createDataFrame(
-            [(max([upto, *ids]), [*backfills, *names])], "upto long, backfills array<string>"
-        )
+        laid_out(merged, ["event_type", "user_bucket"]).write.mode("overwrite").parquet(f"{self.path}/snapshots/v={new}")
+        for run, i in batches:
+            upto[run] = max(i, upto.get(run, -1))
+        manifest = self.spark.createDataFrame([(list(upto.items()), [*backfills, *names])], MANIFEST)
         manifest.coalesce(1).write.mode("overwrite").json(f"{self.path}/manifest/v={new}")
         return new
 
@@ -114,9 +127,9 @@ class EventStates:
         version, upto, backfills = self._merged()
         if version is None:
             return
-        for name in self._folder.names("batches"):
-            if int(name.removeprefix("batch_id=")) <= upto:
-                self._folder.remove(f"batches/{name}")
+        for run, i in self._batches():
+            if i <= upto.get(run, -1):
+                self._folder.remove(f"batches/run={run}/batch_id={i}")
         for name in self._folder.names("backfills"):
             if name in backfills:
                 self._folder.remove(f"backfills/{name}")

@@ -6,20 +6,21 @@ replaces a lost one, so the folder comes from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import tempfile
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``, or one set for this session."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; a local session without it
+    gets one in its warehouse."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        context.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse').rstrip('/')}/tidemark-checkpoints")
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
@@ -39,6 +40,11 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the streaming query that owns a checkpoint; batch numbers count within it."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 class Folder:
     """Directory listing and removal on whatever file system holds ``path``."""
 
