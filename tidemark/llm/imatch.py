@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.tables import ARROW, add_columns, pieces
+from tidemark.llm.tables import ARROW, add_columns, pieces, with_small_batches
 from tidemark.workspace import fresh_folder, written
 
 SPACE = 1 << 24
@@ -39,7 +39,7 @@ MOST_SHARE, LEAST_DOCUMENTS = 0.1, 2
 #: Subsets keep a term with chance 1/2, 1/8, 1/32, and so on; there are ``PER_SIZE`` of each size.
 SIZES, PER_SIZE = 7, 24
 SEED = 42
-MAX_KEPT = 400_000
+MAX_KEPT = 200_000
 WORDS = re.compile(r"\w+")
 NO_TERM = "---"
 DIGITS = len(NO_TERM)
@@ -84,7 +84,7 @@ class Lexicon:
 def lexicon(docs: DataFrame, text: str = "text", most_share: float = MOST_SHARE,
             least: int = LEAST_DOCUMENTS) -> Lexicon:
     """Count all documents of each term; what reaches the driver is the bit map, ``SPACE`` bits at most."""
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(_count, "term int, n long")
+    counted = with_small_batches(docs).select(F.col(text).alias("text")).mapInArrow(_count, "term int, n long")
     most = max(least, most_share * docs.count())
     band = counted.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n").between(least, most))
     place = F.col("term").cast("long") + 1  # places begin at 1 in bucket 1
@@ -224,7 +224,7 @@ def edited(docs: DataFrame, known: Lexicon, key: str = "doc_id", text: str = "te
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(known)
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = with_small_batches(docs).select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "key").sortWithinPartitions("key", "text")
     step = written(ordered.mapInArrow(_in_order(shared), STEP), fresh_folder(spark, "imatch"))

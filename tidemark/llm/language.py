@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import add_columns, pieces, share_of
+from tidemark.llm.tables import add_columns, pieces, share_of, with_small_batches
 
 #: Documents per language that training reads, in expectation.
 SAMPLE_PER_LANGUAGE = 3000
@@ -35,7 +35,7 @@ SCRIPT_SHARE = 0.01
 #: A word counts for at most this much against a language; a switch costs SWITCH.
 FLOOR, SWITCH = 6.0, 14.0
 UNKNOWN = "und"
-MAX_CACHED = 400_000
+MAX_CACHED = 150_000
 
 # First code point of each script block; letters up to the next one belong to it.
 SCRIPTS = [
@@ -134,7 +134,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     languages = sorted(r["lang"] for r in sizes)
     share = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, per_language / r["count"]))))
     sample = rows.where(F.coalesce(share_of("key"), F.lit(0.0)) < share[F.col("lang")]).select("lang", "text")
-    counts = sample.mapInArrow(count_features, "lang string, bucket int, n long")
+    counts = with_small_batches(sample).mapInArrow(count_features, "lang string, bucket int, n long")
     found = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     totals = np.zeros((BUCKETS + len(NAMES), len(languages)))
     place = {name: i for i, name in enumerate(languages)}

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH_CHARS = 2_000_000
+#: Characters that are worked on at once, and rows that Spark sends to Python at once.
+BATCH_CHARS, BATCH_ROWS = 500_000, 1_000
 
 ARROW = {"string": pa.string(), "double": pa.float64(), "bigint": pa.int64(), "int": pa.int32(),
          "boolean": pa.bool_(), "binary": pa.binary()}
@@ -38,6 +39,17 @@ def share_of(key: str) -> Column:
     return (F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))).cast("double")
 
 
+def with_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, whose session now sends texts to Python in batches of at most ``BATCH_ROWS`` rows.
+
+    Texts are long and a batch is held several times on its way, by the JVM and by Python.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(docs.sparkSession.conf.get(name)) not in range(1, BATCH_ROWS + 1):
+        docs.sparkSession.conf.set(name, BATCH_ROWS)
+    return docs
+
+
 def pieces(batch: pa.RecordBatch, text: str, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each piece holds about ``chars`` characters (or list items), or one longer text."""
     if not batch.num_rows:
@@ -54,23 +66,25 @@ def pieces(batch: pa.RecordBatch, text: str, chars: int = BATCH_CHARS) -> Iterat
     yield batch.slice(start)
 
 
-def add_columns(docs: DataFrame, text: str, fields: str, make: Callable[[], Callable]) -> DataFrame:
+def add_columns(docs: DataFrame, text: str, fields: str, make: Callable[[], Callable], arrow=False) -> DataFrame:
     """``docs`` with columns computed from one text column, in Arrow batches.
 
     ``fields`` names the new columns as DDL; columns of ``docs`` with these names are
     replaced, all others pass unchanged. ``make`` runs once per task and returns the
-    function from a list of texts (null as None) to one list per new column.
+    function from a list of texts (null as None), or with ``arrow`` the Arrow array of
+    the column, to one list or Arrow array per new column.
     """
     new = T.StructType.fromDDL(fields)
-    docs = docs.drop(*new.names)
+    docs = with_small_batches(docs).drop(*new.names)
     types = [arrow_type(f.dataType) for f in new]
 
     def run(batches):
         work = make()
         for batch in batches:
             for piece in pieces(batch, text):
-                columns = work(piece.column(text).to_pylist())
-                made = [pa.array(c, t) for c, t in zip(columns, types)]
+                given = piece.column(text)
+                columns = work(given if arrow else given.to_pylist())
+                made = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)]
                 yield pa.RecordBatch.from_arrays([*piece.columns, *made], [*piece.schema.names, *new.names])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *new.fields]))

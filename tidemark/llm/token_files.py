@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.tables import pieces
+from tidemark.llm.tables import pieces, with_small_batches
 
 END = 2
 BLOCK_TOKENS = 1 << 20
@@ -43,7 +43,7 @@ SAMPLE = 256
 HEADER = struct.Struct("<8sBxxxIIQq")
 SEQUENCE = struct.Struct("<BxxxIIII")
 MAGIC = b"TIDEIDS1"
-MAX_KEPT, MAX_KEPT_CHARS = 300_000, 40
+MAX_KEPT, MAX_KEPT_CHARS = 200_000, 40
 #: White space as Unicode has it; text.split() also cuts at four control characters.
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: A sign behind a letter or digit, where the tokenizer begins a new stretch, too.
@@ -215,7 +215,7 @@ def _blocks(path: str, end: int):
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id", text: str = "text",
                  end: int = END) -> None:
     """Encode every text and write the blocks to ``folder``; ``tokenizer`` is a file all executors have."""
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    rows = with_small_batches(docs).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "key").sortWithinPartitions("key", "text")
     blocks = ordered.mapInArrow(_blocks(tokenizer, end), "part int, number int, n_docs long, n_tokens long, block binary")

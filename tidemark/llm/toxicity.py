@@ -20,7 +20,7 @@ import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
-from functools import cache
+from functools import cache, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import add_columns, pieces, share_of
+from tidemark.llm.tables import add_columns, pieces, share_of, with_small_batches
 
 #: Labelled rows that training reads, in expectation; terms and exceptions the lexicon holds at most.
 SAMPLE_ROWS, MAX_TERMS = 20_000, 5_000
@@ -85,7 +85,7 @@ def visible(text: str | None) -> str:
     return INVISIBLE.sub("", text) if text and not text.isascii() else text or ""
 
 
-@cache
+@lru_cache(maxsize=100_000)
 def terms_of(word: str) -> tuple[str, ...]:
     """Patterns that a word can be matched by: the word, and its beginnings."""
     return (f" {word} ", *(f" {word[:n]}" for n in PREFIXES if len(word) >= n))
@@ -161,7 +161,7 @@ def count_terms(batches):
             for label, text in zip(piece.column("label").to_pylist(), piece.column("text").to_pylist()):
                 words = set(fold(visible(text)).split())
                 counts[label].update({t for w in words if len(w) > 2 and not w.isdigit() for t in terms_of(w)})
-            if len(counts[0]) + len(counts[1]) > 1_000_000:
+            if len(counts[0]) + len(counts[1]) > 250_000:
                 yield rows()
     terms_of.cache_clear()
     yield rows()
@@ -192,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return Lexicon({})
-    counted = learn.mapInArrow(count_terms, "term string, toxic long, clean long").groupBy("term").agg(
+    counted = with_small_batches(learn).mapInArrow(count_terms, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     )
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
