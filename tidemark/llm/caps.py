@@ -24,7 +24,6 @@ repeated rows with equal vectors are linked; extra columns are ignored.
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -36,25 +35,39 @@ from tidemark.llm.simhash import forest
 from tidemark.workspace import fresh_folder, written
 
 THRESHOLD = 0.95
-CODES, FILTERS, LOAD = 6, 60, 0.5
+CODES, FILTERS, LOAD = 5, 40, 0.5
 #: Vectors of one filter that are compared in one task.
 PART = 512
+#: Below this length directions are single code words: halves would have too few of them.
+LOW_DIMS = 8
 #: Cells up to this size are compared together.
 SMALL = 48
 SEED = 42
 
 
+def cap_level(dims: int, share: float) -> float:
+    """The cosine that this share of all directions exceeds with a given one."""
+    if dims == 1:
+        return 0.99
+    angles = np.linspace(0, math.pi, 200_001)
+    weights = np.sin(angles) ** (dims - 2)
+    below = np.cumsum(weights) / weights.sum()
+    return math.cos(angles[np.searchsorted(below, share)])
+
+
 class Code:
     """Filters for vectors of one length under one rotation; the same in every task."""
 
     def __init__(self, dims: int, count: int, number: int):
         random = np.random.default_rng([SEED, dims, number])
-        share = min(0.02, LOAD / max(1, count))
-        words = max(8, math.ceil(math.sqrt(FILTERS / CODES / share)))
+        low = dims < LOW_DIMS
+        share = min(0.02, max(0.002 * low, LOAD / max(1, count)))
+        filters = FILTERS / CODES / share
+        words = max(8, math.ceil(filters if low else math.sqrt(filters)))
         self.words, self.first = words, number * words * words
-        self.level = NormalDist().inv_cdf(1 - share) / math.sqrt(dims)
+        self.level = cap_level(dims, share)
         self.turn = np.linalg.qr(random.normal(size=(dims, dims)))[0]
-        cut = max(1, dims // 2)
+        cut = dims if low else dims // 2
         halves = [random.normal(size=(words, n)) for n in (cut, dims - cut) if n]
         # Each half's code words have the length that makes a whole direction a unit vector.
         self.halves = [h / np.linalg.norm(h, axis=1, keepdims=True) * math.sqrt(h.shape[1] / dims) for h in halves]
