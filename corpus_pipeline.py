@@ -39,8 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each text, and whether they decode to it."""
     model = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
-    decoded = pieces.decode(pieces.encode(docs, model), model)
-    return decoded.select(
+    return pieces.encode(docs, model, decoded=True).select(
         "doc_id", "lang", "source", "n_chars", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same_text"),
     )

@@ -5,7 +5,7 @@ segmentation with the greatest sum of scores; of equal ones the one whose last p
 is longest, then the one before it, and so on. A character that no piece covers costs the
 least score minus ``UNKNOWN_COST`` and is written as byte pieces. Spaces become the
 marker ``▁`` and one more is put before the text; decoding turns markers into spaces,
-drops the first, and joins byte pieces to characters. A marker that the text itself
+drops the first, and reads byte pieces as UTF-8 (wrong bytes become U+FFFD). A marker that the text itself
 holds is written as bytes, so decoding gives back every text exactly.
 
 No piece has a marker behind another character, so a text can be cut before each run
@@ -21,10 +21,14 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from itertools import chain
+from dataclasses import dataclass
+from uuid import uuid4
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from tidemark.llm.tables import add_columns
@@ -32,7 +36,7 @@ from tidemark.llm.tables import add_columns
 MARK = "▁"
 UNKNOWN_COST = 10.0
 #: Parts of texts whose ids a task keeps; longer parts are encoded each time.
-MAX_KEPT, MAX_KEPT_CHARS = 300_000, 40
+MAX_KEPT, MAX_KEPT_CHARS = 200_000, 40
 #: Latin, Greek and Cyrillic letters.
 LETTERS = "A-Za-zÀ-\u052f"
 LETTER = re.compile(f"[{LETTERS}]")
@@ -101,7 +105,9 @@ class Model:
         self.parts = AT_MARKS if joins else AT_CLASSES
         self.trie = DoubleArray(usable)
         self.unknown = min((scores[i] for i in usable.values()), default=0.0) - UNKNOWN_COST
-        self.byte_of = {i: b for b, i in enumerate(byte_ids)}
+        self.raw = [p.replace(MARK, " ").encode() for p in pieces]
+        for b, i in enumerate(byte_ids):
+            self.raw[i] = bytes([b])
 
     def encode_part(self, part: str) -> tuple[int, ...]:
         data = part.encode("utf-8", "replace")
@@ -139,48 +145,58 @@ class Model:
             at = start
         return tuple(reversed(ids))
 
-    def decode(self, ids) -> str:
-        out, run = [], bytearray()
-        for i in ids:
-            byte = self.byte_of.get(i)
-            if byte is not None:
-                run.append(byte)
-                continue
-            if run:
-                out.append(run.decode("utf-8", "replace"))
-                run.clear()
-            out.append(self.pieces[i].replace(MARK, " "))
-        if run:
-            out.append(run.decode("utf-8", "replace"))
-        return "".join(out)[1:]
+    def decode(self, ids: list[int]) -> str:
+        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
-class Encoder:
+class Kept(dict):
+    """Ids of parts as little-endian 4-byte integers, encoded when first asked for."""
+
     def __init__(self, model: Model):
-        self.model, self.kept = model, {}
-        self.own_mark = tuple(model.byte_ids[b] for b in MARK.encode())
+        self.model = model
 
-    def __call__(self, text: str) -> list[int]:
-        if not text:
-            return []
-        found = []
-        for n, stretch in enumerate(text.split(MARK)):
-            if n:
-                found.append(self.own_mark)
-            marked = stretch.replace(" ", MARK) if n else MARK + stretch.replace(" ", MARK)
-            for part in self.model.parts.findall(marked):
-                found.append(self.kept.get(part) or self._part(part))
-        return list(chain.from_iterable(found))
-
-    def _part(self, part: str) -> tuple[int, ...]:
-        ids = self.model.encode_part(part)
+    def __missing__(self, part: str) -> bytes:
+        ids = np.array(self.model.encode_part(part), "<i4").tobytes()
         if len(part) <= MAX_KEPT_CHARS:
-            if len(self.kept) >= MAX_KEPT:
-                self.kept.clear()
-            self.kept[part] = ids
+            if len(self) >= MAX_KEPT:
+                self.clear()
+            self[part] = ids
         return ids
 
 
+class Encoder:
+    def __init__(self, model: Model):
+        self.parts, self.kept = model.parts, Kept(model)
+        self.own_mark = np.array([model.byte_ids[b] for b in MARK.encode()], "<i4").tobytes()
+
+    def packed(self, text: str | None) -> bytes:
+        """Ids of a text as little-endian 4-byte integers."""
+        if not text:
+            return b""
+        first, *others = text.split(MARK)
+        found = self._stretch(MARK + first.replace(" ", MARK))
+        for stretch in others:
+            found += self.own_mark + self._stretch(stretch.replace(" ", MARK))
+        return found
+
+    def _stretch(self, marked: str) -> bytes:
+        return b"".join(map(self.kept.__getitem__, self.parts.findall(marked)))
+
+    def __call__(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.packed(text), "<i4").tolist()
+
+
+#: The encoder of this Python worker, with what it has kept, by the model's broadcast.
+IN_WORKER: dict[str, Encoder] = {}
+
+
+def worker_encoder(shared) -> Encoder:
+    if shared.id not in IN_WORKER:
+        IN_WORKER.clear()
+        IN_WORKER[shared.id] = Encoder(shared.value)
+    return IN_WORKER[shared.id]
+
+
 def load(path: str, scores: str = "rank") -> Model:
     """Read a model file. ``scores="model"`` takes the scores of the file, as a unigram file has them;
     ``"rank"`` takes the log of a Zipf law over the order of the pieces, for files whose scores are merge ranks."""
@@ -203,22 +219,53 @@ def load(path: str, scores: str = "rank") -> Model:
                  [-math.inf if h else s for h, s in zip(hidden, given)], byte_ids)
 
 
-def encode(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``piece_ids``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary
+@dataclass
+class Shared:
+    """A broadcast model and a name for it."""
+
+    id: str
+    model: Broadcast
+
+    @property
+    def value(self) -> Model:
+        return self.model.value
+
+
+def _lists(found: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) // 4 for x in found]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), "<i4")))
+
+
+def encode(docs: DataFrame, model: Model, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` with ``piece_ids``; with ``decoded``, in the same pass, also the text that they decode to."""
+    shared = Shared(uuid4().hex, docs.sparkSession.sparkContext.broadcast(model))  # bounded by the vocabulary
 
     def make():
-        encoder = Encoder(shared.value)
-        return lambda texts: [[encoder(t or "") for t in texts]]
+        encoder = worker_encoder(shared)
+
+        def work(texts):
+            found = [encoder.packed(t) for t in texts]
+            if not decoded:
+                return [_lists(found)]
+            return [_lists(found), [shared.value.decode(np.frombuffer(x, "<i4").tolist()) for x in found]]
 
-    return add_columns(docs, text, "piece_ids array<int>", make)
+        return work
+
+    return add_columns(docs, text, "piece_ids array<int>" + ", decoded string" * decoded, make)
 
 
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
-    """``encoded`` with ``decoded``: the text that ``piece_ids`` stand for."""
+    """``encoded`` with ``decoded``: the text that ``piece_ids`` stand for; null ids stand for the empty text."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        return lambda rows: [[shared.value.decode(ids or ()) for ids in rows]]
+        known = shared.value
+
+        def work(lists):
+            ids = lists.flatten().to_pylist()
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)).tolist()
+            return [[known.decode(ids[a:b]) for a, b in zip([0, *ends], ends)]]
+
+        return work
 
-    return add_columns(encoded, "piece_ids", "decoded string", make)
+    return add_columns(encoded, "piece_ids", "decoded string", make, arrow=True)

@@ -59,9 +59,9 @@ def op8_mixing(spark, sf_dir):
 @query
 def op1_sentencepiece(spark, sf_dir):
     model = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     low, high = min(model.byte_ids), max(model.byte_ids)
-    return pieces.decode(encoded, model).select(
+    return pieces.encode(docs, model, decoded=True).select(
         "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
         F.size(F.filter("piece_ids", lambda i: i.between(low, high))).cast("long").alias("n_byte_pieces"),
         F.crc32(F.array_join("piece_ids", " ")).alias("ids_crc32"),
