@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import html
 import random
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import join_tags, or_empty, resolve_link, strip_quotes
-from tidemark.functions.html import RecordSpec, parse_page
+from tidemark.functions.expressions import join_tags, or_empty, strip_quotes
+from tidemark.functions.markup import characters, resolve_link
 from tidemark.operators.inventory import exists_in
 from tidemark.operators.pages import (
     chained_records,
@@ -14,66 +16,80 @@ from tidemark.operators.pages import (
     extract_records,
     follow_chain,
     next_links,
+    page_links,
     parse_pages,
-    register_parse_page,
 )
 
 BASE = "https://site.example/list/page"
 PAGE = """<html><body>
 <div class="wide quote"><span class="text">“One &amp; <b>two</b> ”</span>
   <small class="author"> A. Author </small><div class="tags"><a class="tag">x</a> <a class="tag top"> y </a><a>no</a></div></div>
-<div class="quote"><span class="text">“No author<!-- c --> here”</span><div class="tags"></div></div>
-<div class="quote"><p><small class="author">Unclosed<div class="tags"><a class="tag">z</a></div></div>
+<div id='a>b' CLASS='quote'><span class=text>“No author<!-- c --> here”</span><div class="tags"></div></div>
+<div class="quoted"><span class="text">no box of its own</span></div>
 <script>var s = '<div class="quote"></div>';</script>
 <ul><li class="next"><a href="/page/2/">Next</a></li></ul></body></html>"""
 
 
-def test_records():
-    records, link = parse_page(PAGE, BASE)
-    assert records == [
-        {"quote_text": "One &two", "author": "A. Author", "tags": "x, y"},
-        {"quote_text": "No authorhere", "author": "", "tags": ""},
-        {"quote_text": "", "author": "Unclosedz", "tags": "z"},
-    ]
-    assert link == "https://site.example/page/2/"
+@pytest.fixture
+def pages(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), "url string, html string")
+
 
+def test_records(pages):
+    parsed = parse_pages(pages((BASE, PAGE), ("https://e.example/", "<p>none"), ("https://n.example/", None), (None, PAGE)))
+    found = sorted((r.url or "", r.quote_text, r.author, r.tags) for r in extract_records(parsed).collect())
+    records = [("One &two", "A. Author", "x, y"), ("No author here", "", "")]
+    assert found == sorted((u, *r) for u in ("", BASE) for r in records)
+    assert {tuple(r) for r in next_links(parsed).where("url IS NOT NULL").collect()} == {
+        (BASE, "https://site.example/page/2/"), ("https://e.example/", None), ("https://n.example/", None)}
+    fixed = next_links(parse_pages(pages((BASE, PAGE)), base_url="https://other.example/")).first()
+    assert fixed.next_url == "https://other.example/page/2/"
+    plan = parsed._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
 
-@pytest.mark.parametrize("html, link", [
+
+NEXT = [
     ('<a rel="next" href="p2">n</a><li class="next"><a href="/other"></a></li>', "https://site.example/list/p2"),
     ('<li class="next"><span><a href="/x"></a></span></li>', None),
     ('<a rel=next>n</a><li class="next"><a href="/x"></a></li>', None),
     ('<a rel="next nofollow" href="/x"></a>', None),
     ("", None),
     ('<li class="last next"><b>x</b><a href="../up?q=1#f">n', "https://site.example/up?q=1#f"),
-])
-def test_next_link(html, link):
-    assert parse_page(html, BASE)[1] == link
-
-
-def test_parse_pages(spark):
-    pages = spark.createDataFrame([(BASE, PAGE), ("https://e.example/", "<p>none"), ("https://n.example/", None)], "url string, html string")
-    parsed = parse_pages(pages)
-    assert sorted(tuple(r) for r in extract_records(parsed).collect()) == sorted([
-        (BASE, "One &two", "A. Author", "x, y"), (BASE, "No authorhere", "", ""), (BASE, "", "Unclosedz", "z"),
-    ])
-    assert {tuple(r) for r in next_links(parsed).collect()} == {
-        (BASE, "https://site.example/page/2/"), ("https://e.example/", None), ("https://n.example/", None)
-    }
-    fixed = next_links(parse_pages(pages, base_url="https://other.example/")).collect()
-    assert "https://other.example/page/2/" in {r.next_url for r in fixed}
-    register_parse_page(spark, RecordSpec(author="b"))
-    pages.createOrReplaceTempView("some_pages")
-    found = spark.sql("SELECT author FROM some_pages, LATERAL parse_page(html, url)").collect()
-    assert sorted(r.author for r in found) == ["", "", "two"]
-
-
-@pytest.mark.parametrize("href, link", [
-    ("/a", "https://h.example:8/a"), ("//o.example/b", "https://o.example/b"), ("http://x.example", "http://x.example"),
-    ("c", "https://h.example:8/d/c"), ("mailto:a@b", "mailto:a@b"),
-])
-def test_resolve_link(spark, href, link):
-    row = spark.createDataFrame([("https://h.example:8/d/e?x=/y/", href)], "base string, href string")
-    assert row.select(resolve_link(F.col("base"), F.col("href"))).first()[0] == link
+    ("<A HREF='it&#39;s&amp;x' REL='next'>", "https://site.example/list/it's&x"),
+    ("<!-- <a rel=next href=/no> --><a href=yes rel=next>", "https://site.example/list/yes"),
+]
+
+
+def test_next_links(pages):
+    rows = [(f"{BASE}{i}", h) for i, (h, _) in enumerate(NEXT)]
+    found = {r.url: r.next_url for r in next_links(parse_pages(pages(*rows))).collect()}
+    assert [found[u] for u, _ in rows] == [link for _, link in NEXT]
+
+
+def test_page_links(spark):
+    markup = """<a href="it's">1</a><A HREF=/two>2</A><a class='>' href='?x=1&amp;y=2'>3</a><!-- <a href="/no"> --><a name=x>4</a>"""
+    frame = spark.createDataFrame([(1, "https://h.example/d/e?q", markup), (2, "https://h.example", None)], "page_id long, url string, html string")
+    assert {r.link for r in page_links(frame).collect()} == {
+        "https://h.example/d/it's", "https://h.example/two", "https://h.example/d/e?x=1&y=2"}
+
+
+HREFS = ["/a", "//o.example/b", "http://x.example", "c", "mailto:a@b", "#top", "?p=2", "", "../c", "./d", "../../../e", "a/../b/./c/",
+         "..", ".", "a//b", "/x/../y?z#w", "g;x=1", "?#", "/.", "./", "a/..", "https://h.example:8/q/../r"]
+
+
+@pytest.mark.parametrize("base", ["https://h.example:8/d/e?x=/y/", "https://h.example/a/b/c/", "http://h.example"])
+def test_resolve_link(spark, base):
+    rows = spark.createDataFrame([(base, h) for h in HREFS], "base string, href string")
+    found = {r.href: r.link for r in rows.select("href", resolve_link(F.col("base"), F.col("href")).alias("link")).collect()}
+    hrefs = [h for h in HREFS if h not in ("?#",)]
+    assert {h: found[h] for h in hrefs} == {h: urljoin(base, h) for h in hrefs}
+
+
+def test_characters(spark):
+    texts = ["a &amp; b", "&lt;b&gt;", "&#8220;x&#x201d;", "&copy 2", "&unknown; &", "&&amp;amp;", "&#0; &#xZZ;", "", "&#128512;!"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", characters(F.col("t")).alias("c")).collect()
+    expected = {t: html.unescape(t) for t in texts} | {"&#0; &#xZZ;": "&#0; &#xZZ;"}
+    assert {r.t: r.c for r in rows} == expected
 
 
 def test_text_expressions(spark):

@@ -63,18 +63,3 @@ def strip_quotes(text: Column) -> Column:
 
 def join_tags(tags: Column) -> Column:
     return F.array_join(tags, ", ")
-
-
-def resolve_link(base: Column, href: Column) -> Column:
-    """Absolute link for the absolute, ``//host`` and root-relative forms, and for
-    plain relative names. Dot segments need ``urljoin``; see ``functions.html``.
-    """
-    origin = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*", 0)
-    scheme = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*:", 0)
-    folder = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*((?:/[^/?#]*)*/)", 1)
-    return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href.startswith("/"), F.concat(origin, href))
-        .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), href))
-    )

@@ -1,42 +1,90 @@
-"""Records, links and link chains of stored web pages."""
+"""Records, links and link chains of stored web pages, by built-in expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import resolve_link
-from tidemark.functions.html import RecordSpec, parse_page
+from tidemark.functions.expressions import join_tags, or_empty, strip_quotes
+from tidemark.functions.markup import (
+    REST,
+    attribute,
+    plain_text,
+    resolve_link,
+    stripped,
+    tag,
+    value_has,
+    value_is,
+    visible,
+)
 from tidemark.workspace import Folder, fresh_folder, written
 
-LINK = r"""<a\s(?:[^>]*\s)?href=["']([^"']*)["']"""
+#: What may stand in an element before a child: text and closed elements without elements in them.
+CHILDREN = rf"(?:[^<]|<(\w+)(?=[\s/>]){REST}>[^<]*</\1\s*>)*"
 
-PARSED = (
-    "url string, records array<struct<quote_text: string, author: string, tags: string>>, next_url string"
-)
 
+def within(*openings: str) -> str:
+    """Pattern of opening tags inside each other; the last may follow anywhere in the one before."""
+    return ".*?".join(openings)
 
-def parse_pages(pages: DataFrame, spec: RecordSpec = RecordSpec(), base_url: str | None = None) -> DataFrame:
-    """url, records and next_url per page; links resolve against the page or ``base_url``.
 
-    Only url and html travel to Python, in Arrow batches; nothing shuffles.
+@dataclass(frozen=True)
+class RecordSpec:
+    """Patterns of the opening tags of boxes, fields and tags, and how the next link is found.
+
+    A box reaches to the next box, a field to the first closing tag of its name. ``next_link`` has
+    patterns whose last group is the opening tag of the link; the first that is found decides.
     """
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            parsed = [
-                parse_page(html or "", base_url or url, spec) for url, html in zip(batch["url"], batch["html"])
-            ]
-            yield pd.DataFrame({
-                "url": batch["url"],
-                "records": [records for records, _ in parsed],
-                "next_url": [link for _, link in parsed],
-            })
+    box: str = tag("div", "class", value_has("quote"))
+    text: tuple[str, str] = ("span", tag("span", "class", value_has("text")))
+    author: tuple[str, str] = ("small", tag("small", "class", value_has("author")))
+    tags: tuple[str, str] = ("a", tag("a", "class", value_has("tag")))
+    next_link: tuple[str, ...] = (
+        f"({tag('a', 'rel', value_is('next'))})",
+        f"{tag('li', 'class', value_has('next'))}{CHILDREN}({tag('a')})",
+    )
+
+
+def field(box: Column, name: str, opening: str) -> Column:
+    """Text of the first such element; empty if there is none."""
+    return or_empty(plain_text(F.regexp_extract(box, rf"(?is){opening}(.*?)</{name}\s*>", 1)))
+
+
+def record(box: Column, spec: RecordSpec) -> Column:
+    found = F.regexp_extract_all(box, F.lit(rf"(?is){spec.tags[1]}(.*?)</{spec.tags[0]}\s*>"), F.lit(1))
+    return F.struct(
+        stripped(strip_quotes(field(box, *spec.text))).alias("quote_text"),
+        field(box, *spec.author).alias("author"),
+        join_tags(F.transform(found, plain_text)).alias("tags"),
+    )
+
 
-    return pages.select("url", "html").mapInPandas(parse, PARSED)
+def next_link(html: Column, base: Column, spec: RecordSpec) -> Column:
+    chosen = F.lit(None).cast("string")
+    for pattern in reversed(spec.next_link):
+        # Groups before the last one belong to the pattern itself.
+        group = pattern.replace(r"\(", "").count("(") - pattern.count("(?")
+        opening = F.regexp_extract(html, f"(?is){pattern}", group)
+        chosen = F.when(opening != "", resolve_link(base, attribute(opening, "href"))).otherwise(chosen)
+    return chosen
+
+
+def parse_pages(pages: DataFrame, spec: RecordSpec = RecordSpec(), base_url: str | None = None) -> DataFrame:
+    """url, records and next_url per page; links resolve against the page or ``base_url``.
+
+    A null page has no records and no next link.
+    """
+    cut = pages.select("url", or_empty(visible(F.col("html"))).alias("html"))
+    boxes = F.split("html", f"(?is){spec.box}")
+    base = F.col("url") if base_url is None else F.lit(base_url)
+    return cut.select(
+        "url",
+        F.transform(F.slice(boxes, 2, F.size(boxes)), lambda box: record(box, spec)).alias("records"),
+        next_link(F.col("html"), base, spec).alias("next_url"),
+    )
 
 
 def extract_records(parsed: DataFrame) -> DataFrame:
@@ -50,23 +98,11 @@ def next_links(parsed: DataFrame) -> DataFrame:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """One row per anchor with a link, resolved; stays in the JVM."""
-    return pages.select(
-        "page_id", "url", F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1))).alias("href")
-    ).select("page_id", resolve_link(F.col("url"), F.col("href")).alias("link"))
-
-
-def register_parse_page(spark: SparkSession, spec: RecordSpec = RecordSpec()) -> None:
-    """SQL form: ``SELECT … FROM pages, LATERAL parse_page(html, url)``."""
-
-    @F.udtf(returnType="quote_text string, author string, tags string, next_url string", useArrow=True)
-    class ParsePage:
-        def eval(self, html: str, base_url: str):
-            records, link = parse_page(html or "", base_url or "", spec)
-            for r in records:
-                yield r["quote_text"], r["author"], r["tags"], link
-
-    spark.udtf.register("parse_page", ParsePage)
+    """One row per anchor with a link, resolved."""
+    anchors = F.regexp_extract_all(visible(F.col("html")), F.lit(f"(?is)({tag('a')})"), F.lit(1))
+    found = pages.select("page_id", "url", F.explode(anchors).alias("anchor"))
+    found = found.select("page_id", "url", attribute(F.col("anchor"), "href").alias("href")).where("href IS NOT NULL")
+    return found.select("page_id", resolve_link(F.col("url"), F.col("href")).alias("link"))
 
 
 def existing_links(links: DataFrame, pages: DataFrame, page: str = "page", target: str = "next_page") -> DataFrame:
@@ -113,10 +149,10 @@ def chained_records(
     """seed, depth, url and record for the pages reached from each seed by next links.
 
     ``seeds`` has url. A walk ends at a page without a next link or whose next
-    page is not stored. Every page is parsed once.
+    page is not stored. Only links are written for the walk; records are cut at the end.
     """
-    parsed = written(parse_pages(pages, spec, base_url), fresh_folder(pages.sparkSession, "parsed"))
-    links = next_links(parsed).toDF("page", "next_page")
+    parsed = parse_pages(pages, spec, base_url)
+    links = written(next_links(parsed).toDF("page", "next_page"), fresh_folder(pages.sparkSession, "links"))
     stored = parsed.select(F.col("url").alias("page"), "records")
-    walks = follow_chain(seeds.select(F.col("url").alias("page")), existing_links(links, stored))
+    walks = follow_chain(seeds.select(F.col("url").alias("page")), existing_links(links, links))
     return walks.join(stored, "page").select("seed", "depth", F.col("page").alias("url"), F.inline("records"))

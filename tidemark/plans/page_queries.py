@@ -6,9 +6,10 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.html import RecordSpec
+from tidemark.functions.markup import tag
 from tidemark.operators import pages as pg
 from tidemark.operators.inventory import exists_in
+from tidemark.operators.pages import within
 from tidemark.plans.inputs import chained_pages, page_chain_links, table, user_events
 from tidemark.plans.registry import query
 from tidemark.schemas import RECORDS
@@ -17,12 +18,13 @@ from tidemark.sources.writers import write_events, write_records
 from tidemark.workspace import fresh_folder
 
 # The stored pages hold one article each; their menu takes the place of tags.
-SPEC = RecordSpec(
-    box="body",
-    text="article > h1",
-    author="footer",
-    tags="nav li a",
-    next_link=("a[rel=next]", "li.next > a", "nav li a"),
+MENU_LINK = within(tag("li"), tag("a"))
+SPEC = pg.RecordSpec(
+    box=tag("body"),
+    text=("h1", within(tag("article"), tag("h1"))),
+    author=("footer", tag("footer")),
+    tags=("a", MENU_LINK),
+    next_link=(*pg.RecordSpec.next_link, within(tag("li"), f"({tag('a')})")),
 )
 
 
@@ -61,11 +63,10 @@ def page_next_links(spark, sf_dir):
 
 @query("page_records_sql", f"SELECT url, {RECORD} FROM pages")
 def page_records_sql(spark, sf_dir):
-    """The same records through the SQL table function."""
-    pg.register_parse_page(spark, SPEC)
+    """The same records in SQL."""
     return spark.sql(
-        "SELECT url, quote_text, author, tags FROM {pages}, LATERAL parse_page(html, url)",
-        pages=table(spark, sf_dir, "pages"),
+        "SELECT url, quote_text, author, tags FROM {parsed} LATERAL VIEW inline(records) r AS quote_text, author, tags",
+        parsed=pg.parse_pages(table(spark, sf_dir, "pages"), SPEC),
     )
 
 
@@ -96,7 +97,7 @@ SELECT s.url AS seed, p.page_id % 7 AS depth, p.url, {RECORD.replace('html', 'p.
 FROM pages p JOIN pages s ON s.page_id = p.page_id - p.page_id % 7""")
 def chain_records(spark, sf_dir):
     """Records of all pages met by following next links from the first page of each run."""
-    spec = replace(SPEC, next_link=RecordSpec.next_link)
+    spec = replace(SPEC, next_link=pg.RecordSpec.next_link)
     return pg.chained_records(chained_pages(spark, sf_dir), first_pages(spark, sf_dir), spec)
 
 
