@@ -16,10 +16,11 @@ from tidemark.workspace import fresh_folder
 
 FIELDS = ["name", "email", "role"]
 DAY = "2024-01-03"
+EDITOR = "nightly load"
 
 CHANGES = f"""WITH users_old AS ({USERS_OLD_SQL}), users_new AS ({USERS_NEW_SQL}), changes AS (""" + " UNION ALL ".join(
     f"""SELECT n.id AS user_id, updated_at AS changed_at, '{f}' AS field_changed,
-    o.{f} AS old_value, n.{f} AS new_value
+    o.{f} AS old_value, n.{f} AS new_value, '{EDITOR}' AS changed_by
     FROM users_old o JOIN users_new n ON o.id = n.id WHERE o.{f} IS DISTINCT FROM n.{f}"""
     for f in FIELDS
 ) + ")"
@@ -28,7 +29,7 @@ ONE_DAY = f"WHERE CAST(changed_at AS date) = DATE '{DAY}'"
 
 def all_changes(spark, sf_dir):
     old, new = user_versions(spark, sf_dir)
-    return log_changes(old, new, FIELDS, F.col("new.updated_at"))
+    return log_changes(old, new, FIELDS, F.col("new.updated_at"), EDITOR)
 
 
 @query("user_pairs", f"""WITH users_old AS ({USERS_OLD_SQL}), users_new AS ({USERS_NEW_SQL})
@@ -42,7 +43,7 @@ def user_pairs(spark, sf_dir):
 
 @query("change_log", f"{CHANGES} SELECT * FROM changes")
 def change_log(spark, sf_dir):
-    return all_changes(spark, sf_dir).drop("changed_by")
+    return all_changes(spark, sf_dir)
 
 
 @query("change_log_bucketed", f"{CHANGES} SELECT * FROM changes")
@@ -54,12 +55,15 @@ def change_log_bucketed(spark, sf_dir):
     for users, name in zip(user_versions(spark, sf_dir), names):
         write_version(users, name, f"{path}/{name}", int(spark.conf.get("spark.sql.shuffle.partitions")))
     old, new = map(spark.table, names)
-    return log_changes(old, new, FIELDS, F.col("new.updated_at")).drop("changed_by")
+    log = log_changes(old, new, FIELDS, F.col("new.updated_at"), EDITOR)
+    for name in names:  # their files stay
+        spark.sql(f"DROP TABLE {name}")
+    return log
 
 
 @query("audit_day", f"{CHANGES} SELECT * FROM changes {ONE_DAY}")
 def audit_day(spark, sf_dir):
-    return changes_of_day(all_changes(spark, sf_dir), DAY).drop("changed_by")
+    return changes_of_day(all_changes(spark, sf_dir), DAY)
 
 
 @query("audit_export", f"{CHANGES} SELECT * FROM changes {ONE_DAY}")
@@ -68,4 +72,4 @@ def audit_export(spark, sf_dir):
     folder = fresh_folder(spark, "audit")
     append_audit(all_changes(spark, sf_dir), f"{folder}/log")
     path = export_audit(read_audit(spark, f"{folder}/log"), DAY, folder)
-    return read_csv(spark, path, AUDIT).drop("changed_by")
+    return read_csv(spark, path, AUDIT)

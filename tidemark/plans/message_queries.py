@@ -11,7 +11,7 @@ from tidemark.plans.inputs import USER_LOGINS_SQL, user_logins
 from tidemark.plans.registry import query
 from tidemark.schemas import LOGIN_MESSAGE
 from tidemark.sources.readers import inventory, read_topic
-from tidemark.sources.writers import write_messages
+from tidemark.sources.writers import create_table, write_messages
 from tidemark.streaming.ingest import append_once, ingest_logins, read_logins, read_quarantine
 from tidemark.streaming.publish import publish_outbox, read_ledger
 from tidemark.workspace import fresh_folder
@@ -128,8 +128,15 @@ def ingested(spark, sf_dir) -> str:
 
 @query("ingest_stream", GOOD)
 def ingest_stream(spark, sf_dir):
-    logins = read_logins(spark, ingested(spark, sf_dir))
-    return with_plain_time(logins.select("username", "event_type", "event_time"))
+    """Ingested, and loaded into a table that is created if it is not there."""
+    folder = ingested(spark, sf_dir)
+    name = f"logins_{folder.rsplit('-', 1)[1]}"
+    for _ in range(2):
+        create_table(spark, name, "username string, event_type string, event_time timestamp", path=f"{folder}/table")
+    read_logins(spark, folder).select("username", "event_type", "event_time").write.insertInto(name)
+    logins = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # its files stay
+    return with_plain_time(logins)
 
 
 @query("ingest_stream_quarantine", BAD)

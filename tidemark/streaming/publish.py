@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.outbox import to_messages, unsent
 from tidemark.workspace import Folder, fresh_folder, written
@@ -15,15 +16,20 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.schema("id long").parquet(path) if Folder(spark, path).has() else None
 
 
-def publish_outbox(rows: DataFrame, ledger: str, send: Callable[[DataFrame], None]) -> DataFrame:
-    """Send the messages of all unsent rows, then record their ids; returns what was sent.
+def publish_outbox(rows: DataFrame, ledger: str, send: Callable[[DataFrame], None]) -> None:
+    """Send the messages of all unsent rows, then record their ids.
 
     The run is first written to the shared folder, so the ids recorded are
     the ids sent even if the source changes meanwhile. If the run fails before
-    the ids are recorded, the next one sends the rows again.
+    the ids are recorded, the next one sends the rows again. Of the ledger only
+    the range of ids that are still flagged unsent is read.
     """
-    spark = rows.sparkSession
-    run = written(to_messages(unsent(rows, read_ledger(spark, ledger))), fresh_folder(spark, "outbox"))
+    spark, folder = rows.sparkSession, fresh_folder(rows.sparkSession, "outbox")
+    sent = read_ledger(spark, ledger)
+    if sent is not None:
+        least, most = unsent(rows).agg(F.min("id"), F.max("id")).first()
+        sent = sent.where(F.col("id").between(least, most))
+    run = written(to_messages(unsent(rows, sent)), folder)
     send(run)
-    run.select("id").write.mode("append").parquet(ledger)
-    return run
+    run.select("id").sortWithinPartitions("id").write.mode("append").parquet(ledger)
+    Folder(spark, folder).remove("")
