@@ -98,7 +98,8 @@ def test_mixture_covers_blocks_in_turn(docs):
 
 def test_mixed_documents_hold_the_taken_words(docs):
     rows, frame = docs
-    frame = frame.withColumn("n_chars", F.lit(0).cast("long"))
+    clashing = {c: F.lit(1) for c in ("ranges", "whole", "words", "first", "ix", "start", "pass", "text_hash", "block_ix")}
+    frame = frame.withColumns(clashing | {"n_chars": F.lit(0).cast("long")})
     mixed = mixing.mixed_documents(frame)
     assert mixed.columns == frame.columns
     texts = {}

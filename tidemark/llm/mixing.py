@@ -151,16 +151,18 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, limit: float = LIMIT, bloc
     ranges = F.sort_array(F.collect_list(F.struct("first", "words")))
     rows = mixed.groupBy("ix", "start", "pass", "doc_id", "text_hash", "size").agg(
         ranges.alias("ranges"), F.sum("words").alias("taken"))
-    rows = rows.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "ranges",
-                       (F.col("taken") == F.col("size")).alias("whole"))
-    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    # Names that no column of the documents has.
+    rows = rows.select(F.col("doc_id").alias("_mix_id"), F.col("text_hash").alias("_mix_hash"),
+                       F.col("ranges").alias("_mix_ranges"), (F.col("taken") == F.col("size")).alias("_mix_whole"))
+    hashed = docs.withColumn("_mix_text", F.xxhash64("text"))
     ids = docs.select("doc_id", F.xxhash64("text").alias("h"))
     if not ids.groupBy("doc_id", "h").count().where("count > 1").isEmpty():
-        hashed = hashed.dropDuplicates(["doc_id", "_text_hash"])
-    both = hashed.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
+        hashed = hashed.dropDuplicates(["doc_id", "_mix_text"])
+    both = hashed.join(rows, F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.col("_mix_text") == F.col("_mix_hash")))
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    some = F.array_join(F.flatten(F.transform("ranges", lambda r: F.slice(words, (r["first"] + 1).cast("int"), r["words"].cast("int")))), " ")
-    text = F.when(F.col("whole"), F.col("text")).otherwise(some)
+    some = F.array_join(F.flatten(F.transform("_mix_ranges", lambda r: F.slice(
+        words, (r["first"] + 1).cast("int"), r["words"].cast("int")))), " ")
+    text = F.when(F.col("_mix_whole"), F.col("text")).otherwise(some)
     out = both.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
