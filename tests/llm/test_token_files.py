@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -42,7 +44,10 @@ ODD = ["a\x1cb \x1d", "  <|endoftext|> x<|startoftext|>y", "É é é ́x á.",
 
 def test_ids_are_those_of_whole_texts(tokenizer):
     encoder = token_files.Encoder(PATH)
-    found = [np.frombuffer(x, "<u2").tolist() for x in encoder([*ODD, None, *ODD])]
+    found = [np.frombuffer(x, "<u2").tolist() for x in encoder(pa.array([*ODD, None, *ODD]))]
+    plain = [t for t in ODD if not re.search("[\x1c-\x1f]", t)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder(pa.array(plain))] == [
+        e.ids for e in tokenizer.encode_batch(plain, add_special_tokens=False)]
     expected = [e.ids for e in tokenizer.encode_batch(ODD, add_special_tokens=False)]
     assert found == [*expected, [], *expected]
 
@@ -50,7 +55,7 @@ def test_ids_are_those_of_whole_texts(tokenizer):
 @given(st.text(max_size=40))
 @settings(max_examples=300, deadline=None)
 def test_ids_of_any_text(tokenizer, text):
-    found = np.frombuffer(token_files.Encoder.__call__(ENCODER, [text])[0], "<u2").tolist()
+    found = np.frombuffer(ENCODER(pa.array([text]))[0], "<u2").tolist()
     assert found == tokenizer.encode(text, add_special_tokens=False).ids
 
 

@@ -26,10 +26,11 @@ import os
 import re
 import struct
 import zlib
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,16 +40,22 @@ from tidemark.llm.tables import pieces, with_small_batches
 
 END = 2
 BLOCK_TOKENS = 1 << 20
+#: Characters cut into stretches at once; fewer of them are distinct in more text.
+ENCODED_CHARS = 4_000_000
 SAMPLE = 256
 HEADER = struct.Struct("<8sBxxxIIQq")
 SEQUENCE = struct.Struct("<BxxxIIII")
 MAGIC = b"TIDEIDS1"
-MAX_KEPT, MAX_KEPT_CHARS = 200_000, 40
+#: Stretches whose ids a worker keeps.
+MAX_KEPT = 400_000
+#: How the vocabulary marks an id that ends a word, and words that are one stretch for the tokenizer.
+WORD_END = "</w>"
+WORD = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 #: White space as Unicode has it; text.split() also cuts at four control characters.
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
-#: A sign behind a letter or digit, where the tokenizer begins a new stretch, too.
-SIGN = re.compile("(?<=[0-9A-Za-zÀ-ɏ])[.,;:!?%&*#$]")
-SEPARATORS = re.compile("[\x1c-\x1f]")
+#: A letter or digit and a sign, between which the tokenizer begins a new stretch, too.
+SIGN = "([0-9A-Za-zÀ-ɏ])([.,;:!?%&*#$])"
+SEPARATORS = "[\x1c-\x1f]"
 
 
 class EliasFano:
@@ -144,64 +151,132 @@ def pack(keys: list[int | None], sizes: list[int], ids: bytes, width: int) -> by
     return b"".join((head, ends.to_bytes(), own.to_bytes(), ids))
 
 
-def stretches(text: str) -> list[str]:
-    """A text cut where the tokenizer cuts before anything else: at white space and between words and signs.
+def stretches(texts: pa.Array) -> pa.ListArray:
+    """Texts cut where the tokenizer cuts before anything else: at white space and between words and signs.
 
     The tokenizer also writes letters small, so plain texts are; ``<|`` may begin a special token.
     """
-    if text.isascii() and "<|" not in text:
-        text = text.lower()
-    text = SIGN.sub(r" \g<0>", text)
-    return [s for s in SPACE.split(text) if s] if SEPARATORS.search(text) else text.split()
+    texts = pc.fill_null(texts, "")
+    plain = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<|")))
+    texts = pc.replace_substring_regex(pc.if_else(plain, pc.ascii_lower(texts), texts), SIGN, r"\1 \2")
+    if pc.any(pc.match_substring_regex(texts, SEPARATORS)).as_py():
+        return pa.array([SPACE.split(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+    return pc.utf8_split_whitespace(texts)
+
+
+class Seen(dict):
+    """Stretches numbered in the order they come."""
+
+    def __missing__(self, stretch):
+        self[stretch] = number = len(self)
+        return number
 
 
 class Encoder:
-    """Ids of texts. Each stretch is encoded by the library once and kept."""
+    """Ids of texts. Each stretch is encoded by the library once and its ids are kept."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kept = Tokenizer.from_file(path), {}
-        self.width, self.code = (2, "H") if self.tokenizer.get_vocab_size() <= 1 << 16 else (4, "I")
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as they are written."""
-        kept = self.kept
-        if len(kept) > MAX_KEPT:
-            kept.clear()
-        cut = [stretches(t) if t else [] for t in texts]
-        new = list(set(chain.from_iterable(cut)).difference(kept))
-        for stretch, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            kept[stretch] = self.packed(encoded.ids)
-        ids = [b"".join(map(kept.__getitem__, one)) for one in cut]
-        for stretch in new:
-            if len(stretch) > MAX_KEPT_CHARS:
-                kept.pop(stretch, None)
-        return ids
+        self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.closes = np.zeros(size, bool)
+        self.closes[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.seen, self.done, self.used = Seen(), 0, 0
+        self.ids = np.zeros(1 << 16, self.kind)
+        self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as they are written. Only the distinct stretches of a batch reach Python."""
+        if len(self.seen) > MAX_KEPT:
+            self._forget()
+        cut = stretches(texts)
+        distinct = cut.flatten().dictionary_encode()
+        listed = distinct.dictionary.to_pylist()
+        numbers = np.fromiter(map(self.seen.__getitem__, listed), np.int64, len(listed))
+        if len(self.seen) > self.done:
+            self._learn(list(islice(self.seen, self.done, None)))
+        numbers = numbers[distinct.indices.to_numpy()]
+        counts = pc.list_value_length(cut).to_numpy()
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[numbers] - (ends - sizes), sizes)
+        data, width = self.ids[places].tobytes(), self.kind.itemsize
+        bounds = np.concatenate([[0], np.concatenate([[0], ends])[np.cumsum(counts)]]) * width
+        return [data[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+
+    def _learn(self, new: list[str]) -> None:
+        words = [i for i, s in enumerate(new) if WORD.fullmatch(s)]
+        order, flat, sizes = [], [], []
+        # A word is one stretch of its own and its last id ends a word, so many are encoded as one text.
+        groups = [words[i : i + 256] for i in range(0, len(words), 256)]
+        texts = [" ".join([new[i] for i in some]) for some in groups]
+        for some, one in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(one.ids, np.int64)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(some):
+                order += some
+                flat.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+        rest = sorted(set(range(len(new))).difference(order))
+        for one in self.tokenizer.encode_batch_fast([new[i] for i in rest], add_special_tokens=False):
+            flat.append(np.array(one.ids, np.int64))
+            sizes.append(np.array([len(one.ids)]))
+        flat, sizes, end = np.concatenate(flat), np.concatenate(sizes), self.done + len(new)
+        self.starts, self.sizes = grown(self.starts, end), grown(self.sizes, end)
+        self.ids = grown(self.ids, self.used + len(flat))
+        at = self.done + np.array(order + rest)
+        self.sizes[at], self.starts[at] = sizes, self.used + np.cumsum(sizes) - sizes
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.done, self.used = end, self.used + len(flat)
 
     def packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+        return np.array(ids, self.kind).tobytes()
+
+
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    """The array, or one at least twice as long that begins with it."""
+    if size <= len(values):
+        return values
+    more = np.zeros(max(size, 2 * len(values)), values.dtype)
+    more[: len(values)] = values
+    return more
+
+
+#: The encoder of this Python worker, with what it has kept, by its file.
+IN_WORKER: dict[str, Encoder] = {}
+
+
+def worker_encoder(path: str) -> Encoder:
+    if path not in IN_WORKER:
+        IN_WORKER.clear()
+        IN_WORKER[path] = Encoder(path)
+    return IN_WORKER[path]
 
 
 def _blocks(path: str, end: int):
     def run(batches):
-        encoder, part, number = Encoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, number = worker_encoder(path), TaskContext.get().partitionId(), 0
         keys, sizes, held, tokens = [], [], [], 0
         last = encoder.packed([end])
 
         def block():
-            data = pack(keys, sizes, b"".join(held), encoder.width)
+            data = pack(keys, sizes, b"".join(held), encoder.kind.itemsize)
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "number": pa.array([number], pa.int32()),
                 "n_docs": pa.array([len(keys)], pa.int64()), "n_tokens": pa.array([tokens], pa.int64()),
                 "block": pa.array([data], pa.binary())})
 
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                for key, ids in zip(piece.column("key").to_pylist(), encoder(piece.column("text").to_pylist())):
+            for piece in pieces(batch, "text", ENCODED_CHARS):
+                for key, ids in zip(piece.column("key").to_pylist(), encoder(piece.column("text"))):
                     ids += last
-                    keys.append(key), sizes.append(len(ids) // encoder.width), held.append(ids)
+                    keys.append(key), sizes.append(len(ids) // encoder.kind.itemsize), held.append(ids)
                     tokens += sizes[-1]
                     if tokens >= BLOCK_TOKENS:
                         yield block()
