@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 from tidemark.schemas import SALES
 from tidemark.sources.readers import inventory, read_csv, read_outbox, read_topic
 from tidemark.sources.writers import create_table, write_csv, write_records
-from tidemark.workspace import Folder, fresh_folder, shared_folder, written
+from tidemark.workspace import Folder, fresh_folder, passing_folders, shared_folder, written
 
 
 def test_two_column_csv(spark, tmp_path):
@@ -127,3 +127,12 @@ def test_write_csv_replaces(spark):
     for n in (3, 2):
         write_csv(spark.range(n), path)
     assert read_csv(spark, path).count() == 2
+
+
+def test_passing_folders_are_removed(spark):
+    kept = fresh_folder(spark, "kept")
+    with passing_folders(spark):
+        passing = fresh_folder(spark, "passing")
+        result = written(written(spark.range(3), passing), kept)
+    assert Folder(spark, kept).has() and not Folder(spark, passing).has()
+    assert result.count() == 3

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +27,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+made: list[str] = []
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    made.append(f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}")
+    return made[-1]
+
+
+@contextmanager
+def passing_folders(spark: SparkSession) -> Iterator[None]:
+    """Removes the fresh folders of the block when it ends; what is read from them must be written by then."""
+    before = len(made)
+    try:
+        yield
+    finally:
+        for path in made[before:]:
+            Folder(spark, path).remove("")
+        del made[before:]
 
 
 def written(df: DataFrame, path: str) -> DataFrame:
