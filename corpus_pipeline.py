@@ -1,6 +1,7 @@
 """A corpus in stages: each takes (spark, docs, sf_dir) and returns what the next one reads.
 
-``run`` writes what each stage returns as Parquet in the shared folder and reads it back.
+``run`` writes what each stage returns as Parquet in the shared folder and reads it back; what a stage
+needed on its way, and the result before, are removed.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import language, mixing, pieces, simhash, toxicity
 from tidemark.llm.tables import held_out, table
-from tidemark.workspace import fresh_folder, written
+from tidemark.workspace import Folder, fresh_folder, passing_folders, written
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +62,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
-        docs = written(stage(spark, docs, sf_dir), f"{folder}/{number}-{name.replace(' ', '-')}")
+        with passing_folders(spark):
+            docs = written(stage(spark, docs, sf_dir), f"{folder}/{number}-{name.replace(' ', '-')}")
+        if number:
+            Folder(spark, folder).remove(f"{number - 1}-{STAGES[number - 1][0].replace(' ', '-')}")
     return docs
