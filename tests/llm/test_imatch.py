@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from tidemark.llm import imatch
 
@@ -16,9 +17,9 @@ def texts_of(n, seed):
 
 
 def plain_lexicon(texts, most_share=imatch.MOST_SHARE, least=imatch.LEAST_DOCUMENTS):
-    terms, seen = imatch.Terms(), {}
-    for t in texts:
-        for x in terms.of(t).tolist():
+    seen = {}
+    for own in imatch.terms_of(texts):
+        for x in own.tolist():
             seen[x] = seen.get(x, 0) + 1
     return {x for x, n in seen.items() if least <= n <= max(least, most_share * len(texts))}
 
@@ -44,10 +45,9 @@ def test_edited_and_next_texts(spark, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     ordered = [(k, t or "") for k, t in sorted(zip(keys, texts))]
-    terms = imatch.Terms()
 
     def print_of(text):
-        return imatch.fingerprint(known.keep(terms.of(text)))
+        return imatch.fingerprint(known.keep(imatch.terms_of([text])[0]))
 
     assert len(found) == len(texts)
     for (key, text), (_, following) in zip(ordered, ordered[1:] + ordered[:1]):
@@ -85,19 +85,29 @@ def test_likeness_follows_common_terms():
 
 def test_subsets_are_hashes_of_their_sorted_terms():
     terms = np.array([3, 10, 77, 1000], np.int64)
-    inside = imatch.members(terms.astype("<u4"))
-    assert inside.shape == (imatch.SIZES, imatch.PER_SIZE, 4)
-    assert 0.3 < imatch.members(np.arange(20_000))[0].mean() < 0.7
-    assert abs(imatch.members(np.arange(200_000))[2].mean() - 1 / 32) < 0.003
+    subset, place = imatch.members(terms.astype("<u4"))
+    held = {one: terms[place[subset == one]].tolist() for one in set(subset.tolist())}
+    assert all(own == sorted(own) for own in held.values())
+    assert sorted(t for one, own in held.items() if one < imatch.PER_SIZE for t in own) == terms.tolist()
     found = imatch.fingerprint(terms)
-    for size in range(imatch.SIZES):
-        for copy in range(imatch.PER_SIZE):
-            at = 16 + (size * imatch.PER_SIZE + copy) * imatch.DIGITS
-            assert (found[at : at + imatch.DIGITS] == imatch.NO_TERM) == (not inside[size, copy].any())
+    for one in range(imatch.SIZES * imatch.PER_SIZE):
+        part = found[16 + one * imatch.DIGITS :][: imatch.DIGITS]
+        own = np.array(held.get(one, []), "<u4")
+        code = imatch.CODES[xxhash.xxh32_intdigest(own.tobytes(), one) & 0xFFF]
+        assert part == (code if len(own) else imatch.NO_TERM)
+    subset, _ = imatch.members(np.arange(100_000))
+    shares = np.bincount(subset // imatch.PER_SIZE) / 100_000
+    assert shares == pytest.approx([2.0**-j for j in range(imatch.SIZES)], rel=0.2)
     empty = imatch.fingerprint(terms[:0])
     assert imatch.likeness(empty, empty) == 1.0 and imatch.likeness(empty, found) == 0.0
 
 
+def test_terms():
+    found = imatch.terms_of(["", None, "a A  b", "--", "É_1 é_1!", "x", ""])
+    assert [len(t) for t in found] == [0, 0, 2, 0, 1, 1, 0]
+    assert all((np.diff(t) > 0).all() for t in found) and imatch.terms_of([]) == []
+
+
 def test_fingerprinted(spark):
     docs = spark.createDataFrame([("A b c", 1), ("c B a", 2), (None, 3)], "text string, imatch int")
     rows = imatch.fingerprinted(docs, imatch.lexicon(docs)).collect()

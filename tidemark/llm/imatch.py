@@ -4,11 +4,12 @@ The lexicon is what lies in a band of inverse document frequency over all docume
 Terms are numbers: a word's hash in a space of ``SPACE`` values, so the lexicon is a bit
 map of fixed size whatever the vocabulary, and words that share a value are one term. A text's
 distinct terms in the lexicon, sorted, are hashed whole and once for each of several
-random subsets of the lexicon. Subsets come in sizes of one half, one eighth, and so
-on: the small ones leave a long text few terms and still agree after an edit.
+random subsets of the lexicon. There are ``PER_SIZE`` subsets of each size; the largest share the
+lexicon out among them, the next half of it, and so on: the small ones leave a long text
+few terms and still agree after an edit.
 
-A fingerprint is the hash of the whole (16 hex digits) and one of 3 hex digits for each subset;
-``---`` where a subset leaves no term. Likeness is the share of equal hashes among small
+A fingerprint is the hash of the whole (16 hex digits) and one of 12 bits, two characters, for each
+subset; ``--`` where a subset leaves no term. Likeness is the share of equal hashes among small
 subsets that leave a term in either, which estimates the share of common terms.
 
 Defined results: null and empty texts have the fingerprint of no terms; a text whose
@@ -20,10 +21,11 @@ gives no rows; extra columns pass through ``fingerprinted`` and are dropped by `
 from __future__ import annotations
 
 import hashlib
-import re
+import string
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,36 +38,40 @@ from tidemark.workspace import fresh_folder, written
 SPACE = 1 << 24
 #: Terms in more than this share of the documents, or in fewer than this many, are outside the band.
 MOST_SHARE, LEAST_DOCUMENTS = 0.1, 2
-#: Subsets keep a term with chance 1/2, 1/8, 1/32, and so on; there are ``PER_SIZE`` of each size.
-SIZES, PER_SIZE = 7, 24
+#: At each size a term is in one of the subsets or, but for the largest size, in none; ``PER_SIZE`` is a power of two.
+SIZES, PER_SIZE = 10, 16
 SEED = 42
-MAX_KEPT = 200_000
-WORDS = re.compile(r"\w+")
-NO_TERM = "---"
+#: Characters cut into words at once.
+CUT_CHARS = 2_000_000
+BETWEEN = r"[^\p{L}\p{N}_]+"
+NO_TERM = "--"
 DIGITS = len(NO_TERM)
-
-
-class Terms(dict):
-    """Numbers of words, kept while there is room."""
-
-    def __missing__(self, word):
-        number = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), SEED) % SPACE
-        if len(self) < MAX_KEPT:
-            self[word] = number
-        return number
-
-    def of(self, text: str | None) -> np.ndarray:
-        """Distinct terms in ascending order."""
-        words = set(WORDS.findall(text.lower())) if text else ()
-        return np.unique(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
+CHARACTERS = string.ascii_letters + string.digits + "+/"
+CODES = [a + b for a in CHARACTERS for b in CHARACTERS]
+
+
+def terms_of(texts: list[str | None]) -> list[np.ndarray]:
+    """Distinct terms of each text in ascending order. Only the distinct words of a batch reach Python."""
+    low = pc.utf8_lower(pc.fill_null(pa.array(texts, pa.string()), ""))
+    cut = pc.split_pattern_regex(low, BETWEEN)
+    distinct = cut.flatten().dictionary_encode()
+    digest = xxhash.xxh64_intdigest
+    # Cutting leaves the empty word at the ends of a text.
+    numbers = np.array([digest(w.encode(), SEED) % SPACE if w else -1 for w in distinct.dictionary.to_pylist()], np.int64)
+    numbers = numbers[distinct.indices.to_numpy()]
+    counts = pc.list_value_length(cut).to_numpy()
+    pairs = (np.repeat(np.arange(len(counts)), counts) * SPACE + numbers)[numbers >= 0]
+    pairs.sort()
+    pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+    return np.split(pairs % SPACE, np.searchsorted(pairs, np.arange(1, len(counts)) * SPACE)) if len(counts) else []
 
 
 def _count(batches):
-    terms, counts = Terms(), np.zeros(SPACE, np.int32)
+    counts = np.zeros(SPACE, np.int32)
     for batch in batches:
-        for piece in pieces(batch, "text"):
-            for text in piece.column("text").to_pylist():
-                counts[terms.of(text)] += 1
+        for piece in pieces(batch, "text", CUT_CHARS):
+            for own in terms_of(piece.column("text").to_pylist()):
+                counts[own] += 1
     (seen,) = np.nonzero(counts)
     yield pa.RecordBatch.from_pydict({"term": pa.array(seen.astype(np.int32)), "n": pa.array(counts[seen].astype(np.int64))})
 
@@ -77,6 +83,8 @@ class Lexicon:
         self.bits = bits
 
     def keep(self, terms: np.ndarray) -> np.ndarray:
+        if not len(terms):
+            return terms
         inside = terms[(self.bits[terms >> 3] >> (terms & 7)) & 1 == 1]
         return inside if len(inside) else terms
 
@@ -96,15 +104,30 @@ def lexicon(docs: DataFrame, text: str = "text", most_share: float = MOST_SHARE,
     return Lexicon(bits)
 
 
-def members(terms: np.ndarray) -> np.ndarray:
-    """Size by copy by term: whether the term is in the subset. Each copy of a term has 64 random
-    bits, of which each size looks at its own: none of 1, 3, 5 … bits may be set."""
-    x = terms.astype(np.uint64) * np.uint64(PER_SIZE) + np.arange(PER_SIZE, dtype=np.uint64)[:, None]
-    x = (x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)  # splitmix64
+def mixed(values: np.ndarray) -> np.ndarray:
+    """splitmix64"""
+    x = (values + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return np.stack([x & np.uint64(((1 << 2 * j + 1) - 1) << j * j) == 0 for j in range(SIZES)])
+    return x ^ (x >> np.uint64(31))
+
+
+def members(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(subset, place of the term), by subset and in the order of the terms. At size j a term's bits
+    choose among PER_SIZE times 2^j places, of which the first PER_SIZE are subsets."""
+    halves = [mixed(terms.astype(np.uint64) * np.uint64(2) + np.uint64(i)) for i in (0, 1)]
+    subsets, places, used = [], [], [0, 0]
+    for size in range(SIZES):
+        width = PER_SIZE.bit_length() - 1 + size
+        half = size % 2
+        choice = (halves[half] >> np.uint64(used[half])) & np.uint64((1 << width) - 1)
+        used[half] += width
+        (inside,) = np.nonzero(choice < PER_SIZE)
+        subsets.append(choice[inside].astype(np.int64) + size * PER_SIZE)
+        places.append(inside)
+    subsets, places = np.concatenate(subsets), np.concatenate(places)
+    order = np.argsort(subsets, kind="stable")
+    return subsets[order], places[order]
 
 
 def fingerprint(terms: np.ndarray) -> str:
@@ -112,12 +135,11 @@ def fingerprint(terms: np.ndarray) -> str:
     terms = terms.astype("<u4")
     parts = [NO_TERM] * (SIZES * PER_SIZE)
     if len(terms):
-        subset, place = np.nonzero(members(terms).reshape(-1, len(terms)))
-        chosen = terms[place].tobytes()
+        subset, place = members(terms)
+        chosen, width = terms[place].tobytes(), terms.itemsize
         (cuts,) = np.nonzero(np.diff(subset, prepend=-1))
-        width = terms.itemsize
         for one, a, b in zip(subset[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(subset)]):
-            parts[one] = f"{xxhash.xxh32_intdigest(chosen[a * width : b * width], one) & 0xFFF:03x}"
+            parts[one] = CODES[xxhash.xxh32_intdigest(chosen[a * width : b * width], one) & 0xFFF]
     return xxhash.xxh64_hexdigest(terms.tobytes(), SEED) + "".join(parts)
 
 
@@ -131,7 +153,7 @@ def likeness(one: str, other: str) -> float:
         places = range(start, start + PER_SIZE * DIGITS, DIGITS)
         pairs = [(one[i : i + DIGITS], other[i : i + DIGITS]) for i in places]
         some = [p for p in pairs if p != (NO_TERM, NO_TERM)]
-        if len(some) < PER_SIZE or size == SIZES - 1 and not held:
+        if 8 * len(some) <= 7 * PER_SIZE or size == SIZES - 1 and not held:
             held += len(some)
             equal += sum(a == b for a, b in some)
     return equal / held if held else 0.0
@@ -142,8 +164,7 @@ def fingerprinted(docs: DataFrame, known: Lexicon, text: str = "text") -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def make():
-        terms = Terms()
-        return lambda texts: [[fingerprint(shared.value.keep(terms.of(t))) for t in texts]]
+        return lambda texts: [[fingerprint(shared.value.keep(t)) for t in terms_of(texts)]]
 
     return add_columns(docs, text, "imatch string", make)
 
@@ -162,16 +183,19 @@ def edit(text: str, following: str) -> str:
 
 class Comparer:
     def __init__(self, known: Lexicon):
-        self.known, self.terms = known, Terms()
+        self.known = known
 
-    def print(self, text: str) -> str:
-        return fingerprint(self.known.keep(self.terms.of(text)))
+    def prints(self, texts: list[str]) -> list[str]:
+        return [fingerprint(self.known.keep(t)) for t in terms_of(texts)]
 
-    def row(self, key, text: str, own: str, following: str, follower: str) -> tuple:
-        edited = edit(text, following)
-        changed = self.print(edited)
-        digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-        return key, len(text), digest, own, changed, likeness(own, changed), likeness(own, follower)
+    def rows(self, keys: list, texts: list[str], own: list[str], following: list[str], followers: list[str]) -> list[tuple]:
+        """Results for texts, each with the text that follows; ``own`` and ``followers`` are their fingerprints."""
+        changed = [edit(t, f) for t, f in zip(texts, following)]
+        found = []
+        for key, text, mine, new, new_print, follower in zip(keys, texts, own, changed, self.prints(changed), followers):
+            digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
+            found.append((key, len(text), digest, mine, new_print, likeness(mine, new_print), likeness(mine, follower)))
+        return found
 
 
 STEP_TYPES = pa.schema([(name, ARROW[kind.replace("long", "bigint")]) for name, kind in (
@@ -184,19 +208,20 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _in_order(shared):
     def run(batches):
-        comparer, part, last, rows = Comparer(shared.value), TaskContext.get().partitionId(), None, []
+        comparer, part, last = Comparer(shared.value), TaskContext.get().partitionId(), None
         empty = (None,) * 6
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                for key, text in zip(piece.column("key").to_pylist(), piece.column("text").to_pylist()):
-                    own = comparer.print(text)
-                    if last is None:
-                        rows.append((key, *empty, 2, part, text))
-                    else:
-                        rows.append((*comparer.row(*last, text, own), 0, None, None))
-                    last = key, text, own
-                yield _batch(rows)
-                rows = []
+            for piece in pieces(batch, "text", CUT_CHARS):
+                keys, texts = piece.column("key").to_pylist(), piece.column("text").to_pylist()
+                prints = comparer.prints(texts)
+                if last is None:
+                    yield _batch([(keys[0], *empty, 2, part, texts[0])])
+                else:
+                    keys, texts, prints = [last[0], *keys], [last[1], *texts], [last[2], *prints]
+                rows = comparer.rows(keys[:-1], texts[:-1], prints[:-1], texts[1:], prints[1:])
+                if rows:
+                    yield _batch([(*r, 0, None, None) for r in rows])
+                last = keys[-1], texts[-1], prints[-1]
         if last is not None:
             yield _batch([(last[0], *empty, 1, part, last[1])])
 
@@ -207,12 +232,11 @@ def _across(shared):
     def run(batches):
         comparer = Comparer(shared.value)
         for batch in batches:
-            rows = []
-            for key, text, following in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "following"))):
-                rows.append((*comparer.row(key, text, comparer.print(text), following, comparer.print(following)),
-                             0, None, None))
-            if rows:
-                yield _batch(rows)
+            keys, texts, following = (batch.column(c).to_pylist() for c in ("key", "text", "following"))
+            for i in range(len(keys)):
+                one, after = [texts[i]], [following[i]]
+                rows = comparer.rows([keys[i]], one, comparer.prints(one), after, comparer.prints(after))
+                yield _batch([(*r, 0, None, None) for r in rows])
 
     return run
 
