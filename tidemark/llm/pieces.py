@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import math
 import re
-from array import array
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -34,9 +33,9 @@ from pyspark.sql import DataFrame
 from tidemark.llm.tables import add_columns
 
 MARK = "▁"
-UNKNOWN_COST = 10.0
+UNKNOWN_COST, LEAST = 10.0, -math.inf
 #: Parts of texts whose ids a task keeps; longer parts are encoded each time.
-MAX_KEPT, MAX_KEPT_CHARS = 200_000, 40
+MAX_KEPT, MAX_KEPT_CHARS = 500_000, 40
 #: Latin, Greek and Cyrillic letters.
 LETTERS = "A-Za-zÀ-\u052f"
 LETTER = re.compile(f"[{LETTERS}]")
@@ -81,7 +80,6 @@ class DoubleArray:
                 self.check[base + c + 1] = state
                 queue.append((prefix + bytes([c]), base + c + 1))
         self._grow(max(self.base) + 257)
-        self.base, self.check, self.value = (array("i", x) for x in (self.base, self.check, self.value))
 
     def _grow(self, size: int) -> None:
         while len(self.check) <= size:
@@ -95,7 +93,7 @@ class Model:
     """Pieces, scores and trie. ``scores`` in the order of the ids."""
 
     def __init__(self, pieces: list[str], scores: list[float], byte_ids: list[int]):
-        self.pieces, self.scores, self.byte_ids = pieces, array("d", scores), byte_ids
+        self.pieces, self.scores, self.byte_ids = pieces, list(scores), byte_ids
         if any(MARK in p.lstrip(MARK) for p in pieces):
             raise ValueError("a piece has a marker behind another character")
         special = set(byte_ids)
@@ -112,27 +110,32 @@ class Model:
     def encode_part(self, part: str) -> tuple[int, ...]:
         data = part.encode("utf-8", "replace")
         n = len(data)
-        best, back, came = [-math.inf] * (n + 4), [0] * (n + 4), [-1] * (n + 4)
+        best, back, came = [LEAST] * (n + 4), [0] * (n + 4), [-1] * (n + 4)
         best[0] = 0.0
+        unknown = self.unknown
         scores, base, check, value = self.scores, self.trie.base, self.trie.check, self.trie.value
         at = 0
         while at < n:
             lead = data[at]
             after = at + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
             here, single, state, end = best[at], False, 0, at
-            while end < n:
-                child = base[state] + data[end] + 1
+            for c in data[at:]:
+                child = base[state] + c + 1
                 if check[child] != state:
                     break
-                state, end = child, end + 1
-                piece = value[state]
+                state = child
+                end += 1
+                piece = value[child]
                 if piece >= 0:
                     if end == after:
                         single = True
-                    if here + scores[piece] > best[end]:
-                        best[end], back[end], came[end] = here + scores[piece], at, piece
-            if not single and here + self.unknown > best[after]:
-                best[after], back[after], came[after] = here + self.unknown, at, -1
+                    score = here + scores[piece]
+                    if score > best[end]:
+                        best[end] = score
+                        back[end] = at
+                        came[end] = piece
+            if not single and here + unknown > best[after]:
+                best[after], back[after], came[after] = here + unknown, at, -1
             at = after
         ids: list[int] = []
         at = n
