@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -83,3 +84,13 @@ def test_recall_at_the_threshold():
         rows, filters = caps.decode(units, codes)
         found.append([set(filters[rows == i].tolist()) for i in range(n)])
     assert sum(bool(x & y) for x, y in zip(*found)) >= 0.99 * n
+
+
+def test_sql_compares_every_pair():
+    vectors = [*clusters(7)[:60], None, [], [0.0] * 32, [1.0, None] * 16, [float("nan")] * 32, [1.0, 2.0], [2.0, 4.0]]
+    rows = [(i * 7 % 97, v) for i, v in enumerate(vectors)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    found = {k: (n, c) for k, n, c, _ in con.execute(caps.oracle()).fetchall()}
+    assert found == brute(rows)

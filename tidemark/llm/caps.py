@@ -267,3 +267,18 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
     sound = listed.where("ok").join(classes, "vector").select("key", "n_links", "component_id")
     rest = listed.where(~F.col("ok")).select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
     return sound.unionByName(rest).withColumnRenamed("key", key)
+
+
+def oracle(table: str = "embeddings", key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD) -> str:
+    """All links by comparing every pair, and what they connect, in SQL."""
+    return f"""WITH RECURSIVE doubles AS (
+    SELECT {key} AS id, list_transform({vector}, lambda x: CAST(x AS DOUBLE)) AS v FROM {table} WHERE len({vector}) > 0),
+sound AS (SELECT id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS length FROM doubles
+    WHERE len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v)),
+links AS (SELECT a.id AS one, b.id AS other FROM sound a JOIN sound b ON a.id <> b.id AND len(a.v) = len(b.v)
+    WHERE a.length > 0 AND b.length > 0 AND list_dot_product(a.v, b.v) / (a.length * b.length) >= {threshold}),
+reached AS (SELECT {key} AS id, {key} AS other FROM {table}
+    UNION SELECT r.id, l.other FROM reached r JOIN links l ON r.other = l.one),
+counts AS (SELECT one, count(*) AS n FROM links GROUP BY one)
+SELECT id AS {key}, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, id = min(other) AS kept
+FROM (SELECT id, other FROM reached) r LEFT JOIN counts ON counts.one = r.id GROUP BY id"""

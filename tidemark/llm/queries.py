@@ -75,6 +75,9 @@ def op3_caps(spark, sf_dir):
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+ORACLES["op3_caps"] = caps.oracle()
+
+
 @query
 def op4_token_files(spark, sf_dir):
     folder = fresh_folder(spark, "tokens")
