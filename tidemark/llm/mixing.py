@@ -101,7 +101,11 @@ def placed(docs: DataFrame, weights=WEIGHTS, limit: float = LIMIT, block: int =
 
 
 def drawn(shares: DataFrame) -> DataFrame:
-    """All slots, which join by ``merge`` as their number does not show in the small table they come from: ``ix``, ``block_ix``, ``pass``, and the ``shard`` and ``slot`` they go to."""
+    """All slots: ``ix``, ``block_ix``, ``pass``, and the ``shard`` and ``slot`` they go to.
+
+    Their number does not show in the small table they come from, so what joins them
+    names ``merge``; else they would be broadcast.
+    """
     runs = shares.where("slots > 0").withColumn(
         "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / RUN)))
     ).repartition(int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col("ix"), F.col("run"))
