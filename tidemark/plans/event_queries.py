@@ -8,7 +8,7 @@ from tidemark.operators import events as ev
 from tidemark.operators import retention
 from tidemark.plans.inputs import USER_EVENTS_SQL, user_events
 from tidemark.plans.registry import query
-from tidemark.sources.readers import inventory, read_events, stream_events
+from tidemark.sources.readers import read_events, stream_events
 from tidemark.sources.writers import write_events
 from tidemark.streaming.states import EventStates, expire_days
 from tidemark.workspace import fresh_folder
@@ -20,7 +20,7 @@ DAILY = f"""{WITH_EVENTS} SELECT CAST(event_time AS date) AS event_date, event_t
 FROM user_events GROUP BY 1, 2 ORDER BY 1, 2"""
 RAW_AS_OF = "2024-02-10 00:00:00"
 DAILY_AS_OF = "2024-07-13"
-BATCHES = 4
+FILES_PER_BATCH = 8
 
 
 def rounded(df):
@@ -128,8 +128,7 @@ def streamed_states(spark, sf_dir) -> EventStates:
     """The event table by day, read back as a stream of a few micro-batches."""
     raw, work = fresh_folder(spark, "events-by-day"), fresh_folder(spark, "event-states")
     write_events(user_events(spark, sf_dir), raw)
-    files = inventory(spark, raw, "*.parquet").count()
-    stream = stream_events(spark, raw, -(-files // BATCHES))
+    stream = stream_events(spark, raw, FILES_PER_BATCH)
     states = EventStates(spark, f"{work}/states")
     states.maintain(stream, f"{work}/checkpoint").awaitTermination()
     return states

@@ -10,7 +10,7 @@ from tidemark.operators.outbox import to_messages, unsent
 from tidemark.plans.inputs import USER_LOGINS_SQL, user_logins
 from tidemark.plans.registry import query
 from tidemark.schemas import LOGIN_MESSAGE
-from tidemark.sources.readers import inventory, read_topic
+from tidemark.sources.readers import read_topic
 from tidemark.sources.writers import create_table, write_messages
 from tidemark.streaming.ingest import append_once, ingest_logins, read_logins, read_quarantine
 from tidemark.streaming.publish import publish_outbox, read_ledger
@@ -20,7 +20,7 @@ WITH_LOGINS = f"WITH user_logins AS ({USER_LOGINS_SQL})"
 EPOCH = "epoch_us(event_time) / 1000000.0"
 AS_MESSAGE = f'username AS "user", event_type AS "event", {EPOCH} AS "timestamp"'
 BROKEN = "id % 97 = 0"
-BATCHES = 4
+FILES_PER_BATCH = "1"
 
 GOOD = f"""{WITH_LOGINS} SELECT username, event_type, date_trunc('second', event_time) AS event_time
 FROM user_logins WHERE NOT ({BROKEN})"""
@@ -117,11 +117,8 @@ def ingest_two_checkpoints(spark, sf_dir):
 def ingested(spark, sf_dir) -> str:
     """The topic as text files, ingested in a few micro-batches."""
     folder = fresh_folder(spark, "ingest")
-    write_messages(topic(spark, sf_dir), {"path": f"{folder}/topic"}, "text")
-    files = inventory(spark, f"{folder}/topic", "*.txt").count()
-    stream = read_topic(
-        spark, {"path": f"{folder}/topic", "maxFilesPerTrigger": str(-(-files // BATCHES))}, "text"
-    )
+    write_messages(topic(spark, sf_dir).repartition(3, "value"), {"path": f"{folder}/topic"}, "text")
+    stream = read_topic(spark, {"path": f"{folder}/topic", "maxFilesPerTrigger": FILES_PER_BATCH}, "text")
     ingest_logins(stream, folder, f"{folder}/checkpoint").awaitTermination()
     return folder
 

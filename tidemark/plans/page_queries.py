@@ -13,7 +13,7 @@ from tidemark.operators.pages import within
 from tidemark.plans.inputs import chained_pages, page_chain_links, table, user_events
 from tidemark.plans.registry import query
 from tidemark.schemas import RECORDS
-from tidemark.sources.readers import inventory, read_csv, read_pages
+from tidemark.sources.readers import inventory, read_csv, read_inventory, read_pages
 from tidemark.sources.writers import write_events, write_records
 from tidemark.workspace import fresh_folder
 
@@ -105,11 +105,15 @@ def chain_records(spark, sf_dir):
 SELECT DISTINCT d AS key, d IN (SELECT CAST(ts AS date)::varchar FROM events) AS found
 FROM (SELECT unnest([CAST(ts AS date), CAST(ts AS date) + 20])::varchar AS d FROM events)""")
 def inventory_exists(spark, sf_dir):
-    """Which days have objects in the event table, asked for event days and days 20 later."""
+    """Which days have objects in the event table, asked for event days and days 20 later.
+
+    The listing is read as the store would deliver it, a table.
+    """
     path = fresh_folder(spark, "events-by-day")
     events = user_events(spark, sf_dir)
-    write_events(events, path)
-    listed = inventory(spark, path, "*.parquet").select(
+    write_events(events, f"{path}/events")
+    inventory(spark, f"{path}/events", "*.parquet").write.parquet(f"{path}/listing")
+    listed = read_inventory(spark, f"{path}/listing").select(
         F.regexp_extract("path", r"event_date=([^/]+)/", 1).alias("key")
     )
     day = F.to_date("event_time")

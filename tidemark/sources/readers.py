@@ -93,6 +93,12 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_inventory(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """path, length and modificationTime from the listing that an object store delivers as a table;
+    unlike ``inventory`` nothing is listed by the driver, so any number of objects will do."""
+    return spark.read.format(fmt).schema("path string, length long, modificationTime timestamp").load(path)
+
+
 def inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """path, length and modificationTime of every object; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
