@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.tables import ARROW, add_columns, pieces, with_small_batches
-from tidemark.workspace import fresh_folder, written
+from tidemark.workspace import fresh_folder
 
 SPACE = 1 << 24
 #: Terms in more than this share of the documents, or in fewer than this many, are outside the band.
@@ -251,7 +251,10 @@ def edited(docs: DataFrame, known: Lexicon, key: str = "doc_id", text: str = "te
     rows = with_small_batches(docs).select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "key").sortWithinPartitions("key", "text")
-    step = written(ordered.mapInArrow(_in_order(shared), STEP), fresh_folder(spark, "imatch"))
+    path = fresh_folder(spark, "imatch")
+    # Digests are text of few different characters, which zstd stores in fewer bits.
+    ordered.mapInArrow(_in_order(shared), STEP).write.option("compression", "zstd").parquet(path)
+    step = spark.read.schema(STEP).parquet(path)
     firsts = step.where("kind = 2").select("part", F.col("text").alias("following"))
     turn = firsts.select("part", F.lead("part").over(Window.orderBy("part")).alias("next"))  # a row per task
     turn = turn.withColumn("next", F.coalesce("next", F.min("part").over(Window.partitionBy())))
