@@ -35,7 +35,7 @@ from tidemark.llm.tables import add_columns
 MARK = "▁"
 UNKNOWN_COST, LEAST = 10.0, -math.inf
 #: Parts of texts whose ids a task keeps; longer parts are encoded each time.
-MAX_KEPT, MAX_KEPT_CHARS = 500_000, 40
+MAX_KEPT, MAX_KEPT_CHARS = 250_000, 40
 #: Latin, Greek and Cyrillic letters.
 LETTERS = "A-Za-zÀ-\u052f"
 LETTER = re.compile(f"[{LETTERS}]")
