@@ -62,14 +62,14 @@ def record(box: Column, spec: RecordSpec) -> Column:
     )
 
 
-def next_link(html: Column, base: Column, spec: RecordSpec) -> Column:
-    chosen = F.lit(None).cast("string")
-    for pattern in reversed(spec.next_link):
+def next_opening(html: Column, spec: RecordSpec) -> Column:
+    """The opening tag of the next link, null if no pattern finds one."""
+    found = []
+    for pattern in spec.next_link:
         # Groups before the last one belong to the pattern itself.
         group = pattern.replace(r"\(", "").count("(") - pattern.count("(?")
-        opening = F.regexp_extract(html, f"(?is){pattern}", group)
-        chosen = F.when(opening != "", resolve_link(base, attribute(opening, "href"))).otherwise(chosen)
-    return chosen
+        found.append(F.nullif(F.regexp_extract(html, f"(?is){pattern}", group), F.lit("")))
+    return F.coalesce(*found)
 
 
 def parse_pages(pages: DataFrame, spec: RecordSpec = RecordSpec(), base_url: str | None = None) -> DataFrame:
@@ -78,12 +78,15 @@ def parse_pages(pages: DataFrame, spec: RecordSpec = RecordSpec(), base_url: str
     A null page has no records and no next link.
     """
     cut = pages.select("url", or_empty(visible(F.col("html"))).alias("html"))
+    # The tag, then its link, are columns of their own, as what follows names them several times.
+    opened = cut.select("url", "html", next_opening(F.col("html"), spec).alias("opening"))
+    linked = opened.select("url", "html", attribute(F.col("opening"), "href").alias("href"))
     boxes = F.split("html", f"(?is){spec.box}")
     base = F.col("url") if base_url is None else F.lit(base_url)
-    return cut.select(
+    return linked.select(
         "url",
         F.transform(F.slice(boxes, 2, F.size(boxes)), lambda box: record(box, spec)).alias("records"),
-        next_link(F.col("html"), base, spec).alias("next_url"),
+        resolve_link(base, F.col("href")).alias("next_url"),
     )
 
 
