@@ -94,3 +94,37 @@ def test_sql_compares_every_pair():
     con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
     found = {k: (n, c) for k, n, c, _ in con.execute(caps.oracle()).fetchall()}
     assert found == brute(rows)
+
+
+@pytest.mark.parametrize("dims, count", [
+    (64, 10_000), (64, 1_000_000), (16, 10_000), (16, 1_000_000), (8, 10_000), (8, 1_000_000), (768, 100_000),
+    (7, 1_000_000), (3, 1_000_000), (2, 1_000_000), (1, 1_000_000), (64, 1_000), (2, 50)])
+def test_recall_at_the_threshold_for_lengths_and_counts(dims, count):
+    """Of pairs right at the threshold none of 1,000 is expected to miss, and every vector has filters."""
+    kinds = caps.filters_for(dims, count, 0.95, caps.plans({dims: count}, 0.95)[dims])
+    a, b = caps.pairs_at(0.95, dims, 1000, 77) if dims > 1 else (np.ones((9, 1)), np.ones((9, 1)))
+    assert sum(caps.missed(kinds, a[i : i + 250], b[i : i + 250]) for i in range(0, len(a), 250)) <= 1
+    rows, _ = caps.decode(a[:250], kinds)
+    assert np.bincount(rows, minlength=len(a[:250])).min() >= 1
+
+
+def test_pairs_of_caps_are_few_enough_to_tell_vectors_apart():
+    """Unrelated vectors of a large table seldom share a filter."""
+    kinds = caps.filters_for(64, 1_000_000, 0.95, caps.plans({64: 1_000_000}, 0.95)[64])
+    a, b = caps.pairs_at(0.0, 64, 500, 3)
+    assert caps.missed(kinds, a, b) >= 499
+
+
+@pytest.mark.parametrize("dims", [2, 5, 7])
+def test_short_vectors_lose_no_link(spark, monkeypatch, dims):
+    monkeypatch.setattr(caps, "EXACT", 10)
+    rows = list(enumerate(clusters(11, dims)))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert {r.vec_id: (r.n_links, r.component_id) for r in caps.near_vectors(frame).collect()} == brute(rows)
+
+
+def test_vectors_meet_in_codes(spark, monkeypatch):
+    monkeypatch.setattr(caps, "EXACT", 10)
+    rows = list(enumerate(clusters(12)))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert {r.vec_id: (r.n_links, r.component_id) for r in caps.near_vectors(frame).collect()} == brute(rows)

@@ -1,16 +1,25 @@
 """Near-duplicate vectors by spherical-cap filters.
 
 A filter is a direction made of two code words, one for each half of a randomly
-rotated space; the code words are random unit vectors. There are ``CODES`` rotations
-with code words of their own, so that few vectors have few filters. A vector falls in every filter
-whose direction it exceeds a threshold with. The list of these filters is decoded
+rotated space; the code words are random unit vectors. There are up to ``CODES`` rotations
+with code words of their own. A vector falls in every filter whose direction it exceeds a
+level with, and in one code in ``LEAST`` filters at least: where the level gives fewer, the
+vector has a lower level of its own. The list of these filters is decoded
 without trying all of them: only code words of one half that can reach the threshold
 with the best of the other half are paired. Vectors meet in filters, and pairs are
 verified by cosine in double precision.
 
-Equal vectors are compared once. Number of code words and threshold follow the number
-of vectors, so that a vector falls in about ``FILTERS`` filters and a filter holds about
-``LOAD`` unrelated vectors; filters with one vector are dropped. A filter with many is cut
+Codes are drawn alike for every vector, so a pair at a given angle shares no filter of
+one code with the same probability m wherever it lies, and none of n codes with m^n.
+``planned`` measures m at the threshold for the length and number of vectors, lowers
+the level until m^n is at most ``MISS`` with ``CODES`` codes, and takes the fewest codes that do.
+Pairs above the threshold are missed less often. Nothing is missed among vectors shorter
+than ``LOW_DIMS``, which meet in the cells of a grid, and among up to ``EXACT`` vectors of a
+length, which are all compared.
+
+Equal vectors are compared once. Number of code words and level follow the number
+of vectors, so that a filter holds about ``LOAD`` unrelated vectors unless the angle needs wider
+ones; filters with one vector are dropped. A filter with many is cut
 into parts that meet pair by pair in separate tasks. What leaves the tasks is a spanning
 forest of the links. In a second pass over linked vectors only, a pair is counted in the
 first filter that both fall in, and only counts per vector leave the tasks.
@@ -24,6 +33,7 @@ repeated rows with equal vectors are linked; extra columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +48,18 @@ THRESHOLD = 0.95
 CODES, FILTERS, LOAD = 5, 40, 0.5
 #: Vectors of one filter that are compared in one task.
 PART = 512
-#: Below this length directions are single code words: halves would have too few of them.
-LOW_DIMS = 8
+#: Filters of a vector in one code at least; pairs at the threshold that share no filter at most.
+LEAST, MISS = FILTERS // CODES, 1e-4
+#: Pairs per code, and codes, that the share of missed pairs is measured with.
+TRIED, TRIED_CODES = 400, 2
+#: Below this length vectors meet in a grid; of one length up to so many are all compared.
+LOW_DIMS, EXACT = 8, 4096
 #: Cells up to this size are compared together.
 SMALL = 48
 SEED = 42
 
 
+@lru_cache(maxsize=1000)
 def cap_level(dims: int, share: float) -> float:
     """The cosine that this share of all directions exceeds with a given one."""
     if dims == 1:
@@ -60,43 +75,130 @@ class Code:
 
     def __init__(self, dims: int, count: int, number: int):
         random = np.random.default_rng([SEED, dims, number])
-        low = dims < LOW_DIMS
-        share = min(0.02, max(0.002 * low, LOAD / max(1, count)))
-        filters = FILTERS / CODES / share
-        words = max(8, math.ceil(filters if low else math.sqrt(filters)))
+        self.share = min(0.02, LOAD / max(1, count))
+        words = max(8, math.ceil(math.sqrt(FILTERS / CODES / self.share)))
         self.words, self.first = words, number * words * words
-        self.level = cap_level(dims, share)
+        self.level = cap_level(dims, self.share)
         self.turn = np.linalg.qr(random.normal(size=(dims, dims)))[0]
-        cut = dims if low else dims // 2
-        halves = [random.normal(size=(words, n)) for n in (cut, dims - cut) if n]
+        self.cut = dims // 2
+        halves = [random.normal(size=(words, n)) for n in (self.cut, dims - self.cut)]
         # Each half's code words have the length that makes a whole direction a unit vector.
         self.halves = [h / np.linalg.norm(h, axis=1, keepdims=True) * math.sqrt(h.shape[1] / dims) for h in halves]
-        self.cut = cut
 
-    def decode(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of all filters that each unit vector exceeds the level of."""
+    def decode(self, units: np.ndarray, level: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, filter) of all filters that each unit vector exceeds the level with."""
+        level = self.level if level is None else level
         turned = units @ self.turn
         first = turned[:, : self.cut] @ self.halves[0].T
-        if len(self.halves) == 1:
-            rows, filters = np.nonzero(first >= self.level)
-            return rows, self.first + filters
         second = turned[:, self.cut :] @ self.halves[1].T
-        rows, ones = np.nonzero(first >= self.level - second.max(1, keepdims=True))
+        rows, ones = np.nonzero(first >= level - second.max(1, keepdims=True))
         found = []
         step = max(1, 4_000_000 // self.words)
         for i in range(0, len(rows), step):
             r, one = rows[i : i + step], ones[i : i + step]
-            at, two = np.nonzero(second[r] >= (self.level - first[r, one])[:, None])
+            at, two = np.nonzero(second[r] >= (level - first[r, one])[:, None])
             found.append((r[at], self.first + one[at] * self.words + two))
         if not found:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         rows, filters = (np.concatenate(x) for x in zip(*found))
         return rows, filters
 
+    def falls(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, filter); a vector with few filters has those of the first level that gives ``LEAST``."""
+        found, left, share, level = [], np.arange(len(units)), self.share, self.level
+        while len(left):
+            rows, filters = self.decode(units[left], level)
+            enough = np.bincount(rows, minlength=len(left)) >= LEAST
+            kept = enough[rows]
+            found.append((left[rows[kept]], filters[kept]))
+            left, share = left[~enough], 2 * share
+            level = cap_level(self.turn.shape[0], share) if share < 0.5 else -2.0  # -2: all filters
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        rows, filters = (np.concatenate(x) for x in zip(*found))
+        return rows, filters
+
+
+class Grid:
+    """Cells whose box is within half the distance of two vectors at the threshold.
+
+    The middle of two such vectors lies in a cell that both fall in, so no pair is missed.
+    """
+
+    def __init__(self, threshold: float):
+        self.side = math.sqrt(max(2 - 2 * threshold, 1e-6)) * (1 + 1e-6)
+
+    def falls(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        steps = math.ceil(2 / self.side) + 3
+        rows, cells, squares = np.arange(len(units)), np.zeros(len(units), np.int64), np.zeros(len(units))
+        for x in units.T:
+            place = (x + 1) / self.side + 1
+            own = np.floor(place)
+            parts = []
+            for move, gap in ((-1, place - own), (0, 0 * place), (1, own + 1 - place)):
+                total = squares + gap[rows] ** 2
+                near = total <= 0.25 + 1e-9
+                parts.append((rows[near], cells[near] * steps + own[rows[near]].astype(np.int64) + move, total[near]))
+            rows, cells, squares = (np.concatenate(p) for p in zip(*parts))
+        return rows, cells
+
+
+class Whole:
+    """One filter that all vectors fall in."""
+
+    def falls(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.arange(len(units)), np.zeros(len(units), np.int64)
+
 
-def decode(units: np.ndarray, codes: list[Code]) -> tuple[np.ndarray, np.ndarray]:
+def pairs_at(threshold: float, dims: int, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors and others at exactly this cosine."""
+    random = np.random.default_rng([SEED, dims, seed])
+    a, side = random.normal(size=(2, n, dims))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side -= (side * a).sum(1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return a, threshold * a + math.sqrt(1 - threshold**2) * side
+
+
+def missed(kinds: list, a: np.ndarray, b: np.ndarray) -> int:
+    """Pairs of rows that share no filter."""
+    shared = [set(zip(*(x.tolist() for x in decode(units, kinds)))) for units in (a, b)]
+    return len(a) - len({row for row, _ in shared[0] & shared[1]})
+
+
+def planned(dims: int, count: int, threshold: float = THRESHOLD) -> tuple[int, int] | None:
+    """The number of vectors that the level is made for, and the codes that miss ``MISS`` at most.
+
+    None if no level does it with ``CODES`` codes.
+    """
+    made_for = count
+    while made_for > LOAD / 0.02:
+        misses, tried = 0, TRIED * TRIED_CODES
+        for i in range(TRIED_CODES):
+            misses += missed([Code(dims, made_for, i)], *pairs_at(threshold, dims, TRIED, i))
+        # The most that so many misses leave likely.
+        most = min(1.0, (misses + 2 * math.sqrt(misses) + 3) / tried)
+        if most ** CODES <= MISS:
+            return made_for, math.ceil(math.log(MISS) / math.log(most))
+        made_for //= 2
+    return None
+
+
+def filters_for(dims: int, count: int, threshold: float, plan: tuple[int, int] | None) -> list:
+    """What vectors of one length meet in."""
+    if dims < LOW_DIMS and count > EXACT:
+        return [Grid(threshold)]
+    return [Code(dims, plan[0], i) for i in range(plan[1])] if plan else [Whole()]
+
+
+def plans(sizes: dict[int, int], threshold: float) -> dict[int, tuple[int, int] | None]:
+    """What ``planned`` gives for each length whose vectors meet in codes."""
+    return {d: planned(d, n, threshold) if d >= LOW_DIMS and n > EXACT else None for d, n in sizes.items()}
+
+
+def decode(units: np.ndarray, kinds: list) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) over all codes, by row."""
-    rows, filters = (np.concatenate(x) for x in zip(*(c.decode(units) for c in codes)))
+    rows, filters = (np.concatenate(x) for x in zip(*(c.falls(units) for c in kinds)))
     order = np.lexsort((filters, rows))
     return rows[order], filters[order]
 
@@ -115,16 +217,18 @@ def _units(vectors: pa.Array, dims: int) -> np.ndarray:
     return found / np.linalg.norm(found, axis=1, keepdims=True)
 
 
-def _falls(counts: dict[int, int]):
+def _falls(counts: dict[int, int], threshold: float):
+    planned_for = plans(counts, threshold)
+
     def run(batches):
-        codes: dict[int, list[Code]] = {}
+        kinds: dict[int, list] = {}
         for batch in batches:
             sizes = np.array([len(v) for v in batch.column("vector")])
             for dims in np.unique(sizes).tolist():
-                if dims not in codes:
-                    codes[dims] = [Code(dims, counts[dims], i) for i in range(CODES)]
+                if dims not in kinds:
+                    kinds[dims] = filters_for(dims, counts[dims], threshold, planned_for[dims])
                 some = batch.filter(pa.array(sizes == dims))
-                rows, filters = decode(_units(some.column("vector"), dims), codes[dims])
+                rows, filters = decode(_units(some.column("vector"), dims), kinds[dims])
                 n = np.bincount(rows, minlength=some.num_rows)
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(filters.astype(np.int64)))
@@ -235,7 +339,7 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
     if len(sizes) > 1000:
         raise ValueError("vectors of more than 1000 lengths")
     spread = vectors.repartition(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
-    marked = written(spread.mapInArrow(_falls(sizes), f"{_ddl(vectors)}, filters array<long>"), f"{folder}/filters")
+    marked = written(spread.mapInArrow(_falls(sizes, threshold), f"{_ddl(vectors)}, filters array<long>"), f"{folder}/filters")
     edges = _cells(marked, ["id", "vector"]).mapInArrow(_verify(threshold, False), "a long, b long")
     edges = written(edges.distinct(), f"{folder}/edges")
     linked = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
