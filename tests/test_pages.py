@@ -48,6 +48,35 @@ def test_records(pages):
     assert "Python" not in plan and "Pandas" not in plan
 
 
+SCOPE = [
+    # A tag list beside the last quote, and tag links of a box outside its list.
+    ("""<div class="quote"><span class="text">a</span><a class="tag">out</a><div><div class="tags"><a class="tag">in</a></div></div>
+<a class="tag">out</a></div><div class="tags"><h2>Top</h2><a class="tag">love</a></div><a class="tag">x</a>""", [("a", "", "in")]),
+    # No text or author in the box, but after it.
+    ('<div class="quote"><div>b</div></div><span class="text">no</span><small class="author">no</small>', [("", "", "")]),
+    ('<div class="quote"><span class="text">1</span></div><small class="author">no</small>'
+     '<div class="quote"><small class="author">A</small></div>', [("1", "", ""), ("", "A", "")]),
+    # A box in a box; what looks like a tag in a value; a tag that closes itself; one closing tag too many.
+    ('<div class="quote"><div class="quote"><span class="text">in</span></div><small class="author">B</small></div>',
+     [("in", "B", ""), ("in", "", "")]),
+    ('<div class="quote"><p title="</div><div>"><span class="text">c</span></div><span class="author">no</span>', [("c", "", "")]),
+    ('</div><div class="quote"><div/><span class="text">d</span></div><small class="author">no</small>', [("d", "", "")]),
+    ('<div class="quote"/><span class="text">no</span>', [("", "", "")]),
+    # A list around the box, a list in a list, a box that never closes.
+    ('<div class="tags"><div class="quote"><a class="tag">e</a></div><a class="tag">no</a></div>', [("", "", "e")]),
+    ('<DIV class="quote"><div class="tags"><div class="tags"><a class="tag">f</a></div><a class="tag">g</a></div></DIV >', [("", "", "f, g")]),
+    ('<div class="quote"><div class="tags"><a class="tag">h</a>', [("", "", "h")]),
+]
+
+
+def test_records_keep_to_their_box(pages):
+    rows = [(f"{BASE}{i}", h) for i, (h, _) in enumerate(SCOPE)]
+    found = {}
+    for r in extract_records(parse_pages(pages(*rows))).collect():
+        found.setdefault(r.url, []).append((r.quote_text, r.author, r.tags))
+    assert [found[u] for u, _ in rows] == [records for _, records in SCOPE]
+
+
 NEXT = [
     ('<a rel="next" href="p2">n</a><li class="next"><a href="/other"></a></li>', "https://site.example/list/p2"),
     ('<li class="next"><span><a href="/x"></a></span></li>', None),

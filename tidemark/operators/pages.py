@@ -24,6 +24,9 @@ from tidemark.workspace import Folder, fresh_folder, written
 #: What may stand in an element before a child: text and closed elements without elements in them.
 CHILDREN = rf"(?:[^<]|<(\w+)(?=[\s/>]){REST}>[^<]*</\1\s*>)*"
 
+#: A noncharacter that stands before tags while markup is cut.
+MARK = "\ufdd0"
+
 
 def within(*openings: str) -> str:
     """Pattern of opening tags inside each other; the last may follow anywhere in the one before."""
@@ -34,13 +37,17 @@ def within(*openings: str) -> str:
 class RecordSpec:
     """Patterns of the opening tags of boxes, fields and tags, and how the next link is found.
 
-    A box reaches to the next box, a field to the first closing tag of its name. ``next_link`` has
-    patterns whose last group is the opening tag of the link; the first that is found decides.
+    Boxes and lists of tags are elements named ``element`` and reach to where these close; a field reaches
+    to the first closing tag of its name. Tags count inside an element ``tag_list``, or anywhere in the box
+    if that is None. ``next_link`` has patterns whose last group is the opening tag of the link; the first
+    that is found decides.
     """
 
+    element: str = "div"
     box: str = tag("div", "class", value_has("quote"))
     text: tuple[str, str] = ("span", tag("span", "class", value_has("text")))
     author: tuple[str, str] = ("small", tag("small", "class", value_has("author")))
+    tag_list: str | None = tag("div", "class", value_has("tags"))
     tags: tuple[str, str] = ("a", tag("a", "class", value_has("tag")))
     next_link: tuple[str, ...] = (
         f"({tag('a', 'rel', value_is('next'))})",
@@ -53,15 +60,72 @@ def field(box: Column, name: str, opening: str) -> Column:
     return or_empty(plain_text(F.regexp_extract(box, rf"(?is){opening}(.*?)</{name}\s*>", 1)))
 
 
-def record(box: Column, spec: RecordSpec) -> Column:
-    found = F.regexp_extract_all(box, F.lit(rf"(?is){spec.tags[1]}(.*?)</{spec.tags[0]}\s*>"), F.lit(1))
+def pieces(html: Column, name: str) -> Column:
+    """Markup cut before every opening and closing tag of this name; what looks like one in a value is none."""
+    marked = F.regexp_replace(F.translate(html, MARK, ""), rf"(?is)(</?[a-z]{REST}>)", f"{MARK}$1")
+    cut = F.split(marked, rf"(?i){MARK}(?=</?{name}[\s/>])")
+    return F.transform(cut, lambda piece: F.translate(piece, MARK, ""))
+
+
+def spans(cut: Column, name: str, opening: str, outermost: bool = False) -> Column:
+    """First piece and the one after the last of each element with this opening tag, in order.
+
+    An element that never closes reaches to the end. ``outermost`` leaves out those inside another.
+    """
+    # A tag that ends with a slash closes its element itself.
+    kinds = F.transform(cut, lambda piece: F.struct(
+        F.when(piece.rlike(rf"(?is)^<{name}(?=[\s/>]){REST}(?<=/)>"), F.lit(0))
+        .when(piece.rlike(rf"(?i)^<{name}[\s/>]"), 1).when(piece.rlike(rf"(?i)^</{name}[\s/>]"), -1).otherwise(0).alias("step"),
+        piece.rlike(f"(?is)^{opening}").alias("fits")))
+    state = "struct<at: int, depth: int, open: array<struct<first: int, depth: int>>, done: array<struct<first: int, last: int>>>"
+    start = F.from_json(F.lit('{"at": 0, "depth": 0, "open": [], "done": []}'), state)
+
+    def ended(some: Column, at: Column) -> Column:
+        return F.transform(some, lambda o: F.struct(o["first"].alias("first"), at.alias("last")))
+
+    def walk(seen: Column, kind: Column) -> Column:
+        at, depth, opened = seen["at"], seen["depth"], seen["open"]
+        fits = kind["fits"] & (F.lit(not outermost) | (F.size(opened) == 0))
+        # A closing tag without an open element is none.
+        after = F.greatest(depth + kind["step"], F.lit(0))
+        here = F.array(F.struct(at.alias("first"), depth.alias("depth")))
+        closes = kind["step"] < 0
+        return F.struct(
+            (at + 1).alias("at"), after.alias("depth"),
+            F.when(closes, F.filter(opened, lambda o: o["depth"] < after))
+            .when(fits & (kind["step"] > 0), F.concat(opened, here)).otherwise(opened).alias("open"),
+            F.when(closes, F.concat(seen["done"], ended(F.filter(opened, lambda o: o["depth"] >= after), at)))
+            .when(fits & (kind["step"] == 0), F.concat(seen["done"], F.array(F.struct(at.alias("first"), at.alias("last")))))
+            .otherwise(seen["done"]).alias("done"),
+        ).cast(state)
+
+    return F.aggregate(kinds, start, walk, lambda seen: F.array_sort(
+        F.concat(seen["done"], ended(seen["open"], seen["at"]))))
+
+
+def stretch(cut: Column, first: Column, last: Column) -> Column:
+    return F.array_join(F.slice(cut, first + 1, F.greatest(last - first, F.lit(0))), "")
+
+
+def record(cut: Column, box: Column, lists: Column | None, spec: RecordSpec) -> Column:
+    """Record of a box, a span of pieces; ``lists`` are the spans that tags count in."""
+    inside = stretch(cut, box["first"], box["last"])
+    if lists is None:
+        found = tags_in(inside, spec)
+    else:
+        found = F.flatten(F.transform(lists, lambda x: tags_in(
+            stretch(cut, F.greatest(x["first"], box["first"]), F.least(x["last"], box["last"])), spec)))
     return F.struct(
-        stripped(strip_quotes(field(box, *spec.text))).alias("quote_text"),
-        field(box, *spec.author).alias("author"),
+        stripped(strip_quotes(field(inside, *spec.text))).alias("quote_text"),
+        field(inside, *spec.author).alias("author"),
         join_tags(F.transform(found, plain_text)).alias("tags"),
     )
 
 
+def tags_in(markup: Column, spec: RecordSpec) -> Column:
+    return F.regexp_extract_all(markup, F.lit(rf"(?is){spec.tags[1]}(.*?)</{spec.tags[0]}\s*>"), F.lit(1))
+
+
 def next_opening(html: Column, spec: RecordSpec) -> Column:
     """The opening tag of the next link, null if no pattern finds one."""
     found = []
@@ -81,11 +145,14 @@ def parse_pages(pages: DataFrame, spec: RecordSpec = RecordSpec(), base_url: str
     # The tag, then its link, are columns of their own, as what follows names them several times.
     opened = cut.select("url", "html", next_opening(F.col("html"), spec).alias("opening"))
     linked = opened.select("url", "html", attribute(F.col("opening"), "href").alias("href"))
-    boxes = F.split("html", f"(?is){spec.box}")
+    cut = linked.select("url", "href", pieces(F.col("html"), spec.element).alias("cut"))
+    lists = F.lit(None) if spec.tag_list is None else spans(F.col("cut"), spec.element, spec.tag_list, outermost=True)
+    boxed = cut.select("url", "href", "cut", spans(F.col("cut"), spec.element, spec.box).alias("boxes"), lists.alias("lists"))
     base = F.col("url") if base_url is None else F.lit(base_url)
-    return linked.select(
+    counted = None if spec.tag_list is None else F.col("lists")
+    return boxed.select(
         "url",
-        F.transform(F.slice(boxes, 2, F.size(boxes)), lambda box: record(box, spec)).alias("records"),
+        F.transform("boxes", lambda box: record(F.col("cut"), box, counted, spec)).alias("records"),
         resolve_link(base, F.col("href")).alias("next_url"),
     )
 

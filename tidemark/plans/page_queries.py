@@ -20,7 +20,9 @@ from tidemark.workspace import fresh_folder
 # The stored pages hold one article each; their menu takes the place of tags.
 MENU_LINK = within(tag("li"), tag("a"))
 SPEC = pg.RecordSpec(
+    element="body",
     box=tag("body"),
+    tag_list=None,
     text=("h1", within(tag("article"), tag("h1"))),
     author=("footer", tag("footer")),
     tags=("a", MENU_LINK),
