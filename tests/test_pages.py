@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import random
+from html import entities
 from urllib.parse import urljoin
 
 import pytest
@@ -121,6 +122,21 @@ def test_characters(spark):
     assert {r.t: r.c for r in rows} == expected
 
 
+def test_all_named_characters(spark):
+    texts = [f"a&{name} b" for name in entities.html5] + [
+        "&aacute;&iacute;&oacute;&uacute;&ecirc;&Eacute;&Uuml;&rarr;", "&aacute &iacute &Uuml &rarr &euro", "caf&eacutes &notit; &notin; &copy2"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", characters(F.col("t")).alias("c")).collect()
+    assert {r.t: r.c for r in rows} == {t: html.unescape(t) for t in texts}
+
+
+def test_named_characters_of_pages(pages, spark):
+    page = '<div class="quote"><span class="text">caf&eacute; &Uuml;ber &aacute</span><small class="author">Jos&eacute; N&uacute;&ntilde;ez</small>' \
+        '<div class="tags"><a class="tag">&ecirc;tre</a></div></div><a rel="next" href="/&Eacute;t&ecirc;?a=1&copy=2&notify=3&amp;b=&reg;&uuml">n</a>'
+    row = parse_pages(pages((BASE, page))).first()
+    assert tuple(row.records[0]) == ("café Über á", "José Núñez", "être")
+    assert row.next_url == "https://site.example/Étê?a=1&copy=2&notify=3&b=®ü"
+
+
 def test_text_expressions(spark):
     row = spark.sql("SELECT '“a”b”' AS q, array('x', 'y') AS t, CAST(NULL AS string) AS n").select(
         strip_quotes(F.col("q")), join_tags(F.col("t")), or_empty(F.col("n"))

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Named characters.
-NAMED = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®",
-    "trade": "™", "middot": "·", "bull": "•", "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’",
-    "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»", "times": "×", "euro": "€", "pound": "£", "sect": "§",
-    "deg": "°", "eacute": "é", "egrave": "è", "agrave": "à", "ccedil": "ç", "auml": "ä", "ouml": "ö", "uuml": "ü",
-    "szlig": "ß", "ntilde": "ñ",
-}
+# All named characters of HTML, by the first letter of the name; most names end with a semicolon.
+NAMED: dict[str, dict[str, str]] = {}
+for name, value in html5.items():
+    NAMED.setdefault(name[0], {})[name] = value
+#: The names that need no semicolon, longest first.
+BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
 #: The rest of a tag; quoted values may hold a bracket.
 REST = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
 HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>"
@@ -43,26 +44,35 @@ def attribute(opening: Column, name: str) -> Column:
     """The decoded value of an attribute in the text of an opening tag; null if there is none."""
     pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
     value = F.concat(*(F.regexp_extract(opening, pattern, i) for i in (1, 2, 3)))
-    return F.when(opening.rlike(pattern), characters(value))
+    return F.when(opening.rlike(pattern), characters(value, in_value=True))
 
 
 def code_point(number: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
 
 
-def characters(text: Column) -> Column:
-    """Text with named and numbered characters in place of their codes; unknown codes stay."""
-    names = F.create_map(*(F.lit(x) for pair in NAMED.items() for x in pair))
+def characters(text: Column, in_value: bool = False) -> Column:
+    """Text with named and numbered characters in place of their codes; unknown codes stay.
+
+    As browsers do, a name without semicolon may have letters after it, but not in the value of an attribute,
+    where it may be part of a link's query.
+    """
+    names = F.from_json(F.lit(json.dumps(NAMED)), "map<string, map<string, string>>")
+    bare = f"^({BARE})(?![A-Za-z0-9=])" if in_value else f"^({BARE})"
+
+    def value_of(name: Column) -> Column:
+        return F.try_element_at(F.try_element_at(names, F.substring(name, 1, 1)), name)
 
     def decoded(part: Column) -> Column:
         decimal, hexadecimal = F.regexp_extract(part, "^#([0-9]{1,7});?", 1), F.regexp_extract(part, "^#[xX]([0-9A-Fa-f]{1,6});?", 1)
-        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*)", 1)
         number = F.when(decimal != "", F.try_to_number(decimal, F.lit("9999999")).cast("long")).when(
             hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("long"))
-        rest = F.regexp_replace(part, "^(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);?", "")
-        return F.when(number.between(1, 0x10FFFF), F.concat(code_point(number), rest)).when(
-            F.try_element_at(names, name).isNotNull(), F.concat(F.try_element_at(names, name), rest)
-        ).otherwise(F.concat(F.lit("&"), part))
+        rest = F.regexp_replace(part, "^(?:#[0-9]+|#[xX][0-9A-Fa-f]+);?", "")
+        full = F.concat(value_of(F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*;)", 1)),
+                        F.regexp_replace(part, "^[A-Za-z0-9]+;", ""))
+        short = F.concat(value_of(F.regexp_extract(part, bare, 1)), F.regexp_replace(part, bare, ""))
+        return F.when(number.between(1, 0x10FFFF), F.concat(code_point(number), rest)).otherwise(
+            F.coalesce(full, short, F.concat(F.lit("&"), part)))
 
     parts = F.split(text, "&")
     first = F.get(parts, F.lit(0))
