@@ -19,6 +19,25 @@ def test_invisible_characters_are_dropped():
     assert toxicity.visible("lo​s­er") == "loser" and toxicity.visible(None) == ""
 
 
+DISGUISED = {
+    "decomposed": "ble\u0301m\u0302f", "overlaid": "b\u0336l\u0336e\u0336m\u0336f\u0336", "enclosing": "b\u20ddl\u20dde\u20ddm\u20ddf\u20dd",
+    "squared": "🄱🄻🄴🄼🄵", "negative circled": "🅑🅛🅔🅜🅕", "negative squared": "🅱🅻🅴🅼\ufe0f🅵", "bracketed": "🄑🄛🄔🄜🄕",
+    "circled": "ⓑⓛⓔⓜⓕ", "far marks": "b\U0001d167l\U000e0101emf", "both": "🄱\u0301le\u0336mf",
+}
+
+
+@pytest.mark.parametrize("text", DISGUISED.values(), ids=DISGUISED)
+def test_marks_and_enclosed_letters_fold(text):
+    assert toxicity.fold(toxicity.visible(text)) == " biemf "
+
+
+def test_disguised_words_score(spark, lexicon):
+    docs = spark.createDataFrame([(n, f"some {t} here") for n, t in DISGUISED.items()], "name string, text string")
+    found = {r.name: r for r in toxicity.find(docs, lexicon).collect()}
+    assert {n for n, r in found.items() if r.toxic_score >= 0.5} == set(DISGUISED)
+    assert {(r.toxic_words, len(r.toxic_spans)) for r in found.values()} == {(3, 1)}
+
+
 @pytest.fixture(scope="module")
 def lexicon(spark):
     draw = random.Random(4)

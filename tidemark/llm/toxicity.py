@@ -1,9 +1,10 @@
 """Toxicity of texts: a weighted lexicon found by Aho-Corasick in folded text.
 
 Folding maps every character to one character: case, accents, look-alike letters
-of other scripts, full-width and mathematical letters and digits used as letters
+of other scripts, full-width, mathematical and enclosed letters and digits used as letters
 become plain Latin letters; all that is no letter or digit becomes a space, and
-invisible characters are removed. Terms are whole words or beginnings of words,
+invisible characters and combining marks, such as separate accents and overlays,
+are removed. Terms are whole words or beginnings of words,
 so each pattern starts with a space. A match inside an exception phrase (the word,
 with its neighbour before, after, or both) does not count. The matched weights,
 in total and per length, give the score by a logistic curve.
@@ -50,11 +51,34 @@ LOOK_ALIKES = {
 }
 # Digits and signs written for letters. i, l, 1 and | are one letter.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "l": "i", "|": "i"}
-INVISIBLE = re.compile("[­͏​-‏‪-‮⁠-⁤﻿]")
+UNSEEN = "­͏​-‏‪-‮⁠-⁤﻿"
+ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 SIGNS = re.compile(r"(?<=\w)[@$](?=\w)")
 
 
+def marks(start: int, end: int) -> set[str]:
+    """Combining marks (categories Mn and Me) of a range."""
+    return {chr(i) for i in range(start, end) if unicodedata.category(chr(i)) in ("Mn", "Me")}
+
+
+@cache
+def removed() -> tuple[re.Pattern, set[str]]:
+    """What is removed from a text: a pattern below U+10000, single characters above."""
+    low = "".join(sorted(marks(0x300, 0x10000)))
+    return re.compile(f"[{UNSEEN}{low}]"), marks(0x10000, 0x20000) | marks(0xE0000, 0xE0200)
+
+
+def enclosed(c: str) -> str:
+    """The letter in a circle, square or brackets; other characters stay."""
+    letters = [x for x in unicodedata.normalize("NFKD", c) if x.isascii() and x.isalpha()]
+    if unicodedata.normalize("NFKD", c)[0] == "(" and len(letters) == 1:
+        return letters[0]
+    named = re.fullmatch(r"(?:NEGATIVE |CROSSED NEGATIVE )?(?:CIRCLED|SQUARED) LATIN (?:CAPITAL|SMALL) LETTER ([A-Z])", unicodedata.name(c, ""))
+    return named[1] if named else c
+
+
 def fold_character(c: str) -> str:
+    c = enclosed(c)
     low = c.lower()
     if len(low) != 1:
         low = c
@@ -70,7 +94,7 @@ def fold_character(c: str) -> str:
 @cache
 def folding() -> dict[int, str]:
     places = [*range(0x3000), *range(0xA640, 0xA7FF), *range(0xFB00, 0xFB07), *range(0xFE00, 0x10000),
-              *range(0x1D400, 0x1D800)]
+              *range(0x1D400, 0x1D800), *range(0x1F100, 0x1F1AE)]
     return {i: fold_character(chr(i)) for i in places if not 0xD800 <= i < 0xE000}
 
 
@@ -82,7 +106,10 @@ def fold(text: str) -> str:
 
 
 def visible(text: str | None) -> str:
-    return INVISIBLE.sub("", text) if text and not text.isascii() else text or ""
+    if not text or text.isascii():
+        return text or ""
+    low, high = removed()
+    return ASTRAL.sub(lambda m: "" if m[0] in high else m[0], low.sub("", text))
 
 
 @lru_cache(maxsize=100_000)
