@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidemark.llm import spelling
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def plain_words(docs):
+    found = Counter()
+    for key, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lowered(run)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % 97 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1:]
+            found[run] += 1
+    return {w: n for w, n in found.items() if len(w) >= 5 and n >= 3}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:i] + long[i + 1:] == short for i in range(len(long)))
+
+
+def plain_variants(docs):
+    words = plain_words(docs)
+    forms, rows = {}, {}
+    for w, n in words.items():
+        near = sorted((-m, o) for o, m in words.items() if one_edit(w, o))
+        if near and -near[0][0] >= 2 * n:
+            forms[w] = near[0][1]
+        rows[w] = (w, n, forms.get(w), len(near), words[forms[w]] if w in forms else None)
+    found = set()
+    for w, n, form, n_near, form_n in rows.values():
+        root = w
+        while root in forms:
+            root = forms[root]
+        found.add((w, n, form, root, n_near, form_n))
+    return found
+
+
+def variants(spark, docs, **names):
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    return {tuple(r) for r in spelling.variants(frame).select("word", "n", "form", "root", "n_near", "form_n").collect()}
+
+
+def test_like_brute_force(spark):
+    draw = random.Random(1)
+    base = ["".join(draw.choices("abcÀéñÿz×", k=draw.randint(4, 8))) for _ in range(25)]
+
+    def spoiled(word):
+        at, c = draw.randrange(len(word)), draw.choice("abéÉÀzZ")
+        return draw.choice([word, word, word[:at] + word[at + 1:], word[:at] + c + word[at:], word[:at] + c + word[at + 1:]])
+
+    docs = [(i, " ".join(spoiled(draw.choice(base)) for _ in range(200)).upper() if i % 9 == 0 else
+             "-".join(spoiled(draw.choice(base)) for _ in range(200))) for i in range(40)]
+    expected = plain_variants(docs)
+    assert any(form for _, _, form, _, _, _ in expected) and any(form != root for _, _, form, root, _, _ in expected if form)
+    assert variants(spark, docs) == expected
+
+
+def test_long_chains_lead_to_one_root(spark):
+    # Each form has twice the occurrences of the word before, up to 3 * 2 ** 8.
+    chain = ["aaaaaaaaa" + "b" * i for i in range(9)]
+    docs = [(n, " ".join([w] * 3 * 2 ** (8 - i))) for n, (i, w) in enumerate(enumerate(chain))]
+    expected = plain_variants(docs)
+    assert len({root for _, _, _, root, _, _ in expected}) == 1
+    assert variants(spark, docs) == expected
+
+
+def test_odd_rows(spark):
+    long = "x" * 30_000
+    docs = [(None, "hello hello"), (1, "hello hellos hellos hellos"), (1, None), (2, ""), (3, "123 -- ."), (4, "cats cats cats"),
+            (5, f"{long} {long} {long}y"), (5, f"{long} {long}y {long}y"), (7, "Äpfel Äpfel äpfel äpfel äpfel Äpfel")]
+    assert variants(spark, docs) == plain_variants(docs)
+    assert variants(spark, []) == set()
+    frame = spark.createDataFrame([(1, "hello hello hello", 2, "x")], "doc_id long, text string, n long, word string")
+    assert spelling.variants(frame).select("word", "n").collect() == [("hello", 3)]
+
+
+def plain_reduced(word):
+    return tuple(ord(c) % spelling.SYMBOLS + 1 for c in word)
+
+
+@pytest.mark.parametrize("word", ["a", "aa", "abcab", "aaaaa", "éñzzzb", "abababababab"])
+def test_neighbourhood_is_full_and_without_repeats(word):
+    own = plain_reduced(word)
+    symbols = range(1, spelling.SYMBOLS + 1)
+    full = {own}
+    for i in range(len(own) + 1):
+        full |= {own[:i] + (s,) + own[i:] for s in symbols}
+        if i < len(own):
+            full |= {own[:i] + (s,) + own[i + 1:] for s in symbols} | {own[:i] + own[i + 1:]}
+
+    def key(reduced):
+        return int(spelling.own_keys(np.array([reduced], np.uint64))[0]) if reduced else 0
+
+    found = [int(k) for _, keys in spelling.neighbour_keys(np.array([own], np.uint64)) for k in keys]
+    assert sorted(found) == sorted(map(key, full)) and len(set(found)) == len(found)
+
+
+def test_candidates_meet_by_reduced_words(spark):
+    frame = spark.createDataFrame([("hello", 3), ("hallo", 4)], "word string, n long")
+    plan = spelling.near_words(spelling.with_keys(frame))._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Cartesian" not in plan and "NestedLoop" not in plan

@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import caps, hosts, imatch, language, licences, mixing, pieces, simhash, token_files, toxicity
+from tidemark.llm import (
+    caps,
+    hosts,
+    imatch,
+    language,
+    licences,
+    mixing,
+    pieces,
+    simhash,
+    spelling,
+    token_files,
+    toxicity,
+)
 from tidemark.llm.tables import held_out, table
 from tidemark.workspace import fresh_folder
 
@@ -107,3 +119,11 @@ def op10_hosts(spark, sf_dir):
 
 
 ORACLES["op10_hosts"] = hosts.oracle()
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_spelling"] = spelling.oracle()
