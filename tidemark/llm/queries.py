@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     caps,
     hosts,
     imatch,
@@ -127,3 +128,9 @@ def op13_spelling(spark, sf_dir):
 
 
 ORACLES["op13_spelling"] = spelling.oracle()
+
+
+@query
+def op12_alignment(spark, sf_dir):
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
