@@ -122,7 +122,10 @@ def _neighbours(batches):
             some = max(1, CHUNK // (symbols.shape[1] * 2 * SYMBOLS))
             for i in range(0, len(rows), some):
                 for at, keys in neighbour_keys(symbols[i : i + some]):
-                    yield pa.RecordBatch.from_pydict({"key": own[rows[i + at]], "met": keys.view(np.int64)})
+                    key, met = own[rows[i + at]], keys.view(np.int64)
+                    # Two reduced words are in each other's neighbourhood; the one with the smaller key brings the other.
+                    found = key <= met
+                    yield pa.RecordBatch.from_pydict({"key": key[found], "met": met[found]})
 
 
 def near_words(vocabulary: DataFrame) -> DataFrame:
@@ -133,6 +136,8 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
     reduced = vocabulary.groupBy("key").agg(F.min("word").alias("word"))
     spread = reduced.mapInArrow(_neighbours, "key long, met long")
     met = spread.join(reduced.select(F.col("key").alias("met")), "met")
+    there, back = F.struct("key", "met"), F.struct(F.col("met").alias("key"), F.col("key").alias("met"))
+    met = met.select(F.inline(F.when(F.col("key") == F.col("met"), F.array(there)).otherwise(F.array(there, back))))
     others = vocabulary.select(F.col("key").alias("met"), F.col("word").alias("other"), "n")
     left = vocabulary.select("key", "word").join(met, "key")
     verified = (left["met"] == others["met"]) & (F.levenshtein("word", "other", 1) == 1)
