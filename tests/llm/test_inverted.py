@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import itertools
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import inverted
+
+ASKING = "vec_id % 20 = 0"
+
+
+def usable(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def plain_nearest(rows, k=20):
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows if i is not None and usable(v)]
+    found = {}
+    for query_id in sorted({i for i, _ in rows if i % 20 == 0}):
+        query = min(v for i, v in rows if i == query_id)
+        scored = []
+        for i, v in rows:
+            if i != query_id and len(v) == len(query):
+                score = 0.0
+                for x, y in zip(query, v):
+                    score += x * y
+                scored.append((-score, i))
+        for rank, (score, i) in enumerate(sorted(scored)[:k], 1):
+            found[query_id, rank] = (i, -score)
+    return found
+
+
+def nearest(spark, rows, **given):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>") if isinstance(rows, list) else rows
+    result = inverted.nearest(frame, ASKING, **given).collect()
+    found = {(r.query_id, r.rank): (r.vec_id, r.score) for r in result}
+    assert len(found) == len(result)
+    return found
+
+
+def vectors(n, dims, seed=0):
+    return [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(seed).normal(size=(n, dims)))]
+
+
+@pytest.mark.parametrize("n, dims", [(0, 4), (1, 4), (15, 4), (300, 1), (300, 2), (400, 9)])
+def test_exact_when_all_neighbours_are_wanted(spark, n, dims):
+    """With a share of 1 and all queries tried, the queries take all cells that hold a neighbour."""
+    rows = vectors(n, dims)
+    assert nearest(spark, rows, recall=1.0) == plain_nearest(rows)
+
+
+def test_odd_rows(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(0, [1.0, 0.0]), (20, [0.0, 0.0]), (40, None), (60, [nan, 1.0]), (80, [inf, 1.0]), (100, [None, 1.0]), (120, []),
+            (140, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [-1.0, 0.0]), (4, [5.0, 7.0]), (5, [3.0, 2.0, 1.0]),
+            (160, [1.0, 1.0]), (160, [0.5, 0.5]), (4, [5.0, 7.0])]
+    assert nearest(spark, rows, recall=1.0) == plain_nearest(rows)
+
+
+def test_ties_and_a_hot_cell(spark, monkeypatch):
+    """Copies fill one cell, which is cut into parts; ties go to the smaller id."""
+    monkeypatch.setattr(inverted, "BLOCK", 50)
+    monkeypatch.setattr(inverted, "QUERIES", 4)
+    rows = [(i, [0.25, -1.5, 3.0, 0.125]) for i in range(400)] + [(1000 + i, v) for i, v in vectors(200, 4)]
+    assert nearest(spark, rows, recall=1.0) == plain_nearest(rows)
+
+
+def test_recall(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    found = inverted.nearest(rows, ASKING).cache()
+    assert inverted.recalled(found, rows, ASKING) >= 0.9
+    for r in found.groupBy("query_id").agg(F.count("*").alias("n"), F.collect_list("rank").alias("ranks")).collect():
+        assert r.n == 20 and sorted(r.ranks) == list(range(1, 21))
+
+
+def test_cells_come_by_summed_distance():
+    sample = np.random.default_rng(1).normal(size=(500, 7))
+    index = inverted.Index(sample, 9)
+    query = np.random.default_rng(2).normal(size=7)
+    cells = list(index.traversed(query))
+    assert sorted(cells) == list(range(index.cells)) and index.cells == 81
+    sums = {a * index.width + b: -(x @ query[:3]) - (y @ query[3:])
+            for (a, x), (b, y) in itertools.product(enumerate(index.halves[0]), enumerate(index.halves[1]))}
+    assert np.all(np.diff([sums[c] for c in cells]) >= -1e-12)
+
+
+def test_a_query_takes_only_some_cells(spark):
+    """Two far groups: queries stay in their own, so few entries are enough."""
+    random = np.random.default_rng(3)
+    rows = [(i, (np.array([9.0, 0, 9, 0] if i % 2 else [0, 9.0, 0, 9]) + random.normal(size=4)).tolist()) for i in range(4000)]
+    frame = inverted.sound(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding")
+    index = inverted.fit(frame)[4]
+    points = np.array([v for _, v in rows], np.float32).astype(float)
+    index.filled(dict(zip(*np.unique(index.cells_of(points), return_counts=True))), 0)
+    taken = index.taken(points[0], 100)
+    assert 100 <= index.sizes[taken].sum() < 400
+    assert {i % 2 for i, c in enumerate(index.cells_of(points)) if c in set(taken)} == {0}
+
+
+def test_extra_columns_with_clashing_names(spark):
+    names = "id, vector, dims, cell, block, parts, entries, asks, query_id, score, rank, n".split(", ")
+    rows = vectors(50, 3)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").select("*", *[F.lit("x").alias(n) for n in names])
+    assert nearest(spark, frame, recall=1.0) == plain_nearest(rows)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
@@ -29,11 +30,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import with_small_batches
+from tidemark.llm.tables import BATCH_ROWS, batches_of
 from tidemark.workspace import fresh_folder, written
 
 #: Characters of the documents that are merged together.
-BATCH = 6_000_000
+BATCH = 3_000_000
+#: Stored batches that Python gets at once.
+ROWS = 4
 #: B's mark of a space (fixed value of its file format).
 SPACE = "▁"
 DOCUMENTS = "n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>"
@@ -81,9 +84,11 @@ class Tokenizers:
         return pa.array([bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace(SPACE, " ").encode()
                          for i, n in enumerate(names)], pa.binary())
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        found = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found], self.b.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[Tokens, Tokens]:
+        # One text after another, as what the libraries return takes some hundred bytes a token.
+        a = (np.array(self.a.encode(" " + t, add_special_tokens=False).ids, np.int32) for t in texts)
+        b = (np.array(self.b.encode(t), np.int32) for t in texts)
+        return Tokens.of(a, self.a_bytes), Tokens.of(b, self.b_bytes)
 
 
 @lru_cache(maxsize=1)
@@ -101,10 +106,9 @@ class Tokens:
     table: pa.Array
 
     @classmethod
-    def of(cls, lists: list[list[int]], table: pa.Array) -> Tokens:
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter((i for some in lists for i in some), np.int32, int(sizes.sum()))
-        return cls(ids, np.concatenate([[0], np.cumsum(sizes)]), table)
+    def of(cls, documents: Iterable[np.ndarray], table: pa.Array) -> Tokens:
+        ids = [np.zeros(0, np.int32), *documents]
+        return cls(np.concatenate(ids), np.cumsum([len(i) for i in ids]), table)
 
     def joined(self) -> pa.Array:
         parts = self.table.take(pa.array(self.ids))
@@ -176,8 +180,7 @@ def group_texts(a: Tokens, b: Tokens, cut_a: np.ndarray, cut_b: np.ndarray) -> p
 
 def aligned(texts: list[str | None], using: Tokenizers) -> tuple[Tokens, Tokens, tuple[np.ndarray, ...]]:
     """Tokens of both kinds for the texts that come back byte for byte, and what ``lockstep`` finds in them."""
-    lists_a, lists_b = using.encode([t or "" for t in texts])
-    a, b = Tokens.of(lists_a, using.a_bytes), Tokens.of(lists_b, using.b_bytes)
+    a, b = using.encode([t or "" for t in texts])
     wanted = pa.array([(" " + t).encode() if t else None for t in texts], pa.binary())
     same = pc.and_(pc.equal(a.joined(), wanted), pc.equal(b.joined(), wanted))
     kept = pc.fill_null(same, False).to_numpy(zero_copy_only=False)
@@ -260,18 +263,21 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
     """Per document: key, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum``, ``groups_sha256``."""
     spark = docs.sparkSession
     folder = fresh_folder(spark, "alignment")
-    given = with_small_batches(docs).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    given = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = given.schema["key"].dataType.simpleString()
-    b_size = len(tokenizers(a_path, b_path).b_bytes)
-    stored = written(given.mapInArrow(_merge(a_path, b_path), (
-        f"batch string, keys array<{kind}>, {DOCUMENTS}, links array<int>, pairs array<long>, times array<long>"
-    )), f"{folder}/batches")
-    counts = written(pair_counts(stored, b_size), f"{folder}/counts")
+    merged = given.mapInArrow(_merge(a_path, b_path), (
+        f"batch string, keys array<{kind}>, {DOCUMENTS}, links array<int>, pairs array<long>, times array<long>"))
+    with batches_of(spark, BATCH_ROWS):
+        stored = written(merged, f"{folder}/batches")
+    counts = written(pair_counts(stored, len(tokenizers(a_path, b_path).b_bytes)), f"{folder}/counts")
     listed = stored.select("batch", F.posexplode("pairs").alias("place", "pair"))
     counted = listed.join(counts, "pair").groupBy("batch").agg(
         F.collect_list(F.struct("place", "count", "best")).alias("counted"))
+    # A batch without links has no counts.
     rows = stored.drop("pairs", "times").join(counted, "batch", "left").withColumn(
         "counted", F.coalesce("counted", F.array().cast(counted.schema["counted"].dataType)))
-    return rows.mapInArrow(_sums, (
-        f"key {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
-    )).withColumnRenamed("key", key)
+    summed = rows.mapInArrow(_sums, (
+        f"key {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"))
+    with batches_of(spark, ROWS):
+        summed = written(summed, f"{folder}/documents")
+    return summed.withColumnRenamed("key", key)

@@ -13,6 +13,7 @@ from tidemark.llm import (
     caps,
     hosts,
     imatch,
+    inverted,
     language,
     licences,
     mixing,
@@ -134,3 +135,8 @@ ORACLES["op13_spelling"] = spelling.oracle()
 def op12_alignment(spark, sf_dir):
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.align(table(spark, sf_dir, "documents"), *paths)
+
+
+@query
+def op11_inverted(spark, sf_dir):
+    return inverted.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
