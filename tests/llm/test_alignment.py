@@ -93,6 +93,17 @@ def test_given_documents(spark, using):
     assert align(spark, docs) == plain_align(using, rows)
 
 
+def test_parts_encode_like_whole_texts(using):
+    """Every character that is parted here, in several neighbourhoods."""
+    assert using.by_parts
+    signs = [chr(c) for c in (9, 10, 13, *range(32, 127), *range(0xA0, 0x250))]
+    draw = random.Random(2)
+    texts = [f"a{c}b {c}{c} 1{c}2\n{c} {c}x  {c}'s{c}'ll" for c in signs]
+    texts += ["".join(draw.choices(signs + [" "] * 60 + ["\n"] * 9 + list("aeiou'"), k=60)) for _ in range(3000)]
+    for text in texts:
+        assert using.encode_a(text).tolist() == using.a.encode(text, add_special_tokens=False).ids
+
+
 def test_batches_do_not_matter(spark, using):
     docs = [(i, f"the {i} cats sat on the mat, and the dog's bone {'x' * (i % 7)}") for i in range(150)]
     whole = align(spark, docs)

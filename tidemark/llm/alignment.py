@@ -18,15 +18,19 @@ count again; a null id is a row like others; an empty table gives no rows; extra
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +38,15 @@ from tidemark.llm.tables import BATCH_ROWS, batches_of
 from tidemark.workspace import fresh_folder, written
 
 #: Characters of the documents that are merged together.
-BATCH = 3_000_000
+BATCH = 1_000_000
 #: Stored batches that Python gets at once.
 ROWS = 4
+#: How byte-level files part texts (fixed value of their format), and the texts whose characters are of the same classes
+#: in every version of Unicode, so that any library parts them alike.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+PLAIN = re.compile(r"[\t\n\r -~\u00a0-\u024f]*")
+#: Parts whose ids a worker keeps.
+KEPT = 100_000
 #: B's mark of a space (fixed value of its file format).
 SPACE = "▁"
 DOCUMENTS = "n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>"
@@ -84,9 +94,32 @@ class Tokenizers:
         return pa.array([bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace(SPACE, " ").encode()
                          for i, n in enumerate(names)], pa.binary())
 
+    @cached_property
+    def parts(self) -> dict[str, list[int]]:
+        return {}
+
+    @cached_property
+    def by_parts(self) -> bool:
+        """Whether A parts texts by ``PARTS`` and changes nothing before."""
+        rules = json.loads(self.a.to_str())
+        steps = rules["pre_tokenizer"] or {}
+        return (not rules["normalizer"] and steps.get("type") == "ByteLevel" and steps.get("use_regex", True)
+                and not steps.get("add_prefix_space") and rules["model"]["type"] == "BPE")
+
+    def encode_a(self, text: str) -> np.ndarray:
+        """The ids of a text; parts met before are not encoded again."""
+        if not (self.by_parts and PLAIN.fullmatch(text)):
+            return np.array(self.a.encode(text, add_special_tokens=False).ids, np.int32)
+        found = PARTS.findall(text)
+        if len(self.parts) > KEPT:
+            self.parts.clear()
+        for part in set(found).difference(self.parts):
+            self.parts[part] = self.a.encode(part, add_special_tokens=False).ids
+        return np.fromiter(chain.from_iterable(map(self.parts.__getitem__, found)), np.int32)
+
     def encode(self, texts: list[str]) -> tuple[Tokens, Tokens]:
         # One text after another, as what the libraries return takes some hundred bytes a token.
-        a = (np.array(self.a.encode(" " + t, add_special_tokens=False).ids, np.int32) for t in texts)
+        a = (self.encode_a(" " + t) for t in texts)
         b = (np.array(self.b.encode(t), np.int32) for t in texts)
         return Tokens.of(a, self.a_bytes), Tokens.of(b, self.b_bytes)
 
