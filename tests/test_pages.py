@@ -37,13 +37,15 @@ def pages(spark):
 
 
 def test_records(pages):
-    parsed = parse_pages(pages((BASE, PAGE), ("https://e.example/", "<p>none"), ("https://n.example/", None), (None, PAGE)))
+    given = pages((BASE, PAGE), ("https://e.example/", "<p>none"), ("https://n.example/", None), (None, PAGE))
+    parsed = parse_pages(given)
     found = sorted((r.url or "", r.quote_text, r.author, r.tags) for r in extract_records(parsed).collect())
     records = [("One &two", "A. Author", "x, y"), ("No author here", "", "")]
     assert found == sorted((u, *r) for u in ("", BASE) for r in records)
-    assert {tuple(r) for r in next_links(parsed).where("url IS NOT NULL").collect()} == {
-        (BASE, "https://site.example/page/2/"), ("https://e.example/", None), ("https://n.example/", None)}
-    fixed = next_links(parse_pages(pages((BASE, PAGE)), base_url="https://other.example/")).first()
+    links = {(BASE, "https://site.example/page/2/"), ("https://e.example/", None), ("https://n.example/", None), (None, None)}
+    assert {tuple(r) for r in parsed.select("url", "next_url").collect()} == links
+    assert {tuple(r) for r in next_links(given).collect()} == links
+    fixed = next_links(pages((BASE, PAGE)), base_url="https://other.example/").first()
     assert fixed.next_url == "https://other.example/page/2/"
     plan = parsed._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
@@ -67,6 +69,12 @@ SCOPE = [
     ('<div class="tags"><div class="quote"><a class="tag">e</a></div><a class="tag">no</a></div>', [("", "", "e")]),
     ('<DIV class="quote"><div class="tags"><div class="tags"><a class="tag">f</a></div><a class="tag">g</a></div></DIV >', [("", "", "f, g")]),
     ('<div class="quote"><div class="tags"><a class="tag">h</a>', [("", "", "h")]),
+    # A field and a tag that never close; a quote sign that is no quoted value; a value that never closes.
+    ('<div class="quote"><small class="author">i<b>j</b><div class="tags"><a class="tag">k</div></div><p>no', [("", "ijk", "k")]),
+    ("<div class=quote><p don't><span class='big text'>l</span>it's</div>", [("l", "", "")]),
+    ('<div class="quote"><span class="text">m</span></div><div class="quote><span class="text">no', [("m", "", "")]),
+    # Words that only begin or end alike; brackets in prose.
+    ('<div class="quote"><span class="texts">no</span><span class="a-text">no</span><span class=" x text ">1 < 2 > 0</span></div>', [("1 < 2 > 0", "", "")]),
 ]
 
 
@@ -87,12 +95,42 @@ NEXT = [
     ('<li class="last next"><b>x</b><a href="../up?q=1#f">n', "https://site.example/up?q=1#f"),
     ("<A HREF='it&#39;s&amp;x' REL='next'>", "https://site.example/list/it's&x"),
     ("<!-- <a rel=next href=/no> --><a href=yes rel=next>", "https://site.example/list/yes"),
+    ('<a title=" rel=next" href="/no"></a><li class="next"><i><b>x</b></i><br><img src="/"><a href="/deep"></a></li>', "https://site.example/deep"),
+    ('<li class="next"><p><a href="/no"></a></p></li><a href="/no"></a><li class="next"><a href="/later"></a>', "https://site.example/later"),
+    ('<li class="next"><ul><li class="next"></li></ul><a href="/outer"></a></li>', "https://site.example/outer"),
+    ('<a rel="next">no link</a>', None),
 ]
 
+LONG = 1_000_000
+
+
+@pytest.mark.parametrize("markup, records, link", [
+    ('<div class="quote"><span class="text">a</span></div><a ' + "x " * (LONG // 2), [("a", "", "")], None),
+    ('<div class="quote"><span class="text">a</span></div>' + "<a " * (LONG // 3), [("a", "", "")], None),
+    ('<li class="next">' + "text " * (LONG // 5) + '<a href="/n">', [], "https://site.example/n"),
+    (f'<a title="{"y " * (LONG // 2)}" rel="next" href="/n">', [], "https://site.example/n"),
+    (f'<a rel="next" href="/{"z" * LONG}">', [], f"https://site.example/{'z' * LONG}"),
+    ('<div class="quote"><span class="text">a</span><a title="' + "v>" * (LONG // 2), [("a", "", "")], None),
+    ('<div class="quote"><span class="text">' + " " * LONG + "b" + " " * LONG + "c</span></div>", [(f"b{' ' * LONG}c", "", "")], None),
+    ("<!--" * (LONG // 4), [], None),
+    ("<script>" * (LONG // 8), [], None),
+    (f'<div class="{"w " * (LONG // 2)}quote"><small class="author">A', [("", "A", "")], None),
+])
+def test_long_pages(pages, markup, records, link):
+    row = parse_pages(pages((BASE, markup))).first()
+    assert [tuple(r) for r in row.records] == records and row.next_url == link
+
+
+def test_long_anchors(spark):
+    texts = ["<a " + "x" * LONG, "<a href=/1>" + "<a href='" * 1000 + "y" * LONG, f'<a class="{"q " * (LONG // 2)}" href="/2">', "<" * LONG]
+    frame = spark.createDataFrame([(i, BASE, t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+    found = {(r.page_id, r.link[:24]) for r in page_links(frame).collect()}
+    assert {(1, "https://site.example/1"), (2, "https://site.example/2")} <= found and {i for i, _ in found} == {1, 2}
+
 
 def test_next_links(pages):
     rows = [(f"{BASE}{i}", h) for i, (h, _) in enumerate(NEXT)]
-    found = {r.url: r.next_url for r in next_links(parse_pages(pages(*rows))).collect()}
+    found = {r.url: r.next_url for r in next_links(pages(*rows)).collect()}
     assert [found[u] for u, _ in rows] == [link for _, link in NEXT]
 
 

@@ -1,4 +1,8 @@
-"""Text, attributes and links of HTML as column expressions."""
+"""Text, attributes and links of HTML as column expressions.
+
+Patterns over markup are possessive: they never go back over what they matched, so they run in a loop, not by recursion,
+and in time that grows with the length of the page, whatever is left open in it. What never closes reaches to the end.
+"""
 
 from __future__ import annotations
 
@@ -14,37 +18,70 @@ for name, value in html5.items():
     NAMED.setdefault(name[0], {})[name] = value
 #: The names that need no semicolon, longest first.
 BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
-#: The rest of a tag; quoted values may hold a bracket.
-REST = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
-HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>"
+#: The value of an attribute; only quoted ones may hold a bracket.
+VALUE = r"""(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s>"'][^\s>]*+)"""
+#: What may follow the name in a tag, and the end of a tag.
+REST, END = rf"(?:[^>=]++|=\s*+{VALUE}?+)*+", r"(?:>|\z)"
+TAG = rf"</?[a-z]{REST}{END}"
+#: Comments, declarations, scripts and styles, or a tag, which stays.
+HIDDEN = (rf"(?is)<(?:!--.*?(?:-->|\z)|[!?][^>]*+{END}|(script|style|template)(?=[\s/>]){REST}{END}.*?(?:</\1\s*+>|\z))"
+          rf"|({TAG})")
+#: A tag, or the start of the page, and the text up to the next tag.
+PIECE = rf"(?is)(?:{TAG}|\A)(?:[^<]++|<(?!/?+[a-z]))*+"
+#: White space at the start or the end; a run inside is looked at once.
+OUTER_SPACE = r"(?U)\A\s++|(?<!\s)\s++\z"
 URL = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
 def visible(html: Column) -> Column:
-    """Markup without comments, scripts and styles."""
-    return F.regexp_replace(html, HIDDEN, "")
+    """Markup without comments, declarations, scripts and styles."""
+    return F.regexp_replace(html, HIDDEN, "$2")
+
+
+def pieces(html: Column) -> Column:
+    """Visible markup cut before every tag; the first piece may be text only."""
+    return F.regexp_extract_all(html, F.lit(PIECE), F.lit(0))
+
+
+def tags(html: Column) -> Column:
+    """All opening and closing tags of visible markup."""
+    return F.regexp_extract_all(html, F.lit(f"(?is){TAG}"), F.lit(0))
 
 
 def value_is(value: str) -> str:
-    return rf"""(?:"{value}"|'{value}'|{value}(?=[\s/>]))"""
+    return rf"""(?:"{value}"|'{value}'|{value}(?=[\s/>]|\z))"""
 
 
 def value_has(word: str) -> str:
-    return rf"""(?:"(?:[^"]*\s)?{word}(?:\s[^"]*)?"|'(?:[^']*\s)?{word}(?:\s[^']*)?'|{word}(?=[\s/>]))"""
+    """Pattern of a value with this word among those that white space parts."""
+    def quoted(quote: str) -> str:
+        return rf"{quote}\s*+(?:(?!{word}[\s{quote}])[^{quote}\s]++\s++)*+{word}(?=[\s{quote}])"
+
+    return rf"""(?:{quoted('"')}|{quoted("'")}|{word}(?=[\s/>]|\z))"""
+
+
+def up_to(attribute: str) -> str:
+    """Pattern of what comes in a tag before the value of an attribute."""
+    here = rf"\s{attribute}\s*+="
+    return rf"(?:(?!{here})(?:[^>=]|=\s*+{VALUE}?+))*+{here}"
 
 
 def tag(name: str, attribute: str = "", value: str = "") -> str:
-    """Pattern of an opening tag, with an attribute whose value matches the pattern ``value``."""
-    if not attribute:
-        return rf"<{name}(?=[\s/>]){REST}>"
-    return rf"<{name}(?=\s){REST}?\s{attribute}\s*=\s*{value}{REST}>"
+    """Pattern of the start of an opening tag, with an attribute whose value fits the pattern ``value``."""
+    start = rf"<{name}(?=[\s/>]|\z)"
+    return rf"{start}{up_to(attribute)}\s*+{value}" if attribute else start
+
+
+def starts_with(piece: Column, pattern: str) -> Column:
+    return piece.rlike(rf"(?is)\A{pattern}")
 
 
 def attribute(opening: Column, name: str) -> Column:
-    """The decoded value of an attribute in the text of an opening tag; null if there is none."""
-    pattern = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    value = F.concat(*(F.regexp_extract(opening, pattern, i) for i in (1, 2, 3)))
-    return F.when(opening.rlike(pattern), characters(value, in_value=True))
+    """The decoded value of an attribute of an opening tag; null if there is none."""
+    found = F.regexp_extract(opening, rf"(?is)\A<[a-z][^\s/>]*+{up_to(name)}\s*+({VALUE}?+)", 1)
+    quote = F.substring(found, 1, 1)
+    plain = F.when(quote.isin('"', "'"), F.replace(found, quote, F.lit(""))).otherwise(found)
+    return F.when(starts_with(opening, rf"<[a-z][^\s/>]*+{up_to(name)}"), characters(plain, in_value=True))
 
 
 def code_point(number: Column) -> Column:
@@ -81,12 +118,12 @@ def characters(text: Column, in_value: bool = False) -> Column:
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(text, OUTER_SPACE, "")
 
 
-def plain_text(markup: Column) -> Column:
-    """The text between tags, each piece without outer spaces."""
-    return F.array_join(F.transform(F.split(markup, rf"<{REST}>"), lambda p: stripped(characters(p))), "")
+def text_of(piece: Column) -> Column:
+    """The text behind the tag of a piece, decoded, without outer spaces."""
+    return stripped(characters(F.regexp_replace(piece, rf"(?is)\A{TAG}", "")))
 
 
 def resolve_link(base: Column, href: Column) -> Column:

@@ -2,35 +2,51 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import join_tags, or_empty, strip_quotes
 from tidemark.functions.markup import (
-    REST,
     attribute,
-    plain_text,
+    pieces,
     resolve_link,
+    starts_with,
     stripped,
     tag,
+    tags,
+    text_of,
     value_has,
     value_is,
     visible,
 )
 from tidemark.workspace import Folder, fresh_folder, written
 
-#: What may stand in an element before a child: text and closed elements without elements in them.
-CHILDREN = rf"(?:[^<]|<(\w+)(?=[\s/>]){REST}>[^<]*</\1\s*>)*"
+#: Noncharacters that stand for tags while a record is read.
+MARKS = [chr(c) for c in range(0xFDD0, 0xFDF0)]
+# Elements without a closing tag.
+VOID = "area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr"
+#: Pieces that open an element, that close one, and that do neither.
+CLOSES, EMPTY = r"</", rf"(?:(?!<)|<(?:{VOID})(?=[\s/>]|\z)|<[^>]*+(?<=/)>)"
 
-#: A noncharacter that stands before tags while markup is cut.
-MARK = "\ufdd0"
 
+@dataclass(frozen=True)
+class Field:
+    """Elements ``name`` whose opening tag fits the pattern ``opening``, behind an opening tag that fits ``behind``."""
 
-def within(*openings: str) -> str:
-    """Pattern of opening tags inside each other; the last may follow anywhere in the one before."""
-    return ".*?".join(openings)
+    name: str
+    opening: str
+    behind: str | None = None
+
+
+@dataclass(frozen=True)
+class Link:
+    """An opening tag that fits ``opening``, behind one that fits ``behind``, or with ``child`` directly in its element."""
+
+    opening: str
+    behind: str | None = None
+    child: bool = False
 
 
 @dataclass(frozen=True)
@@ -38,140 +54,188 @@ class RecordSpec:
     """Patterns of the opening tags of boxes, fields and tags, and how the next link is found.
 
     Boxes and lists of tags are elements named ``element`` and reach to where these close; a field reaches
-    to the first closing tag of its name. Tags count inside an element ``tag_list``, or anywhere in the box
-    if that is None. ``next_link`` has patterns whose last group is the opening tag of the link; the first
-    that is found decides.
+    to the first closing tag of its name in the box, or to the end of the box. Tags count inside an element
+    ``tag_list``, or anywhere in the box if that is None. The first of ``next_link`` that is found decides.
     """
 
     element: str = "div"
     box: str = tag("div", "class", value_has("quote"))
-    text: tuple[str, str] = ("span", tag("span", "class", value_has("text")))
-    author: tuple[str, str] = ("small", tag("small", "class", value_has("author")))
+    text: Field = Field("span", tag("span", "class", value_has("text")))
+    author: Field = Field("small", tag("small", "class", value_has("author")))
     tag_list: str | None = tag("div", "class", value_has("tags"))
-    tags: tuple[str, str] = ("a", tag("a", "class", value_has("tag")))
-    next_link: tuple[str, ...] = (
-        f"({tag('a', 'rel', value_is('next'))})",
-        f"{tag('li', 'class', value_has('next'))}{CHILDREN}({tag('a')})",
-    )
+    tags: Field = Field("a", tag("a", "class", value_has("tag")))
+    next_link: tuple[Link, ...] = field(default=(
+        Link(tag("a", "rel", value_is("next"))),
+        Link(tag("a"), behind=tag("li", "class", value_has("next")), child=True),
+    ))
+
 
+def places(cut: Column, test) -> Column:
+    """Places of the pieces that pass a test, from 0."""
+    marked = F.transform(cut, lambda piece, i: F.when(test(piece), i))
+    return F.filter(marked, lambda i: i.isNotNull())
 
-def field(box: Column, name: str, opening: str) -> Column:
-    """Text of the first such element; empty if there is none."""
-    return or_empty(plain_text(F.regexp_extract(box, rf"(?is){opening}(.*?)</{name}\s*>", 1)))
 
+def turns(cut: Column, spec: RecordSpec) -> Column:
+    """Opening and closing tags of the element of boxes: at, step, whether a box or a list of tags opens."""
+    def fits(piece: Column, opening: str | None) -> Column:
+        return F.lit(False) if opening is None else starts_with(piece, opening)
 
-def pieces(html: Column, name: str) -> Column:
-    """Markup cut before every opening and closing tag of this name; what looks like one in a value is none."""
-    marked = F.regexp_replace(F.translate(html, MARK, ""), rf"(?is)(</?[a-z]{REST}>)", f"{MARK}$1")
-    cut = F.split(marked, rf"(?i){MARK}(?=</?{name}[\s/>])")
-    return F.transform(cut, lambda piece: F.translate(piece, MARK, ""))
+    own = F.transform(cut, lambda piece, i: F.when(starts_with(piece, rf"</?{spec.element}(?=[\s/>]|\z)"), F.struct(
+        i.alias("at"),
+        F.when(F.startswith(piece, F.lit("</")), -1).when(starts_with(piece, r"<[^>]*+(?<=/)>"), 0).otherwise(1).alias("step"),
+        fits(piece, spec.box).alias("box"), fits(piece, spec.tag_list).alias("list"))))
+    return F.filter(own, lambda turn: turn.isNotNull())
 
 
-def spans(cut: Column, name: str, opening: str, outermost: bool = False) -> Column:
-    """First piece and the one after the last of each element with this opening tag, in order.
+def spans(found: Column, end: Column) -> Column:
+    """first, last, box, list of the elements that ``turns`` found: up to the place of the closing tag, or the end.
 
-    An element that never closes reaches to the end. ``outermost`` leaves out those inside another.
+    Tags of one depth follow each other, opening and closing by turns, once they are sorted by depth.
     """
-    # A tag that ends with a slash closes its element itself.
-    kinds = F.transform(cut, lambda piece: F.struct(
-        F.when(piece.rlike(rf"(?is)^<{name}(?=[\s/>]){REST}(?<=/)>"), F.lit(0))
-        .when(piece.rlike(rf"(?i)^<{name}[\s/>]"), 1).when(piece.rlike(rf"(?i)^</{name}[\s/>]"), -1).otherwise(0).alias("step"),
-        piece.rlike(f"(?is)^{opening}").alias("fits")))
-    state = "struct<at: int, depth: int, open: array<struct<first: int, depth: int>>, done: array<struct<first: int, last: int>>>"
-    start = F.from_json(F.lit('{"at": 0, "depth": 0, "open": [], "done": []}'), state)
-
-    def ended(some: Column, at: Column) -> Column:
-        return F.transform(some, lambda o: F.struct(o["first"].alias("first"), at.alias("last")))
-
-    def walk(seen: Column, kind: Column) -> Column:
-        at, depth, opened = seen["at"], seen["depth"], seen["open"]
-        fits = kind["fits"] & (F.lit(not outermost) | (F.size(opened) == 0))
-        # A closing tag without an open element is none.
-        after = F.greatest(depth + kind["step"], F.lit(0))
-        here = F.array(F.struct(at.alias("first"), depth.alias("depth")))
-        closes = kind["step"] < 0
-        return F.struct(
-            (at + 1).alias("at"), after.alias("depth"),
-            F.when(closes, F.filter(opened, lambda o: o["depth"] < after))
-            .when(fits & (kind["step"] > 0), F.concat(opened, here)).otherwise(opened).alias("open"),
-            F.when(closes, F.concat(seen["done"], ended(F.filter(opened, lambda o: o["depth"] >= after), at)))
-            .when(fits & (kind["step"] == 0), F.concat(seen["done"], F.array(F.struct(at.alias("first"), at.alias("last")))))
-            .otherwise(seen["done"]).alias("done"),
-        ).cast(state)
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<int>").alias("depths"))
+
+    def walk(seen: Column, turn: Column) -> Column:
+        # A closing tag without an open element is none, at depth 0.
+        after = F.greatest(seen["depth"] + turn["step"], F.lit(0))
+        own = F.when(turn["step"] > 0, after).when(turn["step"] < 0, seen["depth"]).otherwise(0)
+        return F.struct(after.alias("depth"), F.concat(seen["depths"], F.array(own)).alias("depths"))
+
+    depths = F.aggregate(found, start, walk, lambda seen: seen["depths"])
+    # Boxes and lists that close themselves hold nothing.
+    by_depth = F.array_sort(F.zip_with(depths, found, lambda depth, turn: F.struct(depth.alias("depth"), turn["at"].alias("at"), turn.alias("turn"))))
+    followed = F.zip_with(by_depth, F.slice(by_depth, 2, F.greatest(F.size(by_depth), F.lit(1))), lambda one, after: F.struct(
+        one["at"].alias("first"),
+        F.when(one["turn"]["step"] == 0, one["at"])
+        .when((after["depth"] == one["depth"]) & (after["turn"]["step"] < 0), after["at"]).otherwise(end).alias("last"),
+        one["turn"]["box"].alias("box"), one["turn"]["list"].alias("list")))
+    return F.array_sort(F.filter(followed, lambda span: span["box"] | span["list"]))
+
+
+def in_lists(at: Column, lists: Column | None) -> Column:
+    if lists is None:
+        return F.lit(True)
+    return F.exists(lists, lambda span: (span["first"] <= at) & (at < span["last"]))
 
-    return F.aggregate(kinds, start, walk, lambda seen: F.array_sort(
-        F.concat(seen["done"], ended(seen["open"], seen["at"]))))
 
+def coded(cut: Column, lists: Column | None, spec: RecordSpec) -> Column:
+    """Each piece as its text, with marks for the opening and closing tags of the fields before it."""
+    def code(piece: Column, at: Column) -> Column:
+        marks = []
+        for number, some in enumerate((spec.text, spec.author, spec.tags)):
+            opens, closes, behind = MARKS[3 * number : 3 * number + 3]
+            fits = starts_with(piece, some.opening)
+            marks.append(F.when(fits & in_lists(at, lists) if some is spec.tags else fits, opens).otherwise(""))
+            marks.append(F.when(starts_with(piece, rf"</{some.name}(?=[\s/>]|\z)"), closes).otherwise(""))
+            if some.behind:
+                marks.append(F.when(starts_with(piece, some.behind), behind).otherwise(""))
+        return F.concat(*marks, text_of(piece))
 
-def stretch(cut: Column, first: Column, last: Column) -> Column:
-    return F.array_join(F.slice(cut, first + 1, F.greatest(last - first, F.lit(0))), "")
+    return F.transform(cut, code)
 
 
-def record(cut: Column, box: Column, lists: Column | None, spec: RecordSpec) -> Column:
-    """Record of a box, a span of pieces; ``lists`` are the spans that tags count in."""
-    inside = stretch(cut, box["first"], box["last"])
-    if lists is None:
-        found = tags_in(inside, spec)
-    else:
-        found = F.flatten(F.transform(lists, lambda x: tags_in(
-            stretch(cut, F.greatest(x["first"], box["first"]), F.least(x["last"], box["last"])), spec)))
+def field_pattern(number: int, some: Field) -> str:
+    """Pattern of a field in joined codes; its text is the last group."""
+    opens, closes, behind = MARKS[3 * number : 3 * number + 3]
+    before = f"{behind}[^{behind}{opens}]*+" if some.behind else ""
+    return f"(?s){before}{opens}([^{closes}]*+)"
+
+
+def record(codes: Column, box: Column, spec: RecordSpec) -> Column:
+    inside = F.array_join(F.slice(codes, box["first"] + 1, box["last"] - box["first"]), "")
+
+    def plain(text: Column) -> Column:
+        return F.translate(text, "".join(MARKS), "")
+
+    text, author = (plain(F.regexp_extract(inside, field_pattern(i, some), 1)) for i, some in enumerate((spec.text, spec.author)))
+    found = F.transform(F.regexp_extract_all(inside, F.lit(field_pattern(2, spec.tags)), F.lit(1)), plain)
     return F.struct(
-        stripped(strip_quotes(field(inside, *spec.text))).alias("quote_text"),
-        field(inside, *spec.author).alias("author"),
-        join_tags(F.transform(found, plain_text)).alias("tags"),
-    )
+        stripped(strip_quotes(text)).alias("quote_text"), author.alias("author"), join_tags(found).alias("tags"))
 
 
-def tags_in(markup: Column, spec: RecordSpec) -> Column:
-    return F.regexp_extract_all(markup, F.lit(rf"(?is){spec.tags[1]}(.*?)</{spec.tags[0]}\s*>"), F.lit(1))
+def child_link(cut: Column, link: Link) -> Column:
+    """The first piece that opens the link directly in the element it is behind."""
+    state = "struct<depth: int, inside: array<int>, found: string>"
+    start = F.from_json(F.lit('{"depth": 0, "inside": [], "found": null}'), state)
 
+    def walk(seen: Column, piece: Column) -> Column:
+        depth, inside = seen["depth"], seen["inside"]
+        closes = starts_with(piece, CLOSES)
+        step = F.when(closes, -1).when(starts_with(piece, EMPTY), 0).otherwise(1)
+        fits = starts_with(piece, link.opening) & (F.get(inside, F.size(inside) - 1) == depth)
+        here = F.when(starts_with(piece, link.behind), F.array(depth + 1)).otherwise(F.array().cast("array<int>"))
+        left = F.when(closes, F.filter(inside, lambda d: d <= depth - 1)).otherwise(inside)
+        return F.struct(
+            (depth + step).alias("depth"), F.concat(left, here).alias("inside"),
+            F.coalesce(seen["found"], F.when(fits, piece)).alias("found")).cast(state)
+
+    behind = places(cut, lambda piece: starts_with(piece, link.behind))
+    # Nothing is walked before the first element that the link may be in.
+    rest = F.slice(cut, F.get(behind, F.lit(0)) + 1, F.size(cut))
+    return F.when(F.size(behind) > 0, F.aggregate(rest, start, walk, lambda seen: seen["found"]))
 
-def next_opening(html: Column, spec: RecordSpec) -> Column:
-    """The opening tag of the next link, null if no pattern finds one."""
+
+def next_opening(cut: Column, spec: RecordSpec) -> Column:
+    """The piece of the next link, null if no way finds one."""
     found = []
-    for pattern in spec.next_link:
-        # Groups before the last one belong to the pattern itself.
-        group = pattern.replace(r"\(", "").count("(") - pattern.count("(?")
-        found.append(F.nullif(F.regexp_extract(html, f"(?is){pattern}", group), F.lit("")))
+    for link in spec.next_link:
+        if link.child:
+            found.append(child_link(cut, link))
+            continue
+        rest = cut
+        if link.behind:
+            rest = F.slice(cut, F.get(places(cut, lambda piece: starts_with(piece, link.behind)), F.lit(0)) + 2, F.size(cut))
+        found.append(F.get(F.filter(rest, lambda piece: starts_with(piece, link.opening)), F.lit(0)))
     return F.coalesce(*found)
 
 
+def cut_pages(pages: DataFrame) -> DataFrame:
+    """url and the pieces of each page."""
+    html = F.translate(or_empty(visible(F.col("html"))), "".join(MARKS), "")
+    return pages.select("url", pieces(html).alias("cut"))
+
+
+def with_next(cut: DataFrame, spec: RecordSpec, base_url: str | None) -> Column:
+    base = F.col("url") if base_url is None else F.lit(base_url)
+    # The tag, then its link, are columns of their own, as what follows names them several times.
+    opened = cut.withColumn("opening", next_opening(F.col("cut"), spec))
+    linked = opened.withColumn("href", attribute(F.col("opening"), "href"))
+    return linked.withColumn("next_url", resolve_link(base, F.col("href"))).drop("opening", "href")
+
+
 def parse_pages(pages: DataFrame, spec: RecordSpec = RecordSpec(), base_url: str | None = None) -> DataFrame:
     """url, records and next_url per page; links resolve against the page or ``base_url``.
 
     A null page has no records and no next link.
     """
-    cut = pages.select("url", or_empty(visible(F.col("html"))).alias("html"))
-    # The tag, then its link, are columns of their own, as what follows names them several times.
-    opened = cut.select("url", "html", next_opening(F.col("html"), spec).alias("opening"))
-    linked = opened.select("url", "html", attribute(F.col("opening"), "href").alias("href"))
-    cut = linked.select("url", "href", pieces(F.col("html"), spec.element).alias("cut"))
-    lists = F.lit(None) if spec.tag_list is None else spans(F.col("cut"), spec.element, spec.tag_list, outermost=True)
-    boxed = cut.select("url", "href", "cut", spans(F.col("cut"), spec.element, spec.box).alias("boxes"), lists.alias("lists"))
-    base = F.col("url") if base_url is None else F.lit(base_url)
-    counted = None if spec.tag_list is None else F.col("lists")
-    return boxed.select(
-        "url",
-        F.transform("boxes", lambda box: record(F.col("cut"), box, counted, spec)).alias("records"),
-        resolve_link(base, F.col("href")).alias("next_url"),
-    )
+    cut = with_next(cut_pages(pages), spec, base_url)
+    found = cut.withColumn("turns", turns(F.col("cut"), spec))
+    found = found.withColumn("spans", spans(F.col("turns"), F.size("cut")))
+    lists = None if spec.tag_list is None else F.filter("spans", lambda span: span["list"])
+    boxes = F.filter("spans", lambda span: span["box"])
+    found = found.select("url", "next_url", "cut", boxes.alias("boxes"), *([] if lists is None else [lists.alias("lists")]))
+    codes = coded(F.col("cut"), None if lists is None else F.col("lists"), spec)
+    found = found.select("url", "next_url", "boxes", F.when(F.size("boxes") > 0, codes).alias("codes"))
+    return found.select(
+        "url", F.transform("boxes", lambda box: record(F.col("codes"), box, spec)).alias("records"), "next_url")
 
 
 def extract_records(parsed: DataFrame) -> DataFrame:
     """url, quote_text, author, tags: as many rows as a page has records."""
-    return parsed.select("url", F.inline("records"))
+    # Without "outer" the planner tests whether there are records before it makes them, by making them.
+    return parsed.select("url", F.inline_outer("records")).where("quote_text IS NOT NULL")
 
 
-def next_links(parsed: DataFrame) -> DataFrame:
+def next_links(pages: DataFrame, spec: RecordSpec = RecordSpec(), base_url: str | None = None) -> DataFrame:
     """url and next_url, null on the last page."""
-    return parsed.select("url", "next_url")
+    return with_next(cut_pages(pages), spec, base_url).select("url", "next_url")
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """One row per anchor with a link, resolved."""
-    anchors = F.regexp_extract_all(visible(F.col("html")), F.lit(f"(?is)({tag('a')})"), F.lit(1))
-    found = pages.select("page_id", "url", F.explode(anchors).alias("anchor"))
-    found = found.select("page_id", "url", attribute(F.col("anchor"), "href").alias("href")).where("href IS NOT NULL")
+    anchors = F.filter(tags(visible(F.col("html"))), lambda opening: starts_with(opening, tag("a", "href")))
+    found = pages.select("page_id", "url", F.explode_outer(anchors).alias("anchor")).where("anchor IS NOT NULL")
+    found = found.select("page_id", "url", attribute(F.col("anchor"), "href").alias("href"))
     return found.select("page_id", resolve_link(F.col("url"), F.col("href")).alias("link"))
 
 
@@ -219,10 +283,10 @@ def chained_records(
     """seed, depth, url and record for the pages reached from each seed by next links.
 
     ``seeds`` has url. A walk ends at a page without a next link or whose next
-    page is not stored. Only links are written for the walk; records are cut at the end.
+    page is not stored. Pages are cut once, into a table of records and links.
     """
-    parsed = parse_pages(pages, spec, base_url)
-    links = written(next_links(parsed).toDF("page", "next_page"), fresh_folder(pages.sparkSession, "links"))
-    stored = parsed.select(F.col("url").alias("page"), "records")
+    parsed = written(parse_pages(pages, spec, base_url), fresh_folder(pages.sparkSession, "parsed"))
+    links = parsed.select(F.col("url").alias("page"), F.col("next_url").alias("next_page"))
     walks = follow_chain(seeds.select(F.col("url").alias("page")), existing_links(links, links))
+    stored = parsed.select(F.col("url").alias("page"), "records")
     return walks.join(stored, "page").select("seed", "depth", F.col("page").alias("url"), F.inline("records"))

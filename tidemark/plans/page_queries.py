@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.markup import tag
 from tidemark.operators import pages as pg
 from tidemark.operators.inventory import exists_in
-from tidemark.operators.pages import within
 from tidemark.plans.inputs import chained_pages, page_chain_links, table, user_events
 from tidemark.plans.registry import query
 from tidemark.schemas import RECORDS
@@ -18,15 +17,14 @@ from tidemark.sources.writers import write_events, write_records
 from tidemark.workspace import fresh_folder
 
 # The stored pages hold one article each; their menu takes the place of tags.
-MENU_LINK = within(tag("li"), tag("a"))
 SPEC = pg.RecordSpec(
     element="body",
     box=tag("body"),
     tag_list=None,
-    text=("h1", within(tag("article"), tag("h1"))),
-    author=("footer", tag("footer")),
-    tags=("a", MENU_LINK),
-    next_link=(*pg.RecordSpec.next_link, within(tag("li"), f"({tag('a')})")),
+    text=pg.Field("h1", tag("h1"), behind=tag("article")),
+    author=pg.Field("footer", tag("footer")),
+    tags=pg.Field("a", tag("a"), behind=tag("li")),
+    next_link=(*pg.RecordSpec().next_link, pg.Link(tag("a"), behind=tag("li"))),
 )
 
 
@@ -60,14 +58,15 @@ def page_records(spark, sf_dir):
 @query("page_next_links", f"""
 SELECT url, {ORIGIN} || regexp_extract(html, '<a href="([^"]*)"', 1) AS next_url FROM pages""")
 def page_next_links(spark, sf_dir):
-    return pg.next_links(pg.parse_pages(table(spark, sf_dir, "pages"), SPEC))
+    return pg.next_links(table(spark, sf_dir, "pages"), SPEC)
 
 
 @query("page_records_sql", f"SELECT url, {RECORD} FROM pages")
 def page_records_sql(spark, sf_dir):
     """The same records in SQL."""
     return spark.sql(
-        "SELECT url, quote_text, author, tags FROM {parsed} LATERAL VIEW inline(records) r AS quote_text, author, tags",
+        """SELECT url, quote_text, author, tags FROM {parsed}
+        LATERAL VIEW OUTER inline(records) r AS quote_text, author, tags WHERE quote_text IS NOT NULL""",
         parsed=pg.parse_pages(table(spark, sf_dir, "pages"), SPEC),
     )
 
@@ -99,7 +98,7 @@ SELECT s.url AS seed, p.page_id % 7 AS depth, p.url, {RECORD.replace('html', 'p.
 FROM pages p JOIN pages s ON s.page_id = p.page_id - p.page_id % 7""")
 def chain_records(spark, sf_dir):
     """Records of all pages met by following next links from the first page of each run."""
-    spec = replace(SPEC, next_link=pg.RecordSpec.next_link)
+    spec = replace(SPEC, next_link=pg.RecordSpec().next_link)
     return pg.chained_records(chained_pages(spark, sf_dir), first_pages(spark, sf_dir), spec)
 
 
