@@ -43,7 +43,8 @@ def words(docs: DataFrame, key: str = "doc_id", text: str = "text", deleted: int
     """
     lower = F.translate(F.col(text), string.ascii_uppercase, string.ascii_lowercase)
     runs = docs.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
-                       F.explode(F.regexp_extract_all(lower, F.lit(RUN), F.lit(0))).alias("run"))
+                       F.explode_outer(F.regexp_extract_all(lower, F.lit(RUN), F.lit(0))).alias("run"))
+    # Without "outer" the planner tests whether there are runs before it finds them, by finding them.
     runs = runs.where(F.length("run") >= LETTERS)
     chosen = runs.withColumn("h", F.crc32(F.concat("key", F.lit(":"), "run")))
     at = (F.col("h") % F.length("run")).cast("int")
