@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.audit import change_history, consecutive, versions_of
+from tidemark.streaming.history import ChangeHistory
+from tidemark.workspace import fresh_folder
+
+SCHEMA = "id long, name string, role string, updated_at timestamp_ntz, editor string"
+FIELDS = ["name", "role"]
+
+
+def at(n):
+    return None if n is None else f"2024-01-{1 + n // 24:02d} {n % 24:02d}:00:00"
+
+
+@pytest.fixture
+def frame(spark):
+    def make(rows):
+        rows = [(i, n, r, at(t), e) for i, n, r, t, e in rows]
+        return spark.createDataFrame(rows, "id long, name string, role string, at string, editor string").select(
+            "id", "name", "role", F.col("at").cast("timestamp_ntz").alias("updated_at"), "editor")
+    return make
+
+
+def smallest_first(row):
+    return [(v is not None, "" if v is None else v) for v in row]
+
+
+def plain_changes(rows, last=None):
+    """Changes (id, time, editor, field, old, new) along the versions, after the ones in ``last``."""
+    found, last = [], {} if last is None else last
+    for row in sorted({r for r in rows if r[0] is not None}, key=lambda r: smallest_first((r[0], r[3], r[1], r[2], r[4]))):
+        if row[0] in last:
+            for place, field in ((1, "name"), (2, "role")):
+                old, new = last[row[0]][place], row[place]
+                if old != new:
+                    found.append((row[0], at(row[3]), row[4], field, old, new))
+        last[row[0]] = row
+    return Counter(found)
+
+
+def changes(log):
+    rows = log.select("user_id", F.col("changed_at").cast("string"), "changed_by", "field_changed", "old_value", "new_value")
+    return Counter(map(tuple, rows.collect()))
+
+
+def random_rows(seed, n, ids=4):
+    draw = random.Random(seed)
+    return [(draw.choice([1, 1, draw.randrange(ids), None]), draw.choice(["a", "b", None]), draw.choice(["x", "y"]),
+             draw.choice([None, *range(40)]), draw.choice("ef")) for _ in range(n)]
+
+
+@pytest.mark.parametrize("n, ids", [(0, 1), (1, 1), (40, 3), (600, 5), (300, 200)])
+def test_changes_along_all_versions(frame, n, ids):
+    rows = random_rows(n, n, ids)
+    assert changes(change_history(frame(rows), FIELDS, changed_by=F.col("new.editor"))) == plain_changes(rows)
+
+
+def test_a_hot_id_spreads_over_tasks(spark, frame):
+    rows = [(7, str(i % 13), "x", i, "e") for i in range(700)] + [(i, "a", "x", 1, "e") for i in range(5)]
+    versions = versions_of(frame(rows), "updated_at")
+    assert consecutive(versions).count() == 699
+    assert changes(change_history(frame(rows), FIELDS, changed_by="e")) == plain_changes(rows)
+    ranges = versions.repartitionByRange(8, "id", "turn", "now").where("id = 7").select(F.spark_partition_id()).distinct()
+    assert ranges.count() > 4
+
+
+def test_stream_logs_as_updates_arrive(spark, frame):
+    """Batches with late and repeated versions; one is replayed, and the kept versions are merged in between."""
+    path = fresh_folder(spark, "history")
+    schema = frame([]).schema
+    history, last, expected = ChangeHistory(spark, path, schema, FIELDS, changed_by=F.col("new.editor")), {}, Counter()
+    for number in range(4):
+        rows = random_rows(number, 60, 12)
+        before = dict(last)
+        history.store(frame(rows[:30]), f"run=a/batch_id={number}")  # fails before it is committed
+        history.store(frame(rows), f"run=a/batch_id={number}")
+        expected += plain_changes(rows, last)
+        assert changes(history.log()) == expected and before != last
+        if number == 1:
+            assert history.merge() == 0
+            history.retire()
+        kept = {r.id: (r.name, r.role, r.editor) for r in history.latest().collect()}
+        assert kept == {i: (r[1], r[2], r[4]) for i, r in last.items()}
+    assert history.merge() == 1
+
+
+def test_empty_history(spark, frame):
+    history = ChangeHistory(spark, fresh_folder(spark, "history"), frame([]).schema, FIELDS)
+    assert history.log().count() == 0 and history.latest().count() == 0

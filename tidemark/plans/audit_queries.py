@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.audit import audit_day as changes_of_day
+from tidemark.operators.audit import change_history as log_history
 from tidemark.operators.audit import change_log as log_changes
 from tidemark.operators.audit import pair_versions
-from tidemark.plans.inputs import USERS_NEW_SQL, USERS_OLD_SQL, user_versions
+from tidemark.plans.inputs import USER_HISTORY_SQL, USERS_NEW_SQL, USERS_OLD_SQL, user_history, user_versions
 from tidemark.plans.registry import query
 from tidemark.schemas import AUDIT
 from tidemark.sources.readers import read_audit, read_csv
 from tidemark.sources.writers import append_audit, export_audit, write_version
+from tidemark.streaming.history import ChangeHistory
 from tidemark.workspace import fresh_folder
 
 FIELDS = ["name", "email", "role"]
@@ -73,3 +75,45 @@ def audit_export(spark, sf_dir):
     append_audit(all_changes(spark, sf_dir), f"{folder}/log")
     path = export_audit(read_audit(spark, f"{folder}/log"), DAY, folder)
     return read_csv(spark, path, AUDIT)
+
+
+HISTORY = f"""WITH versions AS (SELECT DISTINCT * FROM ({USER_HISTORY_SQL})), turns AS (
+    SELECT *, row_number() OVER turn AS turn, {", ".join(f"lag({f}) OVER turn AS old_{f}" for f in FIELDS)}
+    FROM versions WINDOW turn AS (PARTITION BY id ORDER BY updated_at, {", ".join(f"{f} NULLS FIRST" for f in FIELDS)}))
+""" + " UNION ALL ".join(
+    f"""SELECT id AS user_id, updated_at AS changed_at, '{f}' AS field_changed, CAST(old_{f} AS VARCHAR) AS old_value,
+    CAST({f} AS VARCHAR) AS new_value, '{EDITOR}' AS changed_by FROM turns WHERE turn > 1 AND old_{f} IS DISTINCT FROM {f}"""
+    for f in FIELDS
+)
+
+
+@query("change_history", HISTORY)
+def change_history(spark, sf_dir):
+    """The changes of every update along some ten versions of each user."""
+    return log_history(user_history(spark, sf_dir), FIELDS, changed_by=EDITOR)
+
+
+def streamed_history(spark, sf_dir) -> ChangeHistory:
+    """The versions delivered in three parts, one after another, the kept ones merged after the second."""
+    work, versions = fresh_folder(spark, "history"), user_history(spark, sf_dir)
+    history = ChangeHistory(spark, f"{work}/history", versions.schema, FIELDS, changed_by=EDITOR)
+    for number, years in enumerate(("< 1997", "BETWEEN 1997 AND 1998", "> 1998")):
+        versions.where(f"year(updated_at) {years}").write.mode("append").parquet(f"{work}/versions")
+        stream = spark.readStream.schema(versions.schema).parquet(f"{work}/versions")
+        history.maintain(stream, f"{work}/checkpoint").awaitTermination()
+        if number == 1:
+            history.merge()
+            history.retire()
+    return history
+
+
+@query("change_history_stream", HISTORY)
+def change_history_stream(spark, sf_dir):
+    return streamed_history(spark, sf_dir).log()
+
+
+@query("users_latest", f"""SELECT id, name, email, role, updated_at FROM ({USER_HISTORY_SQL})
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC, {", ".join(f"{f} DESC NULLS LAST" for f in FIELDS)}) = 1""")
+def users_latest(spark, sf_dir):
+    """The last version of each user, as the stream keeps it."""
+    return streamed_history(spark, sf_dir).latest()

@@ -108,6 +108,20 @@ def user_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return old, new
 
 
+USER_HISTORY_SQL = """
+SELECT o_custkey AS id, CAST(round(o_totalprice / 1000) AS BIGINT) AS name, o_orderpriority AS email,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS role, o_orderdate AS updated_at FROM orders
+"""
+
+
+def user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of users: what each of their orders says."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.round(F.col("o_totalprice") / 1000).cast("long").alias("name"),
+        F.col("o_orderpriority").alias("email"), F.expr("CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END").alias("role"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("updated_at"))
+
+
 USER_DOCS_SQL = """
 SELECT user_id, event_type, ts AS event_time, r.registration_date
 FROM events JOIN (SELECT user_id, min(ts) AS registration_date FROM events GROUP BY user_id) r USING (user_id)

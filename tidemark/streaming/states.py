@@ -22,9 +22,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.events import combine_states, event_states, live_aggregates
 from tidemark.schemas import EVENT_STATES
 from tidemark.sources.writers import laid_out
-from tidemark.workspace import Folder, run_of
+from tidemark.workspace import DONE, Folder, run_of
 
-DONE = "_SUCCESS"
 MANIFEST = "upto array<struct<run: string, last: long>>, backfills array<string>"
 
 

@@ -48,13 +48,13 @@ def passing_folders(spark: SparkSession) -> Iterator[None]:
         del made[before:]
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` in the shared folder and return the written table.
+def written(df: DataFrame, path: str, **options) -> DataFrame:
+    """Write ``df`` to ``path`` in the shared folder, with options of the writer, and return the written table.
 
     Cuts the lineage like a reliable checkpoint but computes ``df`` only once,
     and later steps can prune columns and read row counts from the footers.
     """
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -63,6 +63,10 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
+#: The file that marks a finished write.
+DONE = "_SUCCESS"
+
+
 class Folder:
     """Directory listing and removal on whatever file system holds ``path``."""
 
