@@ -27,7 +27,7 @@ def frame(spark):
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is not None, v) for v in r])
 
 
 def test_states_of_any_split_merge_to_the_same(frame):
@@ -73,6 +73,74 @@ def test_many_users_of_one_group_stay_exact(spark):
     assert ev.merge_states(states.read(), []).first().unique_users == 300_000
 
 
+def test_sparse_users_of_one_group_stay_exact_and_small(spark):
+    """300,000 random 64-bit ids over a stream, a backfill and a snapshot."""
+    def users(first, last):
+        return spark.range(first, last, 1, 4).selectExpr(
+            "xxhash64(id) AS user_id", "'a' AS event_type", "1D AS points_spent", "TIMESTAMP_NTZ'2024-01-01' AS event_time")
+
+    raw, checkpoint = fresh_folder(spark, "raw"), fresh_folder(spark, "checkpoint")
+    states = states_folder(spark)
+    users(0, 150_000).write.parquet(raw)
+    states.maintain(stream_events(spark, raw, 2, SCHEMA), checkpoint).awaitTermination()
+    states.backfill(users(100_000, 250_000), "some")
+    states.compact()
+    states.backfill(users(200_000, 300_000), "more")
+    assert ev.merge_states(states.read()).select("unique_users", "total_actions").first() == (300_000, 400_000)
+    states.compact()
+    states.retire()
+    assert ev.merge_states(states.read()).first().unique_users == 300_000
+    size = sum(r.length for r in inventory(spark, f"{states.path}/snapshots", "*.parquet").collect())
+    assert size < 32 * 300_000
+
+
+def test_ids_of_every_sign_and_none(frame):
+    ids = [0, 1, 63, 64, -1, -64, -65, 2**63 - 1, -(2**63), None, 0, None]
+    row = ev.merge_states(ev.event_states(frame([at(0, user=i) for i in ids]))).first()
+    assert (row.unique_users, row.total_actions) == (9, 12)
+    assert rows(ev.merge_states(ev.event_states(frame([at(0, user=None)])))) == rows(ev.daily_exact(frame([at(0, user=None)])))
+
+
+def test_compaction_rewrites_only_days_with_something_new(spark, frame):
+    states, run = states_folder(spark), "r"
+    written = lambda v: states._folder.names(f"snapshots/v={v}")
+    first = [at(d, user=64 * u) for d in range(4) for u in range(50)] + [(1, "click", 1.0, None)]
+    later = [at(2, user=7), at(9, user=1)]
+    for number, data in enumerate((first, later)):
+        ev.event_states(frame(data)).write.parquet(states.batch_path(run, number))
+        assert states.compact() == number
+        states.retire()
+    days = [f"day=2024-01-0{d}" for d in (1, 2, 3, 4)]
+    assert [n for n in written(0) if n.startswith("day=")] == [*days, "day=__HIVE_DEFAULT_PARTITION__"]
+    # The late row is a part of its day; the 50 rows beside it stay as they are.
+    assert [n for n in written(1) if n.startswith("day=")] == ["day=2024-01-03", "day=2024-01-10"]
+    assert rows(states.read().groupBy("event_date").count().where("event_date = '2024-01-03'"))[0][1] == 51
+    assert rows(ev.merge_states(states.read())) == rows(ev.daily_exact(frame(first + later)))
+    # As many rows as a fourth of the first part are merged with both parts, which are then removed.
+    more = [at(2, user=64 * u + 1) for u in range(15)]
+    ev.event_states(frame(more)).write.parquet(states.batch_path(run, 2))
+    states.compact()
+    states.retire()
+    assert "day=2024-01-03" not in written(0) + written(1) and "day=2024-01-01" in written(0)
+    assert rows(states.read().groupBy("event_date").count().where("event_date = '2024-01-03'"))[0][1] == 50
+    assert rows(ev.merge_states(states.read())) == rows(ev.daily_exact(frame(first + later + more)))
+    # Nothing new: nothing is written.
+    before = states._merged().folders()
+    states.compact()
+    assert states._merged().folders() == before
+
+
+def test_expired_days_leave_the_snapshot_without_being_rewritten(spark, frame):
+    states = states_folder(spark)
+    ev.event_states(frame([at(0), at(5)])).write.parquet(states.batch_path("r", 0))
+    states.compact()
+    states.compact(as_of="2024-06-30")  # the 1st of January is 181 days before
+    assert states._merged().folders() == ["v=0/day=2024-01-06"]
+    states.retire()
+    assert states._folder.names("snapshots/v=0")[-1] == "day=2024-01-06" and "day=2024-01-01" not in states._folder.names("snapshots/v=0")
+    assert [r[0].day for r in rows(ev.merge_states(states.read()))] == [6]
+
+
 def test_retention_periods_end_exactly(frame):
     as_of = "2024-01-31 00:00:00"
     kept = ev.live_events(frame([at(0), at(0, 1), at(3)]), as_of)

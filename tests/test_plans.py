@@ -104,7 +104,9 @@ def test_retention_period_reaches_the_scan(spark):
 
 def test_states_are_combined_before_each_shuffle(spark):
     text = plan(ev.event_states(ev_table(spark)))
-    assert text.count("partial_bitmap_construct_agg") >= 1 and text.count("partial_bitmap_or_agg") >= 1
+    assert "partial_bit_or" in text and text.count("Exchange") == 1 and text.count("HashAggregate") == 2
+    merged = plan(ev.merge_states(ev.combine_states(ev.event_states(ev_table(spark)))))
+    assert "ObjectHashAggregate" not in merged and "SortAggregate" not in merged
 
 
 def test_each_message_is_parsed_once(spark):

@@ -1,10 +1,11 @@
 """Daily event aggregates, kept as mergeable states, and retention periods.
 
 Events have user_id, event_type, points_spent, event_time. States merge over any
-split of the input. Distinct users are exact: a state row holds, for one bucket of
-32,768 user ids, the bits of those seen; ids are expected to be numbered, as sparse ones
-would take a row each. The ``hll`` kind is one small sketch per group, always an
-estimate. One table of states holds one kind.
+split of the input. Distinct users are exact: a state row holds, for a bucket of 64 neighbouring
+user ids, those seen as the bits of one number. Numbered ids share rows, 64 to a row; sparse ids, such as
+random 64-bit ones, take a short row each. Every step is a hash aggregation of numbers that combines before it
+shuffles, and a group with many users spreads over its buckets. The ``hll`` kind is one
+sketch per group, always an estimate. One table of states holds one kind.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import day, days_before, moment
 
-BITMAP, HLL = "bitmap", "hll"
+BITS, HLL = "bits", "hll"
 HLL_SIZE = 14
 FAN_IN = 64
 MAX_SLICES = 1024
@@ -29,36 +30,36 @@ def by_day(events: DataFrame) -> DataFrame:
     return events.withColumn("event_date", F.to_date("event_time"))
 
 
-def event_states(events: DataFrame, fan_in: int = FAN_IN, kind: str = BITMAP) -> DataFrame:
+def event_states(events: DataFrame, fan_in: int = FAN_IN, kind: str = BITS) -> DataFrame:
     """Partial state per (day, type) and bucket of users: users, points, number of events.
 
-    Every input partition brings the users of each group it holds. They are
-    merged ``fan_in`` partitions at a time and then once more, so no single task
-    merges the states of all partitions of a large day.
+    A row has no user id: its bucket is null. Sketches are merged ``fan_in`` partitions at a time and then
+    once more, so no single task merges the sketches of all partitions of a large day.
     """
-    bucket = F.bitmap_bucket_number("user_id") if kind == BITMAP else F.lit(None).cast("long")
-    users = F.bitmap_construct_agg(F.bitmap_bit_position("user_id")) if kind == BITMAP else F.hll_sketch_agg("user_id", HLL_SIZE)
-    sliced = by_day(events).withColumns({
-        "slice": F.floor(F.spark_partition_id() / fan_in) % MAX_SLICES, "user_bucket": bucket,
-    })
-    partial = sliced.groupBy(*GROUP, "user_bucket", "slice").agg(
-        users.alias("users"), F.sum("points_spent").alias("total_points"), F.count(F.lit(1)).alias("event_count"),
-    )
-    return combine_states(partial, kind=kind)
-
-
-def combine_states(states: DataFrame, keys: list[str] | None = None, kind: str = BITMAP) -> DataFrame:
+    sums = [F.sum("points_spent").alias("total_points"), F.count(F.lit(1)).alias("event_count")]
+    if kind == HLL:
+        sliced = by_day(events).withColumns({
+            "slice": F.floor(F.spark_partition_id() / fan_in) % MAX_SLICES, "user_bucket": F.lit(None).cast("long")})
+        partial = sliced.groupBy(*GROUP, "user_bucket", "slice").agg(F.hll_sketch_agg("user_id", HLL_SIZE).alias("users"), *sums)
+        return combine_states(partial, kind=kind)
+    user = F.col("user_id").cast("long")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(user, F.lit(64)).cast("int"))
+    bucketed = by_day(events).select(*GROUP, F.shiftright(user, 6).alias("user_bucket"), one.alias("user"), "points_spent")
+    return bucketed.groupBy(*GROUP, "user_bucket").agg(F.bit_or("user").alias("users"), *sums)
+
+
+def combine_states(states: DataFrame, keys: list[str] | None = None, kind: str = BITS) -> DataFrame:
     """Fewer state rows with the same meaning: one per key and bucket, still mergeable."""
-    merge = F.bitmap_or_agg if kind == BITMAP else F.hll_union_agg
+    merge = F.bit_or if kind == BITS else F.hll_union_agg
     return states.groupBy(*(GROUP if keys is None else keys), "user_bucket").agg(
         merge("users").alias("users"), *[F.sum(c).alias(c) for c in SUMS]
     )
 
 
-def merge_states(states: DataFrame, keys: list[str] | None = None, kind: str = BITMAP) -> DataFrame:
+def merge_states(states: DataFrame, keys: list[str] | None = None, kind: str = BITS) -> DataFrame:
     """Finished numbers per (day, type), or per any subset of these keys."""
     keys = GROUP if keys is None else keys
-    users = F.bitmap_count("users") if kind == BITMAP else F.hll_sketch_estimate("users")
+    users = F.bit_count("users") if kind == BITS else F.hll_sketch_estimate("users")
     return combine_states(states, keys, kind).groupBy(*keys).agg(
         F.coalesce(F.sum(users), F.lit(0)).cast("long").alias("unique_users"),
         F.sum("total_points").alias("total_points"),

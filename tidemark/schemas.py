@@ -29,7 +29,7 @@ EVENT_STATES = T.StructType([
     T.StructField("event_date", T.DateType()),
     T.StructField("event_type", T.StringType()),
     T.StructField("user_bucket", T.LongType()),
-    T.StructField("users", T.BinaryType()),
+    T.StructField("users", T.LongType()),
     T.StructField("total_points", T.DoubleType()),
     T.StructField("event_count", T.LongType()),
 ])

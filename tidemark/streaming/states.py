@@ -4,19 +4,25 @@ Folder layout::
 
     batches/run=R/batch_id=N/   states of micro-batch N of the query R, replaced if N is replayed
     backfills/NAME/             states of an explicitly loaded range
-    snapshots/v=V/              merged states
-    manifest/v=V/               one row: what snapshot V already contains
+    snapshots/v=V/day=D/        merged states of a day, a part of that day
+    manifest/v=V/               what is merged by then, and the parts of each day
 
 Batch numbers start again with a new checkpoint, so they are counted per query.
 
-A reader takes the newest published snapshot plus everything it does not
-contain yet. A snapshot counts only once its manifest is written, so a failed
-compaction changes nothing. States need no watermark: a late event adds to its day.
+A reader takes the parts that the newest manifest lists plus everything it does not
+contain yet. A compaction rewrites only days that have something new, and of such a day only the parts that are
+not much larger than what comes to them: a late row does not rewrite a large day. So a day has a few parts, each some times
+the size of the next, and a state row is rewritten a number of times that grows with the logarithm of its day. A
+snapshot counts only once its manifest is written, so a failed compaction changes nothing. States need no
+watermark: a late event adds to its day.
 """
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.events import combine_states, event_states, live_aggregates
@@ -24,7 +30,37 @@ from tidemark.schemas import EVENT_STATES
 from tidemark.sources.writers import laid_out
 from tidemark.workspace import DONE, Folder, run_of
 
-MANIFEST = "upto array<struct<run: string, last: long>>, backfills array<string>"
+#: A part is merged with what is new if it has at most so many times its rows.
+FACTOR = 4
+MANIFEST = """upto array<struct<run: string, last: long>>, backfills array<string>,
+    parts array<struct<day: string, version: int, rows: long>>"""
+#: The name of the folder of rows without a day, as Spark writes it.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+class Merged:
+    """What the newest manifest says: its version, the last micro-batch of each run, backfills, parts by day."""
+
+    def __init__(self, version: int | None = None, row=None):
+        self.version = version
+        self.upto: dict[str, int] = {r["run"]: r["last"] for r in row["upto"]} if row else {}
+        self.backfills: list[str] = row["backfills"] if row else []
+        self.parts: dict[str, list[tuple[int, int]]] = {}
+        for part in row["parts"] if row else []:
+            self.parts.setdefault(part["day"], []).append((part["version"], part["rows"]))
+
+    def folders(self) -> list[str]:
+        return [f"v={version}/day={day}" for day, parts in self.parts.items() for version, _ in parts]
+
+    def absorbed(self, day: str, rows: int) -> list[tuple[int, int]]:
+        """The parts of a day that so many new rows are merged with, newest first."""
+        found = []
+        for version, size in sorted(self.parts.get(day, []), reverse=True):
+            if size > FACTOR * rows:
+                break
+            found.append((version, size))
+            rows += size
+        return found
 
 
 class EventStates:
@@ -54,40 +90,33 @@ class EventStates:
 
         A name that a snapshot already contains is refused.
         """
-        if name in self._merged()[2]:
+        if name in self._merged().backfills:
             raise ValueError(f"backfill {name} is already part of a snapshot")
         event_states(events).write.mode("overwrite").parquet(f"{self.path}/backfills/{name}")
 
-    def _merged(self) -> tuple[int | None, dict[str, int], list[str]]:
-        """Newest published version, the last micro-batch of each run and the backfills it contains."""
-        done = [v for v in self._folder.names("manifest") if self._folder.has(f"manifest/{v}/{DONE}")]
-        if not done:
-            return None, {}, []
-        version = max(int(v.removeprefix("v=")) for v in done)
-        row = self.spark.read.schema(MANIFEST).json(f"{self.path}/manifest/v={version}").first()
-        return version, {r["run"]: r["last"] for r in row["upto"]}, row["backfills"]
+    def _merged(self) -> Merged:
+        versions = sorted((int(v.removeprefix("v=")) for v in self._folder.names("manifest")), reverse=True)
+        for version in versions:
+            if self._folder.has(f"manifest/v={version}/{DONE}"):
+                return Merged(version, self.spark.read.schema(MANIFEST).json(f"{self.path}/manifest/v={version}").first())
+        return Merged()
 
     def _batches(self) -> list[tuple[str, int]]:
-        """Runs and numbers of the micro-batches that are written."""
-        found = []
-        for run in self._folder.names("batches"):
-            found += [(run.removeprefix("run="), int(n.removeprefix("batch_id=")))
-                      for n in self._complete(f"batches/{run}")]
-        return found
-
-    def _pending(self) -> tuple[list[tuple[str, int]], list[str]]:
-        _, upto, backfills = self._merged()
-        batches = [(run, i) for run, i in self._batches() if i > upto.get(run, -1)]
-        return batches, [n for n in self._complete("backfills") if n not in backfills]
-
-    def _complete(self, kind: str) -> list[str]:
-        return [n for n in self._folder.names(kind) if self._folder.has(f"{kind}/{n}/{DONE}")]
-
-    def _read(self, version: int | None, batches: list[tuple[str, int]], names: list[str]) -> DataFrame:
-        paths = [self.batch_path(*b) for b in batches]
+        """Runs and numbers of the micro-batches that are there, finished or not."""
+        return [(run.removeprefix("run="), int(n.removeprefix("batch_id=")))
+                for run in self._folder.names("batches") for n in self._folder.names(f"batches/{run}")]
+
+    def _pending(self, merged: Merged) -> tuple[list[tuple[str, int]], list[str]]:
+        """Finished micro-batches and backfills that are not merged yet; only these are looked into."""
+        batches = [(run, i) for run, i in self._batches() if i > merged.upto.get(run, -1)]
+        names = [n for n in self._folder.names("backfills") if n not in merged.backfills]
+        return ([b for b in batches if self._folder.has(f"batches/run={b[0]}/batch_id={b[1]}/{DONE}")],
+                [n for n in names if self._folder.has(f"backfills/{n}/{DONE}")])
+
+    def _read(self, folders: list[str], batches: list[tuple[str, int]] = (), names: list[str] = ()) -> DataFrame:
+        paths = [f"{self.path}/snapshots/{f}" for f in folders]
+        paths += [self.batch_path(*b) for b in batches]
         paths += [f"{self.path}/backfills/{n}" for n in names]
-        if version is not None:
-            paths.append(f"{self.path}/snapshots/v={version}")
         if not paths:
             return self.spark.createDataFrame([], EVENT_STATES)
         reader = self.spark.read.schema(EVENT_STATES).option("recursiveFileLookup", True)
@@ -98,44 +127,71 @@ class EventStates:
 
         ``as_of`` leaves out days past the retention of aggregates.
         """
-        version, _, _ = self._merged()
-        states = self._read(version, *self._pending())
+        merged = self._merged()
+        states = self._read(merged.folders(), *self._pending(merged))
         return states if as_of is None else live_aggregates(states, as_of)
 
     def compact(self, as_of=None) -> int:
-        """Merge everything into a new snapshot, publish it, return its version.
+        """Merge what is new into the parts of its days, publish them, return the version.
 
-        With ``as_of`` the snapshot leaves out expired days. What it replaces
-        stays readable until ``retire``.
+        With ``as_of`` expired days are no longer listed. What is replaced stays readable until ``retire``.
         """
-        version, upto, backfills = self._merged()
-        batches, names = self._pending()
-        merged = combine_states(self._read(version, batches, names))
+        merged = self._merged()
+        batches, names = self._pending(merged)
+        new = 0 if merged.version is None else merged.version + 1
+        pending = combine_states(self._read([], batches, names))
         if as_of is not None:
-            merged = live_aggregates(merged, as_of)
-        new = 0 if version is None else version + 1
-        laid_out(merged, ["event_type", "user_bucket"]).write.mode("overwrite").parquet(f"{self.path}/snapshots/v={new}")
+            pending = live_aggregates(pending, as_of)
+            kept = live_aggregates(self._days(merged), as_of)
+            live = {str(r["event_date"]) for r in kept.collect()}
+            merged.parts = {day: parts for day, parts in merged.parts.items() if day in live}
+        sizes = {self._name(r["event_date"]): r["count"] for r in pending.groupBy("event_date").count().collect()}
+        absorbed = {day: merged.absorbed(day, rows) for day, rows in sizes.items()}
+        old = self._read([f"v={version}/day={day}" for day, parts in absorbed.items() for version, _ in parts])
+        target = f"{self.path}/snapshots/v={new}"
+        laid_out(combine_states(pending.unionByName(old)), ["event_type", "user_bucket"]).withColumn(
+            "day", F.col("event_date")).write.mode("overwrite").partitionBy("day").parquet(target)
+        if sizes:
+            for r in self._read([f"v={new}"]).groupBy("event_date").count().collect():
+                day = self._name(r["event_date"])
+                left = [p for p in merged.parts.get(day, []) if p not in absorbed[day]]
+                merged.parts[day] = [*left, (new, r["count"])]
         for run, i in batches:
-            upto[run] = max(i, upto.get(run, -1))
-        manifest = self.spark.createDataFrame([(list(upto.items()), [*backfills, *names])], MANIFEST)
+            merged.upto[run] = max(i, merged.upto.get(run, -1))
+        parts = [(day, *part) for day, some in sorted(merged.parts.items()) for part in some]
+        manifest = self.spark.createDataFrame([(list(merged.upto.items()), [*merged.backfills, *names], parts)], MANIFEST)
         manifest.coalesce(1).write.mode("overwrite").json(f"{self.path}/manifest/v={new}")
         return new
 
+    def _days(self, merged: Merged) -> DataFrame:
+        days = [(None if day == NO_DAY else datetime.date.fromisoformat(day),) for day in merged.parts]
+        return self.spark.createDataFrame(days, "event_date date")
+
+    @staticmethod
+    def _name(day: datetime.date | None) -> str:
+        return NO_DAY if day is None else str(day)
+
     def retire(self) -> None:
-        """Remove what the newest snapshot contains, once no reader uses it."""
-        version, upto, backfills = self._merged()
-        if version is None:
+        """Remove what the newest snapshot contains or replaces, once no reader uses it."""
+        merged = self._merged()
+        if merged.version is None:
             return
         for run, i in self._batches():
-            if i <= upto.get(run, -1):
+            if i <= merged.upto.get(run, -1):
                 self._folder.remove(f"batches/run={run}/batch_id={i}")
         for name in self._folder.names("backfills"):
-            if name in backfills:
+            if name in merged.backfills:
                 self._folder.remove(f"backfills/{name}")
-        for kind in ("manifest", "snapshots"):
-            for name in self._folder.names(kind):
-                if int(name.removeprefix("v=")) < version:
-                    self._folder.remove(f"{kind}/{name}")
+        used = set(merged.folders())
+        for version in self._folder.names("snapshots"):
+            days = [n for n in self._folder.names(f"snapshots/{version}") if n.startswith("day=")]
+            unused = [f"{version}/{day}" for day in days if f"{version}/{day}" not in used]
+            for folder in [version] if len(unused) == len(days) else unused:
+                if int(version.removeprefix("v=")) <= merged.version:
+                    self._folder.remove(f"snapshots/{folder}")
+        for name in self._folder.names("manifest"):
+            if int(name.removeprefix("v=")) < merged.version:
+                self._folder.remove(f"manifest/{name}")
 
 
 def expire_days(spark: SparkSession, path: str, first_kept: str) -> list[str]:
