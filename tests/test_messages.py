@@ -6,12 +6,13 @@ import random
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from tidemark.operators.messages import decode_logins, good_logins, quarantined
 from tidemark.operators.outbox import to_messages, unsent
 from tidemark.sources.readers import read_topic
 from tidemark.sources.writers import write_messages
-from tidemark.streaming.ingest import append_once, ingest_logins, read_logins, read_quarantine, store_batch
+from tidemark.streaming.ingest import append_once, ingest_logins, read_logins, read_quarantine, store_batch, store_once, stored_like
 from tidemark.streaming.publish import publish_outbox, read_ledger
 from tidemark.workspace import fresh_folder
 
@@ -153,6 +154,30 @@ def test_replays_are_stored_once_and_late_first_deliveries_kept(spark):
     assert start("another") == [0, 1, 2, 3, 4]
 
 
+def test_a_batch_reads_only_days_with_its_keys(spark):
+    path = f"{fresh_folder(spark, 'replays')}/rows"
+    days = [datetime.datetime(2024, 1, 1) - datetime.timedelta(days=d) for d in range(0, 400, 5)]
+    schema = "id long, at timestamp_ntz"
+
+    def batch(rows):
+        frame = spark.createDataFrame(rows, schema)
+        return frame.withColumn("event_date", F.to_date("at"))
+
+    store_once(batch([(i, at) for i, at in enumerate(days)] + [(900, None)]).drop("event_date"), ["id"], "at", path, "run=a/batch_id=0")
+    store_once(batch([(1000, days[0])]).drop("event_date"), ["id"], "at", path, "run=a/batch_id=1")
+    # Keys that are stored, today and a year ago; of today only the folder with the key is read.
+    read = stored_like(batch([(0, days[0]), (73, days[73])]), ["id"], path, "run=a/batch_id=2")
+    assert {f.split("rows/")[1].rsplit("/", 1)[0] for f in read.inputFiles()} == {
+        "run=a/batch_id=0/event_date=2024-01-01", "run=a/batch_id=0/event_date=2023-01-01"}
+    # New keys of stored days read nothing, keys without a day their folder.
+    assert stored_like(batch([(2000, days[0]), (2001, days[73])]), ["id"], path, "run=a/batch_id=2") is None
+    assert stored_like(batch([(900, None)]), ["id"], path, "run=a/batch_id=2").count() == 1
+    # A replay does not meet what it wrote itself.
+    assert stored_like(batch([(1000, days[0])]), ["id"], path, "run=a/batch_id=1") is None
+    store_once(batch([(0, days[0]), (73, days[73]), (900, None), (3000, days[73])]).drop("event_date"), ["id"], "at", path, "run=a/batch_id=2")
+    assert spark.read.parquet(path).count() == len(days) + 3
+
+
 def test_two_checkpoints_share_a_table(spark):
     folder = fresh_folder(spark, "ingest")
     for i, text in enumerate(GOOD):

@@ -20,7 +20,6 @@ WITH_LOGINS = f"WITH user_logins AS ({USER_LOGINS_SQL})"
 EPOCH = "epoch_us(event_time) / 1000000.0"
 AS_MESSAGE = f'username AS "user", event_type AS "event", {EPOCH} AS "timestamp"'
 BROKEN = "id % 97 = 0"
-FILES_PER_BATCH = "1"
 
 GOOD = f"""{WITH_LOGINS} SELECT username, event_type, date_trunc('second', event_time) AS event_time
 FROM user_logins WHERE NOT ({BROKEN})"""
@@ -97,9 +96,9 @@ def replays_suppressed(spark, sf_dir):
     folder = fresh_folder(spark, "replays")
     logins = user_logins(spark, sf_dir).drop("sent_to_kafka")
     for delivery in (logins.where("id % 5 <> 0"), logins):
-        delivery.coalesce(1).write.mode("append").parquet(f"{folder}/topic")
-    stream = spark.readStream.schema(logins.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/topic")
-    append_once(stream, ["id"], "event_time", f"{folder}/logins", f"{folder}/checkpoint").awaitTermination()
+        delivery.write.mode("append").parquet(f"{folder}/topic")
+        stream = spark.readStream.schema(logins.schema).parquet(f"{folder}/topic")
+        append_once(stream, ["id"], "event_time", f"{folder}/logins", f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/logins").select(logins.columns)
 
 
@@ -115,11 +114,12 @@ def ingest_two_checkpoints(spark, sf_dir):
 
 
 def ingested(spark, sf_dir) -> str:
-    """The topic as text files, ingested in a few micro-batches."""
+    """The topic as text files, delivered in three parts that are ingested one after another."""
     folder = fresh_folder(spark, "ingest")
-    write_messages(topic(spark, sf_dir).repartition(3, "value"), {"path": f"{folder}/topic"}, "text")
-    stream = read_topic(spark, {"path": f"{folder}/topic", "maxFilesPerTrigger": FILES_PER_BATCH}, "text")
-    ingest_logins(stream, folder, f"{folder}/checkpoint").awaitTermination()
+    for part in range(3):
+        write_messages(topic(spark, sf_dir, f"id % 3 = {part}"), {"path": f"{folder}/topic"}, "text")
+        stream = read_topic(spark, {"path": f"{folder}/topic"}, "text")
+        ingest_logins(stream, folder, f"{folder}/checkpoint").awaitTermination()
     return folder
 
 

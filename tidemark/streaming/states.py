@@ -28,14 +28,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.events import combine_states, event_states, live_aggregates
 from tidemark.schemas import EVENT_STATES
 from tidemark.sources.writers import laid_out
-from tidemark.workspace import DONE, Folder, run_of
+from tidemark.workspace import DONE, NO_DAY, Folder, run_of
 
 #: A part is merged with what is new if it has at most so many times its rows.
 FACTOR = 4
 MANIFEST = """upto array<struct<run: string, last: long>>, backfills array<string>,
     parts array<struct<day: string, version: int, rows: long>>"""
-#: The name of the folder of rows without a day, as Spark writes it.
-NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Merged:

@@ -65,6 +65,8 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
 
 #: The file that marks a finished write.
 DONE = "_SUCCESS"
+#: The name of the folder of rows without a value, as Spark writes it.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 class Folder:
