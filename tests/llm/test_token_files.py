@@ -52,6 +52,21 @@ def test_ids_are_those_of_whole_texts(tokenizer):
     assert found == [*expected, [], *expected]
 
 
+def test_every_letter_beside_every_sign(tokenizer):
+    letters = [chr(c) for c in (*range(48, 58), *range(65, 91), *range(97, 123), *range(0xC0, 0x250))]
+    texts = [f"{letter}{sign}{letter} x{letter}{sign}" for letter in letters for sign in ".,;:!?%&*#$'-<=\u0301"]
+    found = [np.frombuffer(x, "<u2").tolist() for x in token_files.Encoder(PATH)(pa.array([*texts, "ŞEHRİ."]))]
+    assert found == [e.ids for e in tokenizer.encode_batch([*texts, "ŞEHRİ."], add_special_tokens=False)]
+
+
+def test_files_with_other_rules_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, texts = token_files.Encoder(path), ["Don't  cut, İ. here!", "", "a.b", "don't"]
+    assert not encoder.cuts and token_files.Encoder(PATH).cuts
+    expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder(pa.array([*texts, None]))] == [*expected, []]
+
+
 @given(st.text(max_size=40))
 @settings(max_examples=300, deadline=None)
 def test_ids_of_any_text(tokenizer, text):

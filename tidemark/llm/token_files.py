@@ -22,6 +22,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -53,8 +54,18 @@ WORD_END = "</w>"
 WORD = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
 #: White space as Unicode has it; text.split() also cuts at four control characters.
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
-#: A letter or digit and a sign, between which the tokenizer begins a new stretch, too.
-SIGN = "([0-9A-Za-zÀ-ɏ])([.,;:!?%&*#$])"
+#: A letter or digit and a sign, between which the tokenizer begins a new stretch, too. The small form of U+0130
+#: ends with a combining dot, which stays with the sign.
+SIGN = "([0-9A-Za-zÀ-ÖØ-öø-įı-ɏ])([.,;:!?%&*#$])"
+#: The rules of the files whose texts may be cut so (fixed values of their format).
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed",
+         "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 SEPARATORS = "[\x1c-\x1f]"
 
 
@@ -183,6 +194,10 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.closes = np.zeros(size, bool)
+        rules = json.loads(self.tokenizer.to_str())
+        #: Whether texts may be cut into stretches; texts of another file are encoded whole.
+        self.cuts = (all(rules[k] == rule for k, rule in RULES.items()) and rules["model"].get("end_of_word_suffix") == WORD_END
+                     and all(t["content"].startswith("<|") for t in rules["added_tokens"]))
         self.closes[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(WORD_END)]] = True
         self._forget()
 
@@ -195,7 +210,7 @@ class Encoder:
         """The ids of each text as they are written. Only the distinct stretches of a batch reach Python."""
         if len(self.seen) > MAX_KEPT:
             self._forget()
-        cut = stretches(texts)
+        cut = stretches(texts) if self.cuts else pa.array([[t or ""] for t in texts.to_pylist()], pa.list_(pa.string()))
         distinct = cut.flatten().dictionary_encode()
         listed = distinct.dictionary.to_pylist()
         numbers = np.fromiter(map(self.seen.__getitem__, listed), np.int64, len(listed))
@@ -211,7 +226,7 @@ class Encoder:
         return [data[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
 
     def _learn(self, new: list[str]) -> None:
-        words = [i for i, s in enumerate(new) if WORD.fullmatch(s)]
+        words = [i for i, s in enumerate(new) if self.cuts and WORD.fullmatch(s)]
         order, flat, sizes = [], [], []
         # A word is one stretch of its own and its last id ends a word, so many are encoded as one text.
         groups = [words[i : i + 256] for i in range(0, len(words), 256)]
