@@ -9,11 +9,11 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.operators.messages import decode_logins, good_logins, quarantined
-from tidemark.operators.outbox import to_messages, unsent
+from tidemark.operators.outbox import as_ranges, ids_of, merged_ranges, to_messages, unsent
 from tidemark.sources.readers import read_topic
 from tidemark.sources.writers import write_messages
 from tidemark.streaming.ingest import append_once, ingest_logins, read_logins, read_quarantine, store_batch, store_once, stored_like
-from tidemark.streaming.publish import publish_outbox, read_ledger
+from tidemark.streaming.publish import merge_ledger, publish_outbox, read_ledger
 from tidemark.workspace import fresh_folder
 
 ROWS = "id long, username string, event_type string, event_time timestamp_ntz, sent_to_kafka boolean"
@@ -70,7 +70,37 @@ def test_publish_records_only_what_was_sent(spark, outbox):
     for _ in range(2):
         publish_outbox(outbox, f"{folder}/ledger", lambda m: sent.append(sorted(r.id for r in m.collect())))
     assert sent == [[1, 3], []]
-    assert sorted(r.id for r in read_ledger(spark, f"{folder}/ledger").collect()) == [1, 3]
+    assert sorted(r.id for r in ids_of(read_ledger(spark, f"{folder}/ledger")).collect()) == [1, 3]
+
+
+def test_ledger_ranges(spark):
+    draw = random.Random(4)
+    runs = [[draw.choice([i, -i, i << 13]) for i in range(draw.randrange(400))] + [7, 7, 8, 65_535, 65_536] for _ in range(4)]
+    ranges = [as_ranges(spark.createDataFrame([(i,) for i in ids], "id long")) for ids in runs]
+    every = ranges[0].unionByName(ranges[1]).unionByName(ranges[2]).unionByName(ranges[3])
+    merged, ids = merged_ranges(every), {i for some in runs for i in some}
+    assert sorted(r.id for r in ids_of(merged).collect()) == sorted(ids)
+    found = sorted((r.first, r.last) for r in merged.collect())
+    assert all(a[1] + 1 < b[0] or b[0] % 65_536 == 0 for a, b in zip(found, found[1:]))
+    rows = spark.createDataFrame([(i, False, i) for i in range(-500, 3000)] + [(None, False, 1), (9000, True, 1), (9001, None, 1)],
+                                 "id long, sent_to_kafka boolean, row long")
+    for ledger in (merged, every):
+        assert sorted(r.id for r in unsent(rows, ledger).where("id IS NOT NULL").collect()) == sorted(set(range(-500, 3000)) - ids)
+        assert unsent(rows, ledger).where("id IS NULL").count() == 1
+
+
+def test_a_million_ids_make_few_rows(spark):
+    folder = fresh_folder(spark, "publish")
+    ledger = f"{folder}/ledger"
+    row = ["id", "CAST(id AS string) AS username", "'login' AS event_type", "TIMESTAMP_NTZ'2024-01-01' AS event_time", "false AS sent_to_kafka"]
+    rows, sent = spark.range(1_000_000).selectExpr(*row), []
+    for some in (rows.where("id % 2 = 0"), rows):
+        publish_outbox(some, ledger, lambda m: sent.append(m.count()))
+    assert sent == [500_000, 500_000]
+    merge_ledger(spark, ledger)
+    assert read_ledger(spark, ledger).count() == 16
+    publish_outbox(rows, ledger, lambda m: sent.append(m.count()))
+    assert sent[-1] == 0
 
 
 def test_decode(spark):
