@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql.types import StructType
 
 from tidemark.schemas import SALES
-from tidemark.sources.readers import inventory, read_csv, read_outbox, read_topic
+from tidemark.sources.readers import csv_rejects, inventory, read_csv, read_outbox, read_topic, reject_counts
 from tidemark.sources.writers import create_table, write_csv, write_records
 from tidemark.workspace import Folder, fresh_folder, passing_folders, shared_folder, written
 
@@ -47,6 +47,28 @@ def test_csv_keeps_every_character(spark):
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
 
 
+def test_csv_rejects(spark, tmp_path):
+    schema = StructType.fromDDL("day date, amount double, name string, units int")
+    (tmp_path / "s.csv").write_text(
+        'Name;Amount;Units;More;Day\n"a;""b""";1.5;2;x;2024-01-02\nb;much;;x;2024-02-31\nc;;2.5;x;\nd;"NaN";9999999999;"y";2024-01-03\ne;1\nf;1;2;x;2024-01-04;7\n')
+    found = csv_rejects(spark, str(tmp_path / "s.csv"), schema, delimiter=";").collect()
+    assert sorted(((r.record[0], r.column_name, r.text) for r in found), key=str) == sorted([
+        ("b", "amount", "much"), ("b", "day", "2024-02-31"), ("c", "units", "2.5"), ("d", "units", "9999999999"),
+        ("e", None, None), ("f", None, None)], key=str)
+    assert {r.record for r in found if r.column_name == "units"} == {"c;;2.5;x;", 'd;"NaN";9999999999;"y";2024-01-03'}
+    rows = read_csv(spark, str(tmp_path / "s.csv"), schema, delimiter=";")
+    assert [(r.name, r.amount, r.units) for r in rows.collect()][1:3] == [("b", None, None), ("c", None, None)]
+    counts = {r.column_name: r.n for r in reject_counts(csv_rejects(spark, str(tmp_path / "s.csv"), schema, ";")).collect()}
+    assert counts == {"amount": 1, "day": 1, "units": 2, None: 2}
+
+
+def test_csv_rejects_of_clashing_columns(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("record,cell,_corrupt_record,n\nx,1,y,z\nx,2,y,3\n")
+    schema = StructType.fromDDL("cell int, n int")
+    found = csv_rejects(spark, str(tmp_path / "c.csv"), schema).collect()
+    assert [tuple(r) for r in found] == [("x,1,y,z", "n", "z")]
+
+
 def test_inventory(spark, tmp_path):
     for name in ("a.parquet", "b.txt"):
         (tmp_path / name).write_bytes(b"12345")

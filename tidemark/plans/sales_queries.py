@@ -9,7 +9,7 @@ from tidemark.operators import sales
 from tidemark.plans.inputs import RETAIL_SQL, retail, table
 from tidemark.plans.registry import query
 from tidemark.schemas import SALES
-from tidemark.sources.readers import read_csv
+from tidemark.sources.readers import csv_rejects, read_csv, reject_counts
 from tidemark.sources.writers import write_csv
 from tidemark.workspace import fresh_folder
 
@@ -176,3 +176,42 @@ def sales_from_csv(spark, sf_dir):
     turned = sold.select(sold.columns[::-1]).withColumn("note", F.lit("x"))
     write_csv(turned.toDF(*[c.replace("_", " ").title() for c in turned.columns]), path)
     return sales.clean_sales(read_csv(spark, path, SALES))
+
+
+# Cells that are damaged in the delimited file: which rows, the text of the cell.
+DAMAGED = {
+    "quantity": ("customer_id % 7 = 0", "concat('x', CAST(customer_id AS {text}))"),
+    "price_per_unit": ("customer_id % 11 = 0", "'1,5'"),
+    "transaction_date": ("customer_id % 13 = 0", "'2024-13-45'"),
+}
+DAMAGED_CELLS = " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, {cell.format(text='VARCHAR')} AS text FROM retail WHERE {rows}" for name, (rows, cell) in DAMAGED.items())
+NULLED = ", ".join(f"CASE WHEN {rows} THEN NULL ELSE {name} END AS {name}" for name, (rows, _) in DAMAGED.items())
+
+
+def damaged_csv(spark, sf_dir) -> str:
+    """The sales as a delimited file with some cells of another type."""
+    path, sold = fresh_folder(spark, "sales-csv"), retail(spark, sf_dir)
+    cells = {name: F.when(F.expr(rows), F.expr(cell.format(text="STRING"))).otherwise(F.col(name).cast("string"))
+             for name, (rows, cell) in DAMAGED.items()}
+    write_csv(sold.withColumns(cells), path)
+    return path
+
+
+@query("sales_from_damaged_csv", f"""WITH given AS ({RETAIL_SQL}), retail AS (SELECT * REPLACE ({NULLED}) FROM given), filled AS (
+    SELECT * REPLACE ({FILLED_QUANTITY} AS quantity, {FILLED_PRICE} AS price_per_unit) FROM retail)
+SELECT * FROM filled WHERE {COMPLETE}""")
+def sales_from_damaged_csv(spark, sf_dir):
+    """The whole job where cells of another type become null."""
+    return sales.clean_sales(read_csv(spark, damaged_csv(spark, sf_dir), SALES))
+
+
+@query("sales_csv_rejects", f"{WITH_RETAIL}, cells AS ({DAMAGED_CELLS}) SELECT column_name, text FROM cells")
+def sales_csv_rejects(spark, sf_dir):
+    """Which cells these were."""
+    return csv_rejects(spark, damaged_csv(spark, sf_dir), SALES).select("column_name", "text")
+
+
+@query("sales_csv_reject_counts", f"{WITH_RETAIL}, cells AS ({DAMAGED_CELLS}) SELECT column_name, count(*) AS n FROM cells GROUP BY 1")
+def sales_csv_reject_counts(spark, sf_dir):
+    return reject_counts(csv_rejects(spark, damaged_csv(spark, sf_dir), SALES))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
@@ -10,6 +10,31 @@ from tidemark import schemas
 from tidemark.functions.names import snake_case, unique_names
 
 
+#: A noncharacter in the names of columns that are added to those of a file, which then never clash.
+OWN = "\ufdd0"
+
+
+def csv_reader(spark: SparkSession, delimiter: str, multi_line: bool, keep_empty: bool):
+    reader = spark.read.option("header", True).option("delimiter", delimiter).option("escape", '"')
+    reader = reader.option("multiLine", multi_line)
+    return reader.option("nullValue", "\0") if keep_empty else reader
+
+
+def csv_columns(reader, path: str, schema: StructType) -> tuple[list[StructField], dict[str, str]]:
+    """The columns of a file with the types of the schema, and the name in the file of each column of the schema."""
+    header = reader.csv(path).columns
+    named = dict(zip(unique_names(map(snake_case, header)), header))
+    missing = [f.name for f in schema if f.name not in named]
+    if missing:
+        raise ValueError(f"{path} has no column for {', '.join(missing)}; its header is {', '.join(header)}")
+    types = {named[f.name]: f.dataType for f in schema}
+    return [StructField(h, types.get(h, StringType())) for h in header], named
+
+
+def quoted(name: str) -> Column:
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | None = None, delimiter: str = ",",
     multi_line: bool = False, keep_empty: bool = False,
@@ -21,24 +46,52 @@ def read_csv(
     With a schema its columns are found by name: the header is read first and its names,
     normalized, decide which column is which, in any order. A missing column is an error,
     other columns are left out, and a file with another header is an error. Values of another type become
-    null. Without a schema the types are inferred, which costs a pass over the data.
+    null; ``csv_rejects`` lists them. Without a schema the types are inferred, which costs a pass over the data.
     ``multi_line`` is for quoted values with line breaks; a file is then one task.
     """
-    reader = spark.read.option("header", True).option("delimiter", delimiter).option("escape", '"')
-    reader = reader.option("multiLine", multi_line)
-    if keep_empty:
-        reader = reader.option("nullValue", "\0")
+    reader = csv_reader(spark, delimiter, multi_line, keep_empty)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    header = reader.csv(path).columns
-    named = dict(zip(unique_names(map(snake_case, header)), header))
-    missing = [f.name for f in schema if f.name not in named]
-    if missing:
-        raise ValueError(f"{path} has no column for {', '.join(missing)}; its header is {', '.join(header)}")
-    types = {named[f.name]: f.dataType for f in schema}
-    in_file = StructType([StructField(h, types.get(h, StringType())) for h in header])
-    rows = reader.option("enforceSchema", False).schema(in_file).csv(path)
-    return rows.select([F.col(f"`{named[f.name].replace('`', '``')}`").alias(f.name) for f in schema])
+    in_file, named = csv_columns(reader, path, schema)
+    rows = reader.option("enforceSchema", False).schema(StructType(in_file)).csv(path)
+    return rows.select([quoted(named[f.name]).alias(f.name) for f in schema])
+
+
+def csv_rejects(
+    spark: SparkSession, path: str, schema: StructType, delimiter: str = ",", multi_line: bool = False,
+    keep_empty: bool = False,
+) -> DataFrame:
+    """``record``, ``column_name``, ``text`` of every cell that ``read_csv`` turns into null because it is of another type.
+
+    The record is the whole line. A line with more or fewer cells than the header has a row with a null column
+    and text, as no one cell is at fault. Cells are read by the parser that read them first, so both agree.
+    """
+    reader = csv_reader(spark, delimiter, multi_line, keep_empty)
+    in_file, named = csv_columns(reader, path, schema)
+    line, cells = f"line{OWN}", f"cells{OWN}"
+    # Cells are counted only if all columns are read.
+    reader = reader.option("enforceSchema", False).option("columnPruning", False).option("columnNameOfCorruptRecord", line)
+    rows = reader.schema(
+        StructType([*in_file, StructField(line, StringType())])).csv(path).where(F.col(line).isNotNull())
+    texts = ", ".join(f"`{name}` string" for name in [*range(len(in_file)), line])
+    options = {"delimiter": delimiter, "escape": '"', "multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": line}
+    options |= {"nullValue": "\0"} if keep_empty else {}
+    read = rows.withColumn(cells, F.from_csv(F.col(line), texts, options))
+    places = {f.name: i for i, f in enumerate(in_file)}
+    damaged = [
+        F.when(quoted(named[f.name]).isNull() & F.col(cells)[str(places[named[f.name]])].isNotNull(), F.struct(
+            F.lit(f.name).alias("column_name"), F.col(cells)[str(places[named[f.name]])].alias("text")))
+        for f in schema if not isinstance(f.dataType, StringType)
+    ]
+    uneven = F.when(F.col(cells)[line].isNotNull(), F.struct(
+        F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("text")))
+    found = F.filter(F.array(uneven, *damaged), lambda cell: cell.isNotNull())
+    return read.select(F.col(line).alias("record"), F.explode(found).alias("cell")).select("record", "cell.*")
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """``column_name``, ``n``: how many cells of each column were rejected."""
+    return rejects.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
