@@ -3,6 +3,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_mixing import WORD, plain_targets
 from test_simhash import expected_groups
 
@@ -63,3 +64,18 @@ def test_mixture_and_pieces(stages):
 def test_run_writes_and_reads_every_stage(spark, stages):
     found = corpus_pipeline.run(spark, SF_DIR).collect()
     assert sorted((r.doc_id, r.piece_ids) for r in found) == sorted((r.doc_id, r.piece_ids) for r in stages[5].collect())
+
+
+CLASHING = """lang_pred lang_score lang_spans toxic_score toxic_words toxic_spans toxic_weight chosen_key chosen_fp _simhash fp root
+component_id first c last _mix_id _mix_text _mix_hash _mix_ranges _mix_whole ix start pass size h ranges taken words text_hash times a.b"""
+
+
+def test_columns_with_clashing_names_pass_through(spark):
+    given = table(spark, "/root/testdata/sf0.001", "documents")
+    docs = given.select("*", *[F.concat(F.lit("kept "), F.col("doc_id")).alias(n) for n in CLASHING.split()])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, "/root/testdata/sf0.001").cache()
+        assert after.columns == docs.columns and after.count() > 0
+        for r in after.collect():
+            assert all(r[n] == f"kept {r.doc_id}" for n in CLASHING.split())
+        assert ids(after.select("doc_id")) == ids(stage(spark, given, "/root/testdata/sf0.001").select("doc_id"))

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.llm.tables import apart
 from tidemark.workspace import fresh_folder, written
 
 WEIGHTS = (5, 2, 1)
@@ -151,11 +152,11 @@ def taken_words(docs: DataFrame, weights=WEIGHTS, limit: float = LIMIT, block: i
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, limit: float = LIMIT, block: int = BLOCK) -> DataFrame:
     """The columns of ``docs``, a row for each pass that takes words of a document: the whole text if
     the pass takes all of it, else the taken words with single spaces. ``n_chars``, if there, is recounted."""
+    docs, named = apart(docs, "doc_id", "text", "source", "n_chars")
     mixed = mixture(docs, weights, limit, block)
     ranges = F.sort_array(F.collect_list(F.struct("first", "words")))
     rows = mixed.groupBy("ix", "start", "pass", "doc_id", "text_hash", "size").agg(
         ranges.alias("ranges"), F.sum("words").alias("taken"))
-    # Names that no column of the documents has.
     rows = rows.select(F.col("doc_id").alias("_mix_id"), F.col("text_hash").alias("_mix_hash"),
                        F.col("ranges").alias("_mix_ranges"), (F.col("taken") == F.col("size")).alias("_mix_whole"))
     hashed = docs.withColumn("_mix_text", F.xxhash64("text"))
@@ -170,4 +171,4 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, limit: float = LIMIT, bloc
     out = both.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(docs.columns)
+    return named(out)

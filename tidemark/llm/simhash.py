@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
-from tidemark.llm.tables import add_columns
+from tidemark.llm.tables import add_columns, apart
 from tidemark.workspace import fresh_folder, written
 
 BITS = 64
@@ -199,6 +199,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
                        distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each group: the smallest id, of equal ids the smallest fingerprint."""
+    docs, named = apart(docs, key, text)
     order = F.struct(F.col(key).isNull().alias("last"), F.col(key), F.col("fp"))
     rows = groups(docs, key, text, size, distance)
     chosen = rows.groupBy("root").agg(F.min(order).alias("c")).select(
@@ -212,4 +213,4 @@ def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
                       "left_semi").groupBy(key, "fp").count().where("count > 1")
     if not twice.isEmpty():
         kept = kept.dropDuplicates([key, "_simhash"])
-    return kept.select(docs.columns)
+    return named(kept)

@@ -30,6 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def apart(docs: DataFrame, *known: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` whose other columns than the known ones have names that no operator uses, and what takes such
+    documents, with whatever columns were added to them, back to the columns and names of ``docs``."""
+    names = docs.columns
+    others = [c if c in known else f"column {i}\ufdd0" for i, c in enumerate(names)]
+    return docs.toDF(*others), lambda df: df.select(*[F.col(f"`{c}`") for c in others]).toDF(*names)
+
+
 def held_out(key: str, parts: int, part: int) -> Column:
     """Whether crc32 of the key as text, modulo ``parts``, is ``part``. A null key is held out."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % parts == part, F.lit(True))
