@@ -11,20 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, mixing, pieces, simhash, toxicity
-from tidemark.llm.tables import held_out, table
+from tidemark.llm.tables import apart, held_out, table
 from tidemark.workspace import Folder, fresh_folder, passing_folders, written
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; the model learns from the documents themselves."""
+    docs, named = apart(docs, "doc_id", "text", "lang")
     model = language.fit(docs.where(~held_out("doc_id", 3, 1)))
-    return language.label(docs, model).where(language.accepted()).select(docs.columns)
+    return named(language.label(docs, model).where(language.accepted()))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
+    docs, named = apart(docs, "doc_id", "text")
     lexicon = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id", 5, 0)))
-    return toxicity.find(docs, lexicon).where("toxic_score < 0.5").select(docs.columns)
+    return named(toxicity.find(docs, lexicon).where("toxic_score < 0.5"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
