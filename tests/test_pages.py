@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import join_tags, or_empty, strip_quotes
 from tidemark.functions.markup import characters, resolve_link
+from tidemark.operators import chains
+from tidemark.workspace import written
 from tidemark.operators.inventory import exists_in
 from tidemark.operators.pages import (
     chained_records,
@@ -199,7 +201,11 @@ def walk(seeds, links):
     ({1: 2, 2: 3, 3: 4, 4: 3, 9: 9}, [1, 9]),          # a walk into a circle, a page linking to itself
     ({i: 100 for i in range(1, 40)} | {100: 101}, list(range(1, 40))),   # many walks through one page
     ({i: i + 1 for i in range(45)}, [0, 20]),
+    ({9: 9}, [9]),
+    ({i: (i + 1) % 5 for i in range(5)} | {10: 11, 11: 3, 12: 11, 20: 20, 21: 20}, [0, 3, 10, 12, 21, 4]),   # circles with trees
+    ({i: i + 1 for i in range(30)} | {100 + i: i for i in range(30)}, [100 + i for i in range(30)]),   # a walk entering at every page
     ({}, [5]),
+    ({1: 2}, []),
 ])
 def test_follow_chain(spark, links, seeds):
     found = follow_chain(
@@ -220,6 +226,30 @@ def test_follow_chain_on_random_links(spark):
     assert sorted(map(tuple, found.collect())) == sorted(walk(seeds, links))
 
 
+def test_walks_that_run_together_are_stored_once(spark, monkeypatch):
+    rows = []
+
+    def counted(df, path, **options):
+        table = written(df, path, **options)
+        rows.append(table.count())
+        return table
+
+    monkeypatch.setattr(chains, "written", counted)
+    seeds = spark.range(10_000, 11_000).select(F.col("id").alias("page"))
+    links = spark.range(1000).select(F.col("id").alias("page"), (F.col("id") + 1).alias("next_page")).unionByName(
+        seeds.select("page", F.pmod("page", F.lit(1000)).alias("next_page")))
+    found = chains.follow_chain(seeds, links)
+    assert max(rows) <= 2001 and sum(rows[-3:]) <= 5000   # no table holds more than pages and seeds
+    assert found.count() == 1000 * 2 + 1000 * 1001 // 2
+    assert found.agg(F.max("depth")).first()[0] == 1001
+
+
+def test_a_page_with_several_links_follows_the_smallest(spark):
+    links = spark.createDataFrame([(1, 3), (1, 2), (1, 2), (2, None), (None, 1)], "page long, next_page long")
+    seeds = spark.createDataFrame([(1,), (1,), (None,)], "page long")
+    assert sorted(map(tuple, chains.follow_chain(seeds, links).collect())) == [(1, 1, 0), (1, 2, 1)]
+
+
 def test_records_along_next_links(spark):
     def page(n, link):
         return (f"https://q.example/{n}", f'<div class="quote"><span class="text">“{n}”</span></div>{link}')

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql.types import StructType
 
 from tidemark.schemas import SALES
+from tidemark.sources.listing import list_objects, open_folder
 from tidemark.sources.readers import csv_rejects, inventory, read_csv, read_outbox, read_topic, reject_counts
 from tidemark.sources.writers import create_table, write_csv, write_records
 from tidemark.workspace import Folder, fresh_folder, passing_folders, shared_folder, written
@@ -82,6 +83,34 @@ def test_inventory(spark, tmp_path):
     assert inventory(spark, str(tmp_path), "*.txt").count() == 2
 
 
+def test_listing_by_tasks(spark, tmp_path, monkeypatch):
+    for i in range(1000):
+        folder = tmp_path / f"a{i % 10}" / f"b={i} ü%"
+        folder.mkdir(parents=True)
+        (folder / "x.parquet").write_bytes(b"1" * (i % 7))
+    (tmp_path / "_top.txt").write_bytes(b"22")
+    (tmp_path / "empty").mkdir()
+    collected = []
+    take = type(spark.range(1)).collect
+
+    def collect(df):
+        collected.extend(take(df))
+        return collected
+    monkeypatch.setattr(type(spark.range(1)), "collect", collect)
+    found = list_objects(spark, str(tmp_path))
+    monkeypatch.undo()
+    assert not any(".parquet" in str(r) for r in collected)   # no name of an object reached the driver
+    rows = {r.path: r for r in found.collect()}
+    assert {p: r.length for p, r in rows.items()} == {str(p): p.stat().st_size for p in tmp_path.rglob("*") if p.is_file()}
+    assert all(r.modificationTime is not None for r in rows.values())
+    assert list_objects(spark, f"file:{tmp_path}", "*.txt").collect()[0].path == f"file:{tmp_path}/_top.txt"
+    assert list_objects(spark, str(tmp_path / "missing")).count() == list_objects(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_names_of_stores():
+    assert open_folder("file:///tmp/x")[1] == open_folder("file:/tmp/x")[1] == open_folder("/tmp/x")[1] == "/tmp/x"
+
+
 def test_outbox_by_format(spark):
     path = fresh_folder(spark, "outbox")
     spark.range(3).write.parquet(path)

@@ -21,7 +21,8 @@ from tidemark.functions.markup import (
     value_is,
     visible,
 )
-from tidemark.workspace import Folder, fresh_folder, written
+from tidemark.operators.chains import follow_chain
+from tidemark.workspace import fresh_folder, written
 
 #: Noncharacters that stand for tags while a record is read.
 MARKS = [chr(c) for c in range(0xFDD0, 0xFDF0)]
@@ -245,38 +246,6 @@ def existing_links(links: DataFrame, pages: DataFrame, page: str = "page", targe
     return links.where(F.col(target).isNotNull()).join(known, target, "left_semi").select(page, target)
 
 
-def follow_chain(seeds: DataFrame, links: DataFrame) -> DataFrame:
-    """seed, page and depth of every page a walk from each seed passes.
-
-    ``seeds`` has page; ``links`` has page and next_page, at most one per page.
-    Each round doubles the length of the known jumps, so a chain of n pages
-    takes log2(n) rounds. A walk that runs into a circle ends at the
-    first page it has seen before. Rounds are tables in the shared folder, and
-    a round that is no longer needed is removed.
-    """
-    spark = seeds.sparkSession
-    folder, step = fresh_folder(spark, "chain"), 1
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        return written(df, f"{folder}/{step}/{name}")
-
-    jumps = keep(links.where("next_page IS NOT NULL").select("page", "next_page"), "jumps")
-    start = seeds.where("page IS NOT NULL").select(F.col("page").alias("seed"), "page", F.lit(0).cast("long").alias("depth"))
-    reached, found = keep(start.distinct(), "reached"), 0
-    while jumps.count() > 0 and found < (total := reached.count()):
-        found = total
-        ahead = reached.join(jumps, "page").select(
-            "seed", F.col("next_page").alias("page"), (F.col("depth") + step).alias("depth")
-        )
-        farther = reached.unionByName(ahead).groupBy("seed", "page").agg(F.min("depth").alias("depth"))
-        second = jumps.select(F.col("page").alias("next_page"), F.col("next_page").alias("after"))
-        longer = jumps.join(second, "next_page").select("page", F.col("after").alias("next_page"))
-        step *= 2
-        reached, jumps = keep(farther, "reached"), keep(longer, "jumps")
-        Folder(spark, folder).remove(str(step // 2))
-    return reached
-
-
 def chained_records(
     pages: DataFrame, seeds: DataFrame, spec: RecordSpec = RecordSpec(), base_url: str | None = None
 ) -> DataFrame:

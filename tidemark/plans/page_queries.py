@@ -12,6 +12,7 @@ from tidemark.operators.inventory import exists_in
 from tidemark.plans.inputs import chained_pages, page_chain_links, table, user_events
 from tidemark.plans.registry import query
 from tidemark.schemas import RECORDS
+from tidemark.sources.listing import list_objects
 from tidemark.sources.readers import inventory, read_csv, read_inventory, read_pages
 from tidemark.sources.writers import write_events, write_records
 from tidemark.workspace import fresh_folder
@@ -120,3 +121,17 @@ def inventory_exists(spark, sf_dir):
     day = F.to_date("event_time")
     asked = events.select(F.explode(F.array(day, F.date_add(day, 20))).alias("key"))
     return exists_in(asked.select(F.col("key").cast("string")), listed)
+
+
+@query("inventory_listed", """
+SELECT DISTINCT CAST(ts AS date)::varchar AS key, true AS found FROM events
+UNION ALL SELECT DISTINCT (CAST(ts AS date) + 40000)::varchar, false FROM events""")
+def inventory_listed(spark, sf_dir):
+    """Which days have objects in the event table, by a listing that tasks make; asked for event days and days long after."""
+    path = f"{fresh_folder(spark, 'events-listed')}/events"
+    events = user_events(spark, sf_dir)
+    write_events(events, path)
+    days = list_objects(spark, path, "*.parquet").select(F.regexp_extract("path", r"event_date=([^/]+)/", 1).alias("key"))
+    day = F.to_date("event_time")
+    asked = events.select(F.explode(F.array(day, F.date_add(day, 40000))).alias("key"))
+    return exists_in(asked.select(F.col("key").cast("string")), days)
