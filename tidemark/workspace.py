@@ -10,6 +10,7 @@ import json
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,25 +28,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-made: list[str] = []
+#: The fresh folders of the block of ``passing_folders`` that runs, each thread having its own.
+passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    made.append(f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}")
-    return made[-1]
+    path = f"{shared_folder(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    if (block := passing.get()) is not None:
+        block.append(path)
+    return path
 
 
 @contextmanager
 def passing_folders(spark: SparkSession) -> Iterator[None]:
-    """Removes the fresh folders of the block when it ends; what is read from them must be written by then."""
-    before = len(made)
+    """Removes the fresh folders of the block when it ends; what is read from them must be written by then.
+
+    Folders made by other threads meanwhile stay.
+    """
+    token = passing.set([])
     try:
         yield
     finally:
-        for path in made[before:]:
+        for path in passing.get():
             Folder(spark, path).remove("")
-        del made[before:]
+        passing.reset(token)
 
 
 def written(df: DataFrame, path: str, **options) -> DataFrame:
