@@ -68,7 +68,7 @@ GRAPH = (
 def pagerank(seed, edges):
     given = {h: (1 - hosts.DAMPING) * s for h, s in seed.items()}
     scores = given
-    for _ in range(hosts.ROUNDS):
+    for _ in range(300):
         passed = dict(given)
         for (a, b), n in edges.items():
             total = sum(x for (c, _), x in edges.items() if c == a)
@@ -96,6 +96,24 @@ def test_trust_and_distrust_along_links(spark):
     assert sorted(map(tuple, hosts.filtered(pages).collect()), key=str) == sorted(by_sql(GRAPH), key=str)
 
 
+CHAIN = [(f"http://h{i:02}.net/", link(f"h{i + 1:02}.net")) for i in range(15)] + [("http://h15.net/", link("bad.com"))]
+RING = [(f"http://r{i}.net/", link(f"r{(i + 1) % 4}.net")) for i in range(4)]
+
+
+def test_scores_converge_along_chains_and_in_rings(spark):
+    rows = CHAIN + RING + [("http://bad.com/de/1", ""), ("http://good.org/", link("r0.net")), ("http://r2.net/x", link("bad.com"))]
+    pages = table(spark, rows)
+    links = hosts.host_links(pages)
+    edges = {(r.src, r.dst): r.pages for r in links.collect()}
+    scores = {r.host: (r.trust, r.distrust) for r in hosts.host_scores(hosts.host_seeds(hosts.judged(pages)), links).collect()}
+    trust = pagerank({"good.org": 1.0}, edges)
+    distrust = pagerank({"bad.com": 1.0}, {(b, a): n for (a, b), n in edges.items()})
+    assert set(trust) | set(distrust) == set(scores) and scores["h00.net"][1] > 0
+    for host, (t, d) in scores.items():
+        assert (t, d) == pytest.approx((trust.get(host, 0.0), distrust.get(host, 0.0)), abs=7 * hosts.TOLERANCE)
+    assert sorted(map(tuple, hosts.filtered(pages).collect()), key=str) == sorted(by_sql(rows), key=str)
+
+
 def test_no_pages_and_no_python(spark):
     pages = table(spark, GRAPH)
     assert hosts.filtered(pages.limit(0)).count() == 0
