@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing
+from tidemark.workspace import fresh_folder
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -96,6 +97,47 @@ def test_mixture_covers_blocks_in_turn(docs):
         assert number < mixing.LIMIT and (n == blocks[ix] or (ix, number + 1) not in passes)
 
 
+def test_shards_draw_their_sources(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD", 64)
+    monkeypatch.setattr(mixing, "CHUNK", 4)
+    monkeypatch.setattr(mixing, "RUN", 50)
+    _, shares = mixing.placed(docs[1])
+    slots = {r.ix: r.slots for r in shares.collect()}
+    counts = mixing.draws(shares, fresh_folder(spark, "draws")).collect()
+    total, got, in_shard = sum(slots.values()), Counter(), Counter()
+    for r in counts:
+        got[r.ix] += r.n
+        in_shard[r.shard] += r.n
+    assert got == Counter({i: n for i, n in slots.items() if n})
+    assert in_shard == Counter({s: min(64, total - 64 * s) for s in range(-(-total // 64))})
+    # Away from the last shards, which make up for the draw, counts spread as a multinomial draw's do.
+    share = {i: n / total for i, n in slots.items()}
+    sizes = {(r.shard, r.ix): r.n for r in counts}
+    early = [s for s in in_shard if s < 0.7 * total / 64]
+    spread = [(sizes.get((s, i), 0) - 64 * p) ** 2 / (64 * p * (1 - p)) for s in early for i, p in share.items() if p > 0.1]
+    assert 0.5 < sum(spread) / len(spread) < 1.8
+
+
+def test_blocks_follow_the_drawn_counts(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD", 64)
+    slots = mixing.drawn(mixing.placed(docs[1])[1]).collect()
+    counts = {(r.shard, r.ix): r.n for r in mixing.draws(mixing.placed(docs[1])[1], fresh_folder(spark, "draws")).collect()}
+    assert Counter((r.shard, r.ix) for r in slots) == Counter(counts)
+    # With other counts other slots, and no words, are taken.
+    monkeypatch.setattr(mixing, "draws", lambda shares, folder, draws=mixing.draws: draws(shares, folder).where("shard < 1"))
+    taken = mixing.taken_words(docs[1]).agg(F.sum("taken")).first()[0]
+    assert 0 < taken <= 64 * mixing.BLOCK
+
+
+def test_sums_over_chunks(spark):
+    draw = random.Random(5)
+    rows = [(draw.randrange(4), draw.randrange(3), i, draw.randrange(100)) for i in range(500)]
+    rows = [(k, i // 60, i, n) for k, _, i, n in rows]
+    found = mixing.running(spark.createDataFrame(rows, "k int, chunk int, i int, n long"), ["k"], [F.col("i")], s=F.col("n"))
+    assert {(r.i, r.s) for r in found.collect()} == {
+        (i, sum(m for a, _, j, m in rows if a == k and j < i)) for k, _, i, _ in rows}
+
+
 def test_mixed_documents_hold_the_taken_words(docs):
     rows, frame = docs
     clashing = {c: F.lit(1) for c in ("ranges", "whole", "words", "first", "ix", "start", "pass", "text_hash", "block_ix")}
