@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import duckdb
 import numpy as np
 import pytest
@@ -128,3 +129,16 @@ def test_vectors_meet_in_codes(spark, monkeypatch):
     rows = list(enumerate(clusters(12)))
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert {r.vec_id: (r.n_links, r.component_id) for r in caps.near_vectors(frame).collect()} == brute(rows)
+
+
+def test_decoding_is_bounded_whatever_the_table():
+    code = caps.Code(64, 30_000_000, 0)
+    units = np.random.default_rng(1).normal(size=(2000, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    tracemalloc.start()
+    rows, filters = code.decode(units)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert code.words > 20_000 and peak < 8 * 8 * caps.PRODUCTS
+    one, found = code.decode(units[1500:1501])
+    assert found.tolist() == filters[rows == 1500].tolist() and (np.diff(rows) >= 0).all()

@@ -59,6 +59,10 @@ SMALL = 48
 SEED = 42
 
 
+#: Products of vectors and code words that a task holds at once, of each half.
+PRODUCTS = 4_000_000
+
+
 @lru_cache(maxsize=1000)
 def cap_level(dims: int, share: float) -> float:
     """The cosine that this share of all directions exceeds with a given one."""
@@ -88,12 +92,19 @@ class Code:
     def decode(self, units: np.ndarray, level: float | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) of all filters that each unit vector exceeds the level with."""
         level = self.level if level is None else level
+        at_once = max(1, PRODUCTS // self.words)
+        parts = [self._decode(units[i : i + at_once], level) for i in range(0, len(units), at_once)]
+        if not parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate([r + i * at_once for i, (r, _) in enumerate(parts)]), np.concatenate([f for _, f in parts])
+
+    def _decode(self, units: np.ndarray, level: float) -> tuple[np.ndarray, np.ndarray]:
         turned = units @ self.turn
         first = turned[:, : self.cut] @ self.halves[0].T
         second = turned[:, self.cut :] @ self.halves[1].T
         rows, ones = np.nonzero(first >= level - second.max(1, keepdims=True))
         found = []
-        step = max(1, 4_000_000 // self.words)
+        step = max(1, PRODUCTS // self.words)
         for i in range(0, len(rows), step):
             r, one = rows[i : i + step], ones[i : i + step]
             at, two = np.nonzero(second[r] >= (level - first[r, one])[:, None])
