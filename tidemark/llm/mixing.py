@@ -165,7 +165,8 @@ def drawn(shares: DataFrame) -> DataFrame:
     placed_in = counts.withColumn("inner", F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).withColumn(
         "shard_slots", F.sum("n").over(Window.partitionBy("shard")))
     numbered = running(placed_in, ["ix"], [F.col("shard")], first=F.col("n")).join(shares.select("ix", "blocks"), "ix")
-    slots = numbered.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    # The sums leave a chunk of a source in one task; its slots are many times as many rows.
+    slots = numbered.repartition(tasks(shares), "ix", "shard").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     t = F.col("first") + F.col("k")
     turn = F.floor(t / F.col("blocks"))
     return slots.select(
