@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -101,10 +102,36 @@ def test_one_hot_group_is_one_component(spark):
         value ^= 1 << draw.randrange(64)
         prints.append(value - (1 << 64) if value >> 63 else value)
     rows = spark.createDataFrame([(p,) for p in set(prints)], "fp long").withColumn("first", F.col("fp"))
-    found = connected(simhash.fingerprint_links(rows)).collect()
+    found = connected(simhash.fingerprint_links(simhash.with_pivots(rows))).collect()
     assert len(found) == len(set(prints)) - 1 and len({r.root for r in found}) == 1
 
 
+def test_pairs_are_discarded_by_stored_pivot_distances(spark):
+    prints = [0, 1, 3, -1, -2]
+    table = simhash.with_pivots(spark.createDataFrame([(p,) for p in prints], "fp long"))
+    rows = {r.fp: r for r in table.collect()}
+    known = simhash.pivots().tolist()
+    for p in prints:
+        stored = b"".join(rows[p][name].to_bytes(8, "little") for name in simhash.TABLE)
+        assert list(stored) == [((p % 2**64) ^ v).bit_count() for v in known]
+    assert {frozenset(map(int, r)) for r in simhash.fingerprint_links(table).collect()} >= {frozenset((-1, -2))}
+    # One stored distance, in turn of each column, that is too far off parts a pair that verification would keep.
+    for name in simhash.TABLE:
+        wrong = F.when(F.col("fp") == -2, F.col(name).bitwiseXOR(F.lit(1 << 29))).otherwise(F.col(name))
+        found = connected(simhash.fingerprint_links(table.withColumn(name, wrong))).collect()
+        assert {r.node for r in found} | {r.root for r in found} == {0, 1, 3}
+
+
+def test_no_close_pair_is_discarded():
+    draw = np.random.default_rng(9)
+    left = draw.integers(0, 2**64, 3000, np.uint64)
+    flips = np.array([sum(1 << int(b) for b in draw.choice(64, 4, replace=False)) for _ in left], np.uint64)
+    sides = [(s, list(np.bitwise_count(s[:, None] ^ simhash.pivots()).astype(np.int8).reshape(len(s), -1, 8).swapaxes(0, 1)))
+             for s in (left, left ^ flips)]
+    pairs = {(int(x), int(y)) for a, b in simhash.close_pairs(*sides, 4) for x, y in zip(a, b)}
+    assert pairs >= {(i, i) for i in range(3000)}
+
+
 def test_blocks_cover_every_pair():
     for blocks in (5, 6, 8):
         masks = [m % (1 << 64) for m in simhash.block_masks(blocks, 4)]

@@ -6,8 +6,8 @@ Fingerprints are compared once each, however many texts share them:
 * Two fingerprints within ``distance`` bits agree on all but ``distance`` of ``b``
   blocks of bits, so they meet under one of the keys that leave ``distance`` blocks
   out; the number of blocks follows the number of fingerprints.
-* Under a key, each fingerprint has a row of precomputed distances to reference
-  fingerprints (pivots). Fingerprints are sorted by the first of them; a pair stays
+* The distances of each fingerprint to ``PIVOTS`` reference fingerprints are computed once and
+  stored with it. Under a key, fingerprints are sorted by the first of them; a pair stays
   while no coordinate differs by more than ``distance``; survivors are verified.
 * A key with many fingerprints is cut into parts that meet pair by pair in separate
   tasks. From each only a spanning forest of the links goes on to the components.
@@ -20,12 +20,13 @@ there is no other); repeated rows fall into one group; extra columns pass throug
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
@@ -35,6 +36,8 @@ from tidemark.workspace import fresh_folder, written
 BITS = 64
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 PIVOTS = 24
+#: Columns of the pivot distances, a byte each, eight to a column.
+TABLE = [f"pivots{i}" for i in range(PIVOTS // 8)]
 #: Fingerprints of one key that are compared in one task.
 PART = 1024
 HASHES_AT_ONCE = 1 << 16
@@ -90,14 +93,28 @@ def pivots() -> np.ndarray:
     return np.random.default_rng(SEED).integers(0, 2**64, PIVOTS, np.uint64)
 
 
-def close_pairs(left: np.ndarray, right: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of pairs within ``distance`` bits, each once if both sides are the same array."""
+def with_pivots(prints: DataFrame) -> DataFrame:
+    """``prints`` with the distances of ``fp`` to the pivots in the columns of ``TABLE``."""
+    def packed(some: list[int]) -> Column:
+        bits = (F.bit_count(F.col("fp").bitwiseXOR(F.lit(p))).cast("long") for p in some)
+        return reduce(Column.bitwiseOR, (F.shiftleft(n, 8 * i) for i, n in enumerate(bits)))
+
+    known = pivots().view(np.int64).tolist()
+    return prints.select("*", *(packed(known[8 * i : 8 * i + 8]).alias(name) for i, name in enumerate(TABLE)))
+
+
+#: Fingerprints, and for each column of ``TABLE`` a row of eight distances for each fingerprint.
+Side = tuple[np.ndarray, list[np.ndarray]]
+
+
+def close_pairs(left: Side, right: Side, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs within ``distance`` bits, each once if both sides are the same."""
     same = left is right
-    table = [np.bitwise_count(side[:, None] ^ pivots()).astype(np.int16) for side in (left, right)]
-    order = np.argsort(table[1][:, 0], kind="stable")
-    first = table[1][order, 0]
-    low = np.searchsorted(first, table[0][:, 0] - distance, "left")
-    high = np.searchsorted(first, table[0][:, 0] + distance, "right")
+    (left, one), (right, other) = left, right
+    order = np.argsort(other[0][:, 0], kind="stable")
+    first = other[0][order, 0]
+    low = np.searchsorted(first, one[0][:, 0] - distance, "left")
+    high = np.searchsorted(first, one[0][:, 0] + distance, "right")
     rows = max(1, 1_000_000 // max(1, len(right)))
     for i in range(0, len(left), rows):
         size = (high - low)[i : i + rows]
@@ -105,10 +122,8 @@ def close_pairs(left: np.ndarray, right: np.ndarray, distance: int) -> Iterator[
         b = order[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low[i : i + rows], size)]
         if same:
             a, b = a[a < b], b[a < b]
-        for p in range(1, PIVOTS):
-            if len(a) < 64:
-                break
-            keep = np.abs(table[0][a, p] - table[1][b, p]) <= distance
+        for mine, theirs in zip(one, other):
+            keep = (np.abs(mine[a] - theirs[b]) <= distance).all(1)
             a, b = a[keep], b[keep]
         keep = np.bitwise_count(left[a] ^ right[b]) <= distance
         yield a[keep], b[keep]
@@ -131,10 +146,10 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
-def links_of(left: np.ndarray, right: np.ndarray | None, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def links_of(left: Side, right: Side | None, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between two sets of fingerprints, or within one."""
-    both = left if right is None else np.concatenate([left, right])
-    shift = 0 if right is None else len(left)
+    both = left[0] if right is None else np.concatenate([left[0], right[0]])
+    shift = 0 if right is None else len(left[0])
     pairs = list(close_pairs(left, left if right is None else right, distance))
     a = np.concatenate([x for x, _ in pairs]) if pairs else np.zeros(0, np.int64)
     b = np.concatenate([x for _, x in pairs]) + shift if pairs else np.zeros(0, np.int64)
@@ -144,10 +159,10 @@ def links_of(left: np.ndarray, right: np.ndarray | None, distance: int) -> tuple
 
 
 def fingerprint_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Edges (a, b) whose components are those of all links between distinct fingerprints ``fp``."""
+    """Edges (a, b) whose components are those of all links between distinct fingerprints ``fp``, given ``with_pivots``."""
     count = prints.count()
     masks = block_masks(blocks_for(count, distance), distance)
-    keyed = prints.select("fp", F.explode(F.array(*(
+    keyed = prints.select("fp", *TABLE, F.explode(F.array(*(
         F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)
     ))).alias("key"))
     large = keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > PART)
@@ -157,24 +172,32 @@ def fingerprint_links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
                    ).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda other: F.struct(
                        F.least(part, other).alias("i"), F.greatest(part, other).alias("j"))))
     own = F.when(F.col("n").isNull(), 0).otherwise(part)
-    spread = keyed.join(large, "key", "left").select("key", "fp", own.alias("part"), F.explode(cells).alias("cell"))
-    met = spread.groupBy("key", "cell").agg(F.collect_list(F.struct("part", "fp")).alias("rows")).where(F.size("rows") > 1)
-    return met.select("cell.i", "cell.j", "rows.part", "rows.fp").mapInArrow(_cell_links(distance), "a long, b long")
+    spread = keyed.join(large, "key", "left").select("key", "fp", *TABLE, own.alias("part"), F.explode(cells).alias("cell"))
+    met = spread.groupBy("key", "cell").agg(F.collect_list(F.struct("part", "fp", *TABLE)).alias("rows")).where(F.size("rows") > 1)
+    return met.select("cell.i", "cell.j", "rows").mapInArrow(_cell_links(distance), "a long, b long")
 
 
 def _cell_links(distance):
     def run(batches):
         for batch in batches:
             found = []
-            columns = (batch.column(i) for i in range(4))
-            for i, j, part, fp in zip(*columns):
-                fp = fp.values.to_numpy().view(np.uint64)
-                if i.as_py() == j.as_py():
-                    found.append(links_of(fp, None, distance))
+            lists = batch.column("rows")
+            offsets, members = lists.offsets.to_numpy(), lists.values
+            part, fp = members.field("part").to_numpy(), members.field("fp").to_numpy().view(np.uint64)
+            table = [members.field(name).to_numpy().view(np.int8).reshape(-1, 8) for name in TABLE]
+            ones, others = batch.column("i").to_numpy(), batch.column("j").to_numpy()
+
+            def side(rows):
+                return fp[rows], [some[rows] for some in table]
+
+            for i, j, start, end in zip(ones.tolist(), others.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                rows = np.arange(start, end)
+                if i == j:
+                    found.append(links_of(side(rows), None, distance))
                 else:
-                    first = part.values.to_numpy() == i.as_py()
+                    first = part[rows] == i
                     if first.any() and not first.all():
-                        found.append(links_of(fp[first], fp[~first], distance))
+                        found.append(links_of(side(rows[first]), side(rows[~first]), distance))
             if found:
                 a, b = (np.concatenate(x).view(np.int64) for x in zip(*found))
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
@@ -188,9 +211,9 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     folder = fresh_folder(docs.sparkSession, "simhash")
     rows = with_fingerprints(docs.select(F.col(key), F.col(text)), text, size).select(key, F.col("_simhash").alias("fp"))
     rows = written(rows, f"{folder}/rows")
-    prints = written(rows.groupBy("fp").agg(F.min(key).alias("first")), f"{folder}/prints")
+    prints = written(with_pivots(rows.groupBy("fp").agg(F.min(key).alias("first"))), f"{folder}/prints")
     roots = connected(fingerprint_links(prints, distance)).withColumnRenamed("node", "fp")
-    placed = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = prints.select("fp", "first").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = written(placed.join(smallest, "root").select("fp", "root", "component_id"), f"{folder}/named")
     return rows.join(named, "fp").select(key, "fp", "root", "component_id")
