@@ -40,6 +40,7 @@ def clusters(seed, dims=32):
 def test_links_and_components(spark, monkeypatch, part, small):
     monkeypatch.setattr(caps, "PART", part)
     monkeypatch.setattr(caps, "SMALL", small)
+    monkeypatch.setattr(caps, "HOT", 4 * part)
     vectors = [*clusters(part), None, [], [0.0] * 32, [1.0, None] * 16, [float("nan")] * 32, [float("inf")] + [0.0] * 31,
                [1.0, 2.0], [2.0, 4.0], [-1.0, 2.0], [3.0], [1.0], [-1.0]]
     rows = [((i * 37) % 1009, v) for i, v in enumerate(vectors)]
@@ -131,6 +132,22 @@ def test_vectors_meet_in_codes(spark, monkeypatch):
     assert {r.vec_id: (r.n_links, r.component_id) for r in caps.near_vectors(frame).collect()} == brute(rows)
 
 
+def test_a_hot_filter_meets_its_count_without_a_shuffle_of_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(caps, "PART", 8)
+    monkeypatch.setattr(caps, "HOT", 32)
+    rows = [(i, [float(i), 1.0], 1, [7, 100 + i // 2]) for i in range(40)]
+    marked = spark.createDataFrame(rows, "id long, vector array<double>, copies long, filters array<long>")
+    cells = caps._cells(marked, ["id"])
+    found = cells.collect()
+    pairs = [{frozenset((x.id, y.id)) for x in r.rows for y in r.rows if x.id < y.id
+              and (r.i == r.j or x.part != y.part)} for r in found if r["filter"] == 7]
+    assert len(set.union(*pairs)) == sum(map(len, pairs)) == 40 * 39 // 2 and max(len(r.rows) for r in found) < 40
+    assert sorted(r["filter"] for r in found if r["filter"] != 7) == list(range(100, 120))
+    assert "BroadcastHashJoin" in cells._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(caps, "HOT", 41)
+    assert "LeftAnti" not in caps._cells(marked, ["id"])._jdf.queryExecution().executedPlan().toString()
+
+
 def test_decoding_is_bounded_whatever_the_table():
     code = caps.Code(64, 30_000_000, 0)
     units = np.random.default_rng(1).normal(size=(2000, 64))

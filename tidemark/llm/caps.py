@@ -20,14 +20,16 @@ length, which are all compared.
 Equal vectors are compared once. Number of code words and level follow the number
 of vectors, so that a filter holds about ``LOAD`` unrelated vectors unless the angle needs wider
 ones; filters with one vector are dropped. A filter with many is cut
-into parts that meet pair by pair in separate tasks. What leaves the tasks is a spanning
+into parts that meet pair by pair in separate tasks; one with more than ``HOT`` is also joined with its
+count by broadcast, so that no task reads it whole. What leaves the tasks is a spanning
 forest of the links. In a second pass over linked vectors only, a pair is counted in the
 first filter that both fall in, and only counts per vector leave the tasks.
 
 Defined results: null, empty and zero vectors and those with null or non-finite
 components link with nothing and are components of their own; only vectors of equal
 length are compared; null ids are their own component null unless linked to others;
-repeated rows with equal vectors are linked; extra columns are ignored.
+repeated rows with equal vectors are linked; extra columns are ignored. More than ``LENGTHS``
+different lengths are an error.
 """
 
 from __future__ import annotations
@@ -42,12 +44,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
 from tidemark.llm.simhash import forest
+from tidemark.operators.joins import ROWS, lookup_join
 from tidemark.workspace import fresh_folder, written
 
 THRESHOLD = 0.95
 CODES, FILTERS, LOAD = 5, 40, 0.5
 #: Vectors of one filter that are compared in one task.
 PART = 512
+#: Vectors of one filter that may meet its count in one task.
+HOT = 4 * PART
+#: Lengths of vectors that a table may have.
+LENGTHS = 1000
 #: Filters of a vector in one code at least; pairs at the threshold that share no filter at most.
 LEAST, MISS = FILTERS // CODES, 1e-4
 #: Pairs per code, and codes, that the share of missed pairs is measured with.
@@ -330,12 +337,12 @@ def _cells(marked: DataFrame, columns: list[str]) -> DataFrame:
     """Vectors gathered by filter, in cells of one part or two."""
     fallen = marked.select("*", F.size("vector").alias("dims"), F.explode("filters").alias("filter"))
     shared = marked.select(F.size("vector").alias("dims"), F.explode("filters").alias("filter")).groupBy(
-        "dims", "filter").agg(F.count("*").alias("n")).where("n > 1")
+        "dims", "filter").agg(F.count("*").alias("n")).where("n > 1").withColumn(ROWS, F.col("n"))
     parts = F.ceil(F.col("n") / PART)
     part = F.pmod(F.xxhash64("id", F.lit("part")), parts)
     cells = F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda other: F.struct(
         F.least(part, other).alias("i"), F.greatest(part, other).alias("j")))
-    spread = fallen.join(shared, ["dims", "filter"]).select(
+    spread = lookup_join(fallen, shared, ["dims", "filter"], HOT).select(
         "dims", "filter", F.struct(*columns, part.alias("part")).alias("row"), F.explode(cells).alias("cell"))
     met = spread.groupBy("dims", "filter", "cell").agg(F.collect_list("row").alias("rows"))
     return met.where(F.size("rows") > 1).select("dims", "cell.i", "cell.j", "filter", "rows")
@@ -346,9 +353,9 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame,
     and counts (a, n): a has links to n rows."""
     folder = fresh_folder(vectors.sparkSession, "caps-links")
     sizes = {r["dims"]: r["n"] for r in vectors.groupBy(F.size("vector").alias("dims")).agg(
-        F.count("*").alias("n")).limit(1001).collect()}
-    if len(sizes) > 1000:
-        raise ValueError("vectors of more than 1000 lengths")
+        F.count("*").alias("n")).limit(LENGTHS + 1).collect()}
+    if len(sizes) > LENGTHS:
+        raise ValueError(f"vectors of more than {LENGTHS} lengths")
     spread = vectors.repartition(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
     marked = written(spread.mapInArrow(_falls(sizes, threshold), f"{_ddl(vectors)}, filters array<long>"), f"{folder}/filters")
     edges = _cells(marked, ["id", "vector"]).mapInArrow(_verify(threshold, False), "a long, b long")
