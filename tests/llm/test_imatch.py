@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -16,20 +18,39 @@ def texts_of(n, seed):
     return [" ".join(draw.choices(words, k=draw.randrange(5, 200)) + ["the"] * 5) for _ in range(n)]
 
 
-def plain_lexicon(texts, most_share=imatch.MOST_SHARE, least=imatch.LEAST_DOCUMENTS):
-    seen = {}
-    for own in imatch.terms_of(texts):
-        for x in own.tolist():
-            seen[x] = seen.get(x, 0) + 1
-    return {x for x, n in seen.items() if least <= n <= max(least, most_share * len(texts))}
+def plain_lexicon(texts, most_share, least_share, least=imatch.LEAST_DOCUMENTS):
+    seen = Counter(w for t in texts for w in set((t or "").split()))
+    fewest = max(least, least_share * len(texts))
+    return {xxhash.xxh64_intdigest(w.encode(), imatch.SEED) for w, n in seen.items()
+            if fewest <= n <= max(fewest, most_share * len(texts))}
 
 
-def test_lexicon_counts_all_documents(spark):
+@pytest.mark.parametrize("most_share, least_share, held", [
+    (imatch.MOST_SHARE, imatch.LEAST_SHARE, imatch.HELD), (0.08, 0.04, 50), (0.5, 0.0, 3000), (0.01, 0.9, 7)])
+def test_lexicon_is_the_band_of_words_over_all_documents(spark, monkeypatch, most_share, least_share, held):
+    monkeypatch.setattr(imatch, "HELD", held)
+    monkeypatch.setattr(imatch, "CUT_CHARS", 1500)
     texts = [*texts_of(80, 1), None, ""]
     docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
-    known = imatch.lexicon(docs)
-    (inside,) = np.nonzero(np.unpackbits(known.bits, bitorder="little"))
-    assert set(inside.tolist()) == plain_lexicon(texts)
+    known = imatch.lexicon(docs, most_share=most_share, least_share=least_share)
+    assert (np.diff(known.terms) > 0).all()
+    assert {t % 2**64 for t in known.terms.tolist()} == plain_lexicon(texts, most_share, least_share)
+
+
+def test_words_are_counted_apart_however_many_there_are():
+    """More distinct words than a table of 2^16 places could tell apart: each keeps its own count."""
+    texts = [" ".join(f"x{i}" for i in range(a, a + 20_000)) for a in range(0, 400_000, 10_000)]
+    batches = list(imatch._count([pa.RecordBatch.from_pydict({"text": texts})]))
+    counts = Counter()
+    for batch in batches:
+        counts.update(dict(zip(batch.column("term").to_pylist(), batch.column("n").to_pylist())))
+    assert len(counts) == 410_000 and Counter(counts.values()) == {2: 390_000, 1: 20_000}
+
+
+def test_terms_outside_the_lexicon_are_left_out():
+    known = imatch.Lexicon(np.array([-5, 3, 9]))
+    assert known.keep(np.array([-7, -5, 4, 9, 11])).tolist() == [-5, 9]
+    assert known.keep(np.array([4, 12])).tolist() == [4, 12] and imatch.Lexicon(np.zeros(0, np.int64)).keep(np.array([1])).tolist() == [1]
 
 
 @pytest.mark.parametrize("parts", [2, 7])
@@ -75,7 +96,7 @@ def test_likeness_follows_common_terms():
     for common in (0, 50, 100, 150, 190, 200):
         estimates = []
         for _ in range(20):
-            pool = random_ids.choice(imatch.SPACE, 400 - common, replace=False)
+            pool = random_ids.permutation(np.unique(random_ids.integers(-(2**63), 2**63, 400 - common)))
             one, other = np.sort(pool[:200]), np.sort(pool[200 - common :][:200])
             estimates.append(imatch.likeness(imatch.fingerprint(one), imatch.fingerprint(other)))
         values.append(np.mean(estimates))
@@ -85,14 +106,14 @@ def test_likeness_follows_common_terms():
 
 def test_subsets_are_hashes_of_their_sorted_terms():
     terms = np.array([3, 10, 77, 1000], np.int64)
-    subset, place = imatch.members(terms.astype("<u4"))
+    subset, place = imatch.members(terms)
     held = {one: terms[place[subset == one]].tolist() for one in set(subset.tolist())}
     assert all(own == sorted(own) for own in held.values())
     assert sorted(t for one, own in held.items() if one < imatch.PER_SIZE for t in own) == terms.tolist()
     found = imatch.fingerprint(terms)
     for one in range(imatch.SIZES * imatch.PER_SIZE):
         part = found[16 + one * imatch.DIGITS :][: imatch.DIGITS]
-        own = np.array(held.get(one, []), "<u4")
+        own = np.array(held.get(one, []), "<i8")
         code = imatch.CODES[xxhash.xxh32_intdigest(own.tobytes(), one) & 0xFFF]
         assert part == (code if len(own) else imatch.NO_TERM)
     subset, _ = imatch.members(np.arange(100_000))

@@ -1,8 +1,9 @@
 """I-Match fingerprints with randomised lexicons.
 
-The lexicon is what lies in a band of inverse document frequency over all documents.
-Terms are numbers: a word's hash in a space of ``SPACE`` values, so the lexicon is a bit
-map of fixed size whatever the vocabulary, and words that share a value are one term. A text's
+The lexicon is what lies in a band of inverse document frequency, counted for every word over
+all documents. A term is the 64-bit hash of its word. Both ends of the band are shares of the
+documents, so the lexicon has at most the mean number of distinct terms of a document, divided by
+the smaller share, whatever the number of documents and of words. A text's
 distinct terms in the lexicon, sorted, are hashed whole and once for each of several
 random subsets of the lexicon. There are ``PER_SIZE`` subsets of each size; the largest share the
 lexicon out among them, the next half of it, and so on: the small ones leave a long text
@@ -35,9 +36,10 @@ from pyspark.sql.window import Window
 from tidemark.llm.tables import ARROW, add_columns, pieces, with_small_batches
 from tidemark.workspace import fresh_folder
 
-SPACE = 1 << 24
-#: Terms in more than this share of the documents, or in fewer than this many, are outside the band.
-MOST_SHARE, LEAST_DOCUMENTS = 0.1, 2
+#: Terms in more than this share of the documents, in less than this share, or in fewer documents than this are outside the band.
+MOST_SHARE, LEAST_SHARE, LEAST_DOCUMENTS = 0.1, 1e-5, 2
+#: Terms with counts that a task holds before it adds them up.
+HELD = 2_000_000
 #: At each size a term is in one of the subsets or, but for the largest size, in none; ``PER_SIZE`` is a power of two.
 SIZES, PER_SIZE = 10, 16
 SEED = 42
@@ -56,52 +58,69 @@ def terms_of(texts: list[str | None]) -> list[np.ndarray]:
     cut = pc.split_pattern_regex(low, BETWEEN)
     distinct = cut.flatten().dictionary_encode()
     digest = xxhash.xxh64_intdigest
+    if not texts:
+        return []
+    words = distinct.dictionary.to_pylist()
+    values, number = np.unique(np.array([digest(w.encode(), SEED) for w in words], np.uint64).view(np.int64), return_inverse=True)
+    at = distinct.indices.to_numpy()
     # Cutting leaves the empty word at the ends of a text.
-    numbers = np.array([digest(w.encode(), SEED) % SPACE if w else -1 for w in distinct.dictionary.to_pylist()], np.int64)
-    numbers = numbers[distinct.indices.to_numpy()]
+    full = np.array([bool(w) for w in words])[at]
     counts = pc.list_value_length(cut).to_numpy()
-    pairs = (np.repeat(np.arange(len(counts)), counts) * SPACE + numbers)[numbers >= 0]
+    pairs = (np.repeat(np.arange(len(counts)), counts) * len(values) + number[at])[full]
     pairs.sort()
     pairs = pairs[np.diff(pairs, prepend=-1) > 0]
-    return np.split(pairs % SPACE, np.searchsorted(pairs, np.arange(1, len(counts)) * SPACE)) if len(counts) else []
+    return np.split(values[pairs % len(values)], np.searchsorted(pairs, np.arange(1, len(counts)) * len(values)))
 
 
 def _count(batches):
-    counts = np.zeros(SPACE, np.int32)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def added_up() -> tuple[np.ndarray, np.ndarray]:
+        terms, place = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
+        return terms, np.bincount(place, np.concatenate([n for _, n in held])).astype(np.int64)
+
+    def rows():
+        return pa.RecordBatch.from_pydict(dict(zip(("term", "n"), map(pa.array, held.pop()))))
+
     for batch in batches:
         for piece in pieces(batch, "text", CUT_CHARS):
-            for own in terms_of(piece.column("text").to_pylist()):
-                counts[own] += 1
-    (seen,) = np.nonzero(counts)
-    yield pa.RecordBatch.from_pydict({"term": pa.array(seen.astype(np.int32)), "n": pa.array(counts[seen].astype(np.int64))})
+            held.append(np.unique(np.concatenate(terms_of(piece.column("text").to_pylist())), return_counts=True))
+            if sum(len(t) for t, _ in held) > HELD:
+                held[:] = [added_up()]
+                if len(held[0][0]) > HELD // 2:
+                    yield rows()
+    if held:
+        held[:] = [added_up()]
+        yield rows()
 
 
 class Lexicon:
-    """The terms of the band as bits."""
+    """The terms of the band in ascending order."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
 
     def keep(self, terms: np.ndarray) -> np.ndarray:
-        if not len(terms):
+        if not len(terms) or not len(self.terms):
             return terms
-        inside = terms[(self.bits[terms >> 3] >> (terms & 7)) & 1 == 1]
+        place = np.searchsorted(self.terms, terms)
+        place[place == len(self.terms)] = 0
+        inside = terms[self.terms[place] == terms]
         return inside if len(inside) else terms
 
 
 def lexicon(docs: DataFrame, text: str = "text", most_share: float = MOST_SHARE,
-            least: int = LEAST_DOCUMENTS) -> Lexicon:
-    """Count all documents of each term; what reaches the driver is the bit map, ``SPACE`` bits at most."""
-    counted = with_small_batches(docs).select(F.col(text).alias("text")).mapInArrow(_count, "term int, n long")
-    most = max(least, most_share * docs.count())
-    band = counted.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n").between(least, most))
-    place = F.col("term").cast("long") + 1  # places begin at 1 in bucket 1
-    maps = band.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).toArrow()
-    bits = np.zeros(SPACE // 8, np.uint8)
-    for bucket, some in zip(maps["bucket"].to_pylist(), maps["bits"].to_pylist()):
-        bits[(bucket - 1) * len(some) : bucket * len(some)] = np.frombuffer(some, np.uint8)
-    return Lexicon(bits)
+            least_share: float = LEAST_SHARE, least: int = LEAST_DOCUMENTS) -> Lexicon:
+    """Count the documents of each term over all documents.
+
+    What reaches the driver and the tasks are the terms of the band, 8 bytes each. As each lies in at least
+    ``least_share`` of the documents, there are at most 1 / ``least_share`` times the mean number of terms of a document.
+    """
+    counted = with_small_batches(docs).select(F.col(text).alias("text")).mapInArrow(_count, "term long, n long")
+    total = docs.count()
+    fewest = max(least, least_share * total)
+    band = counted.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n").between(fewest, max(fewest, most_share * total)))
+    return Lexicon(np.sort(band.select("term").toArrow()["term"].to_numpy()))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -115,7 +134,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 def members(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(subset, place of the term), by subset and in the order of the terms. At size j a term's bits
     choose among PER_SIZE times 2^j places, of which the first PER_SIZE are subsets."""
-    halves = [mixed(terms.astype(np.uint64) * np.uint64(2) + np.uint64(i)) for i in (0, 1)]
+    halves = [mixed(terms.astype(np.int64).view(np.uint64) * np.uint64(2) + np.uint64(i)) for i in (0, 1)]
     subsets, places, used = [], [], [0, 0]
     for size in range(SIZES):
         width = PER_SIZE.bit_length() - 1 + size
@@ -132,7 +151,7 @@ def members(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fingerprint(terms: np.ndarray) -> str:
     """Hashes of sorted distinct terms: of all, then of each subset, size by size."""
-    terms = terms.astype("<u4")
+    terms = terms.astype("<i8")
     parts = [NO_TERM] * (SIZES * PER_SIZE)
     if len(terms):
         subset, place = members(terms)
