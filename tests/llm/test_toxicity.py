@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -91,3 +92,65 @@ def test_no_labels(spark):
     none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert [round(r.toxic_score, 6) for r in toxicity.find(docs, none).collect()] == [toxicity.PRIOR]
     assert toxicity.find(docs.limit(0), none).count() == 0
+
+
+def plain_find(text, lexicon):
+    """Every term tried at every word, and the exceptions around it, without an automaton."""
+    words = toxicity.fold(toxicity.visible(text)).split()
+    total, found = 0.0, []
+    for i, word in enumerate(words):
+        terms = [t for t in lexicon.weights if (t == f" {word} " if t.endswith(" ") else word.startswith(t[1:]))]
+        prior, after = words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""
+        around = {word, f"{prior} {word}", f"{word} {after}", f"{prior} {word} {after}"}
+        if terms and not around & lexicon.exceptions:
+            found.append(max(terms, key=len))
+            total += lexicon.weights[found[-1]]
+    return total, len(words), found
+
+
+def test_matches_are_those_of_every_term_tried_at_every_word(spark):
+    draw = random.Random(17)
+    words = ["".join(draw.choices("abeo", k=draw.randrange(1, 9))) for _ in range(60)]
+    disguise = str.maketrans({"a": "а", "b": "🅑", "e": "3", "o": "0"})
+    terms = {p for w in words[:30] for p in toxicity.terms_of(w)}
+    phrases = [f"{a} {b}" for a, b in zip(draw.choices(words, k=40), draw.choices(words, k=40))]
+    known = toxicity.Lexicon({t: draw.uniform(0.5, 3) for t in sorted(terms)}, {*phrases, words[2], f" {words[3]}", f"{words[4]} "})
+    texts = [None, "", words[3], words[4], "z" * 5000 + f" {words[0]} " + "z" * 5000]
+    for _ in range(300):
+        some = [w.translate(disguise) if draw.random() < 0.3 else w for w in draw.choices(words, k=draw.randrange(1, 40))]
+        texts.append("".join(w + draw.choice([" ", "  ", ", ", "\n", "! "]) for w in some) + draw.choice(["", draw.choice(phrases)]))
+    long = "z" * 700
+    known.exceptions |= {f"{long} {words[0]}", f"{words[1]} {long}"}
+    texts += [f"{long} {words[0]}", f"{words[1]} {long}", f"{words[0]} {long}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in toxicity.find(docs, known).collect()}
+    for i, text in enumerate(texts):
+        total, n, found = plain_find(text, known)
+        assert (rows[i].toxic_words, [s.term for s in rows[i].toxic_spans]) == (n, found)
+        assert rows[i].toxic_weight == pytest.approx(total)
+    assert plain_find(texts[-3], known)[0] == plain_find(texts[-2], known)[0] == 0.0 and plain_find(texts[-1], known)[0] > 0
+
+
+def test_weights_are_those_of_plain_counts(spark):
+    draw = random.Random(23)
+    plain = ["".join(draw.choices("abcdeimnorstu", k=draw.randrange(3, 8))) for _ in range(200)]
+    rows = []
+    for i in range(700):
+        toxic = int(i % 4 == 0)
+        rows.append((i, " ".join(draw.choices(plain, k=30) + draw.choices(["grotz", "blemfy", "vulkrit"], k=toxic)), toxic))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    fitted = toxicity.fit(frame, frame)
+    learned = {r.doc_id for r in frame.where(toxicity.share_of("doc_id") < toxicity.LEXICON_SHARE).collect()}
+    own = [({p for w in set(toxicity.fold(t).split()) if len(w) > 2 for p in toxicity.terms_of(w)}, x) for i, t, x in rows if i in learned]
+    toxic, clean = sum(x for _, x in own), sum(1 - x for _, x in own)
+    share, strong = toxic / (toxic + clean), {}
+    for term in set().union(*(terms for terms, _ in own)):
+        k = [sum(term in terms for terms, x in own if x == label) for label in (1, 0)]
+        weight = math.log((k[0] + 0.5) / (toxic + 1)) - math.log((k[1] + 0.5) / (clean + 1))
+        ratio = 2 * sum(n * math.log(n / sum(k) / p) for n, p in zip(k, (share, 1 - share)) if n)
+        if weight >= toxicity.MIN_WEIGHT and ratio >= toxicity.MIN_RATIO:
+            strong[term] = weight
+    assert fitted.weights and fitted.weights.keys() <= strong.keys()
+    assert all(w == pytest.approx(strong[t]) for t, w in fitted.weights.items())
+    # What is not in the lexicon is covered by a shorter beginning of the same word.
+    assert all(any(t.startswith(f.rstrip()) for f in fitted.weights) for t in strong)

@@ -118,11 +118,20 @@ def terms_of(word: str) -> tuple[str, ...]:
     return (f" {word} ", *(f" {word[:n]}" for n in PREFIXES if len(word) >= n))
 
 
+WORD = re.compile(r"\S+")
+
+
 def contexts(folded: str, start: int) -> tuple[str, str, str, str]:
     """Phrases around the word whose space is at ``start``."""
-    tail = folded[start : start + 400].split(maxsplit=2)
-    before = folded[max(0, start - 200) : start].split()
-    word, after, prior = tail[0], tail[1] if len(tail) > 1 else "", before[-1] if before else ""
+    here = WORD.search(folded, start)
+    following = WORD.search(folded, here.end())
+    end = start
+    while end and folded[end - 1].isspace():
+        end -= 1
+    begin = end
+    while begin and not folded[begin - 1].isspace():
+        begin -= 1
+    word, after, prior = here[0], following[0] if following else "", folded[begin:end]
     return word, f"{prior} {word}", f"{word} {after}", f"{prior} {word} {after}"
 
 
