@@ -21,7 +21,7 @@ def texts_of(n, seed):
 def plain_lexicon(texts, most_share, least_share, least=imatch.LEAST_DOCUMENTS):
     seen = Counter(w for t in texts for w in set((t or "").split()))
     fewest = max(least, least_share * len(texts))
-    return {xxhash.xxh64_intdigest(w.encode(), imatch.SEED) for w, n in seen.items()
+    return {xxhash.xxh64_intdigest(w.encode(), imatch.SEED) >> 3 for w, n in seen.items()
             if fewest <= n <= max(fewest, most_share * len(texts))}
 
 
@@ -33,8 +33,9 @@ def test_lexicon_is_the_band_of_words_over_all_documents(spark, monkeypatch, mos
     texts = [*texts_of(80, 1), None, ""]
     docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
     known = imatch.lexicon(docs, most_share=most_share, least_share=least_share)
+    assert known.terms.dtype == np.int64
     assert (np.diff(known.terms) > 0).all()
-    assert {t % 2**64 for t in known.terms.tolist()} == plain_lexicon(texts, most_share, least_share)
+    assert set(known.terms.tolist()) == plain_lexicon(texts, most_share, least_share)
 
 
 def test_words_are_counted_apart_however_many_there_are():
@@ -43,7 +44,10 @@ def test_words_are_counted_apart_however_many_there_are():
     batches = list(imatch._count([pa.RecordBatch.from_pydict({"text": texts})]))
     counts = Counter()
     for batch in batches:
-        counts.update(dict(zip(batch.column("term").to_pylist(), batch.column("n").to_pylist())))
+        for one, *lists in zip(*(batch.column(c).to_pylist() for c in ("range", "high", "low", "n"))):
+            for high, low, n in zip(*lists):
+                counts[one << 48 | (high & 0xFFFF) << 32 | low & 0xFFFFFFFF] += n
+    assert set(counts) == {xxhash.xxh64_intdigest(f"x{i}".encode(), imatch.SEED) >> 3 for i in range(410_000)}
     assert len(counts) == 410_000 and Counter(counts.values()) == {2: 390_000, 1: 20_000}
 
 

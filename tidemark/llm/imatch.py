@@ -1,7 +1,7 @@
 """I-Match fingerprints with randomised lexicons.
 
 The lexicon is what lies in a band of inverse document frequency, counted for every word over
-all documents. A term is the 64-bit hash of its word. Both ends of the band are shares of the
+all documents. A term is a 61-bit hash of its word. Both ends of the band are shares of the
 documents, so the lexicon has at most the mean number of distinct terms of a document, divided by
 the smaller share, whatever the number of documents and of words. A text's
 distinct terms in the lexicon, sorted, are hashed whole and once for each of several
@@ -40,6 +40,8 @@ from tidemark.workspace import fresh_folder
 MOST_SHARE, LEAST_SHARE, LEAST_DOCUMENTS = 0.1, 1e-5, 2
 #: Terms with counts that a task holds before it adds them up.
 HELD = 2_000_000
+#: Counts travel in rows of one range of terms each, the first 13 bits: a term then takes 6 bytes and its count.
+RANGES = 1 << 13
 #: At each size a term is in one of the subsets or, but for the largest size, in none; ``PER_SIZE`` is a power of two.
 SIZES, PER_SIZE = 10, 16
 SEED = 42
@@ -61,7 +63,7 @@ def terms_of(texts: list[str | None]) -> list[np.ndarray]:
     if not texts:
         return []
     words = distinct.dictionary.to_pylist()
-    values, number = np.unique(np.array([digest(w.encode(), SEED) for w in words], np.uint64).view(np.int64), return_inverse=True)
+    values, number = np.unique(np.array([digest(w.encode(), SEED) >> 3 for w in words], np.int64), return_inverse=True)
     at = distinct.indices.to_numpy()
     # Cutting leaves the empty word at the ends of a text.
     full = np.array([bool(w) for w in words])[at]
@@ -80,7 +82,14 @@ def _count(batches):
         return terms, np.bincount(place, np.concatenate([n for _, n in held])).astype(np.int64)
 
     def rows():
-        return pa.RecordBatch.from_pydict(dict(zip(("term", "n"), map(pa.array, held.pop()))))
+        terms, counts = held.pop()
+        starts = np.searchsorted(terms, np.arange(RANGES + 1) << 48).astype(np.int32)
+        (some,) = np.nonzero(np.diff(starts))
+        offsets = pa.array([*starts[some], len(terms)], pa.int32())
+        parts = (terms >> 32).astype(np.int16), terms.astype(np.int32), counts.astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), *(pa.ListArray.from_arrays(offsets, pa.array(p)) for p in parts)],
+            ["range", "high", "low", "n"])
 
     for batch in batches:
         for piece in pieces(batch, "text", CUT_CHARS):
@@ -116,11 +125,17 @@ def lexicon(docs: DataFrame, text: str = "text", most_share: float = MOST_SHARE,
     What reaches the driver and the tasks are the terms of the band, 8 bytes each. As each lies in at least
     ``least_share`` of the documents, there are at most 1 / ``least_share`` times the mean number of terms of a document.
     """
-    counted = with_small_batches(docs).select(F.col(text).alias("text")).mapInArrow(_count, "term long, n long")
+    counted = with_small_batches(docs).select(F.col(text).alias("text")).mapInArrow(
+        _count, "range int, high array<short>, low array<int>, n array<int>")
+    # One shuffle: terms are grouped where their range is.
+    single = counted.repartition("range").select("range", F.inline(F.arrays_zip("high", "low", "n")))
     total = docs.count()
     fewest = max(least, least_share * total)
-    band = counted.groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n").between(fewest, max(fewest, most_share * total)))
-    return Lexicon(np.sort(band.select("term").toArrow()["term"].to_numpy()))
+    band = single.groupBy("range", "high", "low").agg(F.sum("n").alias("n")).where(
+        F.col("n").between(fewest, max(fewest, most_share * total)))
+    high, low = F.col("high").cast("long").bitwiseAND(F.lit(0xFFFF)), F.col("low").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+    term = F.shiftleft(F.col("range").cast("long"), 48) + F.shiftleft(high, 32) + low
+    return Lexicon(np.sort(band.select(term.alias("term")).toArrow()["term"].to_numpy()))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
