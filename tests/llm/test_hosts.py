@@ -53,6 +53,30 @@ def test_addresses_and_rules(spark):
     assert verdicts[URLS.index("http://b.com/")] == "block" and verdicts[0] == "allow"
 
 
+#: The rules as the query's contract lists them, written out here apart from the code's.
+CONTRACT = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+RULED = [
+    ("http://a.org/x", "org/", "allow"), ("http://example.org/en/2", "org/", "allow"), ("http://notexample.org/en/1", "org/", "allow"),
+    ("http://example.org/es/1", "example.org/es/", "block"), ("http://www.example.org/es/", "example.org/es/", "block"),
+    ("http://example.org/en/1", "example.org/en/1", "block"), ("https://M.Example.org/en/17?page=2", "example.org/en/1", "block"),
+    ("http://b.com/fr/1", "com/fr/", "allow"), ("http://c.com/de/1", "com/de/", "block"),
+]
+
+
+def test_rules_are_those_of_the_contract(spark):
+    assert sorted(hosts.RULES) == sorted(CONTRACT)
+    rows = [(url, None) for url, _, _ in RULED]
+    whole = sorted(hosts.filtered(table(spark, rows)).select("page_id", "rule", "verdict").collect())
+    assert [tuple(r) for r in whole] == [(i, rule, verdict) for i, (_, rule, verdict) in enumerate(RULED)]
+    assert [(r[0], *r[3:]) for r in by_sql(rows)] == [(i, rule, verdict) for i, (_, rule, verdict) in enumerate(RULED)]
+
+
+def test_blocked_paths_count_against_their_host(spark):
+    rows = [("http://example.org/en/1", None), ("http://example.org/en/12", None), ("http://example.org", None)]
+    verdicts = [r.verdict for r in hosts.filtered(table(spark, rows)).orderBy("page_id").collect()]
+    assert verdicts == ["block"] * 3 == [r[4] for r in by_sql(rows)]
+
+
 def link(host):
     return f'<a href="http://{host}/x">'
 

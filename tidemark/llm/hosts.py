@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.workspace import Folder, fresh_folder, written
 
 RULES = [
-    ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "allow"),
+    ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
     ("com/fr/", "allow"), ("com/de/", "block"),
 ]
 DAMPING, TOLERANCE, THRESHOLD = 0.85, 1e-9, 0.5
