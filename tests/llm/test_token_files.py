@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -38,6 +39,19 @@ def test_elias_fano_is_small():
     assert size * 8 / len(ends) < 14  # a 64-bit table takes 64
 
 
+def test_elias_fano_needs_few_bytes_a_value():
+    values = np.sort(np.random.default_rng(1).integers(0, 2**62, 100_000)).astype(np.uint64)
+    tracemalloc.start()
+    try:
+        made = token_files.EliasFano.of(values)
+        assert tracemalloc.get_traced_memory()[1] < 150 * len(values)  # 8 bytes for each of 44 bits are 350
+        tracemalloc.reset_peak()
+        assert (made.all() == values).all()
+        assert tracemalloc.get_traced_memory()[1] < 150 * len(values)
+    finally:
+        tracemalloc.stop()
+
+
 ODD = ["a\x1cb \x1d", "  <|endoftext|> x<|startoftext|>y", "É é é ́x á.", "ΣΑΣ Σ ΑΣ.", "don't it's WE'LL 12 345", "",
        "​　z", "İIͅ ß", "a.b.)c, d..e!? x.'s 5.'t .́ &amp; $5 a$ b## c%%%", "x.<|endoftext|>", "<|ENDOFTEXT|>", "\x00"]
 
@@ -77,6 +91,33 @@ def test_ids_of_any_text(tokenizer, text):
 ENCODER = token_files.Encoder(PATH)
 
 
+class Library:
+    """The tokenizer, which notes the characters it gets at once."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.given.append(sum(map(len, texts)))
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_long_stretches_are_learned_and_kept_in_bounds(tokenizer, monkeypatch):
+    draw, letters = random.Random(4), [chr(0x4E00 + i) for i in range(3000)]
+    texts = ["".join(draw.choices(letters, k=2500)) for _ in range(240)] + ["".join(draw.choices(letters, k=300_000))]
+    encoder = token_files.Encoder(PATH)
+    library = encoder.tokenizer = Library(encoder.tokenizer)
+    found = [np.frombuffer(x, "<u2").tolist() for x in encoder(pa.array([*texts, *texts[:3]]))]
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert found == [*expected, *expected[:3]]
+    assert max(library.given) == 300_000 and sorted(library.given)[-2] <= 250_000 and sum(library.given) == 900_000
+    monkeypatch.setattr(token_files, "MAX_KEPT_CHARS", 20_000)
+    for i in range(0, 200, 5):
+        found = [np.frombuffer(x, "<u2").tolist() for x in encoder(pa.array(texts[i : i + 5]))]
+        assert found == expected[i : i + 5]
+        assert sum(map(len, encoder.seen)) <= 20_000 + 5 * 2500
+
+
 def test_blocks(spark, tokenizer, monkeypatch):
     monkeypatch.setattr(token_files, "BLOCK_TOKENS", 40)
     draw = random.Random(2)

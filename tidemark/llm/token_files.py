@@ -27,6 +27,7 @@ import os
 import re
 import struct
 import zlib
+from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
@@ -42,13 +43,15 @@ from tidemark.llm.tables import pieces, with_small_batches
 END = 2
 BLOCK_TOKENS = 1 << 20
 #: Characters cut into stretches at once; fewer of them are distinct in more text.
-ENCODED_CHARS = 4_000_000
+ENCODED_CHARS = 1_000_000
+#: Characters given to the library at once, or one longer stretch: what it returns of an id is many times the id.
+LEARNED_CHARS = 250_000
 SAMPLE = 256
 HEADER = struct.Struct("<8sBxxxIIQq")
 SEQUENCE = struct.Struct("<BxxxIIII")
 MAGIC = b"TIDEIDS1"
-#: Stretches whose ids a worker keeps.
-MAX_KEPT = 400_000
+#: Stretches whose ids a worker keeps, and their characters: without white space a whole text is one stretch.
+MAX_KEPT, MAX_KEPT_CHARS = 400_000, 8_000_000
 #: How the vocabulary marks an id that ends a word, and words that are one stretch for the tokenizer.
 WORD_END = "</w>"
 WORD = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ɏ]+")
@@ -84,8 +87,10 @@ class EliasFano:
         ones = (values >> np.uint64(bits)).astype(np.int64) + np.arange(count)
         unary = np.zeros(int(ones[-1]) + 1 if count else 0, np.uint8)
         unary[ones] = 1
-        low = (values[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)
-        return cls(bits, count, np.packbits(low.astype(np.uint8).ravel(), bitorder="little"),
+        low = np.empty((count, bits), np.uint8)
+        for bit in range(bits):
+            low[:, bit] = (values >> np.uint64(bit)) & np.uint64(1)
+        return cls(bits, count, np.packbits(low.ravel(), bitorder="little"),
                    np.packbits(unary, bitorder="little"), ones[::SAMPLE].astype(np.uint32))
 
     def to_bytes(self) -> bytes:
@@ -125,9 +130,11 @@ class EliasFano:
     def all(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.count]
         high = (ones - np.arange(self.count)).astype(np.uint64)
-        low = np.unpackbits(self.low, count=self.count * self.low_bits, bitorder="little")
-        low = low.reshape(self.count, self.low_bits).astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)
-        return (high << np.uint64(self.low_bits)) | low.sum(1, dtype=np.uint64)
+        low = np.unpackbits(self.low, count=self.count * self.low_bits, bitorder="little").reshape(self.count, self.low_bits)
+        found = high << np.uint64(self.low_bits)
+        for bit in range(self.low_bits):
+            found |= low[:, bit].astype(np.uint64) << np.uint64(bit)
+        return found
 
 
 class Block:
@@ -183,6 +190,17 @@ class Seen(dict):
         return number
 
 
+def slices(stretches: list[str], chars: int) -> Iterator[list[str]]:
+    """Successive stretches of so many characters together, or one longer stretch."""
+    start = total = 0
+    for i, stretch in enumerate(stretches):
+        if i > start and total + len(stretch) > chars:
+            yield stretches[start:i]
+            start, total = i, 0
+        total += len(stretch)
+    yield stretches[start:]
+
+
 class Encoder:
     """Ids of texts. Each stretch is encoded by the library once and its ids are kept."""
 
@@ -202,20 +220,21 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.seen, self.done, self.used = Seen(), 0, 0
+        self.seen, self.done, self.used, self.chars = Seen(), 0, 0, 0
         self.ids = np.zeros(1 << 16, self.kind)
         self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
     def __call__(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as they are written. Only the distinct stretches of a batch reach Python."""
-        if len(self.seen) > MAX_KEPT:
+        if len(self.seen) > MAX_KEPT or self.chars > MAX_KEPT_CHARS:
             self._forget()
         cut = stretches(texts) if self.cuts else pa.array([[t or ""] for t in texts.to_pylist()], pa.list_(pa.string()))
         distinct = cut.flatten().dictionary_encode()
         listed = distinct.dictionary.to_pylist()
         numbers = np.fromiter(map(self.seen.__getitem__, listed), np.int64, len(listed))
         if len(self.seen) > self.done:
-            self._learn(list(islice(self.seen, self.done, None)))
+            for some in slices(list(islice(self.seen, self.done, None)), LEARNED_CHARS):
+                self._learn(some)
         numbers = numbers[distinct.indices.to_numpy()]
         counts = pc.list_value_length(cut).to_numpy()
         sizes = self.sizes[numbers]
@@ -248,7 +267,7 @@ class Encoder:
         at = self.done + np.array(order + rest)
         self.sizes[at], self.starts[at] = sizes, self.used + np.cumsum(sizes) - sizes
         self.ids[self.used : self.used + len(flat)] = flat
-        self.done, self.used = end, self.used + len(flat)
+        self.done, self.used, self.chars = end, self.used + len(flat), self.chars + sum(map(len, new))
 
     def packed(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
